@@ -221,3 +221,186 @@ FROM hdr e JOIN events x ON x.event_id = e.event_id""")
 def epoch_to_load_date(spark, sf_dir):
     headers, _ = tb.raw_from_events(spark, sf_dir)
     return headers.select("seq", dates.epoch_ms_to_local_date("load_time", "Europe/Oslo").alias("local_date"))
+
+
+# ---------------------------------------------------------------------------
+# Sources: partition-pruned scans, probes, samples
+# ---------------------------------------------------------------------------
+
+from adlife.session import table_path  # noqa: E402
+from adlife.sinks import tables as sinks  # noqa: E402
+from adlife.sources import files as file_sources  # noqa: E402
+from adlife.sources import tables as sources  # noqa: E402
+
+SLICE_DATES = ("2024-01-05", "2024-01-06", "2024-01-07")
+_SLICE_SQL = ", ".join(f"'{d}'" for d in SLICE_DATES)
+
+
+def _raw_tables(spark, sf_dir):
+    h = sources.read_raw_headers(spark, tb.raw_header_table(spark, sf_dir), with_seq=True)
+    d = sources.read_raw_details(spark, tb.raw_details_table(spark, sf_dir), with_seq=True)
+    return h, d
+
+
+@register("scan_header_dates", "WITH " + O.EV + f"""
+SELECT 'header' AS layer, url, load_date, load_time, event_id AS seq FROM hdr WHERE load_date IN ({_SLICE_SQL})
+UNION ALL
+SELECT 'details' AS layer, url, load_date, load_time, event_id AS seq FROM det WHERE load_date IN ({_SLICE_SQL})""")
+def scan_header_dates(spark, sf_dir):
+    h, d = _raw_tables(spark, sf_dir)
+    cols = ["url", "load_date", "load_time", "seq"]
+    return (sources.scan_dates(h, SLICE_DATES).select(F.lit("header").alias("layer"), *cols)
+            .unionByName(sources.scan_dates(d, SLICE_DATES).select(F.lit("details").alias("layer"), *cols)))
+
+
+@register("union_slices", "WITH " + O.EV + "\n" + "\nUNION ALL\n".join(
+    f"SELECT url, load_date, load_time, event_id AS seq FROM hdr WHERE load_date = '{d}'" for d in SLICE_DATES))
+def union_slices(spark, sf_dir):
+    h, _ = _raw_tables(spark, sf_dir)
+    return sources.union_slices(h, SLICE_DATES).select("url", "load_date", "load_time", "seq")
+
+
+@register("scan_daily_range", "WITH " + O.DAILY + """
+SELECT url, load_date, finnkode, title, location, year, km, price, property_keys, equipment,
+       information, sold, deleted, load_time FROM daily
+WHERE load_date BETWEEN '2024-01-10' AND '2024-01-20'""")
+def scan_daily_range(spark, sf_dir):
+    daily = sources.read_daily(spark, tb.daily_table(spark, sf_dir))
+    lo, hi = sources.window_bounds("2024-01-20", 10)
+    return _daily_out(sources.scan_date_range(daily, lo, hi))
+
+
+@register("latest_load_date", "WITH " + O.EV + """
+SELECT '2024-02-03' AS as_of,
+       coalesce(max(load_date) FILTER (WHERE load_date BETWEEN '2024-01-27' AND '2024-02-03'), '2016-07-01') AS latest_load_date
+FROM hdr
+UNION ALL
+SELECT '2024-03-01' AS as_of,
+       coalesce(max(load_date) FILTER (WHERE load_date BETWEEN '2024-02-23' AND '2024-03-01'), '2016-07-01') AS latest_load_date
+FROM hdr""")
+def latest_load_date(spark, sf_dir):
+    h, _ = _raw_tables(spark, sf_dir)
+    return reduce_union([sources.latest_load_date(h, d).select(F.lit(d).alias("as_of"), "latest_load_date")
+                         for d in ("2024-02-03", "2024-03-01")])
+
+
+def reduce_union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("delta_dates", "WITH " + O.EV + """
+SELECT strftime(d, '%Y-%m-%d') AS load_date
+FROM (SELECT coalesce(max(load_date) FILTER (WHERE load_date BETWEEN '2024-01-26' AND '2024-02-02'),
+                      '2016-07-01') AS lo FROM hdr) p,
+     generate_series(CAST(p.lo AS DATE), DATE '2024-02-02', INTERVAL 1 DAY) AS g(d)""")
+def delta_dates(spark, sf_dir):
+    h, _ = _raw_tables(spark, sf_dir)
+    return sources.delta_dates(h, "2024-02-02")
+
+
+@register("table_sample", "WITH " + O.EV + """
+SELECT url, load_date, load_time, event_id AS seq FROM hdr ORDER BY load_time, event_id LIMIT 1""")
+def table_sample(spark, sf_dir):
+    h, _ = _raw_tables(spark, sf_dir)
+    return sources.sample(h, ["load_time", "seq"], 1, ["url", "load_date", "load_time", "seq"])
+
+
+@register("ordered_history", "WITH " + O.EV + """
+SELECT url, load_date, load_time, event_id AS seq FROM hdr""")
+def ordered_history(spark, sf_dir):
+    h, _ = _raw_tables(spark, sf_dir)
+    path = table_path(spark, "runs", "ordered_history", tb.uuid_tag())
+    sinks.write_clustered(h, path)
+    back = sources.read_raw_headers(spark, path, with_seq=True)
+    return back.select("url", "load_date", "load_time", "seq")
+
+
+@register("ingest_counts", "WITH " + O.EV + """
+SELECT load_date, count(*) FILTER (WHERE event_type IN ('view', 'purchase', 'signup')) AS n_headers,
+       count(*) FILTER (WHERE event_type IN ('click', 'error')) AS n_details
+FROM ev GROUP BY load_date""")
+def ingest_counts(spark, sf_dir):
+    h, d = _raw_tables(spark, sf_dir)
+    hc = h.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_headers"))
+    dc = d.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_details"))
+    return (hc.join(dc, "load_date", "full")
+              .select("load_date", F.coalesce("n_headers", F.lit(0)).alias("n_headers"),
+                      F.coalesce("n_details", F.lit(0)).alias("n_details")))
+
+
+@register("temp_view_sql", "WITH " + O.EV + """
+SELECT url, load_date, load_time, event_id AS seq FROM hdr WHERE event_type = 'purchase'""")
+def temp_view_sql(spark, sf_dir):
+    h, _ = _raw_tables(spark, sf_dir)
+    sinks.register_view(h, "acq_car_header")
+    return spark.sql(f"SELECT url, load_date, load_time, seq FROM acq_car_header "
+                     f"WHERE price = '{config.SOLD_MARKER}'")
+
+
+@register("json_lines_source", "WITH " + O.EV + """
+SELECT url, load_date, load_time, event_id AS seq, 'Listing ' || CAST(user_id AS VARCHAR) AS title,
+       CAST(CASE WHEN event_type = 'view' THEN cents ELSE -1 END AS INTEGER) AS price
+FROM hdr""")
+def json_lines_source(spark, sf_dir):
+    from pyspark.sql import types as T
+    from adlife import schemas
+    h, _ = tb.raw_from_events(spark, sf_dir)
+    path = table_path(spark, "runs", "json_lines", tb.uuid_tag())
+    h.write.mode("overwrite").json(path)
+    back = file_sources.read_json_lines(spark, path, schemas.extended(schemas.RAW_HEADER, ("seq", T.LongType())))
+    return back.select("url", "load_date", "load_time", "seq", "title",
+                       parse.parse_price("price").alias("price"))
+
+
+# ---------------------------------------------------------------------------
+# Sinks: keyed upserts and text export
+# ---------------------------------------------------------------------------
+
+UPSERT_CUT_MS = 1705752000000   # 2024-01-20 12:00 UTC: the base load stops mid-day
+UPSERT_RELOAD_FROM = "2024-01-18"
+
+
+@register("upsert_daily", "WITH " + O.DAILY + """
+SELECT url, load_date, finnkode, title, location, year, km, price, property_keys, equipment,
+       information, sold, deleted, load_time FROM daily""")
+def upsert_daily(spark, sf_dir):
+    h, d = _raw_tables(spark, sf_dir)
+    path = table_path(spark, "runs", "upsert_daily", tb.uuid_tag())
+    early = F.col("load_time") < F.lit(UPSERT_CUT_MS)
+    base = daily_ops.build_daily(h.where(early), d.where(early), history=h.where(early))
+    sinks.upsert(spark, base, path, ["load_date", "url"])
+    reload = F.col("load_date") >= F.lit(UPSERT_RELOAD_FROM)
+    update = daily_ops.build_daily(h.where(reload), d.where(reload), history=h)
+    sinks.upsert(spark, update, path, ["load_date", "url"])
+    return _daily_out(sources.read_daily(spark, path))
+
+
+@register("upsert_lifecycle", "WITH " + O.DAILY + ",\nbase AS (" + O.lifecycle_select("2024-01-20", "2024-01-18")
+          + "),\nupd AS (" + O.lifecycle_select(AS_OF, DELTA_START) + """)
+SELECT * FROM upd UNION ALL SELECT * FROM base WHERE url NOT IN (SELECT url FROM upd)""")
+def upsert_lifecycle(spark, sf_dir):
+    daily = sources.read_daily(spark, tb.daily_table(spark, sf_dir))
+    path = table_path(spark, "runs", "upsert_lifecycle", tb.uuid_tag())
+    for as_of, delta in (("2024-01-20", "2024-01-18"), (AS_OF, DELTA_START)):
+        rows = sinks.with_key_bucket(lc.lifecycle_rollup(daily, as_of, delta))
+        sinks.upsert(spark, rows, path, ["url"], partition_by="key_bucket")
+    from adlife import schemas
+    from pyspark.sql import types as T
+    back = spark.read.schema(schemas.extended(schemas.LIFECYCLE, ("key_bucket", T.IntegerType()))).parquet(path)
+    return back.drop("key_bucket")
+
+
+_EXPORT_COLS = [f.name for f in __import__("adlife.schemas", fromlist=["LIFECYCLE"]).LIFECYCLE.fields]
+
+
+@register("export_semicolon", "WITH " + O.DAILY + ",\nlc AS (" + O.lifecycle_select(AS_OF, DELTA_START) + """)
+SELECT """ + " || ';' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in _EXPORT_COLS)
+          + " AS value FROM lc")
+def export_semicolon(spark, sf_dir):
+    daily = sources.read_daily(spark, tb.daily_table(spark, sf_dir))
+    path = table_path(spark, "runs", "export", tb.uuid_tag())
+    sinks.export_delimited(lc.lifecycle_rollup(daily, AS_OF, DELTA_START), path)
+    return spark.read.text(path)

@@ -198,3 +198,55 @@ def listing_messages(spark: SparkSession, sf_dir: str, zone: str = "UTC") -> Dat
         F.struct(F.lit(200).alias("statusCode"), wall_clock_to_epoch_ms("o_orderdate").alias("timestamp")).alias("pageData"),
     )
     return msg.select(F.col("o_orderkey").alias("message_id"), F.to_json(doc).alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# Written copies (date-partitioned tables in the shared folder)
+# ---------------------------------------------------------------------------
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    from adlife.session import shared_dir
+    return shared_dir(spark), sf_dir.rstrip("/"), name
+
+
+def written_table(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of table ``name`` derived from ``sf_dir``; written once per session."""
+    from adlife.session import table_path
+    key = _key(spark, sf_dir, name)
+    if key not in _WRITTEN:
+        tag = "sf" + sf_dir.rstrip("/").rsplit("/", 1)[-1].replace("sf", "").replace(".", "_")
+        path = table_path(spark, "testbed", tag, name)
+        build(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def raw_header_table(spark: SparkSession, sf_dir: str) -> str:
+    from adlife.sinks.tables import write_clustered
+    return written_table(spark, sf_dir, "acq_header",
+                         lambda p: write_clustered(raw_from_events(spark, sf_dir)[0], p))
+
+
+def raw_details_table(spark: SparkSession, sf_dir: str) -> str:
+    from adlife.sinks.tables import write_clustered
+    return written_table(spark, sf_dir, "acq_details",
+                         lambda p: write_clustered(raw_from_events(spark, sf_dir)[1], p))
+
+
+def daily_table(spark: SparkSession, sf_dir: str) -> str:
+    from adlife.operators.daily import build_daily
+    from adlife.sources.tables import read_raw_details, read_raw_headers
+
+    def build(path):
+        h = read_raw_headers(spark, raw_header_table(spark, sf_dir), with_seq=True)
+        d = read_raw_details(spark, raw_details_table(spark, sf_dir), with_seq=True)
+        build_daily(h, d).write.mode("overwrite").partitionBy("load_date").parquet(path)
+    return written_table(spark, sf_dir, "prop_daily", build)
+
+
+def uuid_tag() -> str:
+    import uuid
+    return uuid.uuid4().hex[:12]

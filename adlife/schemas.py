@@ -70,3 +70,8 @@ EXTRACTED_PAGE = _struct(
     ("information", S), ("title", S), ("location", S), ("price", S),
     ("year", S), ("km", S), ("deleted", B),
 )
+
+
+def extended(schema: T.StructType, *fields) -> T.StructType:
+    """A copy of ``schema`` with extra ``(name, type)`` fields (never mutates)."""
+    return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in fields])
