@@ -404,3 +404,149 @@ def export_semicolon(spark, sf_dir):
     path = table_path(spark, "runs", "export", tb.uuid_tag())
     sinks.export_delimited(lc.lifecycle_rollup(daily, AS_OF, DELTA_START), path)
     return spark.read.text(path)
+
+
+# ---------------------------------------------------------------------------
+# Scalar parsers and attribute functions on formatted text
+# ---------------------------------------------------------------------------
+
+@register("parse_numbers", """
+SELECT o_orderkey,
+       CAST(CASE WHEN o_orderstatus = 'P' THEN -1 ELSE o_orderkey END AS INTEGER) AS code,
+       CAST(CASE WHEN o_orderpriority = '5-LOW' THEN -1 ELSE floor(o_totalprice) END AS INTEGER) AS price,
+       CAST(o_custkey * 37 AS INTEGER) AS km,
+       CAST(CASE WHEN o_orderstatus = 'O' THEN -1 ELSE year(o_orderdate) END AS INTEGER) AS year,
+       o_totalprice AS total
+FROM orders""")
+def parse_numbers(spark, sf_dir):
+    t = tb.order_texts(tb.read_table(spark, sf_dir, "orders"))
+    return t.select("o_orderkey", parse.parse_code("url").alias("code"),
+                    parse.parse_price("price_text").alias("price"),
+                    parse.parse_km("km_text").alias("km"),
+                    parse.parse_year("year_text").alias("year"),
+                    parse.parse_double("total_text").alias("total"))
+
+
+@register("map_numeric_attributes", """
+SELECT p_partkey,
+       CASE WHEN p_type = 'SMALL' THEN -1.0 ELSE CAST(p_size AS DOUBLE) / 10.0 END AS sylindervolum,
+       CAST(CASE WHEN p_type = 'PROMO' THEN -1 ELSE p_size END AS INTEGER) AS effekt,
+       CAST(CASE WHEN p_brand = 'Brand#11' THEN 1 ELSE 1000 + p_size END AS INTEGER) AS vekt,
+       CAST(CASE WHEN p_brand = 'Brand#11' THEN -1 ELSE 1000 + p_size END AS INTEGER) AS vekt_strict,
+       CAST(CASE WHEN p_type = 'STANDARD' THEN -1 ELSE p_size END AS INTEGER) AS antall_eiere
+FROM part""")
+def map_numeric_attributes(spark, sf_dir):
+    p = tb.part_properties(tb.read_table(spark, sf_dir, "part"))
+    props = jsontext.json_map("properties")
+    return p.select("p_partkey", A.engine_volume(props).alias("sylindervolum"),
+                    A.power(props).alias("effekt"), A.weight(props).alias("vekt"),
+                    A.weight(props, legacy=False).alias("vekt_strict"),
+                    A.owners(props).alias("antall_eiere"))
+
+
+@register("map_text_attributes", """
+SELECT p_partkey,
+       CASE WHEN p_type = 'LARGE' THEN NULL WHEN p_size > 25 THEN 'Diesel' ELSE 'Bensin' END AS drivstoff,
+       p_size > 30 AS automatgir,
+       CASE WHEN p_type = 'MEDIUM' THEN NULL ELSE upper(p_type[1]) || lower(p_type[2:]) END AS farge,
+       p_retailprice >= 950 AS tilstandsrapport
+FROM part""")
+def map_text_attributes(spark, sf_dir):
+    p = tb.part_properties(tb.read_table(spark, sf_dir, "part"))
+    props = jsontext.json_map("properties")
+    return p.select("p_partkey", A.map_text(props, config.KEY_FUEL).alias("drivstoff"),
+                    A.map_equals(props, config.KEY_GEARBOX, config.VALUE_AUTOMATIC).alias("automatgir"),
+                    A.map_text(props, config.KEY_COLOUR).alias("farge"),
+                    A.map_has_key(props, config.KEY_CONDITION_REPORT).alias("tilstandsrapport"))
+
+
+@register("json_map_exclude", """
+SELECT event_id, 2 AS n_default, 1 AS n_excluded,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+FROM events""")
+def json_map_exclude(spark, sf_dir):
+    ev = tb.read_table(spark, sf_dir, "events")
+    text = F.concat(F.lit('{"Salgsform":"Bruktbil til salgs",'), F.substring("props", 2, 1 << 20))
+    kept = jsontext.json_map(text, ["Salgsform"])
+    return ev.select("event_id", F.size(jsontext.json_map(text)).alias("n_default"),
+                     F.size(kept).alias("n_excluded"),
+                     F.element_at(kept, "k").try_cast("int").alias("k"))
+
+
+_LINE_LABELS = """
+labels AS (
+  SELECT l_orderkey, CASE l_returnflag WHEN 'R' THEN 'Hengerfeste' WHEN 'A' THEN 'Tilhengarfeste'
+                          ELSE 'Aluminiumsfelger' END AS label FROM lineitem
+  UNION ALL
+  SELECT l_orderkey, CASE WHEN l_linestatus = 'O' THEN 'Cruisekontroll' ELSE 'Regnsensor' END FROM lineitem
+  UNION ALL
+  SELECT l_orderkey, CASE WHEN l_quantity >= 45 THEN 'Skinnseter' WHEN l_quantity >= 40 THEN 'Skinninteriør'
+                          WHEN l_quantity >= 30 THEN 'Delskinn' WHEN l_quantity < 3 THEN 'Xenon'
+                          WHEN l_quantity < 5 THEN 'Xenonlys' WHEN l_quantity < 7 THEN 'Navigasjonssystem'
+                          WHEN l_quantity < 9 THEN 'Sportsseter' WHEN l_quantity < 11 THEN 'Parkeringsensor foran'
+                          WHEN l_quantity < 12 THEN 'Parkeringsensor' END FROM lineitem)"""
+
+
+@register("json_set_exclude", "WITH " + _LINE_LABELS + """
+SELECT l_orderkey, CAST(count(DISTINCT label) FILTER (WHERE label <> 'Aluminiumsfelger') AS INTEGER) AS n_items,
+       coalesce(string_agg(DISTINCT label, '|' ORDER BY label) FILTER (WHERE label <> 'Aluminiumsfelger'), '') AS items
+FROM labels WHERE label IS NOT NULL GROUP BY l_orderkey""")
+def json_set_exclude(spark, sf_dir):
+    eq = tb.order_equipment(tb.read_table(spark, sf_dir, "lineitem"))
+    items = jsontext.json_set("equipment", ["Aluminiumsfelger"])
+    return eq.select("l_orderkey", F.size(items).alias("n_items"), render_set(items).alias("items"))
+
+
+@register("set_flags", "WITH " + _LINE_LABELS + """
+SELECT l_orderkey,
+       bool_or(label IN ('Hengerfeste', 'Tilhengarfeste', 'Tilhengerfeste')) AS hengerfeste,
+       bool_or(label = 'Regnsensor') AS regnsensor,
+       bool_or(label = 'Cruisekontroll') AS cruisekontroll,
+       bool_or(label = 'Xenon') AS xenon,
+       bool_or(label = 'Navigasjonssystem') AS navigasjon,
+       bool_or(label = 'Sportsseter') AS sportsseter,
+       bool_or(label IN ('Parkeringsensor', 'Parkeringsensor bak', 'Parkeringsensor foran')) AS parkeringsensor
+FROM labels WHERE label IS NOT NULL GROUP BY l_orderkey""")
+def set_flags(spark, sf_dir):
+    eq = tb.order_equipment(tb.read_table(spark, sf_dir, "lineitem"))
+    s = jsontext.json_set("equipment")
+    v = config.DEFAULT_VOCABULARY
+    return eq.select("l_orderkey",
+                     A.has_any_label(s, v.towbar).alias("hengerfeste"),
+                     A.has_label(s, v.rain_sensor).alias("regnsensor"),
+                     A.has_label(s, v.cruise_control).alias("cruisekontroll"),
+                     A.has_label(s, v.xenon).alias("xenon"),
+                     A.has_label(s, v.navigation).alias("navigasjon"),
+                     A.has_label(s, v.sport_seats).alias("sportsseter"),
+                     A.has_any_label(s, v.parking_sensor).alias("parkeringsensor"))
+
+
+@register("set_priority_class", "WITH " + _LINE_LABELS + """
+SELECT l_orderkey,
+       CASE WHEN bool_or(label IN ('Skinninteriør', 'Skinnseter')) THEN 'Skinnseter'
+            WHEN bool_or(label = 'Delskinn') THEN 'Delskinn' ELSE 'Tøyseter' END AS skinninterior
+FROM labels WHERE label IS NOT NULL GROUP BY l_orderkey""")
+def set_priority_class(spark, sf_dir):
+    eq = tb.order_equipment(tb.read_table(spark, sf_dir, "lineitem"))
+    return eq.select("l_orderkey", A.interior_class(jsontext.json_set("equipment")).alias("skinninterior"))
+
+
+@register("json_string_unquote", "SELECT doc_id, text FROM documents")
+def json_string_unquote(spark, sf_dir):
+    docs = tb.read_table(spark, sf_dir, "documents")
+    quoted = jsontext.quote_json_string("text")
+    return docs.select("doc_id", jsontext.json_string(quoted).alias("text"))
+
+
+MARKER_PHRASES = ("License", "password", "@")
+
+
+@register("text_contains_any", """
+SELECT doc_id,
+       (contains(text, 'servicehefte') OR contains(text, 'Servicehefte') OR contains(text, 'service hefte')) AS servicehefte,
+       (contains(text, 'License') OR contains(text, 'password') OR contains(text, '@')) AS has_marker
+FROM documents""")
+def text_contains_any(spark, sf_dir):
+    docs = tb.read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", A.contains_any("text", config.SERVICE_BOOK_PHRASES).alias("servicehefte"),
+                       A.contains_any("text", MARKER_PHRASES).alias("has_marker"))

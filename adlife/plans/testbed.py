@@ -250,3 +250,70 @@ def daily_table(spark: SparkSession, sf_dir: str) -> str:
 def uuid_tag() -> str:
     import uuid
     return uuid.uuid4().hex[:12]
+
+
+# ---------------------------------------------------------------------------
+# Text formatted from orders / part / lineitem / documents
+# ---------------------------------------------------------------------------
+
+def order_texts(orders: DataFrame) -> DataFrame:
+    """Listing-like text per order: url with ad code, price, km and year text."""
+    key = F.col("o_orderkey").cast("string")
+    code = (F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("X"), F.lpad(key, 7, "0")))
+             .otherwise(F.lpad(key, 8, "0")))
+    price = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("Ring for pris"))
+              .otherwise(F.concat(group_digits(F.floor("o_totalprice")), F.lit(",-"))))
+    year = F.year("o_orderdate").cast("string")
+    year = (F.when(F.col("o_orderstatus") == "O", F.lit("ny"))
+             .otherwise(F.concat(F.lit('"'), year, F.lit('"'))))
+    return orders.select(
+        "o_orderkey",
+        F.concat(F.lit(URL_PREFIX), code).alias("url"),
+        price.alias("price_text"),
+        F.concat(group_digits(F.col("o_custkey") * 37), F.lit(" km")).alias("km_text"),
+        year.alias("year_text"),
+        F.col("o_totalprice").cast("string").alias("total_text"),
+    )
+
+
+def part_properties(part: DataFrame) -> DataFrame:
+    """A property map per part, some keys left out by part attributes."""
+    size, ptype, brand = F.col("p_size"), F.col("p_type"), F.col("p_brand")
+    tenth = (size / 10).cast("int")
+    entries = F.map_from_arrays(
+        F.array(*[F.lit(x) for x in ("Sylindervolum", "Effekt", "Vekt", "Antall eiere", "Drivstoff",
+                                     "Girkasse", "Farge", "Tilstandsrapport")]),
+        F.array(
+            F.when(ptype != "SMALL", F.concat(tenth.cast("string"), F.lit(","),
+                                              (size - tenth * 10).cast("string"), F.lit(" l"))),
+            F.when(ptype == "PROMO", F.concat(F.lit("ca. "), size.cast("string"), F.lit(" Hk")))
+             .otherwise(F.concat(size.cast("string"), F.lit(" Hk"))),
+            F.when(brand != "Brand#11", F.concat(F.lit("1" + NBSP), F.lpad(size.cast("string"), 3, "0"), F.lit(" kg"))),
+            F.when(ptype != "STANDARD", size.cast("string")),
+            F.when(ptype != "LARGE", F.when(size > 25, F.lit("Diesel")).otherwise(F.lit("Bensin"))),
+            F.when(size > 30, F.lit("Automat")).otherwise(F.lit("Manuell")),
+            F.when(ptype != "MEDIUM", F.initcap(ptype)),
+            F.when(F.col("p_retailprice") >= 950, F.lit("Ja")),
+        ))
+    return part.select("p_partkey", F.to_json(F.map_filter(entries, lambda _, v: v.isNotNull())).alias("properties"))
+
+
+def line_labels(lines: DataFrame) -> DataFrame:
+    """Equipment-like labels of one order line (1-3 labels)."""
+    q = F.col("l_quantity")
+    flag = (F.when(F.col("l_returnflag") == "R", F.lit("Hengerfeste"))
+             .when(F.col("l_returnflag") == "A", F.lit("Tilhengarfeste"))
+             .otherwise(F.lit("Aluminiumsfelger")))
+    status = F.when(F.col("l_linestatus") == "O", F.lit("Cruisekontroll")).otherwise(F.lit("Regnsensor"))
+    by_qty = (F.when(q >= 45, F.lit("Skinnseter")).when(q >= 40, F.lit("Skinninteriør"))
+               .when(q >= 30, F.lit("Delskinn")).when(q < 3, F.lit("Xenon")).when(q < 5, F.lit("Xenonlys"))
+               .when(q < 7, F.lit("Navigasjonssystem")).when(q < 9, F.lit("Sportsseter"))
+               .when(q < 11, F.lit("Parkeringsensor foran")).when(q < 12, F.lit("Parkeringsensor")))
+    return lines.select("l_orderkey", F.filter(F.array(flag, status, by_qty), lambda x: x.isNotNull()).alias("labels"))
+
+
+def order_equipment(lines: DataFrame) -> DataFrame:
+    """One JSON label array per order (orders hold a bounded number of lines)."""
+    per_line = line_labels(lines)
+    return (per_line.groupBy("l_orderkey")
+                    .agg(F.to_json(F.flatten(F.collect_list("labels"))).alias("equipment")))
