@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from adlife import config
 from adlife.functions.parse import _col
 
-_MISSING = F.lit(str(config.NULL_INT))
+
+def _missing() -> Column:
+    return F.lit(str(config.NULL_INT))
 
 
 def _value_or_missing(props, key: str) -> Column:
-    return F.coalesce(F.try_element_at(_col(props), F.lit(key)), _MISSING)
+    return F.coalesce(F.try_element_at(_col(props), F.lit(key)), _missing())
 
 
 def map_text(props, key: str) -> Column:
@@ -54,7 +56,7 @@ def weight(props, key: str = config.KEY_WEIGHT, legacy: bool = True) -> Column:
     ``-1`` loses the minus sign to the digit filter. ``legacy=False`` gives -1.
     """
     raw = map_text(props, key)
-    digits = F.regexp_replace(F.coalesce(raw, _MISSING), r"\D", "")
+    digits = F.regexp_replace(F.coalesce(raw, _missing()), r"\D", "")
     parsed = F.coalesce(digits.try_cast("int"), F.lit(config.NULL_INT))
     if legacy:
         return parsed

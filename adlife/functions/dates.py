@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from adlife import config
 from adlife.functions.parse import _col
 
-_EPOCH_NTZ = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+
+def _epoch_ntz() -> Column:
+    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
 
 
 def days_between(start, end) -> Column:
@@ -30,14 +32,14 @@ def dates_between(start, end) -> Column:
 
 def epoch_ms_to_local_date(ms, zone: str = "UTC") -> Column:
     """Epoch milliseconds -> ISO date on the wall clock of ``zone``."""
-    utc_wall = F.timestamp_add("MILLISECOND", _col(ms), _EPOCH_NTZ)
+    utc_wall = F.timestamp_add("MILLISECOND", _col(ms), _epoch_ntz())
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall)
     return F.date_format(local, "yyyy-MM-dd")
 
 
 def wall_clock_to_epoch_ms(ts) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) -> epoch milliseconds."""
-    return F.timestamp_diff("MILLISECOND", _EPOCH_NTZ, _col(ts))
+    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), _col(ts))
 
 
 def iso_shift(day: str, days: int) -> str:

@@ -550,3 +550,128 @@ def text_contains_any(spark, sf_dir):
     docs = tb.read_table(spark, sf_dir, "documents")
     return docs.select("doc_id", A.contains_any("text", config.SERVICE_BOOK_PHRASES).alias("servicehefte"),
                        A.contains_any("text", MARKER_PHRASES).alias("has_marker"))
+
+
+# ---------------------------------------------------------------------------
+# Listing pages and ad pages
+# ---------------------------------------------------------------------------
+
+from adlife.operators import pages as page_ops  # noqa: E402
+
+# Selectors for the driver's pages table (the ad-page defaults find nothing there).
+PAGE_SELECTORS = {"properties": "nav ul", "equipment": "nav ul", "information": "div.ad",
+                  "title": "h1", "location": "head title"}
+
+
+def render_map(m) -> Column:
+    entries = F.array_sort(F.map_entries(m))
+    return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+
+
+def _dec(x: str) -> str:
+    return (f"regexp_replace(trim(replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), "
+            f"'&middot;', '·'), '&amp;', '&')), '\\s+', ' ', 'g')")
+
+
+_EXTRACTED = """
+ex AS (
+  SELECT page_id, url,
+         """ + _dec("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)") + """ AS title,
+         """ + _dec("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)") + """ AS location,
+         """ + _dec("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)") + """ AS information,
+         list_transform(regexp_extract_all(html, '(?s)<li><a href=\"[^\"]*\">(.*?)</a></li>', 1),
+                        lambda x: """ + _dec("x") + """) AS lis
+  FROM pages),
+pairs AS (
+  SELECT page_id, lis[i] AS k, coalesce(lis[i + 1], '') AS v, i
+  FROM (SELECT page_id, lis, unnest(generate_series(1, len(lis), 2)) AS i FROM ex) t),
+props AS (
+  SELECT page_id, string_agg(k || '=' || v, '|' ORDER BY k) AS properties
+  FROM (SELECT page_id, k, arg_max(v, i) AS v FROM pairs GROUP BY page_id, k) t GROUP BY page_id),
+exd AS (
+  SELECT ex.page_id, ex.url, ex.title, ex.location, ex.information,
+         array_to_string(ex.lis, '|') AS equipment, CAST(len(ex.lis) AS INTEGER) AS n_equipment,
+         coalesce(props.properties, '') AS properties
+  FROM ex LEFT JOIN props ON props.page_id = ex.page_id)"""
+
+
+@register("page_extract", "WITH " + _EXTRACTED + """
+SELECT page_id, url, title, location, information, equipment, n_equipment, properties,
+       'MissingValue' AS price, 'MissingValue' AS year, 'MissingValue' AS km, false AS deleted
+FROM exd""")
+def page_extract(spark, sf_dir):
+    pages = tb.read_table(spark, sf_dir, "pages")
+    ex = page_ops.extract_pages(pages, PAGE_SELECTORS, keep=("page_id",))
+    return ex.select("page_id", "url", "title", "location", "information",
+                     F.array_join("equipment", "|").alias("equipment"),
+                     F.size("equipment").alias("n_equipment"),
+                     render_map("properties").alias("properties"),
+                     "price", "year", "km", "deleted")
+
+
+_HREFS = """
+hrefs AS (
+  SELECT DISTINCT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
+         p.page_id
+  FROM lineitem l LEFT JOIN pages p ON p.page_id = l.l_partkey)"""
+
+
+def _listing_headers(spark, sf_dir):
+    msgs = tb.listing_messages(spark, sf_dir)
+    return page_ops.explode_listing(msgs)
+
+
+@register("page_extract_deleted", "WITH " + _EXTRACTED + "," + _HREFS + """
+SELECT h.url, h.page_id IS NULL AS deleted,
+       CASE WHEN h.page_id IS NULL THEN 'NULL' ELSE e.title END AS title,
+       CASE WHEN h.page_id IS NULL THEN 'NULL' ELSE e.information END AS information,
+       CASE WHEN h.page_id IS NULL THEN 'NULL' ELSE e.equipment END AS equipment,
+       CASE WHEN h.page_id IS NULL THEN 'NULL=NULL' ELSE e.properties END AS properties
+FROM hrefs h LEFT JOIN exd e ON e.page_id = h.page_id""")
+def page_extract_deleted(spark, sf_dir):
+    urls = _listing_headers(spark, sf_dir).select("url").distinct()
+    pages = tb.read_table(spark, sf_dir, "pages").select("url", "html")
+    ex = page_ops.extract_pages(urls.join(pages, "url", "left"), PAGE_SELECTORS)
+    return ex.select("url", "deleted", "title", "information",
+                     F.array_join("equipment", "|").alias("equipment"),
+                     render_map("properties").alias("properties"))
+
+
+@register("page_details_join", "WITH " + _EXTRACTED + """
+SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS load_date, epoch_us(o.o_orderdate) // 1000 AS load_time,
+       p.page_id IS NULL AS deleted,
+       CASE WHEN p.page_id IS NULL THEN 'NULL' ELSE e.information END AS information,
+       CASE WHEN p.page_id IS NULL THEN 'NULL' ELSE e.equipment END AS equipment
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN pages p ON p.page_id = l.l_partkey
+LEFT JOIN exd e ON e.page_id = p.page_id""")
+def page_details_join(spark, sf_dir):
+    headers = _listing_headers(spark, sf_dir)
+    pages = tb.read_table(spark, sf_dir, "pages")
+    details = page_ops.details_from_listing(headers, pages, PAGE_SELECTORS)
+    return details.select("url", "load_date", "load_time", "deleted",
+                          jsontext.json_string("information").alias("information"),
+                          F.array_join(F.from_json("equipment", "array<string>"), "|").alias("equipment"))
+
+
+@register("explode_listing_page", """
+SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS load_date, epoch_us(o.o_orderdate) // 1000 AS load_time,
+       'Ad ' || CAST(10000000 + l.l_orderkey * 8 + l.l_linenumber AS VARCHAR) AS title,
+       'Area ' || CAST(l.l_suppkey AS VARCHAR) AS location,
+       CAST(year(l.l_shipdate) AS INTEGER) AS year,
+       CAST(CASE WHEN l.l_returnflag = 'R' THEN -1 ELSE CAST(l.l_quantity AS INTEGER) * 1000 END AS INTEGER) AS km,
+       l.l_returnflag = 'R' AS km_missing,
+       CAST(floor(l.l_extendedprice) AS INTEGER) AS price
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN pages p ON p.page_id = l.l_partkey""")
+def explode_listing_page(spark, sf_dir):
+    path = table_path(spark, "runs", "listing_messages", tb.uuid_tag())
+    tb.listing_messages(spark, sf_dir).select("value").write.mode("overwrite").text(path)
+    docs = file_sources.read_json_documents(spark, path, "struct<x:string>", whole_text=False)
+    headers = page_ops.explode_listing(docs)
+    return headers.select("url", "load_date", "load_time", "title", "location",
+                          parse.parse_year("year").alias("year"), parse.parse_km("km").alias("km"),
+                          (F.col("km") == config.NULL_TEXT).alias("km_missing"),
+                          parse.parse_price("price").alias("price"))
