@@ -639,7 +639,8 @@ def page_extract_deleted(spark, sf_dir):
 
 @register("page_details_join", "WITH " + _EXTRACTED + """
 SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
-       strftime(o.o_orderdate, '%Y-%m-%d') AS load_date, epoch_us(o.o_orderdate) // 1000 AS load_time,
+       strftime(TIMESTAMP '2024-01-01' + o.o_orderkey * INTERVAL 10 SECOND, '%Y-%m-%d') AS load_date,
+       1704067200000 + o.o_orderkey * 10000 AS load_time,
        p.page_id IS NULL AS deleted,
        CASE WHEN p.page_id IS NULL THEN 'NULL' ELSE e.information END AS information,
        CASE WHEN p.page_id IS NULL THEN 'NULL' ELSE e.equipment END AS equipment
@@ -657,7 +658,8 @@ def page_details_join(spark, sf_dir):
 
 @register("explode_listing_page", """
 SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
-       strftime(o.o_orderdate, '%Y-%m-%d') AS load_date, epoch_us(o.o_orderdate) // 1000 AS load_time,
+       strftime(TIMESTAMP '2024-01-01' + o.o_orderkey * INTERVAL 10 SECOND, '%Y-%m-%d') AS load_date,
+       1704067200000 + o.o_orderkey * 10000 AS load_time,
        'Ad ' || CAST(10000000 + l.l_orderkey * 8 + l.l_linenumber AS VARCHAR) AS title,
        'Area ' || CAST(l.l_suppkey AS VARCHAR) AS location,
        CAST(year(l.l_shipdate) AS INTEGER) AS year,
@@ -675,3 +677,42 @@ def explode_listing_page(spark, sf_dir):
                           parse.parse_year("year").alias("year"), parse.parse_km("km").alias("km"),
                           (F.col("km") == config.NULL_TEXT).alias("km_missing"),
                           parse.parse_price("price").alias("price"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming ingest
+# ---------------------------------------------------------------------------
+
+from adlife.streaming import ingest as stream_ops  # noqa: E402
+
+
+@register("stream_ingest", """
+WITH ads AS (
+  SELECT strftime(TIMESTAMP '2024-01-01' + o.o_orderkey * INTERVAL 10 SECOND, '%Y-%m-%d') AS load_date,
+         1704067200000 + o.o_orderkey * 10000 AS load_time,
+         coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
+         p.page_id IS NULL AS gone
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  LEFT JOIN pages p ON p.page_id = l.l_partkey),
+keys AS (SELECT DISTINCT load_date, url, load_time, gone FROM ads)
+SELECT load_date, count(*) AS n_headers, count(*) AS n_details, count(*) FILTER (WHERE gone) AS n_deleted
+FROM keys GROUP BY load_date""")
+def stream_ingest(spark, sf_dir):
+    run = table_path(spark, "runs", "stream", tb.uuid_tag())
+    source = f"{run}/source"
+    (tb.listing_messages(spark, sf_dir).repartitionByRange(4, "message_id")
+       .select("value").write.text(source))
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(source)
+    pages = tb.read_table(spark, sf_dir, "pages")
+    q = stream_ops.start_ingest(messages, f"{run}/acq_header", f"{run}/acq_details", f"{run}/_checkpoint",
+                                pages=pages, selectors=PAGE_SELECTORS, available_now=True)
+    q.awaitTermination()
+    h = sources.read_raw_headers(spark, f"{run}/acq_header")
+    d = sources.read_raw_details(spark, f"{run}/acq_details")
+    hc = h.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_headers"))
+    dc = d.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_details"),
+                                    F.count_if("deleted").alias("n_deleted"))
+    return hc.join(dc, "load_date", "full").select(
+        "load_date", F.coalesce("n_headers", F.lit(0)).alias("n_headers"),
+        F.coalesce("n_details", F.lit(0)).alias("n_details"),
+        F.coalesce("n_deleted", F.lit(0)).alias("n_deleted"))

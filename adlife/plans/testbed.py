@@ -165,12 +165,17 @@ def ad_code(orderkey: Column, linenumber: Column) -> Column:
     return (F.lit(10_000_000) + orderkey * 8 + linenumber).cast("string")
 
 
+CRAWL_START_MS = 1_704_067_200_000   # 2024-01-01 00:00 UTC
+CRAWL_STEP_MS = 10_000                # one search-result page fetched every 10 s
+
+
 def listing_messages(spark: SparkSession, sf_dir: str, zone: str = "UTC") -> DataFrame:
     """One JSON search-result page per order (column ``value``), one ad per line.
 
-    Pages hold at most seven ads (lines per order), so the grouping that
-    nests them is bounded. The ``km`` element is left out for returned lines
-    (``l_returnflag = 'R'``) to exercise the missing-element default.
+    Pages hold the lines of one order (a bounded group), and are fetched in
+    order-key order, one every ``CRAWL_STEP_MS``. The ``km`` element is left
+    out for returned lines (``l_returnflag = 'R'``) to exercise the
+    missing-element default.
     """
     orders = read_table(spark, sf_dir, "orders")
     lines = read_table(spark, sf_dir, "lineitem")
@@ -190,12 +195,13 @@ def listing_messages(spark: SparkSession, sf_dir: str, zone: str = "UTC") -> Dat
                             F.array(F.struct(F.concat(group_digits(F.floor("l_extendedprice").cast("long")), F.lit(",-")).alias("text"))).alias("price"),
                         ).alias("ad")))
     grouped = ads.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "ad"))).alias("ads"))
-    msg = grouped.join(orders.select("o_orderkey", "o_orderdate"), grouped.l_orderkey == orders.o_orderkey)
+    msg = grouped.join(orders.select("o_orderkey"), grouped.l_orderkey == orders.o_orderkey)
+    crawl_ms = F.lit(CRAWL_START_MS) + F.col("o_orderkey") * F.lit(CRAWL_STEP_MS)
     doc = F.struct(
         F.struct(F.concat(F.lit("https://ads.example/search?page="), F.col("o_orderkey").cast("string")).alias("url"),
                  F.col("o_orderkey").cast("string").alias("resourceId"),
                  F.array(F.struct(F.transform("ads", lambda a: a["ad"]).alias("group"))).alias("data")).alias("extractorData"),
-        F.struct(F.lit(200).alias("statusCode"), wall_clock_to_epoch_ms("o_orderdate").alias("timestamp")).alias("pageData"),
+        F.struct(F.lit(200).alias("statusCode"), crawl_ms.cast("long").alias("timestamp")).alias("pageData"),
     )
     return msg.select(F.col("o_orderkey").alias("message_id"), F.to_json(doc).alias("value"))
 

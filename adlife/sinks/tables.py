@@ -29,6 +29,16 @@ def _has_data(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and len(fs.listStatus(p)) > 0
 
 
+def rebalanced(df: DataFrame, partition_by: str) -> DataFrame:
+    """Shuffle rows by the partition column before a partitioned write.
+
+    AQE sizes the result: small partitions are merged and a hot partition
+    value is split over several tasks, so each directory gets a few
+    well-sized files instead of one file per task per value.
+    """
+    return df.hint("rebalance", partition_by)
+
+
 def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
                  partition_by: str = "load_date") -> None:
     """Append ``new`` rows whose key is not yet in the table at ``path``.
@@ -42,7 +52,7 @@ def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[
         stored = spark.read.schema(new.schema).parquet(path)
         touched = stored.join(batch.select(partition_by).distinct(), partition_by, "left_semi")
         batch = batch.join(touched.select(*keys), keys, "left_anti")
-    batch.write.mode("append").partitionBy(partition_by).parquet(path)
+    rebalanced(batch, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
@@ -61,7 +71,7 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
         merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
     staging = table_path(spark, "_staging", uuid.uuid4().hex)
     merged.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
-    (spark.read.schema(new.schema).parquet(staging)
+    (rebalanced(spark.read.schema(new.schema).parquet(staging), partition_by)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(partition_by).parquet(path))
 
