@@ -87,12 +87,15 @@ def build_daily(headers: DataFrame, details: DataFrame, history: DataFrame | Non
     """Typed daily rows (schema :data:`adlife.schemas.DAILY`) for the given raw slices.
 
     ``history`` is the full raw header table used for sold-price look-back
-    (default: ``headers``).
+    (default: ``headers``). The price of a header depends only on its own
+    (url, load_time) and the history, so it is computed on the raw slice
+    (cheap scans on both sides of the as-of) before the newest header of
+    each day is picked; the plan stays one linear chain of shuffles.
     """
-    joined = latest_header_details(headers, details)
-    priced = with_last_known_price(joined, history if history is not None else headers,
+    priced = with_last_known_price(headers, history if history is not None else headers,
                                    marker=marker, until_date=until_date, bucket_ms=bucket_ms)
-    return priced.select(*typed_columns(marker=marker))
+    joined = latest_header_details(priced, details)
+    return joined.select(*typed_columns(marker=marker))
 
 
 def merge_header_details(headers: DataFrame, details: DataFrame, history: DataFrame | None = None,

@@ -702,7 +702,7 @@ def stream_ingest(spark, sf_dir):
     source = f"{run}/source"
     (tb.listing_messages(spark, sf_dir).repartitionByRange(4, "message_id")
        .select("value").write.text(source))
-    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(source)
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).text(source)
     pages = tb.read_table(spark, sf_dir, "pages")
     q = stream_ops.start_ingest(messages, f"{run}/acq_header", f"{run}/acq_details", f"{run}/_checkpoint",
                                 pages=pages, selectors=PAGE_SELECTORS, available_now=True)

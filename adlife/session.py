@@ -23,6 +23,8 @@ def local_session(cpus: int | str | None = None, shuffle_partitions: int | None
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               # local runs shuffle little data: keep several tasks per stage
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", os.environ.get("ADLIFE_DRIVER_MEMORY", "16g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))

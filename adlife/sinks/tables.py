@@ -64,11 +64,12 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
     """
     keys = list(keys)
     new = new.dropDuplicates(keys)
-    merged = new
-    if _has_data(spark, path):
-        stored = spark.read.schema(new.schema).parquet(path)
-        touched = stored.join(new.select(partition_by).distinct(), partition_by, "left_semi")
-        merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    if not _has_data(spark, path):        # first load: nothing to merge with
+        rebalanced(new, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        return
+    stored = spark.read.schema(new.schema).parquet(path)
+    touched = stored.join(new.select(partition_by).distinct(), partition_by, "left_semi")
+    merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
     staging = table_path(spark, "_staging", uuid.uuid4().hex)
     merged.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
     (rebalanced(spark.read.schema(new.schema).parquet(staging), partition_by)
