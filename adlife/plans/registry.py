@@ -716,3 +716,27 @@ def stream_ingest(spark, sf_dir):
         "load_date", F.coalesce("n_headers", F.lit(0)).alias("n_headers"),
         F.coalesce("n_details", F.lit(0)).alias("n_details"),
         F.coalesce("n_deleted", F.lit(0)).alias("n_deleted"))
+
+
+# ---------------------------------------------------------------------------
+# The incremental daily job, end to end
+# ---------------------------------------------------------------------------
+
+from adlife.plans import batch as batch_plan  # noqa: E402
+
+BATCH_DAYS = ("2024-01-20", "2024-01-25", "2024-01-30")
+
+
+@register("daily_batch", "WITH " + O.DAILY + ",\nr1 AS (" + O.lifecycle_select("2024-01-20", "2016-07-01")
+          + "),\nr2 AS (" + O.lifecycle_select("2024-01-25", "2024-01-20")
+          + "),\nr3 AS (" + O.lifecycle_select("2024-01-30", "2024-01-25") + """)
+SELECT * FROM r3
+UNION ALL SELECT * FROM r2 WHERE url NOT IN (SELECT url FROM r3)
+UNION ALL SELECT * FROM r1 WHERE url NOT IN (SELECT url FROM r3) AND url NOT IN (SELECT url FROM r2)""")
+def daily_batch(spark, sf_dir):
+    run = table_path(spark, "runs", "daily_batch", tb.uuid_tag())
+    tables = batch_plan.Tables(tb.raw_header_table(spark, sf_dir), tb.raw_details_table(spark, sf_dir),
+                               f"{run}/prop_daily", f"{run}/lifecycle")
+    for today in BATCH_DAYS:
+        batch_plan.run_daily_batch(spark, tables, today, with_seq=True)
+    return batch_plan.read_lifecycle(spark, tables.lifecycle)
