@@ -47,7 +47,7 @@ def render_set(a) -> Column:
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers, details = tb.raw_from_events(spark, sf_dir)
+    headers, details = tb.stored_raw(spark, sf_dir)
     return daily_ops.build_daily(headers, details)
 
 
@@ -67,7 +67,7 @@ SELECT 'header' AS layer, load_date, url, load_time, event_id AS seq FROM h_last
 UNION ALL
 SELECT 'details' AS layer, load_date, url, load_time, event_id AS seq FROM d_last""")
 def latest_per_day(spark, sf_dir):
-    headers, details = tb.raw_from_events(spark, sf_dir)
+    headers, details = tb.stored_raw(spark, sf_dir)
     h = records.latest_per_key(headers, ("load_date", "url"))
     d = records.latest_per_key(details, ("load_date", "url"))
     cols = ["load_date", "url", "load_time", "seq"]
@@ -80,7 +80,7 @@ SELECT url, arg_min(load_date, (load_time, event_id)) AS load_date,
        min(load_time) AS load_time, arg_min(event_id, (load_time, event_id)) AS seq
 FROM hdr GROUP BY url""")
 def first_record(spark, sf_dir):
-    headers, _ = tb.raw_from_events(spark, sf_dir)
+    headers, _ = tb.stored_raw(spark, sf_dir)
     return records.first_record(headers, "url").select("url", "load_date", "load_time", "seq")
 
 
@@ -89,7 +89,7 @@ SELECT url, arg_max(load_date, (load_time, event_id)) AS load_date,
        max(load_time) AS load_time, arg_max(event_id, (load_time, event_id)) AS seq
 FROM hdr GROUP BY url""")
 def last_record(spark, sf_dir):
-    headers, _ = tb.raw_from_events(spark, sf_dir)
+    headers, _ = tb.stored_raw(spark, sf_dir)
     return records.last_record(headers, "url").select("url", "load_date", "load_time", "seq")
 
 
@@ -98,7 +98,7 @@ SELECT url, arg_min(load_date, (load_time, event_id)) AS load_date,
        min(load_time) AS load_time, arg_min(event_id, (load_time, event_id)) AS seq
 FROM hdr WHERE event_type = 'purchase' GROUP BY url""")
 def first_matching_record(spark, sf_dir):
-    headers, _ = tb.raw_from_events(spark, sf_dir)
+    headers, _ = tb.stored_raw(spark, sf_dir)
     sold = parse.is_sold("price")
     return records.first_record(headers, "url", where=sold).select("url", "load_date", "load_time", "seq")
 
@@ -112,7 +112,7 @@ SELECT h.load_date, h.url, h.load_time, h.event_id AS header_seq, d.event_id AS
        d.event_type = 'error' AS deleted
 FROM h_last h JOIN d_last d ON d.url = h.url AND d.load_date = h.load_date""")
 def header_details_join(spark, sf_dir):
-    headers, details = tb.raw_from_events(spark, sf_dir)
+    headers, details = tb.stored_raw(spark, sf_dir)
     h = records.latest_per_key(headers, ("load_date", "url")).withColumnRenamed("seq", "header_seq")
     d = (records.latest_per_key(details, ("load_date", "url"))
                 .select("load_date", "url", F.col("seq").alias("details_seq"), "deleted"))
@@ -123,7 +123,7 @@ def header_details_join(spark, sf_dir):
 @register("last_known_price", "WITH " + O.EV + """
 SELECT event_id AS seq, url, load_time, price FROM hdr_priced""")
 def last_known_price(spark, sf_dir):
-    headers, _ = tb.raw_from_events(spark, sf_dir)
+    headers, _ = tb.stored_raw(spark, sf_dir)
     priced = daily_ops.with_last_known_price(headers, headers)
     return priced.select("seq", "url", "load_time", F.col("price_value").alias("price"))
 
@@ -145,7 +145,7 @@ SELECT h.event_id AS seq, h.url, h.load_date, CAST(10000000 + h.user_id AS INTEG
        h.event_type = 'purchase' AS sold, d.event_id IS NULL AS deleted, h.load_time
 FROM hdr_priced h LEFT JOIN m ON m.hid = h.event_id LEFT JOIN det d ON d.event_id = m.did""")
 def asof_details(spark, sf_dir):
-    headers, details = tb.raw_from_events(spark, sf_dir)
+    headers, details = tb.stored_raw(spark, sf_dir)
     merged = daily_ops.merge_header_details(headers, details, keep=("seq",))
     return merged.select("seq", "url", "load_date", "finnkode", "year", "km", "price",
                          render_keys("properties").alias("property_keys"),
@@ -211,7 +211,7 @@ def delta_semi_join(spark, sf_dir):
 @register("sold_flag", "WITH " + O.EV + """
 SELECT event_id AS seq, event_type = 'purchase' AS sold FROM hdr""")
 def sold_flag(spark, sf_dir):
-    headers, _ = tb.raw_from_events(spark, sf_dir)
+    headers, _ = tb.stored_raw(spark, sf_dir)
     return headers.select("seq", parse.is_sold("price").alias("sold"))
 
 
@@ -219,7 +219,7 @@ def sold_flag(spark, sf_dir):
 SELECT e.event_id AS seq, strftime(x.ts + INTERVAL 1 HOUR, '%Y-%m-%d') AS local_date
 FROM hdr e JOIN events x ON x.event_id = e.event_id""")
 def epoch_to_load_date(spark, sf_dir):
-    headers, _ = tb.raw_from_events(spark, sf_dir)
+    headers, _ = tb.stored_raw(spark, sf_dir)
     return headers.select("seq", dates.epoch_ms_to_local_date("load_time", "Europe/Oslo").alias("local_date"))
 
 
@@ -617,7 +617,7 @@ hrefs AS (
 
 
 def _listing_headers(spark, sf_dir):
-    msgs = tb.listing_messages(spark, sf_dir)
+    msgs = spark.read.text(tb.listing_message_files(spark, sf_dir))
     return page_ops.explode_listing(msgs)
 
 
@@ -669,8 +669,7 @@ SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHA
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN pages p ON p.page_id = l.l_partkey""")
 def explode_listing_page(spark, sf_dir):
-    path = table_path(spark, "runs", "listing_messages", tb.uuid_tag())
-    tb.listing_messages(spark, sf_dir).select("value").write.mode("overwrite").text(path)
+    path = tb.listing_message_files(spark, sf_dir)
     docs = file_sources.read_json_documents(spark, path, "struct<x:string>", whole_text=False)
     headers = page_ops.explode_listing(docs)
     return headers.select("url", "load_date", "load_time", "title", "location",
@@ -699,10 +698,8 @@ SELECT load_date, count(*) AS n_headers, count(*) AS n_details, count(*) FILTER
 FROM keys GROUP BY load_date""")
 def stream_ingest(spark, sf_dir):
     run = table_path(spark, "runs", "stream", tb.uuid_tag())
-    source = f"{run}/source"
-    (tb.listing_messages(spark, sf_dir).repartitionByRange(4, "message_id")
-       .select("value").write.text(source))
-    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).text(source)
+    source = tb.listing_message_files(spark, sf_dir)
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 4).text(source)
     pages = tb.read_table(spark, sf_dir, "pages")
     q = stream_ops.start_ingest(messages, f"{run}/acq_header", f"{run}/acq_details", f"{run}/_checkpoint",
                                 pages=pages, selectors=PAGE_SELECTORS, available_now=True)

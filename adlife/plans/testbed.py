@@ -356,3 +356,21 @@ def order_equipment(lines: DataFrame) -> DataFrame:
     per_line = line_labels(lines)
     return (per_line.groupBy("l_orderkey")
                     .agg(F.to_json(F.flatten(F.collect_list("labels"))).alias("equipment")))
+
+
+def listing_message_files(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+    """Listing-page messages written as JSON-lines text files, in fetch order.
+
+    Plays the role of the message log: several files, range-partitioned by
+    message id so earlier files hold earlier pages.
+    """
+    return written_table(spark, sf_dir, "listing_messages",
+                         lambda p: listing_messages(spark, sf_dir).repartitionByRange(files, "message_id")
+                                   .select("value").write.mode("overwrite").text(p))
+
+
+def stored_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The raw header / details tables as stored (date-partitioned, with ``seq``)."""
+    from adlife.sources.tables import read_raw_details, read_raw_headers
+    return (read_raw_headers(spark, raw_header_table(spark, sf_dir), with_seq=True),
+            read_raw_details(spark, raw_details_table(spark, sf_dir), with_seq=True))

@@ -97,7 +97,7 @@ def export_delimited(df: DataFrame, path: str, sep: str = ";", null_text: str =
 def write_clustered(df: DataFrame, path: str, partition_by: str = "load_date",
                     cluster: Sequence[str] = ("url",), newest_first: str = "load_time") -> None:
     """Partitioned write, each file sorted by ``cluster`` then ``newest_first`` descending."""
-    (df.sortWithinPartitions(partition_by, *cluster, F.desc(newest_first))
+    (rebalanced(df, partition_by).sortWithinPartitions(partition_by, *cluster, F.desc(newest_first))
        .write.mode("overwrite").partitionBy(partition_by).parquet(path))
 
 
