@@ -12,7 +12,8 @@ from adlife.functions.parse import _col
 
 
 def _epoch_ntz() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    # a SQL literal: independent of the Python process and session time zones
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def days_between(start, end) -> Column:
