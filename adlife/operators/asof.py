@@ -5,11 +5,12 @@ PySpark has no as-of join, and a plain ``Window.partitionBy(key)`` sends a hot
 key's whole history to one task. This operator splits each key's timeline
 into buckets (default one day) and works in two levels:
 
-1. *bucket level* — per (key, bucket) the newest build row (a ``groupBy`` that
-   combines map-side), then per key a running "last non-null" over buckets
-   gives, for every probe bucket, the newest build row of all *earlier*
-   buckets. This frame has at most one row per (key, bucket), so a key that
-   holds a third of the data still contributes only a few hundred rows.
+1. *bucket level* — one ``groupBy(key, bucket)`` (combined map-side) keeps
+   the newest build row and whether any probe falls in the bucket; per key a
+   running "last non-null" over the *earlier* buckets gives every probe
+   bucket its carried-in match. That frame has at most one row per
+   (key, bucket), so a key holding a third of the data still contributes
+   only a few hundred rows.
 2. *row level* — probes, build rows and the carried-in row of step 1 are
    unioned and ordered inside ``(key, bucket)`` windows; a running
    ``last(..., ignorenulls=True)`` picks the match.
@@ -69,15 +70,15 @@ def asof_lookup(
         bucket = F.floor(F.col("__t") / F.lit(bucket_ms)).cast("long")
         p = p.withColumn("__b", bucket)
         b = b.withColumn("__b", bucket)
-        newest_in_bucket = (b.groupBy(*keys, "__b")
-                             .agg(F.max_by("__v", F.struct("__t", "__tb")).alias("__v"))
-                             .withColumn("__o", F.lit(1)))
-        probe_buckets = p.select(*keys, "__b").distinct().withColumn("__o", F.lit(0))
-        earlier = Window.partitionBy(*keys).orderBy("__b", "__o").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        carried = (probe_buckets.unionByName(newest_in_bucket, allowMissingColumns=True)
-                   .withColumn("__c", F.last("__v", ignorenulls=True).over(earlier))
-                   .where((F.col("__o") == 0) & F.col("__c").isNotNull())
+        # one grouped pass: per (key, bucket) the newest build value and whether probes fall in it
+        per_bucket = (p.unionByName(b, allowMissingColumns=True)
+                       .groupBy(*keys, "__b")
+                       .agg(F.max_by("__v", F.when(F.col("__side") == build_side,
+                                                   F.struct("__t", "__tb"))).alias("__v"),
+                            F.max(F.col("__side") == probe_side).alias("__has_probe")))
+        earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        carried = (per_bucket.withColumn("__c", F.last("__v", ignorenulls=True).over(earlier))
+                   .where(F.col("__has_probe") & F.col("__c").isNotNull())
                    .select(*keys, "__b",
                            (F.col("__b") * F.lit(bucket_ms) - F.lit(1)).alias("__t"),
                            F.col("__c").alias("__v"),
