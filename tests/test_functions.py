@@ -114,3 +114,14 @@ def test_epoch_to_local_date_is_zone_aware(spark):
     r = df.select(dates.epoch_ms_to_local_date("ms", "UTC").alias("utc"),
                   dates.epoch_ms_to_local_date("ms", "Europe/Oslo").alias("oslo")).first()
     assert (r.utc, r.oslo) == ("2016-07-04", "2016-07-05")
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.dates(min_value=dt.date(2000, 1, 1), max_value=dt.date(2030, 1, 1)),
+       st.integers(min_value=-30, max_value=400))
+def test_date_functions_match_python(spark, start, span):
+    end = start + dt.timedelta(days=span)
+    df = spark.createDataFrame([(start.isoformat(), end.isoformat())], "a string, b string")
+    r = df.select(dates.dates_between("a", "b").alias("ds"), dates.days_between("a", "b").alias("n")).first()
+    expect = [(start + dt.timedelta(days=i)).isoformat() for i in range(span + 1)]
+    assert r.ds == expect and r.n == span

@@ -117,3 +117,22 @@ def test_lifecycle_only_delta_urls_and_window(spark):
     short = lc.lifecycle_rollup(daily, "2016-07-18", "2016-07-18", window_days=1).collect()
     volvo = [r for r in short if r.finnkode == 79021972][0]
     assert volvo.load_date_first == "2016-07-18"
+
+
+def _daily_rows(spark, rows):
+    from adlife import schemas
+    full = [(u, d, 1, "t", "l", 2000, 1, price, {"Effekt": "1 Hk"}, ["x"], "i", sold, deleted, t)
+            for u, d, t, price, sold, deleted in rows]
+    return spark.createDataFrame(full, schemas.DAILY)
+
+
+def test_quirks_price_delta_and_sold_date(spark):
+    daily = _daily_rows(spark, [
+        ("u", "2024-01-01", 1, -1, False, False),      # unparsable first price
+        ("u", "2024-01-02", 2, 500, True, False),      # sold ...
+        ("u", "2024-01-03", 3, 400, False, True),      # ... relisted unsold, then deleted
+    ])
+    r = lc.lifecycle_rollup(daily, "2024-01-03", "2024-01-03").first()
+    assert (r.price_first, r.price_last, r.price_delta) == (-1, 400, 401)          # Q7: computed anyway
+    assert (r.sold, r.sold_date, r.lead_time_sold) == (False, "2024-01-02", 1)     # Q8: first sale kept
+    assert (r.deleted, r.deleted_date, r.lead_time_deleted) == (True, "2024-01-03", 2)
