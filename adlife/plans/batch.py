@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from adlife import config, schemas
 from adlife.operators.daily import build_daily
 from adlife.operators.lifecycle import lifecycle_rollup
-from adlife.sinks.tables import _has_data, upsert, with_key_bucket
+from adlife.sinks.tables import stored_table, upsert, with_key_bucket
 from adlife.sources import tables as src
 
 
@@ -48,8 +48,8 @@ def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
                     first_load: str = config.FIRST_LOAD_DATE,
                     with_seq: bool = False) -> str:
     """Run the job for ``today``; returns the first date of the delta."""
-    if _has_data(spark, tables.daily):
-        stored = src.read_daily(spark, tables.daily)
+    stored = stored_table(spark, tables.daily, schemas.DAILY)
+    if stored is not None:
         start = src.latest_load_date(stored, today, margin_days, first_load).first()[0]
     else:
         start = first_load

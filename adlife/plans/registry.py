@@ -699,7 +699,7 @@ FROM keys GROUP BY load_date""")
 def stream_ingest(spark, sf_dir):
     run = table_path(spark, "runs", "stream", tb.uuid_tag())
     source = tb.listing_message_files(spark, sf_dir)
-    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 4).text(source)
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 8).text(source)
     pages = tb.read_table(spark, sf_dir, "pages")
     q = stream_ops.start_ingest(messages, f"{run}/acq_header", f"{run}/acq_details", f"{run}/_checkpoint",
                                 pages=pages, selectors=PAGE_SELECTORS, available_now=True)

@@ -358,7 +358,7 @@ def order_equipment(lines: DataFrame) -> DataFrame:
                     .agg(F.to_json(F.flatten(F.collect_list("labels"))).alias("equipment")))
 
 
-def listing_message_files(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+def listing_message_files(spark: SparkSession, sf_dir: str, files: int = 16) -> str:
     """Listing-page messages written as JSON-lines text files, in fetch order.
 
     Plays the role of the message log: several files, range-partitioned by

@@ -18,15 +18,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from adlife.session import table_path
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
+def stored_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path`` read with ``schema``, or None when nothing is stored yet."""
+    try:
+        df = spark.read.schema(schema).parquet(path)
+        df.inputFiles()          # resolves the listing; raises when the path is missing
+        return df
+    except AnalysisException:
+        return None
 
 
 def rebalanced(df: DataFrame, partition_by: str) -> DataFrame:
@@ -48,8 +52,8 @@ def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[
     """
     keys = list(keys)
     batch = new.dropDuplicates(keys)
-    if _has_data(spark, path):
-        stored = spark.read.schema(new.schema).parquet(path)
+    stored = stored_table(spark, path, new.schema)
+    if stored is not None:
         touched = stored.join(batch.select(partition_by).distinct(), partition_by, "left_semi")
         batch = batch.join(touched.select(*keys), keys, "left_anti")
     rebalanced(batch, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
@@ -64,10 +68,10 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
     """
     keys = list(keys)
     new = new.dropDuplicates(keys)
-    if not _has_data(spark, path):        # first load: nothing to merge with
+    stored = stored_table(spark, path, new.schema)
+    if stored is None:                    # first load: nothing to merge with
         rebalanced(new, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
         return
-    stored = spark.read.schema(new.schema).parquet(path)
     touched = stored.join(new.select(partition_by).distinct(), partition_by, "left_semi")
     merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
     staging = table_path(spark, "_staging", uuid.uuid4().hex)
