@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from adlife import config
 from adlife.functions import jsontext, parse
 from adlife.operators.asof import asof_lookup
-from adlife.operators.records import latest_per_key, order_columns
+from adlife.operators.records import last_record, latest_per_key, order_columns
 
 DETAIL_VALUES = ("properties", "equipment", "information", "deleted")
 
@@ -28,7 +28,7 @@ def _tiebreak(df: DataFrame) -> str | None:
 
 def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str = "price",
                           out_col: str = "price_value", marker: str = config.SOLD_MARKER,
-                          until_date: str | None = None,
+                          until_date: str | None = None, recent_from: str | None = None,
                           bucket_ms: int | None = config.DEFAULT_ASOF_BUCKET_MS) -> DataFrame:
     """Add ``out_col`` (int) to ``rows`` (columns url, load_time, ``price_col``).
 
@@ -36,6 +36,13 @@ def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str
     the same url with ``load_time <=`` its own whose price is not the sold
     marker, and parses that; none found or unparsable -> -1. The newest unsold
     row is chosen before parsing, so an unparsable one is not skipped.
+
+    With ``recent_from`` (ISO date), sold rows dated on or after it look up
+    the history partitions from that date on plus, per url, only the newest
+    unsold row of the older partitions (one ``groupBy(url)``, combined
+    map-side): no older row can beat that one for such a probe, so the result
+    is exact while a daily run shuffles recent history only. Sold rows dated
+    before ``recent_from`` use the whole history.
     """
     sold = parse.is_sold(F.col(price_col), marker)
     unsold_rows = rows.where(~sold).withColumn(out_col, parse.parse_price(price_col))
@@ -43,13 +50,25 @@ def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str
     candidates = history.where(~parse.is_sold(F.col("price"), marker))
     if until_date is not None:
         candidates = candidates.where(F.col("load_date") <= F.lit(until_date))
-    candidates = candidates.join(sold_rows.select("url").distinct(), "url", "left_semi")
-    looked_up = asof_lookup(sold_rows, candidates, "url", "load_time", "load_time",
-                            {"__prev_price": "price"}, build_tiebreak=_tiebreak(candidates),
-                            bucket_ms=bucket_ms)
-    looked_up = (looked_up.withColumn(out_col, parse.parse_price("__prev_price"))
-                          .drop("__prev_price"))
-    return unsold_rows.unionByName(looked_up)
+    tiebreak = _tiebreak(candidates)
+
+    def look_up(probes: DataFrame, cands: DataFrame) -> DataFrame:
+        cands = cands.join(probes.select("url").distinct(), "url", "left_semi")
+        found = asof_lookup(probes, cands, "url", "load_time", "load_time", {"__prev_price": "price"},
+                            build_tiebreak=tiebreak, bucket_ms=bucket_ms)
+        return found.withColumn(out_col, parse.parse_price("__prev_price")).drop("__prev_price")
+
+    if recent_from is None:
+        return unsold_rows.unionByName(look_up(sold_rows, candidates))
+    recent = F.col("load_date") >= F.lit(recent_from)
+    late, early = sold_rows.where(recent), sold_rows.where(~recent)
+    keep = ["url", "load_date", "load_time", "price"] + ([tiebreak] if tiebreak else [])
+    older_newest = last_record(
+        candidates.where(~recent).select(*keep).join(late.select("url").distinct(), "url", "left_semi"),
+        "url", order=["load_time"] + ([tiebreak] if tiebreak else []))
+    build = candidates.where(recent).select(*keep).unionByName(older_newest.select(*keep))
+    return (unsold_rows.unionByName(look_up(late, build))
+                       .unionByName(look_up(early, candidates)))
 
 
 def typed_columns(price: str = "price_value", marker: str = config.SOLD_MARKER,
@@ -83,6 +102,7 @@ def latest_header_details(headers: DataFrame, details: DataFrame) -> DataFrame:
 
 def build_daily(headers: DataFrame, details: DataFrame, history: DataFrame | None = None, *,
                 marker: str = config.SOLD_MARKER, until_date: str | None = None,
+                recent_from: str | None = None,
                 bucket_ms: int | None = config.DEFAULT_ASOF_BUCKET_MS) -> DataFrame:
     """Typed daily rows (schema :data:`adlife.schemas.DAILY`) for the given raw slices.
 
@@ -93,7 +113,8 @@ def build_daily(headers: DataFrame, details: DataFrame, history: DataFrame | Non
     each day is picked; the plan stays one linear chain of shuffles.
     """
     priced = with_last_known_price(headers, history if history is not None else headers,
-                                   marker=marker, until_date=until_date, bucket_ms=bucket_ms)
+                                   marker=marker, until_date=until_date, recent_from=recent_from,
+                                   bucket_ms=bucket_ms)
     joined = latest_header_details(priced, details)
     return joined.select(*typed_columns(marker=marker))
 

@@ -7,7 +7,8 @@ One run, for a given ``today`` (a parameter, never the clock inside a plan):
 2. the delta is every date from that one (inclusive, so a partly loaded
    day is reloaded) to ``today``: a partition-pruned scan of both raw tables;
 3. build the typed daily rows for the delta (sold prices looked up over the
-   raw header history up to ``today``) and upsert them on (load_date, url);
+   raw header history up to ``today``: recent partitions first, older ones
+   only for listings not resolved there) and upsert them on (load_date, url);
 4. roll the daily window (``today`` - 365 days) up to lifecycle rows for the
    urls seen in the delta and upsert them on url.
 
@@ -22,6 +23,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from adlife import config, schemas
+from adlife.functions.dates import iso_shift
 from adlife.operators.daily import build_daily
 from adlife.operators.lifecycle import lifecycle_rollup
 from adlife.sinks.tables import stored_table, upsert, with_key_bucket
@@ -56,8 +58,11 @@ def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
     headers = src.read_raw_headers(spark, tables.raw_headers, with_seq=with_seq)
     details = src.read_raw_details(spark, tables.raw_details, with_seq=with_seq)
     in_delta = F.col("load_date").between(start, today)
+    # sold prices: look back over the delta and the safety margin first, older history only
+    # for the listings not resolved there (exact either way)
     daily_delta = build_daily(headers.where(in_delta), details.where(in_delta),
-                              history=headers.where(F.col("load_date") <= today))
+                              history=headers.where(F.col("load_date") <= today),
+                              recent_from=iso_shift(start, -margin_days))
     upsert(spark, daily_delta, tables.daily, ["load_date", "url"])
     daily = src.read_daily(spark, tables.daily)
     rolled = lifecycle_rollup(daily, today, start, window_days=window_days)

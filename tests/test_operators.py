@@ -136,3 +136,20 @@ def test_quirks_price_delta_and_sold_date(spark):
     assert (r.price_first, r.price_last, r.price_delta) == (-1, 400, 401)          # Q7: computed anyway
     assert (r.sold, r.sold_date, r.lead_time_sold) == (False, "2024-01-02", 1)     # Q8: first sale kept
     assert (r.deleted, r.deleted_date, r.lead_time_deleted) == (True, "2024-01-03", 2)
+
+
+def test_two_phase_price_lookup_equals_whole_history(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(300):
+        url = f"u{rnd.randint(0, 12)}"
+        t = rnd.randint(0, 20 * 86_400_000)
+        day = f"2024-01-{1 + t // 86_400_000:02d}"
+        price = rnd.choice(["Solgt", "Solgt", "1 000,-", "2 500,-", "ukjent"])
+        rows.append((url, day, t, "t", "l", "2000", "1 km", price, i))
+    df = spark.createDataFrame(rows, "url string, load_date string, load_time long, title string, "
+                                     "location string, year string, km string, price string, seq long")
+    whole = {(r.seq, r.price_value) for r in D.with_last_known_price(df, df).collect()}
+    for cut in ("2024-01-05", "2024-01-15", "2024-01-21"):
+        split = {(r.seq, r.price_value) for r in D.with_last_known_price(df, df, recent_from=cut).collect()}
+        assert split == whole, cut
