@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from adlife import config, schemas
 from adlife.functions.dates import epoch_ms_to_local_date
 from adlife.functions.jsontext import quote_json_string
+from adlife.session import ship_package
 
 HEADER_FIELDS = ("location", "title", "year", "km", "price")
 
@@ -94,6 +95,7 @@ def extract_pages(pages: DataFrame, selectors: Mapping[str, str] | None = None,
                 rows.append(row)
             yield pd.DataFrame(rows, columns=names)
 
+    ship_package(pages.sparkSession)
     src = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"), *keep)
     return src.mapInPandas(run, schema)
 

@@ -50,3 +50,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 def table_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "adlife", *parts])
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``adlife`` importable in the Python workers (once per application).
+
+    The package is zipped on the driver and distributed with ``addPyFile``,
+    the same mechanism as ``--py-files``; executors on any host receive it.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, archive = tempfile.mkstemp(prefix="adlife-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
