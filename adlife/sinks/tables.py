@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 
 from adlife.session import table_path
 
@@ -72,10 +73,16 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
     if stored is None:                    # first load: nothing to merge with
         rebalanced(new, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
         return
-    touched = stored.join(new.select(partition_by).distinct(), partition_by, "left_semi")
-    merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
-    staging = table_path(spark, "_staging", uuid.uuid4().hex)
-    merged.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
+    # the new rows feed three branches (touched dates, replaced keys, the rows
+    # themselves); keep them for the one write instead of computing them thrice
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = stored.join(new.select(partition_by).distinct(), partition_by, "left_semi")
+        merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
+        staging = table_path(spark, "_staging", uuid.uuid4().hex)
+        merged.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
+    finally:
+        new.unpersist()
     (rebalanced(spark.read.schema(new.schema).parquet(staging), partition_by)
           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(partition_by).parquet(path))
