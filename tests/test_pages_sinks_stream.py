@@ -132,3 +132,19 @@ def test_stream_ingest_equals_batch_and_replays_idempotently(spark, workdir):
     I.ingest_batch(spark, spark.read.text(src), f"{workdir}/h", f"{workdir}/d", pages)
     assert T.read_raw_headers(spark, f"{workdir}/h").count() == 12
     assert T.read_raw_details(spark, f"{workdir}/d").count() == 12
+
+
+def test_daily_job_is_incremental_and_idempotent(spark, workdir):
+    from adlife.plans import batch as B
+    from adlife.plans import testbed as tb
+    sf = "/root/testdata/sf0.001"
+    tables = B.Tables(tb.raw_header_table(spark, sf), tb.raw_details_table(spark, sf),
+                      f"{workdir}/daily", f"{workdir}/lifecycle")
+    assert B.run_daily_batch(spark, tables, "2024-01-20", with_seq=True) == "2016-07-01"   # first load
+    assert B.run_daily_batch(spark, tables, "2024-01-25", with_seq=True) == "2024-01-20"   # reloads last day
+    snap = sorted(map(tuple, B.read_lifecycle(spark, tables.lifecycle).collect()))
+    daily_n = T.read_daily(spark, tables.daily).count()
+    assert B.run_daily_batch(spark, tables, "2024-01-25", with_seq=True) == "2024-01-25"   # rerun
+    assert sorted(map(tuple, B.read_lifecycle(spark, tables.lifecycle).collect())) == snap
+    assert T.read_daily(spark, tables.daily).count() == daily_n
+    assert T.read_daily(spark, tables.daily).agg(F.max("load_date")).first()[0] == "2024-01-25"
