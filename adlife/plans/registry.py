@@ -466,7 +466,7 @@ SELECT event_id, 2 AS n_default, 1 AS n_excluded,
 FROM events""")
 def json_map_exclude(spark, sf_dir):
     ev = tb.read_table(spark, sf_dir, "events")
-    text = F.concat(F.lit('{"Salgsform":"Bruktbil til salgs",'), F.substring("props", 2, 1 << 20))
+    text = F.concat(F.lit('{"Salgsform":"Bruktbil til salgs",'), F.regexp_replace("props", r"^\s*\{", ""))
     kept = jsontext.json_map(text, ["Salgsform"])
     return ev.select("event_id", F.size(jsontext.json_map(text)).alias("n_default"),
                      F.size(kept).alias("n_excluded"),
