@@ -3,9 +3,10 @@
 * :func:`append_keyed` — raw snapshots: rows whose key is already stored are
   dropped, so re-delivering a micro-batch is a no-op.
 * :func:`upsert` — replace rows by key inside the touched partitions only
-  (dynamic partition overwrite). The merged rows are first written to a
-  staging table in the shared folder, which cuts the lineage to the files
-  that are about to be replaced and survives executor loss.
+  (dynamic partition overwrite). The merged rows are first written to the
+  table's staging location in the shared folder, which cuts the lineage to
+  the files that are about to be replaced and survives executor loss. Upserts
+  to one table must not run concurrently.
 * :func:`export_delimited` — ``;``-joined text lines, ``null`` for nulls.
 * :func:`write_clustered` — partitioned by date, each file sorted by
   ``url`` then newest first (the raw tables' clustering order).
@@ -13,7 +14,7 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +80,8 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
     try:
         touched = stored.join(new.select(partition_by).distinct(), partition_by, "left_semi")
         merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
-        staging = table_path(spark, "_staging", uuid.uuid4().hex)
+        # one staging location per target table, overwritten by each upsert
+        staging = table_path(spark, "_staging", hashlib.sha1(path.encode()).hexdigest()[:16])
         merged.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
     finally:
         new.unpersist()
