@@ -569,8 +569,12 @@ def render_map(m) -> Column:
 
 
 def _dec(x: str) -> str:
-    return (f"regexp_replace(trim(replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), "
-            f"'&middot;', '·'), '&amp;', '&')), '\\s+', ' ', 'g')")
+    # HTML entity decoding as an HTML5 parser does it for the entities in the pages:
+    # legacy names also without ';', and '&amp' last so '&amp;quot;' stays '&quot;'
+    for ent, ch in (("quot", '"'), ("copy", "©"), ("middot", "·")):
+        x = f"replace(replace({x}, '&{ent};', '{ch}'), '&{ent}', '{ch}')"
+    x = f"replace(replace({x}, '&amp;', '&'), '&amp', '&')"
+    return f"regexp_replace(trim({x}), '\\s+', ' ', 'g')"
 
 
 _EXTRACTED = """
