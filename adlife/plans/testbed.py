@@ -257,7 +257,8 @@ def written_table(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     key = _key(spark, sf_dir, name)
     if key not in _WRITTEN:
         tag = "sf" + sf_dir.rstrip("/").rsplit("/", 1)[-1].replace("sf", "").replace(".", "_")
-        path = table_path(spark, "testbed", tag, name)
+        # per application: concurrent jobs on the same inputs never share files
+        path = table_path(spark, "testbed", spark.sparkContext.applicationId, tag, name)
         build(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
