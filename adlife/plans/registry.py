@@ -652,7 +652,8 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN pages p ON p.page_id = l.l_partkey
 LEFT JOIN exd e ON e.page_id = p.page_id""")
 def page_details_join(spark, sf_dir):
-    headers = _listing_headers(spark, sf_dir)
+    # details are derived from the stored header snapshots, as in the ingest
+    headers = sources.read_raw_headers(spark, tb.listing_header_table(spark, sf_dir))
     pages = tb.read_table(spark, sf_dir, "pages")
     details = page_ops.details_from_listing(headers, pages, PAGE_SELECTORS)
     return details.select("url", "load_date", "load_time", "deleted",

@@ -375,3 +375,12 @@ def stored_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     from adlife.sources.tables import read_raw_details, read_raw_headers
     return (read_raw_headers(spark, raw_header_table(spark, sf_dir), with_seq=True),
             read_raw_details(spark, raw_details_table(spark, sf_dir), with_seq=True))
+
+
+def listing_header_table(spark: SparkSession, sf_dir: str) -> str:
+    """Header snapshots exploded from the listing messages, stored by load date."""
+    from adlife.operators.pages import explode_listing
+    from adlife.sinks.tables import write_clustered
+    return written_table(spark, sf_dir, "listing_headers",
+                         lambda p: write_clustered(explode_listing(
+                             spark.read.text(listing_message_files(spark, sf_dir))), p))
