@@ -48,4 +48,5 @@ def quote_json_string(text) -> Column:
     """Text -> JSON string literal (the inverse of :func:`json_string`)."""
     text = _col(text)
     wrapped = F.to_json(F.struct(text.alias("v")))
-    return F.when(text.isNotNull(), F.regexp_extract(wrapped, r'^\{"v":(.*)\}$', 1))
+    # (?s): JSON leaves U+0085 / U+2028 unescaped, and they end a line for `.`
+    return F.when(text.isNotNull(), F.regexp_extract(wrapped, r'(?s)^\{"v":(.*)\}$', 1))

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -73,6 +73,9 @@ def test_json_string(spark):
 
 @settings(max_examples=20, deadline=None)
 @given(st.text(max_size=40))
+@example("\x85")
+@example("a\u2028b")
+@example('17" \\ felger')
 def test_quote_unquote_identity(spark, s):
     assert one(spark, lambda c: jsontext.json_string(jsontext.quote_json_string(c)), s) == s
 
