@@ -63,8 +63,10 @@ def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
     daily_delta = build_daily(headers.where(in_delta), details.where(in_delta),
                               history=headers.where(F.col("load_date") <= today),
                               recent_from=iso_shift(start, -margin_days))
-    upsert(spark, daily_delta, tables.daily, ["load_date", "url"])
+    # one row per (load_date, url) and per url by construction: no de-dup shuffle
+    upsert(spark, daily_delta, tables.daily, ["load_date", "url"], unique_keys=True)
     daily = src.read_daily(spark, tables.daily)
     rolled = lifecycle_rollup(daily, today, start, window_days=window_days)
-    upsert(spark, with_key_bucket(rolled), tables.lifecycle, ["url"], partition_by="key_bucket")
+    upsert(spark, with_key_bucket(rolled), tables.lifecycle, ["url"], partition_by="key_bucket",
+           unique_keys=True)
     return start

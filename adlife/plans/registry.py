@@ -371,10 +371,10 @@ def upsert_daily(spark, sf_dir):
     path = table_path(spark, "runs", "upsert_daily", tb.uuid_tag())
     early = F.col("load_time") < F.lit(UPSERT_CUT_MS)
     base = daily_ops.build_daily(h.where(early), d.where(early), history=h.where(early))
-    sinks.upsert(spark, base, path, ["load_date", "url"])
+    sinks.upsert(spark, base, path, ["load_date", "url"], unique_keys=True)
     reload = F.col("load_date") >= F.lit(UPSERT_RELOAD_FROM)
     update = daily_ops.build_daily(h.where(reload), d.where(reload), history=h)
-    sinks.upsert(spark, update, path, ["load_date", "url"])
+    sinks.upsert(spark, update, path, ["load_date", "url"], unique_keys=True)
     return _daily_out(sources.read_daily(spark, path))
 
 
@@ -386,7 +386,7 @@ def upsert_lifecycle(spark, sf_dir):
     path = table_path(spark, "runs", "upsert_lifecycle", tb.uuid_tag())
     for as_of, delta in (("2024-01-20", "2024-01-18"), (AS_OF, DELTA_START)):
         rows = sinks.with_key_bucket(lc.lifecycle_rollup(daily, as_of, delta))
-        sinks.upsert(spark, rows, path, ["url"], partition_by="key_bucket")
+        sinks.upsert(spark, rows, path, ["url"], partition_by="key_bucket", unique_keys=True)
     from adlife import schemas
     from pyspark.sql import types as T
     back = spark.read.schema(schemas.extended(schemas.LIFECYCLE, ("key_bucket", T.IntegerType()))).parquet(path)

@@ -62,14 +62,17 @@ def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-           partition_by: str = "load_date") -> None:
+           partition_by: str = "load_date", unique_keys: bool = False) -> None:
     """Insert or replace ``new`` rows by ``keys`` in the table at ``path``.
 
     Only partitions present in ``new`` are rewritten; inside them, stored
-    rows whose key is not in ``new`` are kept.
+    rows whose key is not in ``new`` are kept. ``unique_keys`` states that
+    ``new`` already holds one row per key (e.g. it was grouped by them), which
+    saves the de-duplication shuffle.
     """
     keys = list(keys)
-    new = new.dropDuplicates(keys)
+    if not unique_keys:
+        new = new.dropDuplicates(keys)
     stored = stored_table(spark, path, new.schema)
     if stored is None:                    # first load: nothing to merge with
         rebalanced(new, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
