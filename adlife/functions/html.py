@@ -212,6 +212,7 @@ def select(elements: list[Node], selector: str) -> list[Node]:
     return [n for n in elements if test(n)]
 
 
-def select_first(elements: list[Node], selector: str) -> Node | None:
-    test = compile_selector(selector)
+def select_first(elements: list[Node], selector) -> Node | None:
+    """First element (document order) matching ``selector`` (text or compiled)."""
+    test = compile_selector(selector) if isinstance(selector, str) else selector
     return next((n for n in elements if test(n)), None)

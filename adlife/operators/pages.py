@@ -49,7 +49,8 @@ def explode_listing(messages: DataFrame, zone: str = "UTC", value_col: str = "va
     )
 
 
-def _extract_one(url: str, html, selectors: Mapping[str, str]) -> dict:
+def _extract_one(url: str, html, selectors: Mapping) -> dict:
+    """One page -> extracted fields; ``selectors`` map field -> selector (text or compiled)."""
     from adlife.functions import html as H
 
     if html is None:
@@ -86,10 +87,12 @@ def extract_pages(pages: DataFrame, selectors: Mapping[str, str] | None = None,
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from adlife.functions import html as H
+        compiled = {k: H.compile_selector(v) for k, v in sel.items()}   # once per task
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
-                row = _extract_one(rec.url, rec.html if isinstance(rec.html, str) else None, sel)
+                row = _extract_one(rec.url, rec.html if isinstance(rec.html, str) else None, compiled)
                 for i, c in enumerate(keep):
                     row[c] = rec[2 + i]
                 rows.append(row)
