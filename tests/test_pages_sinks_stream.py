@@ -148,3 +148,27 @@ def test_daily_job_is_incremental_and_idempotent(spark, workdir):
     assert sorted(map(tuple, B.read_lifecycle(spark, tables.lifecycle).collect())) == snap
     assert T.read_daily(spark, tables.daily).count() == daily_n
     assert T.read_daily(spark, tables.daily).agg(F.max("load_date")).first()[0] == "2024-01-25"
+
+
+def test_selector_engine_more_combinators():
+    page = ('<div id="main"><h2>a</h2><p class="x y">one</p><span>s</span><p data-k="v">two</p>'
+            '<ul><li>1</li><li>2<li>3</ul></div><p>outside</p>')
+    nodes = H.parse(page)
+    assert [n.text() for n in H.select(nodes, "h2 ~ p")] == ["one", "two"]
+    assert [n.text() for n in H.select(nodes, "#main > p")] == ["one", "two"]
+    assert [n.text() for n in H.select(nodes, "p.x.y")] == ["one"]
+    assert [n.text() for n in H.select(nodes, 'p[data-k="v"]')] == ["two"]
+    assert [n.text() for n in H.select(nodes, "p[data-k]")] == ["two"]
+    assert [n.text() for n in H.select(nodes, "li:nth-child(3)")] == ["3"]      # implied </li>
+    assert [n.text() for n in H.select(nodes, "ul li:first-child")] == ["1"]
+    assert [n.text() for n in H.select(nodes, "div p, body > p")] == ["one", "two"]
+    assert H.select_first(nodes, "table td") is None
+
+
+def test_union_slices_keep_duplicates_and_sample_is_ordered(spark):
+    df = spark.createDataFrame([("d1", "a", 3), ("d1", "b", 1), ("d2", "c", 2)],
+                               "load_date string, url string, load_time long")
+    assert T.union_slices(df, ["d1", "d2", "d1"]).count() == 5            # bag union, no dedupe
+    assert T.scan_dates(df, ["d1", "d2", "d1"]).count() == 3              # one pruned scan
+    assert [tuple(r) for r in T.sample(df, ["load_time"], 2, ["url", "load_time"]).collect()] == \
+        [("b", 1), ("c", 2)]
