@@ -37,8 +37,11 @@ def main():
     by_key = headers.groupBy("url").count().agg(F.max("count")).first()[0]
     bucket = F.floor(F.col("load_time") / config.DEFAULT_ASOF_BUCKET_MS)
     by_bucket = headers.groupBy("url", bucket).count().agg(F.max("count")).first()[0]
+    from adlife.operators.asof import suggest_bucket_ms
     out = {"rows": total, "hot_key_rows": by_key, "largest_group_per_key": by_key,
-           "largest_group_per_key_and_day": by_bucket}
+           "largest_group_per_key_and_day": by_bucket,
+           "suggested_bucket_ms_for_1000_rows": suggest_bucket_ms(headers, "url", "load_time",
+                                                                  target_rows=1000)}
     results = {}
     for label, width in (("two_level_day_buckets", config.DEFAULT_ASOF_BUCKET_MS), ("single_level", None)):
         df = with_last_known_price(headers, headers, bucket_ms=width).select("seq", "price_value")
