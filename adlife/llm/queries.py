@@ -30,7 +30,7 @@ def _rules_sql() -> str:
 OP1_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 win AS (SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
         FROM w, unnest(generate_series(1, len(w) - 2)) AS g(i)),
 rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM win) WHERE n > 1),
@@ -40,7 +40,7 @@ c AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
              CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(l) AS BIGINT) AS n_lines,
              CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
-             CAST(len(list_filter(w, x -> list_contains({_sql_list(STOP_WORDS)}, lower(x)))) AS BIGINT) AS n_stop_words,
+             CAST(len(list_filter(w, lambda x: list_contains({_sql_list(STOP_WORDS)}, lower(x)))) AS BIGINT) AS n_stop_words,
              CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
       FROM w LEFT JOIN cov USING (r)),
 f AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, {_rules_sql()} AS failed_rules FROM c)
