@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from adlife.llm import common
+from adlife.llm import licenses
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -11,6 +12,10 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules_query(common.documents(spark, sf_dir))
 
 
+def op5_license_scan(spark, sf_dir):
+    return licenses.license_scan_query(common.documents(spark, sf_dir))
+
+
 def _sql_list(items) -> str:
     return "[" + ", ".join("'" + str(x).replace("'", "''") + "'" for x in items) + "]"
 
@@ -48,10 +53,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (NOT base_failed AND failed_rules = '') AS kept, failed_rules FROM f
 """
 
+def _op5_sql() -> str:
+    """Brute force: every line against every template, and every word position against every phrase."""
+    templates = ", ".join(
+        f"('{label}', {_sql_list(words)}, {licenses.need(len(words), licenses.THRESHOLD)})"
+        for label, words in ((label, licenses.word_set(t)) for label, t in licenses.TEMPLATES))
+    phrases = ", ".join(f"('{label}', {_sql_list(p.split())})" for p, label in licenses.BASE_PHRASES)
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '{word}') AS w FROM d),
+ph(label, p) AS (VALUES {phrases}),
+pl AS (SELECT r, label, i - 1 AS pos FROM w, unnest(generate_series(1, len(w))) AS g(i), ph
+       WHERE w[i:i + len(p) - 1] = p),
+tm(label, tokens, need) AS (VALUES {templates}),
+b AS (SELECT r, list_distinct(regexp_extract_all(line, '{word}')) AS held
+      FROM d, unnest(string_split(t, chr(10))) AS l(line)),
+m AS (SELECT r, label, len(list_intersect(tokens, held)) AS overlap, len(tokens) AS size FROM b, tm
+      WHERE len(list_intersect(tokens, held)) >= need),
+a AS (SELECT r, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(label) AS labels FROM pl GROUP BY r),
+s AS (SELECT r, list(label) AS labels, max(CAST(overlap AS DOUBLE) / size) AS best FROM m GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
+       CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
+       array_to_string(list_sort(list_distinct(coalesce(a.labels, []))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(a.labels, []), coalesce(s.labels, [])))), ',') AS labels,
+       coalesce(best, 0.0) AS score
+FROM w LEFT JOIN a USING (r) LEFT JOIN s USING (r)
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_license_scan": op5_license_scan,
 }
 
 ORACLE = {
     "op1_quality_rules": OP1_SQL,
+    "op5_license_scan": _op5_sql(),
 }
