@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from adlife.llm import common
-from adlife.llm import licenses
+from adlife.llm import licenses, rule_ensemble
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -16,6 +16,10 @@ def op5_license_scan(spark, sf_dir):
     return licenses.license_scan_query(common.documents(spark, sf_dir))
 
 
+def op8_quality_classifier(spark, sf_dir):
+    return rule_ensemble.quality_classifier_query(common.documents(spark, sf_dir), common.table(spark, sf_dir, "labels"))
+
+
 def _sql_list(items) -> str:
     return "[" + ", ".join("'" + str(x).replace("'", "''") + "'" for x in items) + "]"
 
@@ -86,6 +90,7 @@ FROM w LEFT JOIN a USING (r) LEFT JOIN s USING (r)
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op5_license_scan": op5_license_scan,
+    "op8_quality_classifier": op8_quality_classifier,
 }
 
 ORACLE = {
