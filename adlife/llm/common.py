@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adlife.session import ship_package, table_path
 
-__all__ = ["documents", "drop_scratch", "fresh", "materialized", "ship_package", "table"]
+__all__ = ["documents", "drop_scratch", "fresh", "materialized", "scratch_path", "ship_package", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def _scratch(spark: SparkSession) -> str:
     return table_path(spark, "llm", spark.sparkContext.applicationId)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialized(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -31,7 +36,7 @@ def materialized(df: DataFrame, name: str, **options) -> DataFrame:
     recomputation, and several consumers share one computation.
     """
     spark = df.sparkSession
-    path = f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

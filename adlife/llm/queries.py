@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from adlife.llm import common
-from adlife.llm import licenses, rule_ensemble
+from adlife.llm import licenses, rule_ensemble, token_planes
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -20,6 +20,17 @@ def op8_quality_classifier(spark, sf_dir):
     return rule_ensemble.quality_classifier_query(common.documents(spark, sf_dir), common.table(spark, sf_dir, "labels"))
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op9_token_planes(spark, sf_dir):
+    path = common.scratch_path(spark, "token-chunks")
+    token_planes.write_ids(common.documents(spark, sf_dir), path, tokenizer_file())
+    return token_planes.read_ids(spark, path)
+
+
 def _sql_list(items) -> str:
     return "[" + ", ".join("'" + str(x).replace("'", "''") + "'" for x in items) + "]"
 
@@ -91,6 +102,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op5_license_scan": op5_license_scan,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_token_planes": op9_token_planes,
 }
 
 ORACLE = {
