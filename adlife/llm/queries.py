@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from adlife.llm import common
-from adlife.llm import licenses, rule_ensemble, token_planes
+from adlife.llm import bagminhash, licenses, rule_ensemble, token_planes
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -12,6 +12,10 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules_query(common.documents(spark, sf_dir))
 
 
+def op2_bagminhash(spark, sf_dir):
+    return bagminhash.near_duplicates(common.documents(spark, sf_dir))
+
+
 def op5_license_scan(spark, sf_dir):
     return licenses.license_scan_query(common.documents(spark, sf_dir))
 
@@ -100,6 +104,7 @@ FROM w LEFT JOIN a USING (r) LEFT JOIN s USING (r)
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_bagminhash": op2_bagminhash,
     "op5_license_scan": op5_license_scan,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_planes": op9_token_planes,
