@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from adlife.llm import common
-from adlife.llm import bagminhash, licenses, rule_ensemble, token_planes
+from adlife.llm import bagminhash, licenses, rule_ensemble, token_planes, unit_dedup
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -35,6 +35,10 @@ def op9_token_planes(spark, sf_dir):
     return token_planes.read_ids(spark, path)
 
 
+def op10_unit_dedup(spark, sf_dir):
+    return unit_dedup.unit_dedup_query(common.documents(spark, sf_dir))
+
+
 def _sql_list(items) -> str:
     return "[" + ", ".join("'" + str(x).replace("'", "''") + "'" for x in items) + "]"
 
@@ -108,6 +112,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_planes": op9_token_planes,
+    "op10_unit_dedup": op10_unit_dedup,
 }
 
 ORACLE = {
