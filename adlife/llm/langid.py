@@ -22,7 +22,7 @@ to the first language in sorted order; extra columns pass through
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -96,13 +96,14 @@ def cluster(v: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
-def sample_counts(docs: DataFrame, label: str, text_col: str, per_label: int, pick: Column) -> tuple[list, np.ndarray]:
-    """(labels, n-gram counts) of about ``per_label`` rows a label, chosen by the hash ``pick`` (0 to 2**30)."""
+def sample_counts(docs: DataFrame, label: str, text_col: str, per_label: int, pick: Column,
+                  count: Callable[[str], np.ndarray] = grams, dims: int = DIMS) -> tuple[list, np.ndarray]:
+    """(labels, feature counts) of about ``per_label`` rows a label, chosen by the hash ``pick`` (0 to 2**30)."""
     ship_package(docs.sparkSession)
     known = docs.where(F.col(label).isNotNull() & F.col(text_col).isNotNull())
     n = {r[label]: r["n"] for r in known.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n:
-        return [], np.zeros((0, DIMS), np.float32)
+        return [], np.zeros((0, dims), np.float32)
     share = F.lit(0)
     for name, rows in n.items():
         share = F.when(F.col(label) == name, F.lit(int((1 << 30) * min(1.0, per_label / rows)))).otherwise(share)
@@ -111,7 +112,7 @@ def sample_counts(docs: DataFrame, label: str, text_col: str, per_label: int, pi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.asarray(grams(t)) for t in batch.column(1).to_pylist()]
+            rows = [np.asarray(count(t)) for t in batch.column(1).to_pylist()]
             at = [np.flatnonzero(r) for r in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at, pa.list_(pa.int32())), pa.array(
                 [r[i].astype(np.int32) for r, i in zip(rows, at)], pa.list_(pa.int32()))], schema=out)
@@ -119,7 +120,7 @@ def sample_counts(docs: DataFrame, label: str, text_col: str, per_label: int, pi
     got = known.where(pick < share).select(F.col(label).cast("string"), text_col).mapInArrow(run, schema).toArrow()
     got = got.to_pylist()
     got = sorted((r for r in got if r["at"]), key=lambda r: (r["label"], r["at"], r["n"]))
-    counts = np.zeros((len(got), DIMS), np.float32)
+    counts = np.zeros((len(got), dims), np.float32)
     for i, r in enumerate(got):
         counts[i, r["at"]] = r["n"]
     return [r["label"] for r in got], counts

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from adlife.llm import common
-from adlife.llm import bagminhash, langid, licenses, rule_ensemble, token_planes, unit_dedup
+from adlife.llm import bagminhash, langid, licenses, mixing, rule_ensemble, token_planes, unit_dedup
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -16,6 +16,10 @@ def op2_bagminhash(spark, sf_dir):
     return bagminhash.near_duplicates(common.documents(spark, sf_dir))
 
 
+def op3_mixing(spark, sf_dir):
+    return mixing.mixing_query(common.documents(spark, sf_dir))
+
+
 def op4_langid(spark, sf_dir):
     return langid.langid_query(common.documents(spark, sf_dir))
 
@@ -113,6 +117,7 @@ FROM w LEFT JOIN a USING (r) LEFT JOIN s USING (r)
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bagminhash": op2_bagminhash,
+    "op3_mixing": op3_mixing,
     "op4_langid": op4_langid,
     "op5_license_scan": op5_license_scan,
     "op8_quality_classifier": op8_quality_classifier,
