@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from adlife.llm import common
-from adlife.llm import bagminhash, langid, licenses, mixing, packing, rule_ensemble, token_planes, unit_dedup
+from adlife.llm import ann, bagminhash, langid, licenses, mixing, packing, rule_ensemble, token_planes, unit_dedup
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -32,6 +32,10 @@ def op6_packing(spark, sf_dir):
     return packing.packing_query(common.documents(spark, sf_dir), tokenizer_file())
 
 
+def op7_ann(spark, sf_dir):
+    return ann.ann_query(common.table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return rule_ensemble.quality_classifier_query(common.documents(spark, sf_dir), common.table(spark, sf_dir, "labels"))
 
@@ -125,6 +129,7 @@ QUERIES = {
     "op4_langid": op4_langid,
     "op5_license_scan": op5_license_scan,
     "op6_packing": op6_packing,
+    "op7_ann": op7_ann,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_planes": op9_token_planes,
     "op10_unit_dedup": op10_unit_dedup,
