@@ -1,13 +1,82 @@
-"""The corpus pipeline: stages over ``documents``, each calling one operator of :mod:`adlife.llm`."""
+"""The corpus pipeline: five stages over ``documents``, each calling one operator of :mod:`adlife.llm`.
+
+language ID -> MinHash near-dedup -> substring dedup -> mixing -> packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
+written as Parquet and read again as the next stage's ``docs``; all but the last
+return the columns of ``documents`` (extra columns pass through). ``n_chars`` is
+kept equal to the length of the text it belongs to.
+
+Defined cases: a null or empty text has no language and is rejected by the first
+stage; rows that share an id are one document to the later stages; an empty
+table passes through every stage.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from adlife.llm import bagminhash, langid, mixing, packing, queries, unit_dedup
+from adlife.llm.common import documents, fresh, materialized
+
+#: Target shares of tokens by language in the mixture.
+WEIGHTS = {"de": 0.18, "en": 0.52, "es": 0.12, "fr": 0.18}
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that language identification rejects (no letter, or far from every centroid)."""
+    found = langid.identify(docs, langid.learned(docs))
+    rejected = found.columns[-1]
+    return found.where(~F.col(f"`{rejected}`")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the least id of every class of near duplicates; a repeated row once."""
+    classes = bagminhash.near_duplicates(docs.select("doc_id", "text"))
+    key = fresh("key", docs.columns)
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(key)).distinct()
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[key]), "left_semi")
+    return rows.dropDuplicates(["doc_id"])
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that an earlier document has; documents of which nothing is left go."""
+    done = unit_dedup.remove_repeats(docs)
+    removed = F.col(f"`{done.columns[-2]}`")
+    done = done.where((F.size(removed) == 0) | (F.length(F.trim("text")) > 0))
+    return done.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`")
+                         for c in docs.columns])
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents so that language shares meet ``WEIGHTS``; the total is the least that drops none."""
+    domains = sorted(WEIGHTS)
+    model = mixing.trained(docs, domains)
+    table = mixing.membership_table(docs, model)
+    rates, _ = mixing.fit_rates(table, domains, WEIGHTS, low=1.0)
+    return mixing.apply_rates(docs, model, rates)
+
+
+def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per segment with its bucket, batch and slot."""
+    return packing.packing_query(docs, queries.tokenizer_file())
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("substring dedup", drop_repeated_passages),
+    ("mixing sources to target weights", mix_domains),
+    ("packing", pack_batches),
+]
+
+#: Clustering, hashing and numeric fitting have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = materialized(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)
