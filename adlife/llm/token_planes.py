@@ -51,42 +51,96 @@ ZSTD_LEVEL = 3
 CHUNK_SCHEMA = ("shard int, chunk int, n_ids long, keys array<bigint>, lengths array<bigint>, plane_bits int, "
                 "blocks array<struct<n:int,offset:bigint,sizes:array<int>>>, payload binary")
 
-#: A blank between two printing characters always starts a new pre-token of a
-#: byte-level BPE, so the parts can be encoded one by one (and remembered).
-_PART = re.compile(r"(?<=[!-~¡-ɏ])(?= [!-~¡-ɏ])")
+#: Characters that are certainly not white space.
+_SOLID = "!-~¡-ɏ"
+#: A blank between two solid characters always starts a new pre-token of a byte-level BPE, so what
+#: stands between such blanks can be encoded one by one (and remembered).
+_PART = re.compile(rf"(?<=[{_SOLID}]) (?=[{_SOLID}])")
+_ENDS = re.compile(rf"[{_SOLID}](?:.*[{_SOLID}])?", re.DOTALL)
+#: So does ASCII punctuation after a letter.
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
     """Whole-text encoding with the tokenizers library, remembering the ids of parts.
 
-    Two generations of at most ``CACHED`` parts each bound the memory.
+    A text is cut at its safe blanks. ``spaced`` holds the ids of a part with a
+    blank before it, ``bare`` without; both start anew when ``CACHED`` parts are
+    held, but for what is used again, so memory is bounded.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.special = [a.content for a in self.tokenizer.get_added_tokens_decoder().values()]
+        self.spaced: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+        self.open: set[str] = {""}      # parts whose outer characters may be white space
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.young) > CACHED:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        parts = [_PART.split(t) for t in texts]
-        missing = []
-        for p in {x for ps in parts for x in ps}:
-            if p not in young:
-                if p in old:
-                    young[p] = old[p]
+        if len(self.spaced) > CACHED:
+            self.older, self.spaced, self.bare, self.open = self.spaced, {}, {}, {""}
+        get = self.spaced.get
+        # a special token's string is one token wherever it stands: such texts are not cut
+        parts = [[t] if any(s in t for s in self.special) else t.split(" ") for t in texts]
+        found = [list(map(get, ps[1:])) for ps in parts]
+        unknown = {p for ps, vs in zip(parts, found) for p, v in zip(ps[1:], vs) if v is None}
+        self.open.update(p for p in unknown.union(ps[0] for ps in parts) if not _ENDS.fullmatch(p))
+        unknown -= self.open
+        for i, ps in enumerate(parts):
+            if len(ps) > 1 and not self.open.isdisjoint(ps):      # not every blank is safe here
+                parts[i] = _PART.split(texts[i])
+                found[i] = list(map(get, parts[i][1:]))
+                unknown.update(p for p, v in zip(parts[i][1:], found[i]) if v is None)
+        self._learn_bare({ps[0] for ps in parts})
+        self._learn_spaced(unknown)
+        spaced = self.spaced
+        return [self.bare[ps[0]] + b"".join([spaced[p] if v is None else v for p, v in zip(ps[1:], vs)])
+                for ps, vs in zip(parts, found)]
+
+    def _learn_bare(self, some: set[str]) -> None:
+        some = [p for p in some if p not in self.bare]
+        for p, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+            self.bare[p] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def _learn_spaced(self, some: set[str]) -> None:
+        """Words (letters only) are encoded many at a time as one text; a word with punctuation behind it
+        is put together; other parts are encoded one by one."""
+        spaced, older = self.spaced, self.older
+        words, tailed, others = [], {}, []
+        for p in some:
+            if p in older:
+                spaced[p] = older[p]
+            elif p.isalpha():
+                words.append(p)
+            else:
+                word = p.rstrip(_PUNCTUATION)
+                if word.isalpha():
+                    tailed[p] = word
                 else:
-                    missing.append(p)
-        for at in range(0, len(missing), 20_000):
-            some = missing[at:at + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                young[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(young.__getitem__, ps)) for ps in parts]
+                    others.append(p)
+        words += {w for w in tailed.values() if w not in spaced}.difference(words)
+        for at in range(0, len(words), 2000):
+            group = words[at:at + 2000]
+            e = self.tokenizer.encode(" " + " ".join(group), add_special_tokens=False)
+            starts = np.flatnonzero(np.diff(np.array(e.word_ids, dtype=np.int64), prepend=-1))
+            if len(starts) != len(group):                         # a letter that the tokenizer does not take for one
+                others += group
+                continue
+            raw = np.array(e.ids, dtype="<u4").tobytes()
+            ends = [*(starts[1:] * 4).tolist(), len(raw)]
+            for p, a, z in zip(group, (starts * 4).tolist(), ends):
+                spaced[p] = raw[a:z]
+        for at in range(0, len(others), 20_000):
+            group = others[at:at + 20_000]
+            for p, e in zip(group, self.tokenizer.encode_batch([" " + p for p in group], add_special_tokens=False)):
+                spaced[p] = np.array(e.ids, dtype="<u4").tobytes()
+        self._learn_bare({p[len(w):] for p, w in tailed.items()})
+        for p, w in tailed.items():
+            spaced[p] = spaced[w] + self.bare[p[len(w):]]
 
 
 _ENCODERS: dict[str, Encoder] = {}
