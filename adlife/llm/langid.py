@@ -42,6 +42,8 @@ ROUNDS = 12
 #: is its largest training distance plus this share of the way to distance 1.
 MARGIN = 0.5
 SIZES = 8
+#: A class with fewer training texts has no bound: nothing is rejected without evidence.
+BOUND_ROWS = 30
 UNKNOWN = "und"
 
 
@@ -141,7 +143,7 @@ def fit(labels: list, counts: np.ndarray) -> Model | None:
     far, sizes = 1 - (v @ centroids.T).max(axis=1), size_class(counts)
     bounds = np.ones(SIZES)
     for s in range(SIZES):
-        if (sizes == s).any():
+        if (sizes == s).sum() >= BOUND_ROWS:
             most = float(far[sizes == s].max())
             bounds[s] = most + MARGIN * (1 - most)
     return Model(languages, centroids, idf, bounds)
