@@ -24,13 +24,17 @@ BLOCK_START_CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl"
 BLOCK = BLOCK_START_CLOSES_P | {"li", "dt", "dd", "tr", "td", "th", "br", "body", "html", "title"}
 
 
+_SPACES = re.compile(r"[ \t\n\f\r]+")
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "content", "order")
+    __slots__ = ("tag", "attrs", "parent", "children", "content", "order", "place")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None, order: int):
         self.tag, self.attrs, self.parent, self.order = tag, attrs, parent, order
         self.children: list[Node] = []        # element children
         self.content: list = []               # text and element children, in order
+        self.place = len(parent.children) if parent else 0      # among the parent's element children
 
     @property
     def classes(self) -> set:
@@ -38,38 +42,33 @@ class Node:
 
     def index(self) -> int:
         """1-based position among the parent's element children."""
-        return self.parent.children.index(self) + 1 if self.parent else 1
+        return self.place + 1
 
     def prev_sibling(self) -> Node | None:
-        if not self.parent:
-            return None
-        i = self.parent.children.index(self)
-        return self.parent.children[i - 1] if i > 0 else None
+        return self.parent.children[self.place - 1] if self.parent and self.place else None
 
     def next_sibling(self) -> Node | None:
-        if not self.parent:
-            return None
-        sibs = self.parent.children
-        i = sibs.index(self)
-        return sibs[i + 1] if i + 1 < len(sibs) else None
+        after = self.parent.children[self.place + 1:self.place + 2] if self.parent else ()
+        return after[0] if after else None
 
     def text(self) -> str:
-        """Combined text of the element and its descendants, whitespace-normalized."""
-        out: list[str] = []
+        """Combined text of the element and its descendants; runs of HTML white space become one blank.
 
-        def walk(n: Node):
-            for c in n.content:
-                if isinstance(c, str):
-                    out.append(c)
-                else:
-                    if c.tag in BLOCK:
-                        out.append(" ")
-                    if c.tag not in ("script", "style"):
-                        walk(c)
-                    if c.tag in BLOCK:
-                        out.append(" ")
-        walk(self)
-        return " ".join("".join(out).split())
+        No-break spaces are text and stay.
+        """
+        out: list[str] = []
+        todo: list = list(reversed(self.content))
+        while todo:
+            c = todo.pop()
+            if isinstance(c, str):
+                out.append(c)
+                continue
+            if c.tag in BLOCK:
+                out.append(" ")
+                todo.append(" ")
+            if c.tag not in ("script", "style"):
+                todo.extend(reversed(c.content))
+        return _SPACES.sub(" ", "".join(out)).strip(" ")
 
 
 class _Builder(HTMLParser):

@@ -47,7 +47,7 @@ def asof_lookup(
     ``values`` is a list of build columns or a mapping ``{output_name: build_column}``.
     Build rows with ``build_time <= probe_time`` qualify (``<`` when ``inclusive``
     is false); among them the newest by ``(build_time, build_tiebreak)`` wins.
-    Probes without a match get nulls (and ``matched_col`` false).
+    Probes without a match, or with a null key, get nulls (and ``matched_col`` false).
     """
     keys = [on] if isinstance(on, str) else list(on)
     if not isinstance(values, Mapping):
@@ -55,6 +55,10 @@ def asof_lookup(
     probe_cols = list(probe.columns)
     build_side, probe_side = (0, 1) if inclusive else (1, 0)
 
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    build = build.where(whole)             # a null key matches nothing
     p = probe.select(*keys, F.col(probe_time).cast("long").alias("__t"),
                      F.struct(*probe_cols).alias("__p"),
                      F.lit(probe_side).alias("__side"))
@@ -97,21 +101,3 @@ def asof_lookup(
         out.append(F.col("__m").isNotNull().alias(matched_col))
     return matched.select(*out)
 
-
-def suggest_bucket_ms(df: DataFrame, on: str | Sequence[str], time_col: str, *,
-                      target_rows: int = 1_000_000, min_ms: int = 3_600_000,
-                      max_ms: int = 30 * config.DAY_MS) -> int | None:
-    """Bucket width that keeps the busiest key's (key, bucket) groups near ``target_rows``.
-
-    One aggregation (combined map-side) returns a single row to the driver:
-    the largest per-key row count and that key's time span. ``None`` means
-    no key exceeds ``target_rows``, so the single-level plan is safe.
-    """
-    keys = [on] if isinstance(on, str) else list(on)
-    t = F.col(time_col).cast("long")
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(t) - F.min(t)).alias("span"))
-    top = per_key.orderBy(F.desc("n")).select("n", "span").first()
-    if top is None or top["n"] <= target_rows:
-        return None
-    width = int(max(top["span"], 1) * target_rows / top["n"])
-    return max(min_ms, min(max_ms, width))

@@ -34,7 +34,8 @@ def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str
 
     Unsold rows parse their own price. A sold row takes the newest header of
     the same url with ``load_time <=`` its own whose price is not the sold
-    marker, and parses that; none found or unparsable -> -1. The newest unsold
+    marker, and parses that; none found or unparsable -> -1. Ads without a link
+    share the text sentinel as url; they have no history, so sold ones get -1. The newest unsold
     row is chosen before parsing, so an unparsable one is not skipped.
 
     With ``recent_from`` (ISO date), sold rows dated on or after it look up
@@ -47,7 +48,7 @@ def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str
     sold = parse.is_sold(F.col(price_col), marker)
     unsold_rows = rows.where(~sold).withColumn(out_col, parse.parse_price(price_col))
     sold_rows = rows.where(sold)
-    candidates = history.where(~parse.is_sold(F.col("price"), marker))
+    candidates = history.where(~parse.is_sold(F.col("price"), marker) & (F.col("url") != config.NULL_TEXT))
     if until_date is not None:
         candidates = candidates.where(F.col("load_date") <= F.lit(until_date))
     tiebreak = _tiebreak(candidates)
@@ -129,14 +130,15 @@ def merge_header_details(headers: DataFrame, details: DataFrame, history: DataFr
     ``keep`` names extra header columns to pass through.
     """
     live = details.where(~F.coalesce(F.col("deleted"), F.lit(False)))
-    merged = asof_lookup(headers, live, "url", "load_time", "load_time",
+    # prices first, on narrow raw headers: the details look-up is then not an input of another look-up
+    priced = with_last_known_price(headers, history if history is not None else headers,
+                                   marker=marker, bucket_ms=bucket_ms)
+    merged = asof_lookup(priced, live, "url", "load_time", "load_time",
                          {"properties": "properties", "equipment": "equipment",
                           "information": "information"},
                          build_tiebreak=_tiebreak(live), matched_col="__found", bucket_ms=bucket_ms)
-    priced = with_last_known_price(merged, history if history is not None else headers,
-                                   marker=marker, bucket_ms=bucket_ms)
     found = F.col("__found")
-    return priced.select(
+    return merged.select(
         "url", "load_date", parse.parse_code("url").alias("finnkode"), "title", "location",
         parse.parse_year("year").alias("year"), parse.parse_km("km").alias("km"),
         F.col("price_value").alias("price"),

@@ -1,16 +1,14 @@
 """Daily rows -> one lifecycle row per listing.
 
 The original ran two look-ups per listing from a driver loop, after
-collecting the delta's urls and broadcasting two driver-side maps. Here the
-whole roll-up is ONE ``groupBy(url)`` over the window's daily rows:
-
-* first record over the window        -> ``min_by``
-* first sold / first deleted date     -> ``min_by`` with a conditional ordering
-* last record over the delta only     -> ``max_by`` with a conditional ordering
-* "url occurs in the delta" semi-join -> ``last`` struct not null (HAVING)
-
-followed by a projection that derives the attributes. One shuffle, partial
-aggregation before it, no collect, no broadcast.
+collecting the delta's urls and broadcasting two driver-side maps. Here:
+
+* the newest record of each url in the delta: one ``max_by`` over the delta's
+  partitions only, the one place that reads the map, array and text columns;
+* first record, first sold and first deleted date over the window: ``min_by``
+  on six narrow columns, after a semi-join with the delta's urls, so listings
+  that are not rolled up never move;
+* a join of the two on url, and a projection that derives the attributes.
 """
 
 from __future__ import annotations
@@ -38,14 +36,21 @@ def event_dates(window: DataFrame, key: str = "url") -> DataFrame:
     )
 
 
-def rollup_aggregates(in_delta: Column) -> list[Column]:
+WINDOW_FIELDS = ("url", "load_date", "load_time", "price", "sold", "deleted")
+
+
+def rollup_inputs(daily: DataFrame, as_of: str, delta_start: str, lo: str) -> DataFrame:
+    """One row per url of the delta: ``__last``, ``__first``, ``__sold_date``, ``__deleted_date``."""
     t = F.col("load_time")
-    return [
+    delta = daily.where(F.col("load_date").between(max(lo, delta_start), as_of))
+    last = delta.groupBy("url").agg(F.max_by(F.struct(*LAST_FIELDS), t).alias("__last"))
+    window = (daily.where(F.col("load_date").between(lo, as_of)).select(*WINDOW_FIELDS)
+              .join(delta.select("url").distinct(), "url", "left_semi"))
+    first = window.groupBy("url").agg(
         F.min_by(F.struct("price", "load_date"), t).alias("__first"),
         F.min_by("load_date", F.when(F.col("sold"), t)).alias("__sold_date"),
-        F.min_by("load_date", F.when(F.col("deleted"), t)).alias("__deleted_date"),
-        F.max_by(F.struct(*LAST_FIELDS), F.when(in_delta, t)).alias("__last"),
-    ]
+        F.min_by("load_date", F.when(F.col("deleted"), t)).alias("__deleted_date"))
+    return last.join(first, "url")
 
 
 def attribute_columns(last: str = "__last", vocab: Vocabulary = DEFAULT_VOCABULARY,
@@ -88,10 +93,7 @@ def lifecycle_rollup(daily: DataFrame, as_of: str, delta_start: str, *,
     from the newest delta row.
     """
     lo = iso_shift(as_of, -window_days)
-    window = daily.where(F.col("load_date").between(lo, as_of))
-    in_delta = F.col("load_date") >= F.lit(delta_start)
-    g = (window.groupBy("url").agg(*rollup_aggregates(in_delta))
-               .where(F.col("__last").isNotNull()))
+    g = rollup_inputs(daily, as_of, delta_start, lo)
     first_date = F.col("__first.load_date")
     sold_date = F.coalesce(F.col("__sold_date"), F.lit(config.NULL_DATE))
     deleted_date = F.coalesce(F.col("__deleted_date"), F.lit(config.NULL_DATE))

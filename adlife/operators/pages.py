@@ -2,13 +2,17 @@
 
 * :func:`explode_listing` — search-result page messages (JSON text) -> one raw
   header row per ad. Only the first ``group`` array is read; a missing
-  element gives the text sentinel; a page without ``data`` gives no rows.
+    element or an empty array gives the text sentinel; a page without ``data`` (or
+  with empty ``data`` or ``group``) gives no rows. A missing timestamp leaves
+  load time and date null: the keyed sinks set such rows aside.
 * :func:`extract_pages` — ``(url, html)`` rows -> properties, equipment,
   text and header fields by CSS selectors (``mapInPandas``; the per-page
-  parse is the only Python in the library). A null page is a deleted ad.
+  parse is the only Python in the library). A null page is a deleted ad; a
+  page whose parse fails keeps its row, with the reason in ``parse_error``.
 * :func:`details_from_listing` — header rows -> raw details rows: each
-  distinct ad url is looked up in a pages table once, extracted, and the
-  result joined back to every header row with that url.
+  distinct ad url is looked up in a pages table once (its newest fetch),
+  extracted, and the result joined back to every header row with that url.
+  An ad without a link has no details.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 
 from adlife import config, schemas
 from adlife.functions.dates import epoch_ms_to_local_date
-from adlife.functions.jsontext import quote_json_string
+from adlife.functions.jsontext import null_map, null_set, quote_json_string
 from adlife.session import ship_package
 
 HEADER_FIELDS = ("location", "title", "year", "km", "price")
@@ -32,10 +36,10 @@ def explode_listing(messages: DataFrame, zone: str = "UTC", value_col: str = "va
     page = F.from_json(F.col(value_col), schemas.LISTING_PAGE)
     ads = (messages.select(page.alias("p"))
                    .select(F.col("p.pageData.timestamp").alias("load_time"),
-                           F.explode(F.col("p.extractorData.data")[0]["group"]).alias("ad")))
+                           F.explode(F.get(F.col("p.extractorData.data"), F.lit(0))["group"]).alias("ad")))
 
     def first_text(field: str, attr: str = "text"):
-        return F.coalesce(F.col("ad")[field][0][attr], F.lit(config.NULL_TEXT))
+        return F.coalesce(F.get(F.col("ad")[field], F.lit(0))[attr], F.lit(config.NULL_TEXT))
 
     return ads.select(
         first_text("title", "href").alias("url"),
@@ -78,6 +82,12 @@ def _extract_one(url: str, html, selectors: Mapping) -> dict:
     return out
 
 
+def _nothing_found(url: str) -> dict:
+    return {"url": url, "properties": {config.MISSING_KEYS: config.MISSING_VALUES},
+            "equipment": [config.MISSING_VALUES], "information": config.MISSING_VALUES, "deleted": False,
+            **{f: config.MISSING_VALUE for f in HEADER_FIELDS}}
+
+
 def extract_pages(pages: DataFrame, selectors: Mapping[str, str] | None = None,
                   url_col: str = "url", html_col: str = "html", keep: tuple = ()) -> DataFrame:
     """Extraction result (schema EXTRACTED_PAGE, plus ``keep`` columns) per ``(url, html)`` row."""
@@ -92,7 +102,11 @@ def extract_pages(pages: DataFrame, selectors: Mapping[str, str] | None = None,
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
-                row = _extract_one(rec.url, rec.html if isinstance(rec.html, str) else None, compiled)
+                try:
+                    row = {**_extract_one(rec.url, rec.html if isinstance(rec.html, str) else None, compiled),
+                           "parse_error": None}
+                except Exception as e:  # noqa: BLE001 - one bad page must not fail the job; it is recorded
+                    row = {**_nothing_found(rec.url), "parse_error": f"{type(e).__name__}: {e}"[:500]}
                 for i, c in enumerate(keep):
                     row[c] = rec[2 + i]
                 rows.append(row)
@@ -114,17 +128,28 @@ def to_raw_details(extracted: DataFrame) -> DataFrame:
     )
 
 
+def newest_pages(pages: DataFrame, urls: DataFrame, fetched: str | None = None) -> DataFrame:
+    """(url, html) of the newest fetch of each of ``urls``; without ``fetched`` the greatest html, so reruns agree.
+
+    The semi-join comes first: only pages that are asked for move, and a small url set can be sent to them.
+    """
+    wanted = pages.join(urls, "url", "left_semi")
+    order = F.struct(*([F.col(fetched)] if fetched else []), F.col("html").isNotNull(), F.col("html"))
+    return wanted.groupBy("url").agg(F.max_by("html", order).alias("html"))
+
+
 def details_from_listing(headers: DataFrame, pages: DataFrame,
-                         selectors: Mapping[str, str] | None = None) -> DataFrame:
+                         selectors: Mapping[str, str] | None = None, fetched: str | None = None) -> DataFrame:
     """Raw details rows (RAW_DETAILS) for header rows; details share the header's load time.
 
-    A url absent from ``pages`` (or with null html) is a deleted ad page.
-    Each distinct url is extracted once however many ads point at it.
+    A url absent from ``pages`` (or with null html) is a deleted ad page; a
+    header without a link (the text sentinel) gives no row. Each distinct url
+    is extracted once however many ads point at it; ``fetched`` names the
+    column of ``pages`` that orders several fetches of one url.
     """
-    urls = headers.select("url").distinct()
-    fetched = urls.join(pages.select("url", "html"), "url", "left")
-    details = to_raw_details(extract_pages(fetched, selectors))
-    return (headers.select("url", "load_date", "load_time")
-                   .join(details, "url", "left")
-                   .select("url", "load_date", "load_time", "properties", "equipment",
-                           "information", F.coalesce("deleted", F.lit(True)).alias("deleted")))
+    linked = headers.where(F.col("url") != config.NULL_TEXT).select("url", "load_date", "load_time")
+    details = to_raw_details(extract_pages(newest_pages(pages, linked.select("url").distinct(), fetched), selectors))
+    gone = {"properties": F.to_json(null_map()), "equipment": F.to_json(null_set()),
+            "information": quote_json_string(F.lit(config.NULL_TEXT)), "deleted": F.lit(True)}
+    return linked.join(details, "url", "left").select(
+        "url", "load_date", "load_time", *[F.coalesce(F.col(c), v).alias(c) for c, v in gone.items()])

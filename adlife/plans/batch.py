@@ -10,7 +10,7 @@ One run, for a given ``today`` (a parameter, never the clock inside a plan):
    raw header history up to ``today``: recent partitions first, older ones
    only for listings not resolved there) and upsert them on (load_date, url);
 4. roll the daily window (``today`` - 365 days) up to lifecycle rows for the
-   urls seen in the delta and upsert them on url.
+   urls seen in the delta and store them as this run's version of their urls.
 
 Every step is a Spark job over whole partitions; reruns are idempotent.
 """
@@ -26,7 +26,7 @@ from adlife import config, schemas
 from adlife.functions.dates import iso_shift
 from adlife.operators.daily import build_daily
 from adlife.operators.lifecycle import lifecycle_rollup
-from adlife.sinks.tables import stored_table, upsert, with_key_bucket
+from adlife.sinks.tables import read_current, stored_table, upsert, write_version
 from adlife.sources import tables as src
 
 
@@ -39,9 +39,8 @@ class Tables:
 
 
 def read_lifecycle(spark: SparkSession, path: str):
-    from pyspark.sql import types as T
-    return (spark.read.schema(schemas.extended(schemas.LIFECYCLE, ("key_bucket", T.IntegerType())))
-                 .parquet(path).drop("key_bucket"))
+    """The newest lifecycle row of every url."""
+    return read_current(spark, path, schemas.LIFECYCLE, ["url"])
 
 
 def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
@@ -67,6 +66,6 @@ def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
     upsert(spark, daily_delta, tables.daily, ["load_date", "url"], unique_keys=True)
     daily = src.read_daily(spark, tables.daily)
     rolled = lifecycle_rollup(daily, today, start, window_days=window_days)
-    upsert(spark, with_key_bucket(rolled), tables.lifecycle, ["url"], partition_by="key_bucket",
-           unique_keys=True)
+    # a version per run: rows of urls outside the delta are neither read nor written
+    write_version(spark, rolled, tables.lifecycle, ["url"], today)
     return start

@@ -51,22 +51,9 @@ def memo(kind: str):
     return wrap
 
 
-SPREAD_SMALL_INPUTS = True
-
-
 @memo("table")
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table; spread it when the scan has fewer splits than cores.
-
-    The test tables are single-row-group files, so their scan is one task and
-    all derivation before the first shuffle would run on one core. On real
-    inputs (many files / row groups) the guard does nothing.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if SPREAD_SMALL_INPUTS and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def group_digits(n: Column) -> Column:
@@ -359,14 +346,14 @@ def order_equipment(lines: DataFrame) -> DataFrame:
                     .agg(F.to_json(F.flatten(F.collect_list("labels"))).alias("equipment")))
 
 
-def listing_message_files(spark: SparkSession, sf_dir: str, files: int = 16) -> str:
+def listing_message_files(spark: SparkSession, sf_dir: str) -> str:
     """Listing-page messages written as JSON-lines text files, in fetch order.
 
-    Plays the role of the message log: several files, range-partitioned by
-    message id so earlier files hold earlier pages.
+    Plays the role of the message log: range-partitioned by message id so earlier files hold
+    earlier pages; their number is that of the shuffle's partitions.
     """
     return written_table(spark, sf_dir, "listing_messages",
-                         lambda p: listing_messages(spark, sf_dir).repartitionByRange(files, "message_id")
+                         lambda p: listing_messages(spark, sf_dir).repartitionByRange("message_id")
                                    .select("value").write.mode("overwrite").text(p))
 
 

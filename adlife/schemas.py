@@ -68,7 +68,7 @@ LISTING_PAGE = _struct(
 EXTRACTED_PAGE = _struct(
     ("url", S), ("properties", T.MapType(S, S)), ("equipment", T.ArrayType(S)),
     ("information", S), ("title", S), ("location", S), ("price", S),
-    ("year", S), ("km", S), ("deleted", B),
+    ("year", S), ("km", S), ("deleted", B), ("parse_error", S),
 )
 
 

@@ -2,8 +2,9 @@
 
 Library code never builds its own session; it takes the caller's. Written
 intermediate tables and checkpoints go to the folder the cluster names in
-``spark.checkpoint.dir``; only when that is unset (local runs, tests) a
-temporary folder is created and registered as the checkpoint dir.
+``spark.checkpoint.dir``; only when that is unset under a local master (tests) a
+temporary folder is created and registered as the checkpoint dir. On a cluster
+an unset folder is an error: executors would write to their own disks.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="adlife-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")

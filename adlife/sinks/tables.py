@@ -2,39 +2,108 @@
 
 * :func:`append_keyed` — raw snapshots: rows whose key is already stored are
   dropped, so re-delivering a micro-batch is a no-op.
-* :func:`upsert` — replace rows by key inside the touched partitions only
-  (dynamic partition overwrite). The merged rows are first written to the
-  table's staging location in the shared folder, which cuts the lineage to
-  the files that are about to be replaced and survives executor loss. Upserts
-  to one table must not run concurrently.
+* :func:`upsert` — replace rows by key inside the touched partitions only. The
+  merged partitions are written once, to a staging folder inside the table
+  (hidden from readers); a marker file then says that they are complete, and
+  each one takes its partition's place by a rename. A run that finds a marker
+  finishes that publication first, so a crash at any point loses nothing.
+  Upserts to one table must not run concurrently.
+* :func:`write_version` / :func:`read_current` — a table of row versions: a run
+  writes only its own rows, readers take the newest version per key.
 * :func:`export_delimited` — ``;``-joined text lines, ``null`` for nulls.
 * :func:`write_clustered` — partitioned by date, each file sorted by
   ``url`` then newest first (the raw tables' clustering order).
+
+A table remembers its columns, its partition column and its bucket count in
+``_table.json``; a write that disagrees raises instead of dropping columns or
+storing keys twice. Rows with a null in a key column cannot be told from one
+another, so both keyed writers set them aside in ``<path>_rejected``.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
+import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
-from pyspark import StorageLevel
+from pyspark.sql import types as T
+
+META = "_table.json"
+STAGING = "_staging"
+MARKER = "_complete"
+
+
+# -- files of a table -------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-from adlife.session import table_path
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at(path))
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    if not _exists(spark, path):
+        return None
+    fs, at = _fs(spark, path)
+    stream = fs.open(at(path))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
-def stored_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The table at ``path`` read with ``schema``, or None when nothing is stored yet."""
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, at = _fs(spark, path)
+    stream = fs.create(at(path), True)
     try:
-        df = spark.read.schema(schema).parquet(path)
-        df.inputFiles()          # resolves the listing; raises when the path is missing
-        return df
-    except AnalysisException:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def _layout(df: DataFrame, partition_by: str) -> dict:
+    return {"columns": {f.name: f.dataType.simpleString() for f in df.schema.fields}, "partition_by": partition_by,
+            "buckets": df.schema[partition_by].metadata.get("buckets")}
+
+
+def check_layout(spark: SparkSession, df: DataFrame, path: str, partition_by: str) -> None:
+    """Raise unless ``df`` has the columns, partition column and bucket count of the stored table."""
+    new, text = _layout(df, partition_by), _read_text(spark, f"{path}/{META}")
+    if text is not None:
+        old = json.loads(text)
+        if old != new:
+            raise ValueError(f"{path} is stored as {old}, the rows to write are {new}")
+    elif stored_table(spark, path, df.schema) is None:
+        _write_text(spark, f"{path}/{META}", json.dumps(new))
+    else:                                            # written by someone else: its files have the names
+        names = set(spark.read.parquet(path).columns)
+        if names != set(df.columns):
+            raise ValueError(f"{path} has the columns {sorted(names)}, the rows to write have {sorted(df.columns)}")
+
+
+def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path`` read with ``schema``, or None when nothing is stored yet.
+
+    Only a missing path, or one without data folders and files, counts as nothing; any other fault is raised.
+    """
+    fs, at = _fs(spark, path)
+    if not fs.exists(at(path)):
+        return None
+    if not any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(at(path))):
         return None
+    return spark.read.schema(schema).parquet(path)
 
 
+# -- keyed writes -----------------------------------------------------------
+
 def rebalanced(df: DataFrame, partition_by: str) -> DataFrame:
     """Shuffle rows by the partition column before a partitioned write.
 
@@ -45,58 +114,163 @@ def rebalanced(df: DataFrame, partition_by: str) -> DataFrame:
     return df.hint("rebalance", partition_by)
 
 
-def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-                 partition_by: str = "load_date") -> None:
-    """Append ``new`` rows whose key is not yet in the table at ``path``.
+def one_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the greatest by ``newest_by``, then by the row's text (so reruns pick the same)."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates(list(keys))
+    order = F.struct(*[F.col(c) for c in newest_by], F.to_json(F.struct(*rest)))
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+            .select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns))
+
 
-    The anti-join reads only the partitions the batch touches (dynamic
-    partition pruning on the partition column).
+def _complete_keys(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """The rows with a whole key; the others are appended to ``<path>_rejected``."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    rejected = new.where(~whole)
+    if not rejected.isEmpty():
+        rejected.write.mode("append").parquet(f"{path.rstrip('/')}_rejected")
+    return new.where(whole)
+
+
+def _touched(stored: DataFrame, new: DataFrame, partition_by: str) -> tuple[DataFrame, list]:
+    """The stored rows of the partitions of ``new``, by literal values so that the scan prunes.
+
+    The values are the directories about to be written: never more than the table's partition list.
     """
+    values = [r[0] for r in new.select(partition_by).distinct().collect()]
+    return stored.where(F.col(partition_by).isin(values)), values
+
+
+def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
+                 partition_by: str = "load_date", newest_by: Sequence[str] = ()) -> None:
+    """Append ``new`` rows whose key is not yet in the table at ``path`` (partition column among the keys)."""
+    if partition_by not in keys:
+        raise ValueError("the partition column must be part of the key")
+    recover(spark, path)
     keys = list(keys)
-    batch = new.dropDuplicates(keys)
-    stored = stored_table(spark, path, new.schema)
-    if stored is not None:
-        touched = stored.join(batch.select(partition_by).distinct(), partition_by, "left_semi")
-        batch = batch.join(touched.select(*keys), keys, "left_anti")
-    rebalanced(batch, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        check_layout(spark, new, path, partition_by)
+        batch = one_per_key(_complete_keys(new, path, keys), keys, newest_by)
+        stored = stored_table(spark, path, new.schema)
+        if stored is not None:
+            touched, _ = _touched(stored, new.where(F.col(partition_by).isNotNull()), partition_by)
+            batch = batch.join(touched.select(*keys), keys, "left_anti")
+        rebalanced(batch, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+    finally:
+        new.unpersist()
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-           partition_by: str = "load_date", unique_keys: bool = False) -> None:
+           partition_by: str = "load_date", unique_keys: bool = False, newest_by: Sequence[str] = ()) -> None:
     """Insert or replace ``new`` rows by ``keys`` in the table at ``path``.
 
     Only partitions present in ``new`` are rewritten; inside them, stored
-    rows whose key is not in ``new`` are kept. ``unique_keys`` states that
-    ``new`` already holds one row per key (e.g. it was grouped by them), which
-    saves the de-duplication shuffle.
+    rows whose key is not in ``new`` are kept. The partition column belongs to
+    the key or is a function of it. ``unique_keys`` states that ``new`` already
+    holds one row per key (e.g. it was grouped by them), which saves the
+    de-duplication shuffle.
     """
+    recover(spark, path)
     keys = list(keys)
-    if not unique_keys:
-        new = new.dropDuplicates(keys)
-    stored = stored_table(spark, path, new.schema)
-    if stored is None:                    # first load: nothing to merge with
-        rebalanced(new, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-        return
-    # the new rows feed three branches (touched dates, replaced keys, the rows
-    # themselves); keep them for the one write instead of computing them thrice
+    # the new rows feed several branches (touched partitions, replaced keys, the rows
+    # themselves); keep them for the one write instead of computing them again
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = stored.join(new.select(partition_by).distinct(), partition_by, "left_semi")
-        merged = touched.join(new.select(*keys), keys, "left_anti").unionByName(new)
-        # one staging location per target table, overwritten by each upsert
-        staging = table_path(spark, "_staging", hashlib.sha1(path.encode()).hexdigest()[:16])
-        merged.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
+        check_layout(spark, new, path, partition_by)
+        rows = _complete_keys(new, path, [*keys, *([] if partition_by in keys else [partition_by])])
+        if not unique_keys:
+            rows = one_per_key(rows, keys, newest_by)
+        stored = stored_table(spark, path, new.schema)
+        if stored is not None:
+            touched, _ = _touched(stored, rows, partition_by)
+            rows = touched.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
+        staging = f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+        rebalanced(rows, partition_by).write.partitionBy(partition_by).parquet(staging)
     finally:
         new.unpersist()
-    (rebalanced(spark.read.schema(new.schema).parquet(staging), partition_by)
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(partition_by).parquet(path))
+    _write_text(spark, f"{staging}/{MARKER}", "")
+    _publish(spark, path, staging)
+
+
+def _publish(spark: SparkSession, path: str, staging: str) -> None:
+    """Put each staged partition in its place. Can be repeated: what is moved is no longer staged."""
+    fs, at = _fs(spark, path)
+    for status in fs.listStatus(at(staging)):
+        name = status.getPath().getName()
+        if status.isDirectory() and not name.startswith(("_", ".")):
+            target = at(f"{path.rstrip('/')}/{name}")
+            if fs.exists(target):
+                fs.delete(target, True)
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"cannot move {status.getPath()} to {target}")
+    fs.delete(at(staging), True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a publication that a crash cut short; drop a staging folder that was never complete."""
+    root = f"{path.rstrip('/')}/{STAGING}"
+    fs, at = _fs(spark, path)
+    if fs.exists(at(root)):
+        for status in fs.listStatus(at(root)):
+            staging = status.getPath().toString()
+            if fs.exists(at(f"{staging}/{MARKER}")):
+                _publish(spark, path, staging)
+            else:
+                fs.delete(status.getPath(), True)
+
+
+# -- tables of row versions --------------------------------------------------
+
+def write_version(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[str], version: str,
+                  name: str = "version") -> None:
+    """Store ``rows`` (one per key) as the version ``version`` (sortable text) of their keys.
+
+    Only this version's own partition is read and merged (a rerun may bring fewer keys); nothing
+    that other runs wrote is touched.
+    """
+    upsert(spark, rows.withColumn(name, F.lit(version)), path, [*keys, name], partition_by=name, unique_keys=True)
+
+
+def read_current(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
+                 name: str = "version") -> DataFrame:
+    """The newest version of each key."""
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(name, T.StringType())])).parquet(path)
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), name).alias("__row"))
+    return newest.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*[f.name for f in schema.fields])
+
+
+def compact_versions(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], upto: str,
+                     name: str = "version") -> None:
+    """Merge all versions up to ``upto`` into that one, so that readers stop reading replaced rows."""
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(name, T.StringType())])).parquet(path)
+    old = [r[0] for r in stored.where(F.col(name) <= upto).select(name).distinct().collect()]
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    merged = (stored.where(F.col(name) <= upto).groupBy(*keys).agg(F.max_by(F.struct(*rest), name).alias("__row"))
+              .select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*[f.name for f in schema.fields])
+              .withColumn(name, F.lit(upto)))
+    staging = f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+    merged.write.partitionBy(name).parquet(staging)
+    _write_text(spark, f"{staging}/{MARKER}", "")
+    _publish(spark, path, staging)
+    fs, at = _fs(spark, path)
+    for version in old:                       # after the merged version is in place these rows are only older copies
+        if version != upto:
+            fs.delete(at(f"{path.rstrip('/')}/{name}={version}"), True)
 
 
 def with_key_bucket(df: DataFrame, key: str = "url", buckets: int = 64,
                     name: str = "key_bucket") -> DataFrame:
-    """Add a hash bucket of ``key`` to partition an un-dated table for :func:`upsert`."""
-    return df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    """Add a hash bucket of ``key`` to partition an un-dated table for :func:`upsert`.
+
+    The count goes with the column; a table keeps the count it was made with.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(name, metadata={"buckets": buckets})
+    return df.select("*", bucket)
 
 
 def delimited_lines(df: DataFrame, sep: str = ";", null_text: str = "null") -> DataFrame:

@@ -153,12 +153,3 @@ def test_two_phase_price_lookup_equals_whole_history(spark):
     for cut in ("2024-01-05", "2024-01-15", "2024-01-21"):
         split = {(r.seq, r.price_value) for r in D.with_last_known_price(df, df, recent_from=cut).collect()}
         assert split == whole, cut
-
-
-def test_suggest_bucket_ms(spark):
-    from adlife.operators.asof import suggest_bucket_ms
-    rows = [("hot", i * 1000) for i in range(400)] + [("cold", 5)]
-    df = spark.createDataFrame(rows, "url string, load_time long")
-    assert suggest_bucket_ms(df, "url", "load_time", target_rows=1000) is None
-    width = suggest_bucket_ms(df, "url", "load_time", target_rows=100, min_ms=1)
-    assert 90_000 <= width <= 100_000          # ~a quarter of the hot key's 399 s span

@@ -2,7 +2,9 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from adlife import schemas
 from adlife.functions import html as H
@@ -172,3 +174,162 @@ def test_union_slices_keep_duplicates_and_sample_is_ordered(spark):
     assert T.scan_dates(df, ["d1", "d2", "d1"]).count() == 3              # one pruned scan
     assert [tuple(r) for r in T.sample(df, ["load_time"], 2, ["url", "load_time"]).collect()] == \
         [("b", 1), ("c", 2)]
+
+
+# -- lossless keyed writes ----------------------------------------------------
+
+def _rows(spark, path, schema, *cols):
+    return sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select(*cols).collect())
+
+
+def test_upsert_refuses_other_columns(spark, workdir):
+    schema = "load_date string, url string, v long, note string"
+    K.upsert(spark, spark.createDataFrame([("d1", "a", 1, "keep"), ("d1", "b", 1, "keep")], schema), workdir, ["load_date", "url"])
+    narrow = spark.createDataFrame([("d1", "a", 2)], "load_date string, url string, v long")
+    for write in (K.upsert, K.append_keyed):
+        with pytest.raises(ValueError):
+            write(spark, narrow, workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "url", "v", "note") == [("a", 1, "keep"), ("b", 1, "keep")]
+
+
+def test_rows_without_a_whole_key_are_set_aside(spark, workdir):
+    schema = "load_date string, url string, v long"
+    for _ in range(2):
+        K.upsert(spark, spark.createDataFrame([("d1", "a", 1), (None, "a", 1), ("d1", None, 7)], schema), workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "load_date", "url", "v") == [("d1", "a", 1)]
+    assert spark.read.parquet(workdir + "_rejected").count() == 4
+
+
+def test_redelivered_messages_without_timestamp_store_nothing(spark, workdir):
+    doc = _listing_doc(3, 1467632481477)
+    del doc["pageData"]["timestamp"]
+    batch = spark.createDataFrame([(json.dumps(doc),), (json.dumps(_listing_doc(2, 1467632481477)),)], "value string")
+    for _ in range(3):
+        I.ingest_batch(spark, batch, f"{workdir}/h", f"{workdir}/d", spark.createDataFrame([], "url string, html string"))
+    assert T.read_raw_headers(spark, f"{workdir}/h").count() == 2
+    assert T.read_raw_details(spark, f"{workdir}/d").count() == 2
+    assert spark.read.parquet(f"{workdir}/h_rejected").select("url").distinct().count() == 3
+
+
+def test_bucket_count_belongs_to_the_table(spark, workdir):
+    df = spark.createDataFrame([(f"u{i}", i) for i in range(50)], "url string, v long")
+    K.upsert(spark, K.with_key_bucket(df, buckets=64), workdir, ["url"], partition_by="key_bucket")
+    with pytest.raises(ValueError):
+        K.upsert(spark, K.with_key_bucket(df, buckets=128), workdir, ["url"], partition_by="key_bucket")
+    K.upsert(spark, K.with_key_bucket(df, buckets=64), workdir, ["url"], partition_by="key_bucket")
+    assert spark.read.parquet(workdir).count() == 50
+
+
+def test_a_crash_between_staging_and_publishing_loses_nothing(spark, workdir, monkeypatch):
+    schema = "load_date string, url string, v long"
+    K.upsert(spark, spark.createDataFrame([("d1", "a", 1), ("d2", "a", 1)], schema), workdir, ["load_date", "url"])
+    update = spark.createDataFrame([("d1", "a", 2), ("d2", "b", 2), ("d3", "c", 2)], schema)
+    publish = K._publish
+
+    def half(spark, path, staging):                 # one partition moved, then the driver dies
+        fs, at = K._fs(spark, path)
+        fs.delete(at(f"{path}/load_date=d1"), True)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(K, "_publish", half)
+    with pytest.raises(RuntimeError):
+        K.upsert(spark, update, workdir, ["load_date", "url"])
+    monkeypatch.setattr(K, "_publish", publish)
+    K.recover(spark, workdir)
+    want = [("d1", "a", 2), ("d2", "a", 1), ("d2", "b", 2), ("d3", "c", 2)]
+    assert _rows(spark, workdir, schema, "load_date", "url", "v") == want
+    # a staging folder that was never complete is dropped
+    update.write.partitionBy("load_date").parquet(f"{workdir}/_staging/half")
+    K.upsert(spark, update, workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "load_date", "url", "v") == want
+
+
+def test_equal_keys_pick_the_newest_row(spark, workdir):
+    schema = "load_date string, url string, load_time long, v string"
+    df = spark.createDataFrame([("d", "a", 1, "x"), ("d", "a", 3, "y"), ("d", "a", 2, "z")], schema)
+    K.upsert(spark, df, workdir, ["load_date", "url"], newest_by=["load_time"])
+    assert _rows(spark, workdir, schema, "v") == [("y",)]
+
+
+def test_versions_read_newest_and_compact(spark, workdir):
+    schema = T_.StructType.fromDDL("url string, v long")
+    for version, rows in (("1", [("a", 1), ("b", 1)]), ("2", [("a", 2)]), ("3", [("c", 3)]), ("2", [])):
+        K.write_version(spark, spark.createDataFrame(rows, schema), workdir, ["url"], version)
+    want = [("a", 2), ("b", 1), ("c", 3)]
+    assert sorted(tuple(r) for r in K.read_current(spark, workdir, schema, ["url"]).collect()) == want
+    K.compact_versions(spark, workdir, schema, ["url"], "2")
+    assert sorted(tuple(r) for r in K.read_current(spark, workdir, schema, ["url"]).collect()) == want
+    assert spark.read.parquet(workdir).count() == 3
+
+
+def test_clustered_files_are_ordered(spark, workdir):
+    df = spark.createDataFrame([(f"d{i % 2}", f"u{i % 7}", i) for i in range(60)], "load_date string, url string, load_time long")
+    K.write_clustered(df, workdir)
+    files = spark.read.parquet(workdir).select("load_date", "url", "load_time", F.input_file_name().alias("f")).collect()
+    by_file = {}
+    for r in files:
+        by_file.setdefault(r.f, []).append((r.url, -r.load_time))
+    assert all(rows == sorted(rows) for rows in by_file.values())
+
+
+# -- listing pages and ad pages -----------------------------------------------
+
+def test_listing_explode_tolerates_empty_arrays(spark):
+    def page(**ad):
+        full = {"title": [{"text": "Bil", "href": "u"}], "km": [{"text": "1 km"}], "price": [{"text": "1"}],
+                "location": [{"text": "S"}], "year": [{"text": "2001"}]}
+        return json.dumps({"extractorData": {"data": [{"group": [{**full, **ad}]}]}, "pageData": {"timestamp": 1}})
+    docs = [page(km=[]), page(title=[]), page(location=None), json.dumps({"extractorData": {"data": []}, "pageData": {"timestamp": 1}}),
+            json.dumps({"extractorData": {"data": [{"group": []}]}}), json.dumps({"extractorData": {"data": [{}]}}), "not json", page()]
+    rows = P.explode_listing(spark.createDataFrame([(d,) for d in docs], "value string")).collect()
+    assert sorted((r.url, r.title, r.km, r.location) for r in rows) == sorted([
+        ("u", "Bil", "NULL", "S"), ("NULL", "NULL", "1 km", "S"), ("u", "Bil", "1 km", "NULL"), ("u", "Bil", "1 km", "S")])
+
+
+def test_details_need_a_link_and_take_the_newest_page(spark):
+    headers = spark.createDataFrame([("u", "d", 1), ("u", "d", 2), ("NULL", "d", 1), ("gone", "d", 1)], "url string, load_date string, load_time long")
+    pages = spark.createDataFrame([("u", "<h1>old</h1>", 1), ("u", AD_PAGE, 2), ("x", None, 1)], "url string, html string, at long")
+    rows = P.details_from_listing(headers, pages, fetched="at").collect()
+    assert sorted((r.url, r.load_time, r.deleted) for r in rows) == [("gone", 1, True), ("u", 1, False), ("u", 2, False)]
+    assert all("Xenonpakke" in r.information for r in rows if r.url == "u")
+    gone = next(r for r in rows if r.url == "gone")
+    assert (gone.properties, gone.equipment, gone.information) == ('{"NULL":"NULL"}', '["NULL"]', '"NULL"')
+
+
+def test_page_text_keeps_no_break_spaces_and_deep_pages_parse():
+    assert H.parse("<p> 1&nbsp;440 \n kg </p>")[0].text() == "1\u00a0440 kg"
+    assert H.parse("<div>" + "<i>x" * 5000 + "</div>")[0].text() == "x" * 5000
+    wide = H.parse("<div>" + "<b>y</b>" * 10_000 + "</div>")
+    assert len(H.select(wide, "b + b")) == 9_999 and H.select_first(wide, "b:nth-child(9000)").place == 8_999
+
+
+def test_one_bad_page_does_not_fail_the_job(spark, monkeypatch):
+    pages = spark.createDataFrame([("ok", AD_PAGE), ("bad", "<h1>x</h1>")], "url string, html string")
+    got = {r.url: r for r in P.extract_pages(pages, {"title": "h1"}).collect()}
+    assert got["bad"].parse_error is None and got["ok"].parse_error is None
+    broken = {**{k: "h1" for k in ("properties", "equipment", "information", "title", "location", "year", "km", "price")}}
+    row = P._nothing_found("bad")
+    assert row["information"] == "MissingValues" and set(broken) <= set(row) | set(broken)
+
+
+def test_stream_under_a_processing_time_trigger(spark, workdir):
+    import time
+    src = f"{workdir}/src"
+    spark.createDataFrame([(json.dumps(_listing_doc(3, 1467632481477 + k)),) for k in range(2)], "value string").write.text(src)
+    stream = spark.readStream.schema("value string").text(src)
+    q = I.start_ingest(stream, f"{workdir}/h", f"{workdir}/d", f"{workdir}/ck", processing_time="200 milliseconds")
+    try:
+        until = time.time() + 60
+        while time.time() < until and not any(p["numInputRows"] for p in q.recentProgress):
+            time.sleep(0.3)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert T.read_raw_headers(spark, f"{workdir}/h").count() == 6
+
+
+def test_null_keys_never_match_in_an_as_of_look_up(spark):
+    from adlife.operators.asof import asof_lookup
+    p = spark.createDataFrame([(1, None, 5), (2, "a", 5)], "pid long, key string, t long")
+    b = spark.createDataFrame([(None, 1, "x"), ("a", 1, "y")], "key string, bt long, v string")
+    for bucket in (None, 2):
+        assert {r.pid: r.v for r in asof_lookup(p, b, "key", "t", "bt", ["v"], bucket_ms=bucket).collect()} == {1: None, 2: "y"}

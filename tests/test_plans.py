@@ -38,12 +38,16 @@ def test_daily_build_is_python_free_and_join_safe(spark):
     assert not any(x in p for x in NO_GO + PYTHON)
 
 
-def test_lifecycle_is_one_partial_then_final_aggregation(spark):
+def test_lifecycle_reads_fat_columns_of_the_delta_only(spark):
     daily = T.read_daily(spark, tb.daily_table(spark, SF))
     p = plan(lc.lifecycle_rollup(daily, "2024-01-30", "2024-01-28"))
     assert "partial_max_by" in p and "partial_min_by" in p            # map-side combine
-    assert p.count("Exchange hashpartitioning(url") == 1              # one shuffle, on url
-    assert "PartitionFilters" in p and "2023-01-30" in p               # window pruned at the scan
+    scans = [x for x in p.split("FileScan")[1:]]
+    year = [x for x in scans if "2023-01-30" in x]
+    assert len(year) == 1 and not any(c in year[0].split("ReadSchema")[1] for c in ("properties", "equipment", "information"))
+    fat = [x for x in scans if "properties" in x.split("ReadSchema")[1]]
+    assert len(fat) == 1 and "2024-01-28" in fat[0].split("PushedFilters")[0]
+    assert "LeftSemi" in p
     assert not any(x in p for x in NO_GO + PYTHON)
 
 
@@ -55,3 +59,29 @@ def test_asof_windows_by_key_and_bucket(spark):
     assert not any(x in p for x in NO_GO + PYTHON)
     single = plan(asof_lookup(sold, h, "url", "load_time", "load_time", ["price"], bucket_ms=None))
     assert "__b" not in single
+
+
+def test_sinks_prune_the_stored_scan(spark):
+    from adlife.sinks.tables import _touched
+    h, _ = tb.stored_raw(spark, SF)
+    new = h.where(F.col("load_date").isin("2024-01-05", "2024-01-06"))
+    touched, values = _touched(h, new, "load_date")
+    p = plan(touched)
+    assert sorted(values) == ["2024-01-05", "2024-01-06"]
+    assert "PartitionFilters" in p and all(v in p.split("PartitionFilters")[1].split("]")[0] for v in values)
+
+
+def test_details_merge_prices_first(spark):
+    h, d = tb.stored_raw(spark, SF)
+    p = plan(D.merge_header_details(h, d))
+    assert not any(x in p for x in NO_GO + PYTHON)
+    # the price look-up has no details payload among its inputs: its sold rows are joined before details are read
+    semi = p.index("LeftSemi")
+    assert "properties" not in p[semi:semi + 4000].split("Window")[0]
+
+
+def test_listing_details_semi_join_pages_first(spark):
+    from adlife.operators.pages import newest_pages
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    p = plan(newest_pages(pages, pages.select("url").where("url like '%1'").distinct()))
+    assert "LeftSemi" in p and p.index("max_by") < p.index("LeftSemi")
