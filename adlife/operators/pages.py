@@ -33,10 +33,14 @@ HEADER_FIELDS = ("location", "title", "year", "km", "price")
 
 def explode_listing(messages: DataFrame, zone: str = "UTC", value_col: str = "value") -> DataFrame:
     """Raw header rows (RAW_HEADER) from page messages in column ``value_col``."""
-    page = F.from_json(F.col(value_col), schemas.LISTING_PAGE)
-    ads = (messages.select(page.alias("p"))
-                   .select(F.col("p.pageData.timestamp").alias("load_time"),
-                           F.explode(F.get(F.col("p.extractorData.data"), F.lit(0))["group"]).alias("ad")))
+    return explode_documents(messages.select(F.from_json(F.col(value_col), schemas.LISTING_PAGE).alias("doc")), zone)
+
+
+def explode_documents(docs: DataFrame, zone: str = "UTC", doc_col: str = "doc") -> DataFrame:
+    """Raw header rows (RAW_HEADER) from parsed listing pages (schema LISTING_PAGE) in ``doc_col``."""
+    page = F.col(doc_col)
+    ads = docs.select(page["pageData"]["timestamp"].alias("load_time"),
+                      F.explode(F.get(page["extractorData"]["data"], F.lit(0))["group"]).alias("ad"))
 
     def first_text(field: str, attr: str = "text"):
         return F.coalesce(F.get(F.col("ad")[field], F.lit(0))[attr], F.lit(config.NULL_TEXT))

@@ -309,13 +309,18 @@ def table_sample(spark, sf_dir):
 
 
 @register("ordered_history", "WITH " + O.EV + """
-SELECT url, load_date, load_time, event_id AS seq FROM hdr""")
+SELECT url, load_date, load_time, event_id AS seq, true AS in_order FROM hdr""")
 def ordered_history(spark, sf_dir):
+    """Every row with whether it stands behind its predecessor in the file: url, then newest first."""
+    from pyspark.sql import Window
     h, _ = _raw_tables(spark, sf_dir)
     path = table_path(spark, "runs", "ordered_history", tb.uuid_tag())
     sinks.write_clustered(h, path)
-    back = sources.read_raw_headers(spark, path, with_seq=True)
-    return back.select("url", "load_date", "load_time", "seq")
+    back = sources.read_raw_headers(spark, path, with_seq=True).select(
+        "url", "load_date", "load_time", "seq", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row"))
+    place, order = Window.partitionBy("file").orderBy("row"), F.struct("url", -F.col("load_time"))
+    return back.withColumn("in_order", F.coalesce(F.lag(order).over(place) <= order, F.lit(True))).drop("file", "row")
 
 
 @register("ingest_counts", "WITH " + O.EV + """
@@ -341,18 +346,23 @@ def temp_view_sql(spark, sf_dir):
 
 
 @register("json_lines_source", "WITH " + O.EV + """
-SELECT url, load_date, load_time, event_id AS seq, 'Listing ' || CAST(user_id AS VARCHAR) AS title,
-       CAST(CASE WHEN event_type = 'view' THEN cents ELSE -1 END AS INTEGER) AS price
-FROM hdr""")
+SELECT 'header' AS kind, url, load_date, load_time, event_id AS seq, 'Listing ' || CAST(user_id AS VARCHAR) AS title,
+       CAST(CASE WHEN event_type = 'view' THEN cents ELSE -1 END AS INTEGER) AS price, CAST(NULL AS BOOLEAN) AS deleted
+FROM hdr UNION ALL
+SELECT 'details', url, load_date, load_time, event_id, NULL, NULL, event_type = 'error' FROM det""")
 def json_lines_source(spark, sf_dir):
     from pyspark.sql import types as T
     from adlife import schemas
-    h, _ = tb.raw_from_events(spark, sf_dir)
-    path = table_path(spark, "runs", "json_lines", tb.uuid_tag())
-    h.write.mode("overwrite").json(path)
-    back = file_sources.read_json_lines(spark, path, schemas.extended(schemas.RAW_HEADER, ("seq", T.LongType())))
-    return back.select("url", "load_date", "load_time", "seq", "title",
-                       parse.parse_price("price").alias("price"))
+    h, d = tb.raw_from_events(spark, sf_dir)
+    run = table_path(spark, "runs", "json_lines", tb.uuid_tag())
+    h.write.mode("overwrite").json(f"{run}/headers")
+    d.write.mode("overwrite").json(f"{run}/details")
+    seq = ("seq", T.LongType())
+    headers = file_sources.read_json_lines(spark, f"{run}/headers", schemas.extended(schemas.RAW_HEADER, seq))
+    details = file_sources.read_json_lines(spark, f"{run}/details", schemas.extended(schemas.RAW_DETAILS, seq))
+    key = ["url", "load_date", "load_time", "seq"]
+    return headers.select(F.lit("header").alias("kind"), *key, "title", parse.parse_price("price").alias("price")).unionByName(
+        details.select(F.lit("details").alias("kind"), *key, "deleted"), allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------------------
@@ -635,7 +645,8 @@ FROM hrefs h LEFT JOIN exd e ON e.page_id = h.page_id""")
 def page_extract_deleted(spark, sf_dir):
     urls = _listing_headers(spark, sf_dir).select("url").distinct()
     pages = tb.read_table(spark, sf_dir, "pages").select("url", "html")
-    ex = page_ops.extract_pages(urls.join(pages, "url", "left"), PAGE_SELECTORS)
+    found = page_ops.newest_pages(pages, urls)
+    ex = page_ops.extract_pages(urls.join(found, "url", "left"), PAGE_SELECTORS)
     return ex.select("url", "deleted", "title", "information",
                      F.array_join("equipment", "|").alias("equipment"),
                      render_map("properties").alias("properties"))
@@ -674,15 +685,26 @@ SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHA
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN pages p ON p.page_id = l.l_partkey""")
 def explode_listing_page(spark, sf_dir):
-    path = tb.listing_message_files(spark, sf_dir)
-    docs = file_sources.read_json_documents(spark, path, "struct<x:string>", whole_text=False)
-    headers = page_ops.explode_listing(docs)
+    headers = _listing_headers(spark, sf_dir)
     return headers.select("url", "load_date", "load_time", "title", "location",
                           parse.parse_year("year").alias("year"), parse.parse_km("km").alias("km"),
                           (F.col("km") == config.NULL_TEXT).alias("km_missing"),
                           parse.parse_price("price").alias("price"))
 
 
+@register("json_documents_source", """
+SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
+       strftime(TIMESTAMP '2024-01-01' + (l.l_orderkey // 360) * INTERVAL 1 HOUR, '%Y-%m-%d') AS load_date,
+       1704067200000 + (l.l_orderkey // 360) * 3600000 AS load_time,
+       'Ad ' || CAST(10000000 + l.l_orderkey * 8 + l.l_linenumber AS VARCHAR) AS title,
+       'Area ' || CAST(l.l_suppkey AS VARCHAR) AS location
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN pages p ON p.page_id = l.l_partkey""")
+def json_documents_source(spark, sf_dir):
+    from adlife import schemas
+    docs = file_sources.read_json_documents(spark, tb.listing_documents(spark, sf_dir), schemas.LISTING_PAGE)
+    return page_ops.explode_documents(docs).select("url", "load_date", "load_time", "title", "location")
+
+
 # ---------------------------------------------------------------------------
 # Streaming ingest
 # ---------------------------------------------------------------------------
@@ -690,18 +712,24 @@ def explode_listing_page(spark, sf_dir):
 from adlife.streaming import ingest as stream_ops  # noqa: E402
 
 
-@register("stream_ingest", """
-WITH ads AS (
-  SELECT strftime(TIMESTAMP '2024-01-01' + o.o_orderkey * INTERVAL 10 SECOND, '%Y-%m-%d') AS load_date,
-         1704067200000 + o.o_orderkey * 10000 AS load_time,
-         coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
-         p.page_id IS NULL AS gone
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-  LEFT JOIN pages p ON p.page_id = l.l_partkey),
-keys AS (SELECT DISTINCT load_date, url, load_time, gone FROM ads)
-SELECT load_date, count(*) AS n_headers, count(*) AS n_details, count(*) FILTER (WHERE gone) AS n_deleted
-FROM keys GROUP BY load_date""")
+@register("stream_ingest", "WITH " + _EXTRACTED + """,
+ads AS (
+  SELECT coalesce(p.url, 'https://ads.example/gone/' || CAST(l.l_partkey AS VARCHAR)) AS url,
+         strftime(TIMESTAMP '2024-01-01' + o.o_orderkey * INTERVAL 10 SECOND, '%Y-%m-%d') AS load_date,
+         1704067200000 + o.o_orderkey * 10000 AS load_time, p.page_id,
+         'Ad ' || CAST(10000000 + l.l_orderkey * 8 + l.l_linenumber AS VARCHAR) AS title,
+         'Area ' || CAST(l.l_suppkey AS VARCHAR) AS location, CAST(year(l.l_shipdate) AS INTEGER) AS year,
+         CAST(CASE WHEN l.l_returnflag = 'R' THEN -1 ELSE CAST(l.l_quantity AS INTEGER) * 1000 END AS INTEGER) AS km,
+         CAST(floor(l.l_extendedprice) AS INTEGER) AS price
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN pages p ON p.page_id = l.l_partkey),
+kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY load_date, url, load_time ORDER BY title DESC) AS rn
+                        FROM ads) t WHERE rn = 1)
+SELECT k.url, k.load_date, k.load_time, k.title, k.location, k.year, k.km, k.price, k.page_id IS NULL AS deleted,
+       CASE WHEN k.page_id IS NULL THEN 'NULL' ELSE e.information END AS information,
+       CASE WHEN k.page_id IS NULL THEN 'NULL' ELSE e.equipment END AS equipment
+FROM kept k LEFT JOIN exd e ON e.page_id = k.page_id""")
 def stream_ingest(spark, sf_dir):
+    """The stored rows of both raw tables after the stream has drained its messages."""
     run = table_path(spark, "runs", "stream", tb.uuid_tag())
     source = tb.listing_message_files(spark, sf_dir)
     messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 8).text(source)
@@ -709,15 +737,14 @@ def stream_ingest(spark, sf_dir):
     q = stream_ops.start_ingest(messages, f"{run}/acq_header", f"{run}/acq_details", f"{run}/_checkpoint",
                                 pages=pages, selectors=PAGE_SELECTORS, available_now=True)
     q.awaitTermination()
-    h = sources.read_raw_headers(spark, f"{run}/acq_header")
-    d = sources.read_raw_details(spark, f"{run}/acq_details")
-    hc = h.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_headers"))
-    dc = d.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_details"),
-                                    F.count_if("deleted").alias("n_deleted"))
-    return hc.join(dc, "load_date", "full").select(
-        "load_date", F.coalesce("n_headers", F.lit(0)).alias("n_headers"),
-        F.coalesce("n_details", F.lit(0)).alias("n_details"),
-        F.coalesce("n_deleted", F.lit(0)).alias("n_deleted"))
+    key = ["load_date", "url", "load_time"]
+    h = sources.read_raw_headers(spark, f"{run}/acq_header").select(
+        *key, "title", "location", parse.parse_year("year").alias("year"), parse.parse_km("km").alias("km"),
+        parse.parse_price("price").alias("price"))
+    d = sources.read_raw_details(spark, f"{run}/acq_details").select(
+        *key, "deleted", jsontext.json_string("information").alias("information"),
+        F.array_join(F.from_json("equipment", "array<string>"), "|").alias("equipment"))
+    return h.join(d, key, "full")
 
 
 # ---------------------------------------------------------------------------

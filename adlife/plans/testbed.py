@@ -357,6 +357,23 @@ def listing_message_files(spark: SparkSession, sf_dir: str) -> str:
                                    .select("value").write.mode("overwrite").text(p))
 
 
+def listing_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Pretty-printed whole-file documents: one file per hour of crawling, its ads in one group."""
+    from adlife import schemas
+
+    def build(path):
+        page = F.from_json("value", schemas.LISTING_PAGE)
+        hour = F.floor(F.col("p.pageData.timestamp") / 3_600_000)
+        ads = (listing_messages(spark, sf_dir).select(page.alias("p"))
+               .select(hour.alias("hour"), F.explode(F.get("p.extractorData.data", F.lit(0))["group"]).alias("ad")))
+        doc = F.struct(
+            F.struct(F.array(F.struct(F.col("ads").alias("group"))).alias("data")).alias("extractorData"),
+            F.struct((F.col("hour") * 3_600_000).alias("timestamp")).alias("pageData"))
+        docs = ads.groupBy("hour").agg(F.collect_list("ad").alias("ads"))     # one crawled hour is one document
+        docs.select("hour", F.to_json(doc, {"pretty": "true"}).alias("value")).write.mode("overwrite").partitionBy("hour").text(path)
+    return written_table(spark, sf_dir, "listing_documents", build)
+
+
 def stored_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The raw header / details tables as stored (date-partitioned, with ``seq``)."""
     from adlife.sources.tables import read_raw_details, read_raw_headers
