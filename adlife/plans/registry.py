@@ -722,7 +722,7 @@ ads AS (
          CAST(CASE WHEN l.l_returnflag = 'R' THEN -1 ELSE CAST(l.l_quantity AS INTEGER) * 1000 END AS INTEGER) AS km,
          CAST(floor(l.l_extendedprice) AS INTEGER) AS price
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN pages p ON p.page_id = l.l_partkey),
-kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY load_date, url, load_time ORDER BY title DESC) AS rn
+kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY load_date, url, load_time ORDER BY title DESC, location DESC, year DESC) AS rn
                         FROM ads) t WHERE rn = 1)
 SELECT k.url, k.load_date, k.load_time, k.title, k.location, k.year, k.km, k.price, k.page_id IS NULL AS deleted,
        CASE WHEN k.page_id IS NULL THEN 'NULL' ELSE e.information END AS information,
