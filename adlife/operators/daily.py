@@ -28,7 +28,7 @@ def _tiebreak(df: DataFrame) -> str | None:
 
 def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str = "price",
                           out_col: str = "price_value", marker: str = config.SOLD_MARKER,
-                          until_date: str | None = None, recent_from: str | None = None,
+                          until_date: str | None = None, older: DataFrame | None = None,
                           bucket_ms: int | None = config.DEFAULT_ASOF_BUCKET_MS) -> DataFrame:
     """Add ``out_col`` (int) to ``rows`` (columns url, load_time, ``price_col``).
 
@@ -38,38 +38,36 @@ def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str
     share the text sentinel as url; they have no history, so sold ones get -1. The newest unsold
     row is chosen before parsing, so an unparsable one is not skipped.
 
-    With ``recent_from`` (ISO date), sold rows dated on or after it look up
-    the history partitions from that date on plus, per url, only the newest
-    unsold row of the older partitions (one ``groupBy(url)``, combined
-    map-side): no older row can beat that one for such a probe, so the result
-    is exact while a daily run shuffles recent history only. Sold rows dated
-    before ``recent_from`` use the whole history.
+    ``older`` (columns url, load_time, price and the tiebreak if there is one)
+    adds stored candidates: the newest unsold row per url of the partitions
+    that ``history`` leaves out. No older row can beat it for a probe that is
+    not older itself, so the result is exact while only recent partitions of
+    the raw history are read (:func:`newest_unsold` makes such rows).
     """
     sold = parse.is_sold(F.col(price_col), marker)
     unsold_rows = rows.where(~sold).withColumn(out_col, parse.parse_price(price_col))
-    sold_rows = rows.where(sold)
+    probes = rows.where(sold)
     candidates = history.where(~parse.is_sold(F.col("price"), marker) & (F.col("url") != config.NULL_TEXT))
     if until_date is not None:
         candidates = candidates.where(F.col("load_date") <= F.lit(until_date))
     tiebreak = _tiebreak(candidates)
+    keep = ["url", "load_time", "price"] + ([tiebreak] if tiebreak else [])
+    candidates = candidates.select(*keep)
+    if older is not None:
+        candidates = candidates.unionByName(older.select(*keep))
+    candidates = candidates.join(probes.select("url").distinct(), "url", "left_semi")
+    found = asof_lookup(probes, candidates, "url", "load_time", "load_time", {"__prev_price": "price"},
+                        build_tiebreak=tiebreak, bucket_ms=bucket_ms)
+    return unsold_rows.unionByName(found.withColumn(out_col, parse.parse_price("__prev_price")).drop("__prev_price"))
 
-    def look_up(probes: DataFrame, cands: DataFrame) -> DataFrame:
-        cands = cands.join(probes.select("url").distinct(), "url", "left_semi")
-        found = asof_lookup(probes, cands, "url", "load_time", "load_time", {"__prev_price": "price"},
-                            build_tiebreak=tiebreak, bucket_ms=bucket_ms)
-        return found.withColumn(out_col, parse.parse_price("__prev_price")).drop("__prev_price")
-
-    if recent_from is None:
-        return unsold_rows.unionByName(look_up(sold_rows, candidates))
-    recent = F.col("load_date") >= F.lit(recent_from)
-    late, early = sold_rows.where(recent), sold_rows.where(~recent)
-    keep = ["url", "load_date", "load_time", "price"] + ([tiebreak] if tiebreak else [])
-    older_newest = last_record(
-        candidates.where(~recent).select(*keep).join(late.select("url").distinct(), "url", "left_semi"),
-        "url", order=["load_time"] + ([tiebreak] if tiebreak else []))
-    build = candidates.where(recent).select(*keep).unionByName(older_newest.select(*keep))
-    return (unsold_rows.unionByName(look_up(late, build))
-                       .unionByName(look_up(early, candidates)))
+
+def newest_unsold(headers: DataFrame, marker: str = config.SOLD_MARKER) -> DataFrame:
+    """(url, load_time, price[, seq]) of the newest unsold header of every url, map-side combined."""
+    tiebreak = _tiebreak(headers)
+    keep = ["url", "load_time", "price"] + ([tiebreak] if tiebreak else [])
+    unsold = headers.where(~parse.is_sold(F.col("price"), marker) & F.col("url").isNotNull()
+                           & (F.col("url") != config.NULL_TEXT)).select(*keep)
+    return last_record(unsold, "url", order=["load_time"] + ([tiebreak] if tiebreak else [])).select(*keep)
 
 
 def typed_columns(price: str = "price_value", marker: str = config.SOLD_MARKER,
@@ -95,29 +93,30 @@ def typed_columns(price: str = "price_value", marker: str = config.SOLD_MARKER,
 def latest_header_details(headers: DataFrame, details: DataFrame) -> DataFrame:
     """Newest header and newest details per (load_date, url), inner-joined."""
     h = latest_per_key(headers, ("load_date", "url"), order_columns(headers))
+    return _with_latest_details(h, details)
+
+
+def _with_latest_details(latest_headers: DataFrame, details: DataFrame) -> DataFrame:
     d = latest_per_key(details.select("load_date", "url", "load_time", *DETAIL_VALUES,
                                       *(["seq"] if "seq" in details.columns else [])),
                        ("load_date", "url"), order_columns(details))
-    return h.join(d.select("load_date", "url", *DETAIL_VALUES), ["load_date", "url"])
+    return latest_headers.join(d.select("load_date", "url", *DETAIL_VALUES), ["load_date", "url"])
 
 
 def build_daily(headers: DataFrame, details: DataFrame, history: DataFrame | None = None, *,
                 marker: str = config.SOLD_MARKER, until_date: str | None = None,
-                recent_from: str | None = None,
+                older: DataFrame | None = None,
                 bucket_ms: int | None = config.DEFAULT_ASOF_BUCKET_MS) -> DataFrame:
     """Typed daily rows (schema :data:`adlife.schemas.DAILY`) for the given raw slices.
 
-    ``history`` is the full raw header table used for sold-price look-back
-    (default: ``headers``). The price of a header depends only on its own
-    (url, load_time) and the history, so it is computed on the raw slice
-    (cheap scans on both sides of the as-of) before the newest header of
-    each day is picked; the plan stays one linear chain of shuffles.
+    ``history`` is the raw header table used for sold-price look-back (default:
+    ``headers``), ``older`` the stored newest unsold rows of what it leaves out.
+    Only the header that is kept of each day is priced.
     """
-    priced = with_last_known_price(headers, history if history is not None else headers,
-                                   marker=marker, until_date=until_date, recent_from=recent_from,
-                                   bucket_ms=bucket_ms)
-    joined = latest_header_details(priced, details)
-    return joined.select(*typed_columns(marker=marker))
+    latest = latest_per_key(headers, ("load_date", "url"), order_columns(headers))
+    priced = with_last_known_price(latest, history if history is not None else headers, marker=marker,
+                                   until_date=until_date, older=older, bucket_ms=bucket_ms)
+    return _with_latest_details(priced, details).select(*typed_columns(marker=marker))
 
 
 def merge_header_details(headers: DataFrame, details: DataFrame, history: DataFrame | None = None,

@@ -6,9 +6,10 @@ One run, for a given ``today`` (a parameter, never the clock inside a plan):
    margin (else the first-load date) — one scalar comes back to the driver;
 2. the delta is every date from that one (inclusive, so a partly loaded
    day is reloaded) to ``today``: a partition-pruned scan of both raw tables;
-3. build the typed daily rows for the delta (sold prices looked up over the
-   raw header history up to ``today``: recent partitions first, older ones
-   only for listings not resolved there) and upsert them on (load_date, url);
+3. bring the table of newest unsold prices forward to the look-back's start
+   (it reads only the raw partitions since its last version), build the typed
+   daily rows for the delta (sold prices looked up in the raw partitions of the
+   look-back and that table) and upsert them on (load_date, url);
 4. roll the daily window (``today`` - 365 days) up to lifecycle rows for the
    urls seen in the delta and store them as this run's version of their urls.
 
@@ -19,12 +20,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlife import config, schemas
 from adlife.functions.dates import iso_shift
-from adlife.operators.daily import build_daily
+from adlife.operators.daily import build_daily, newest_unsold
 from adlife.operators.lifecycle import lifecycle_rollup
 from adlife.sinks.tables import read_current, stored_table, upsert, write_version
 from adlife.sources import tables as src
@@ -36,6 +38,12 @@ class Tables:
     raw_details: str
     daily: str
     lifecycle: str
+    prices: str | None = None
+
+    @property
+    def price_table(self) -> str:
+        """Newest unsold price per url, in versions; beside the daily table unless named."""
+        return self.prices or f"{self.daily.rstrip('/')}_prices"
 
 
 def read_lifecycle(spark: SparkSession, path: str):
@@ -43,6 +51,25 @@ def read_lifecycle(spark: SparkSession, path: str):
     return read_current(spark, path, schemas.LIFECYCLE, ["url"])
 
 
+def price_schema(headers: DataFrame) -> T.StructType:
+    return T.StructType([headers.schema[c] for c in ("url", "load_time", "price", "seq") if c in headers.columns])
+
+
+def prices_before(spark: SparkSession, path: str, headers: DataFrame, day: str) -> DataFrame:
+    """The newest unsold header of every url in the partitions before ``day``.
+
+    The table at ``path`` holds versions; version d has the urls with unsold rows since the version
+    before it. Raw partitions are read only from the last version up to ``day``, once.
+    """
+    schema = price_schema(headers)
+    stored = stored_table(spark, path, T.StructType([*schema.fields, T.StructField("version", T.StringType())]))
+    last = None if stored is None else stored.where(F.col("version") <= day).agg(F.max("version")).first()[0]
+    if last is None or last < day:
+        since = F.col("load_date") < day if last is None else (F.col("load_date") >= last) & (F.col("load_date") < day)
+        write_version(spark, newest_unsold(headers.where(since)), path, ["url"], day)
+    return read_current(spark, path, schema, ["url"], upto=day)
+
+
 def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
                     window_days: int = config.LIFECYCLE_WINDOW_DAYS,
                     margin_days: int = config.SAFETY_MARGIN_DAYS,
@@ -57,11 +84,11 @@ def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
     headers = src.read_raw_headers(spark, tables.raw_headers, with_seq=with_seq)
     details = src.read_raw_details(spark, tables.raw_details, with_seq=with_seq)
     in_delta = F.col("load_date").between(start, today)
-    # sold prices: look back over the delta and the safety margin first, older history only
-    # for the listings not resolved there (exact either way)
+    # sold prices: the raw partitions of the delta and the safety margin, and one stored row per url before
+    recent_from = iso_shift(start, -margin_days)
+    older = prices_before(spark, tables.price_table, headers, recent_from)
     daily_delta = build_daily(headers.where(in_delta), details.where(in_delta),
-                              history=headers.where(F.col("load_date") <= today),
-                              recent_from=iso_shift(start, -margin_days))
+                              history=headers.where(F.col("load_date").between(recent_from, today)), older=older)
     # one row per (load_date, url) and per url by construction: no de-dup shuffle
     upsert(spark, daily_delta, tables.daily, ["load_date", "url"], unique_keys=True)
     daily = src.read_daily(spark, tables.daily)

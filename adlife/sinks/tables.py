@@ -236,9 +236,14 @@ def write_version(spark: SparkSession, rows: DataFrame, path: str, keys: Sequenc
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                 name: str = "version") -> DataFrame:
-    """The newest version of each key."""
-    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(name, T.StringType())])).parquet(path)
+                 name: str = "version", upto: str | None = None) -> DataFrame:
+    """The newest version of each key, among the versions up to ``upto`` if that is given."""
+    full = T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+    stored = stored_table(spark, path, full)
+    if stored is None:
+        return spark.createDataFrame([], schema)
+    if upto is not None:
+        stored = stored.where(F.col(name) <= upto)
     rest = [f.name for f in schema.fields if f.name not in keys]
     newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), name).alias("__row"))
     return newest.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*[f.name for f in schema.fields])

@@ -151,5 +151,7 @@ def test_two_phase_price_lookup_equals_whole_history(spark):
                                      "location string, year string, km string, price string, seq long")
     whole = {(r.seq, r.price_value) for r in D.with_last_known_price(df, df).collect()}
     for cut in ("2024-01-05", "2024-01-15", "2024-01-21"):
-        split = {(r.seq, r.price_value) for r in D.with_last_known_price(df, df, recent_from=cut).collect()}
-        assert split == whole, cut
+        late = F.col("load_date") >= cut
+        split = {(r.seq, r.price_value) for r in D.with_last_known_price(
+            df.where(late), df.where(late), older=D.newest_unsold(df.where(~late))).collect()}
+        assert split == {(seq, v) for seq, v in whole if rows[seq][1] >= cut}, cut

@@ -333,3 +333,17 @@ def test_null_keys_never_match_in_an_as_of_look_up(spark):
     b = spark.createDataFrame([(None, 1, "x"), ("a", 1, "y")], "key string, bt long, v string")
     for bucket in (None, 2):
         assert {r.pid: r.v for r in asof_lookup(p, b, "key", "t", "bt", ["v"], bucket_ms=bucket).collect()} == {1: None, 2: "y"}
+
+
+def test_price_table_moves_forward_without_old_history(spark, workdir):
+    from adlife.operators.daily import newest_unsold
+    from adlife.plans import batch as B
+    rows = [("u", "2024-01-01", 1, "10,-"), ("v", "2024-01-02", 2, "20,-"), ("u", "2024-01-05", 5, "30,-"), ("u", "2024-01-06", 6, "Solgt"),
+            ("NULL", "2024-01-06", 6, "1,-"), ("w", "2024-01-08", 8, "40,-")]
+    headers = spark.createDataFrame(rows, "url string, load_date string, load_time long, price string")
+    path = f"{workdir}/prices"
+    for day in ("2024-01-03", "2024-01-07", "2024-01-07", "2024-01-09", "2024-01-04"):
+        got = sorted(map(tuple, B.prices_before(spark, path, headers, day).collect()))
+        assert got == sorted(map(tuple, newest_unsold(headers.where(F.col("load_date") < day)).collect())), day
+    # once a version is there, raw history before it is not read again
+    assert B.prices_before(spark, path, headers.where("load_date >= '2024-01-09'"), "2024-01-10").count() == 3
