@@ -63,9 +63,9 @@ def test_asof_details_merge_picks_newest_live_details(spark):
     merged = {(r.finnkode, r.load_time): r for r in D.merge_header_details(headers, details).collect()}
     third = merged[(78866263, 1451604800000)]
     # the deleted details row at the same time is skipped; raw text is copied (Q6)
-    assert third.information == "Fin bil. NEDSATT PRIS" and third.deleted is False
+    assert third.information == "First text, second version" and third.deleted is False
     assert third.properties == {"Salgsform": "Bruktbil til salgs", "Girkasse": "Automat", "Antall seter": "5"}
-    assert merged[(-1, 1451604800000)].information == "Veldig fin bil"       # 7-digit code -> -1
+    assert merged[(-1, 1451604800000)].information == "Other text"       # 7-digit code -> -1
 
 
 def test_last_known_price(spark):
@@ -88,7 +88,7 @@ def test_build_daily_from_raw_fixture(spark):
     vw = by[78866263]
     assert vw.price == 145000 and vw.deleted is True and vw.properties == {"NULL": "NULL"}
     assert vw.equipment == ["NULL"] and vw.information == "NULL"
-    assert by[-1].information == "Veldig fin bil" and by[-1].km == 10
+    assert by[-1].information == "Other text" and by[-1].km == 10
 
 
 def test_lifecycle_matches_reference_expectations(spark):
