@@ -8,7 +8,7 @@ Main entry points (all take and return DataFrames unless noted):
 * ``operators.records.latest_per_key`` / ``first_record`` / ``last_record``
 * ``operators.pages.explode_listing`` / ``extract_pages`` / ``details_from_listing``
 * ``sources.tables`` — pruned scans, ``latest_load_date``, ``delta_dates``
-* ``sinks.tables`` — ``append_keyed``, ``upsert``, ``export_delimited``, ``write_clustered``
+* ``sinks.tables`` — ``append_keyed``, ``upsert``, ``write_version``, ``read_current``, ``export_delimited``, ``write_clustered``
 * ``streaming.ingest.start_ingest`` — Structured Streaming ingest (returns a StreamingQuery)
 * ``plans.batch.run_daily_batch`` — the incremental daily job
 """
