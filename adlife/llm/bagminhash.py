@@ -17,9 +17,12 @@ Candidates. ``BANDS`` bands of ``ROWS`` components; at similarity 0.8 a pair
 shares no band with probability 3e-6. Equal texts are merged first. In each
 bucket all members are compared with one leader only; texts that these links
 have already joined need no further comparison. Members of a bucket that are in
-different components afterwards are then compared with each other, so each
-shared bucket ends with its members compared or joined. Every comparison is the
-exact multiset overlap of the whole texts.
+different components afterwards are paired, once per pair (in the least bucket
+they share), but for pairs that a finer sketch rules out: ``FINE`` components of
+two bits, whose mismatches exceed what similarity 0.8 gives by ``SIGMAS``
+standard deviations (a chance of 3e-6 at exactly 0.8, less above). So each shared
+bucket ends with its members compared, joined or ruled out. Every comparison is
+the exact multiset overlap of the whole texts.
 
 Defined cases: a null, empty or blank text has no runs and stays alone; rows
 with equal words (however spaced) share a class; rows are told apart by their
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -44,6 +47,7 @@ from adlife.llm.components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
+FINE, SIGMAS = 1024, 4.5
 PIECE_BYTES = 1 << 20
 
 _U = np.uint64
@@ -173,6 +177,46 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def fine_sketches(sig: np.ndarray) -> np.ndarray:
+    """Two bits of every component, 32 components a 64-bit number."""
+    bits = mix(sig) & _U(3)
+    return (bits.reshape(len(sig), -1, 32) << (_U(2) * np.arange(32, dtype=np.uint64))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def mismatches(a: Column, b: Column) -> Column:
+    """Components in which two fine sketches differ."""
+    def differ(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        return F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return F.aggregate(F.zip_with(a, b, differ), F.lit(0), lambda n, x: n + x)
+
+
+def most_mismatches(similarity: float) -> int:
+    """Of texts at ``similarity``: the mean plus ``SIGMAS`` standard deviations (two bits agree by chance in 1 of 4)."""
+    p = (1 - similarity) * 0.75
+    return int(FINE * p + SIGMAS * (FINE * p * (1 - p)) ** 0.5)
+
+
+def sketched(texts: DataFrame) -> DataFrame:
+    """(digest, fine) of written texts (digest, t)."""
+    ship_package(texts.sparkSession)
+    schema = StructType.fromDDL("digest binary, fine array<bigint>")
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for part in pieces(texts):
+                doc, runs, count, digests = bags(texts[part])
+                fine = fine_sketches(signatures(doc, runs, count, len(digests), FINE))
+                same = [i for i, d in enumerate(digests) if d == wanted[part.start + i]]
+                if same:
+                    yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in same], pa.binary()), pa.array(
+                        [fine[i] for i in same], pa.list_(pa.int64()))], schema=out)
+
+    return texts.select("digest", "t").mapInArrow(run, schema)
+
+
 def pieces(texts: list, most: int = PIECE_BYTES) -> Iterator[slice]:
     """Consecutive slices of about ``most`` characters; a longer text stands alone."""
     start, size = 0, 0
@@ -239,11 +283,14 @@ def verified(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
 
 
-def _with_texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with both texts. Only texts of paired nodes move on after one pass over the documents."""
-    paired = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
-    wanted = nodes.join(paired, "digest").select("digest", F.col("least_id").alias("wanted_id"))
-    texts = materialized(docs.join(wanted, docs["id"].eqNullSafe(wanted["wanted_id"])).select("digest", "t"), "texts")
+def node_texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Written (digest, t) of the nodes in ``wanted`` (digest): one pass over the documents."""
+    ids = nodes.join(wanted, "digest").select("digest", F.col("least_id").alias("wanted_id"))
+    return materialized(docs.join(ids, docs["id"].eqNullSafe(ids["wanted_id"])).select("digest", "t"), "texts")
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with both texts."""
     a = texts.select(F.col("digest").alias("a"), F.col("t").alias("text_a"))
     b = texts.select(F.col("digest").alias("b"), F.col("t").alias("text_b"))
     return pairs.join(b, "b").join(a, "a")
@@ -270,7 +317,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
 
     first = materialized(shared.where((F.col("digest") != F.col("leader")) & alike("n", "leader_n")).select(
         F.col("leader").alias("a"), F.col("digest").alias("b")).distinct(), "pairs")
-    links = materialized(verified(_with_texts(first, nodes, texts), similarity), "links")
+    ends = first.select(F.col("a").alias("digest")).unionByName(first.select(F.col("b").alias("digest"))).distinct()
+    links = materialized(verified(with_texts(first, node_texts(ends, nodes, texts)), similarity), "links")
     joined = materialized(components(links.select("a", "b")), "components")
 
     # what is left: members of one bucket that no link has joined yet, but for pairs already compared
@@ -278,11 +326,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
             .select("bucket", "digest", "n", F.coalesce("root", "digest").alias("root")))
     split = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
     rest = materialized(rest.join(split.select("bucket"), "bucket"), "rest")
-    x = rest.select("bucket", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = rest.select("bucket", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    second = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & alike("na", "nb"))
-    second = materialized(second.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    more = materialized(verified(_with_texts(second, nodes, texts), similarity), "links")
+    left = node_texts(rest.select("digest").distinct(), nodes, texts)
+    detail = materialized(rest.select("digest").distinct().join(sketched(left), "digest").join(
+        nodes.select("digest", "bands"), "digest"), "sketches")
+    rest = rest.join(detail, "digest")
+    x = rest.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("digest", "n", "root", "fine", "bands")])
+    y = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("digest", "n", "root", "fine", "bands")])
+    second = x.join(y, "bucket").where(
+        (F.col("digest_a") < F.col("digest_b")) & (F.col("root_a") != F.col("root_b")) & alike("n_a", "n_b")
+        & (mismatches(F.col("fine_a"), F.col("fine_b")) <= most_mismatches(similarity))
+        & (F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("bucket")))
+    second = second.select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b"))
+    second = materialized(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    more = materialized(verified(with_texts(second, left), similarity), "links")
     joined = materialized(components(links.unionByName(more).select("a", "b")), "components")
 
     named = nodes.select("digest", "least_id").join(joined, F.col("digest") == F.col("node"), "left").select(
