@@ -35,6 +35,7 @@ from pyspark.sql.types import StructField, StructType
 from adlife.llm.common import fresh, ship_package
 
 DIMS = 1 << 12
+SLICE = 1 << 20
 PER_LANGUAGE = 1500
 CENTROIDS = 3
 ROUNDS = 12
@@ -64,11 +65,15 @@ def grams(text: str) -> np.ndarray:
     if not (code != 32).any():
         return np.zeros(DIMS, np.float32)
     code = np.concatenate(([32], code, [32]))
-    code = code[np.concatenate(([True], (code[1:] != 32) | (code[:-1] != 32)))].astype(np.uint64)
-    two = code[:-1] * np.uint64(0x1F35B9) + code[1:]
-    three = two[:-1] * np.uint64(0x1F35B9) + code[2:] + np.uint64(1)
-    h = np.concatenate((two, three)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(52)
-    return np.bincount(h.astype(np.int64), minlength=DIMS).astype(np.float32)
+    code = code[np.concatenate(([True], (code[1:] != 32) | (code[:-1] != 32)))]
+    out = np.zeros(DIMS, np.int64)
+    for at in range(0, len(code) - 1, SLICE):              # bounded work space for long texts
+        part = code[at:at + SLICE + 2].astype(np.uint64)
+        two = part[:-1][:SLICE] * np.uint64(0x1F35B9) + part[1:][:SLICE]
+        three = two[:len(part) - 2] * np.uint64(0x1F35B9) + part[2:] + np.uint64(1)
+        h = np.concatenate((two, three)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(52)
+        out += np.bincount(h.astype(np.int64), minlength=DIMS)
+    return out.astype(np.float32)
 
 
 def count_rows(texts: list[str | None]) -> np.ndarray:
