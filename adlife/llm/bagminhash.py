@@ -206,7 +206,7 @@ def sketched(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for part in pieces(texts):
+            for part in pieces(texts, PIECE_BYTES * BANDS * ROWS // FINE):       # as many points at a time as in signed()
                 doc, runs, count, digests = bags(texts[part])
                 fine = fine_sketches(signatures(doc, runs, count, len(digests), FINE))
                 same = [i for i, d in enumerate(digests) if d == wanted[part.start + i]]
@@ -262,7 +262,7 @@ def verified(pairs: DataFrame, least: float) -> DataFrame:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts = [t for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()) for t in pair]
             found = []
-            for part in pieces(texts, 4 * PIECE_BYTES):
+            for part in pieces(texts):
                 lo, hi = part.start + part.start % 2, part.stop + part.stop % 2    # whole pairs
                 doc, runs, count, digests = bags(texts[lo:hi])
                 at = np.searchsorted(doc, np.arange(len(digests) + 1))

@@ -36,7 +36,7 @@ from adlife.llm.common import fresh, ship_package
 
 DIMS = 1 << 12
 SLICE = 1 << 20
-PER_LANGUAGE = 1500
+PER_LANGUAGE = 1000
 CENTROIDS = 3
 ROUNDS = 12
 #: Texts are put into classes by the logarithm of their distinct n-grams; a class's bound
@@ -125,12 +125,21 @@ def sample_counts(docs: DataFrame, label: str, text_col: str, per_label: int, pi
                 [r[i].astype(np.int32) for r, i in zip(rows, at)], pa.list_(pa.int32()))], schema=out)
 
     got = known.where(pick < share).select(F.col(label).cast("string"), text_col).mapInArrow(run, schema).toArrow()
-    got = got.to_pylist()
-    got = sorted((r for r in got if r["at"]), key=lambda r: (r["label"], r["at"], r["n"]))
-    counts = np.zeros((len(got), dims), np.float32)
-    for i, r in enumerate(got):
-        counts[i, r["at"]] = r["n"]
-    return [r["label"] for r in got], counts
+    got = got.combine_chunks()
+
+    def rows_of(name: str) -> list[np.ndarray]:
+        if not got.num_rows:
+            return []
+        lists = got.column(name).chunk(0)
+        ends = lists.offsets.to_numpy()
+        return np.split(lists.values.to_numpy(), ends[1:-1]) if ends[0] == 0 else [lists[i].values.to_numpy() for i in range(len(lists))]
+
+    rows = [r for r in zip(got.column("label").to_pylist(), rows_of("at"), rows_of("n")) if len(r[1])]
+    rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))            # the same model whatever order rows come in
+    counts = np.zeros((len(rows), dims), np.float32)
+    for i, (_, at, n) in enumerate(rows):
+        counts[i, at] = n
+    return [r[0] for r in rows], counts
 
 
 def fit(labels: list, counts: np.ndarray) -> Model | None:

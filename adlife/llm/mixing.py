@@ -40,7 +40,7 @@ from adlife.llm.langid import crc, sample_counts
 
 PAIRS = 1 << 10
 PIECE = 1 << 10
-PER_DOMAIN = 1500
+PER_DOMAIN = 1000
 STEPS = 50
 CLOSE = 1e-5
 
