@@ -1,18 +1,24 @@
 """Substring dedup by hashing text units (lines, and the sentences within them).
 
-A text is cut at line ends, after sentence marks and before capitalised words.
-Units are normalised (lower case, single blanks, outer punctuation off) and
+A text is cut at line ends, after sentence marks and before capitalised words;
+what is still longer than ``LONG`` words is cut before the words whose hash is
+the least of some ``WINDOW`` neighbouring ones, so that equal passages are cut
+alike wherever they stand. Units are normalised (lower case, single blanks, outer punctuation off) and
 hashed to 128 bits. Digests are grouped over the whole corpus; the document of
 the least id that holds a unit keeps its first occurrence, every other
-occurrence is a repeat. Consecutive repeats that together have ``MIN_WORDS``
-words or more are removed; shorter ones are ordinary phrases and stay. Offsets
-are those of the original text, in characters.
+occurrence is a repeat. A run of consecutive repeats is extended left and right,
+over the borders of its units, as far as the words equal those beside the kept
+occurrence of one of its units (up to ``AROUND`` words; a longer match has whole
+units there). Extended runs of ``MIN_WORDS`` words or more are removed; shorter
+ones are ordinary phrases and stay. A repeated passage of 50 blank-separated
+words holds a whole unit. Offsets are those of the original text, in characters.
 
 Plan: one pass emits each document's distinct digests (24 bytes each, written
 once); a ``groupBy`` with map-side combining finds each digest's keeper, so a
-line that a third of all documents share sends one row per task; the join back
-is a plain equi-join that Spark can split at a hot digest; only digests kept
-elsewhere reach the document, which is read a second time and cut.
+line that a third of all documents share sends one row per task; the keepers are
+read again for the words beside their shared units; the join back is a plain
+equi-join that Spark can split at a hot digest; only digests kept elsewhere reach
+the document, which is read once more and cut.
 
 Defined cases: a null text stays null without units; an empty text has none; a
 unit without letters or digits never counts as a repeat; rows that share an id
@@ -23,7 +29,8 @@ are one document; a null id ranks last; extra columns pass through
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator, Mapping
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,21 +43,88 @@ from pyspark.sql.types import StructField, StructType
 from adlife.llm.common import fresh, materialized, ship_package
 
 MIN_WORDS = 20
+#: Units of more words are cut again, before the least word of each window of so many words.
+LONG, WINDOW = 24, 12
+#: Words compared on each side of a unit, at most so many characters away; shorter units are too common to tell.
+AROUND, REACH, TELLING = 24, 400, 3
 NO_ID = (1 << 63) - 1
 
 _CUT = re.compile(r"\s*\n\s*|(?<=[.!?…])[^\S\n]+|[^\S\n]+(?=[A-ZÀ-ÖØ-Þ])|(?<=[。！？])")
 _OUTER = " \t\r\f\v.,;:!?…\"'()[]{}<>|#*$%&-–—_"
 
 
+_WORD = re.compile(r"\S+")
+
+
 def units(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the units of ``text``, ascending."""
     at = 0
     for m in _CUT.finditer(text):
-        if m.start() > at:
-            yield at, m.start()
-        at = m.end()
+        start, end = m.span()
+        if start - at > 2 * LONG:
+            yield from _pieces(text, at, start)
+        elif start > at:
+            yield at, start
+        at = end
     if at < len(text):
-        yield at, len(text)
+        yield from _pieces(text, at, len(text))
+
+
+def _pieces(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The stretch, cut at words that its content chooses if it has more than ``LONG`` words."""
+    words = text[start:end].lower().split()
+    if len(words) > LONG:
+        h = [crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+        places = [m.span() for m in _WORD.finditer(text, start, end)]
+        least, at = -1, start
+        for k in range(len(h) - WINDOW + 1):
+            if least < k:
+                new = h.index(min(h[k:k + WINDOW]), k)
+            else:
+                new = k + WINDOW - 1 if h[k + WINDOW - 1] < h[least] else least
+            if new != least:
+                least = new
+                if places[new][0] > at:
+                    yield at, places[new - 1][1]
+                    at = places[new][0]
+        start = at
+    yield start, end
+
+
+def _plain(word: str) -> str:
+    return word.lower().strip(_OUTER) or word
+
+
+def words_before(text: str, at: int) -> list[tuple[int, str]]:
+    """(start, word) of the words that end before ``at``, nearest first."""
+    low = max(0, at - REACH)
+    found = [(m.start(), _plain(m.group())) for m in _WORD.finditer(text, low, at)]
+    if found and 0 < low == found[0][0] and not text[low - 1].isspace():
+        del found[0]
+    return found[:-AROUND - 1:-1]
+
+
+def words_after(text: str, at: int) -> list[tuple[int, str]]:
+    """(end, word) of the words that start from ``at`` on, nearest first."""
+    high = min(len(text), at + REACH)
+    found = [(m.end(), _plain(m.group())) for m in _WORD.finditer(text, at, high)]
+    if found and found[-1][0] == high < len(text) and not text[high].isspace():
+        del found[-1]
+    return found[:AROUND]
+
+
+def beside(text: str, start: int, end: int) -> tuple[str, str]:
+    """The words before and after a unit, nearest first, one a line."""
+    return "\n".join(w for _, w in words_before(text, start)), "\n".join(w for _, w in words_after(text, end))
+
+
+def _reach(here: list[tuple[int, str]], there: str, at: int) -> int:
+    """The far end of the words of ``here`` that equal those of ``there``; ``at`` if none does."""
+    for (place, word), other in zip(here, there.split("\n")):
+        if word != other:
+            break
+        at = place
+    return at
 
 
 def unit_digest(unit: str) -> tuple[bytes | None, int]:
@@ -62,13 +136,41 @@ def unit_digest(unit: str) -> tuple[bytes | None, int]:
     return xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass")), len(parts)
 
 
-def repeated_spans(text: str, elsewhere: set[bytes], min_words: int) -> tuple[list[tuple[int, int]], int]:
-    """Spans of ``text`` to remove, given the digests that another document keeps; and the number of units."""
-    spans, seen, run, n = [], set(), [], 0
+def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
+                   around: Mapping[bytes, list[tuple[str, str]]] | None = None) -> tuple[list[tuple[int, int]], int]:
+    """Spans of ``text`` to remove, given the digests that another document keeps; and the number of units.
+
+    ``around``: the words beside kept occurrences of units, as of :func:`beside`.
+    """
+    around, spans, seen, run, n = around or {}, [], {}, [], 0
+
+    def extended() -> tuple[int, int]:
+        start, end = first, last = run[0][0], run[-1][1]
+        for ways, far in ((run, False), (run[::-1], True)):
+            passed = 0
+            for a, b, words, digest in ways:
+                if passed >= AROUND:
+                    break
+                passed += words
+                if words < TELLING:
+                    continue
+                known = around.get(digest, ()) if digest in elsewhere else (beside(text, *seen[digest]),)
+                here = (words_after(text, b) if far else words_before(text, a)) if known else ()
+                for left, right in known:
+                    if far:
+                        end = max(end, _reach(here, right, last))
+                    else:
+                        start = min(start, _reach(here, left, first))
+        return start, end
 
     def close() -> None:
-        if run and sum(w for _, _, w in run) >= min_words:
-            spans.append((run[0][0], run[-1][1]))
+        if run:
+            start, end = extended()
+            words = sum(w for _, _, w, _ in run) + len(text[start:run[0][0]].split()) + len(text[run[-1][1]:end].split())
+            if words >= min_words:
+                if spans and start <= spans[-1][1]:
+                    start, end = spans[-1][0], max(end, spans.pop()[1])
+                spans.append((start, end))
         run.clear()
 
     for start, end in units(text):
@@ -76,13 +178,13 @@ def repeated_spans(text: str, elsewhere: set[bytes], min_words: int) -> tuple[li
         digest, words = unit_digest(text[start:end])
         if digest is None:
             if run:
-                run.append((start, end, 0))
+                run.append((start, end, 0, None))
             continue
         if digest in elsewhere or digest in seen:
-            run.append((start, end, words))
+            run.append((start, end, words, digest))
         else:
             close()
-            seen.add(digest)
+            seen[digest] = start, end
     close()
     return spans, n
 
@@ -121,13 +223,41 @@ def document_digests(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, from_arrow_schema(out))
 
 
+def kept_words(docs: DataFrame, keepers: DataFrame) -> DataFrame:
+    """(d1, d2, left, right): the words beside the first occurrence of each unit of ``keepers`` (d1, d2, keeper)
+    in the rows of its keeper."""
+    asked = keepers.groupBy(F.col("keeper").alias("id")).agg(F.collect_list(F.struct("d1", "d2")).alias("asked"))
+    out = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("left", pa.string()), ("right", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                digests, sides = [], []
+                for text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    left = {np.array([d["d1"], d["d2"]], "<i8").tobytes() for d in wanted}
+                    for a, b in units(text or ""):
+                        digest, words = unit_digest(text[a:b])
+                        if digest in left:
+                            left.remove(digest)
+                            if words >= TELLING:
+                                digests.append(digest)
+                                sides.append(beside(text, a, b))
+                d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), *[
+                    pa.array([s[k].encode("utf-8", "replace").decode() for s in sides], pa.string()) for k in (0, 1)]], schema=out)
+
+    return docs.join(asked, "id").select("t", "asked").mapInArrow(run, from_arrow_schema(out))
+
+
 def kept_elsewhere(docs: DataFrame) -> DataFrame:
-    """(id, elsewhere): per document the digests whose first occurrence is in another document."""
+    """(id, elsewhere): per document the digests whose first occurrence is in another document, and the words beside that."""
     held = materialized(document_digests(docs), "unit-digests")
-    keepers = held.groupBy("d1", "d2").agg(F.min("id").alias("keeper"), F.max("id").alias("last")).where(
-        "keeper < last").select("d1", "d2", "keeper")
-    moved = held.join(keepers, ["d1", "d2"]).where("id != keeper")
-    return moved.groupBy("id").agg(F.collect_set(F.struct("d1", "d2")).alias("elsewhere"))
+    keepers = materialized(held.groupBy("d1", "d2").agg(F.min("id").alias("keeper"), F.max("id").alias("last")).where(
+        "keeper < last").select("d1", "d2", "keeper"), "unit-keepers")
+    known = keepers.join(kept_words(docs, keepers), ["d1", "d2"], "left")
+    moved = held.join(known, ["d1", "d2"]).where("id != keeper")
+    return moved.groupBy("id").agg(F.collect_set(F.struct("d1", "d2", "left", "right")).alias("elsewhere"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
@@ -153,8 +283,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
                 part = batch.slice(at, 512)
                 texts, spans, counts = [], [], []
                 for text, far in zip(part.column(text_at).to_pylist(), part.column(len(names)).to_pylist()):
-                    digests = {np.array([d["d1"], d["d2"]], "<i8").tobytes() for d in far or ()}
-                    found, n = repeated_spans(text or "", digests, min_words)
+                    around = {}
+                    for d in far or ():
+                        known = around.setdefault(np.array([d["d1"], d["d2"]], "<i8").tobytes(), [])
+                        if d["left"] is not None:
+                            known.append((d["left"], d["right"]))
+                    found, n = repeated_spans(text or "", around.keys(), min_words, around)
                     texts.append(text if text is None else cut(text, found) if found else text)
                     spans.append([{"start": a, "end": b} for a, b in found])
                     counts.append(n)

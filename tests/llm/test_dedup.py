@@ -140,6 +140,24 @@ def test_repeated_passages_are_cut_once_kept(spark):
             assert got[i]["text"] == t and not got[i]["removed"]
 
 
+def test_passages_inside_units_are_cut(spark):
+    """Lower-case passages without marks that begin and end mid-sentence."""
+    def plain(seed, n):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choice("bdfglmnprstvaeiou") for _ in range(rng.randint(3, 9))) for _ in range(n))
+
+    rows, passages = [], [plain(900 + k, 50 + 5 * k) for k in range(6)]
+    passages[5] = plain(905, 25) + ". Only " + plain(906, 25)
+    for k, passage in enumerate(passages):
+        rows += [(10 * k + j, f"{plain(20 * k + j, 30 + j)} {passage} {plain(500 + 20 * k + j, 35 + j)}.") for j in range(4)]
+    got = {r["doc_id"]: r for r in U.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        passage = passages[i // 10]
+        cut_out = [text[a:b] for a, b in got[i]["removed"]]
+        assert cut_out == ([] if i % 10 == 0 else [passage])
+        assert got[i]["text"] == (text if i % 10 == 0 else text.replace(passage + " ", ""))
+
+
 def test_units_cover_the_text():
     for seed in range(20):
         rng = random.Random(seed)
