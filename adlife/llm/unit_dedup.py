@@ -9,8 +9,9 @@ the least id that holds a unit keeps its first occurrence, every other
 occurrence is a repeat. A run of consecutive repeats is extended left and right,
 over the borders of its units, as far as the words equal those beside the kept
 occurrence of one of its units (up to ``AROUND`` words; a longer match has whole
-units there). Extended runs of ``MIN_WORDS`` words or more are removed; shorter
-ones are ordinary phrases and stay. A repeated passage of 50 blank-separated
+units there). Extended runs of ``MIN_WORDS`` words or more are removed, and so is
+every whole line of ``LINE_WORDS`` words or more that an earlier place has as a line
+or unit; shorter ones are ordinary phrases and stay. A repeated passage of 50 blank-separated
 words holds a whole unit. Offsets are those of the original text, in characters.
 
 Plan: one pass emits each document's distinct digests (24 bytes each, written
@@ -43,6 +44,7 @@ from pyspark.sql.types import StructField, StructType
 from adlife.llm.common import fresh, materialized, ship_package
 
 MIN_WORDS = 20
+LINE_WORDS = 3
 #: Units of more words are cut again, before the least word of each window of so many words.
 LONG, WINDOW = 24, 12
 #: Words compared on each side of a unit, at most so many characters away; shorter units are too common to tell.
@@ -54,6 +56,7 @@ _OUTER = " \t\r\f\v.,;:!?…\"'()[]{}<>|#*$%&-–—_"
 
 
 _WORD = re.compile(r"\S+")
+_LINE = re.compile(r"[^\s](?:[^\n]*[^\s])?")
 
 
 def units(text: str) -> Iterator[tuple[int, int]]:
@@ -118,6 +121,19 @@ def beside(text: str, start: int, end: int) -> tuple[str, str]:
     return "\n".join(w for _, w in words_before(text, start)), "\n".join(w for _, w in words_after(text, end))
 
 
+def line_digests(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, digest) of the lines of ``LINE_WORDS`` words or more, without outer blanks."""
+    for m in _LINE.finditer(text):
+        digest, words = unit_digest(m.group())
+        if words >= LINE_WORDS and digest is not None:
+            yield m.start(), m.end(), digest
+
+
+def text_digests(text: str) -> set[bytes]:
+    """The digests of the units and of the lines of ``text``."""
+    return ({unit_digest(text[a:b])[0] for a, b in units(text)} | {d for _, _, d in line_digests(text)}) - {None}
+
+
 def _reach(here: list[tuple[int, str]], there: str, at: int) -> int:
     """The far end of the words of ``here`` that equal those of ``there``; ``at`` if none does."""
     for (place, word), other in zip(here, there.split("\n")):
@@ -186,7 +202,22 @@ def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
             close()
             seen[digest] = start, end
     close()
-    return spans, n
+    lines, earlier = [], set()
+    for start, end, digest in line_digests(text):
+        if digest in elsewhere or digest in earlier:
+            lines.append((start, end))
+        earlier.add(digest)
+    return merged(spans, lines) if lines else spans, n
+
+
+def merged(*parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that cover the same characters, ascending, none touching another."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(x for part in parts for x in part):
+        if out and start <= out[-1][1]:
+            start, end = out[-1][0], max(end, out.pop()[1])
+        out.append((start, end))
+    return out
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -203,7 +234,7 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def document_digests(docs: DataFrame) -> DataFrame:
-    """(id, d1, d2): the distinct unit digests of each row of ``docs`` (id, t)."""
+    """(id, d1, d2): the distinct unit and line digests of each row of ``docs`` (id, t)."""
     ship_package(docs.sparkSession)
     out = pa.schema([("id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
 
@@ -213,7 +244,7 @@ def document_digests(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 512)
                 ids, digests = [], []
                 for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    found = {unit_digest(text[a:b])[0] for a, b in units(text or "")} - {None}
+                    found = text_digests(text or "")
                     ids += [i] * len(found)
                     digests += found
                 d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)

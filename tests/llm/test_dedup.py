@@ -158,6 +158,19 @@ def test_passages_inside_units_are_cut(spark):
         assert got[i]["text"] == (text if i % 10 == 0 else text.replace(passage + " ", ""))
 
 
+def test_repeated_lines_are_cut_between_other_text(spark):
+    shared = ["Read more about our new offers", "New York Times and the Anna Smith Show.", "see also the notes"]
+    other = "Anna Smith and the New York Offers"
+    rows = [(i, "\n".join([prose(i, 30), shared[i % 3], prose(100 + i, 40), shared[(i + 1) % 3], f"Yes {i}"])) for i in range(12)]
+    rows.append((50, f"{prose(50, 30)}\nYes\n{other}\n{prose(51, 30)} {shared[0]} {prose(52, 30)}"))
+    got = {r["doc_id"]: r for r in U.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kept = [line for i in range(12) for line in got[i]["text"].split("\n") if line in shared]
+    assert sorted(kept) == sorted(shared)
+    assert got[50]["text"] == rows[-1][1]
+    for i in range(2, 12):
+        assert got[i]["text"] == "\n".join([prose(i, 30), prose(100 + i, 40), f"Yes {i}"])
+
+
 def test_units_cover_the_text():
     for seed in range(20):
         rng = random.Random(seed)
