@@ -81,6 +81,22 @@ def test_rates_meet_the_targets(spark, low):
     assert abs(np.mean([x["copies"] for x in rows]) - r.mean()) < 0.15
 
 
+def test_rare_domains_meet_their_targets(spark):
+    rng = np.random.default_rng(8)
+    n = 4000
+    p = rng.exponential(0.002, (n, 3))
+    p[np.arange(n), np.where(np.arange(n) < 4, 1 + np.arange(n) % 2, 0)] = 1
+    p /= p.sum(axis=1, keepdims=True)
+    t = rng.integers(50, 900, n)
+    table = spark.createDataFrame([(i, int(t[i]), p[i].tolist()) for i in range(n)], "id long, tokens long, p array<double>")
+    rates, report = mixing.fit_rates(table, list("abc"), {"a": 0.4, "b": 0.4, "c": 0.2}, total=float(t.sum()))
+    got = (rates.of(p) * t) @ p
+    assert rates.met and np.allclose(got, np.array([0.4, 0.4, 0.2]) * t.sum(), rtol=1e-4)
+    with pytest.warns(UserWarning, match="cannot be met"):
+        rates, report = mixing.fit_rates(table, list("abc"), {"a": 0.4, "b": 0.4, "c": 0.2}, total=float(t.sum()), high=3.0)
+    assert not rates.met and report["b"][2] < 0.5 * report["b"][1]
+
+
 def test_mixing_of_awkward_tables(awkward, empty, docs):
     rows = mixing.mixing_query(awkward).collect()
     assert len(rows) == len(awkward_rows()) and all(r["rate"] >= 0 and r["copies"] >= 0 for r in rows)
