@@ -30,7 +30,8 @@ from adlife.llm.textstats import NOT_SPACE, STOP_WORDS, words
 MAX_TRAIN = 12_000
 TREES, DEPTH, LEARNING_RATE, MIN_LEAF, BINS = 40, 3, 0.3, 10, 32
 LASSO = 2e-3
-MAX_RULES = 400
+#: The most paths that the trees can have; nothing is dropped.
+MAX_RULES = TREES * (2 ** (DEPTH + 1) - 2)
 
 STATISTICS = ("n_words", "word_length", "stop_words", "distinct_words", "symbols", "upper", "digits", "marks",
               "lines", "line_words", "dup_lines")
@@ -110,7 +111,7 @@ def grow_rules(x: np.ndarray, y: np.ndarray) -> list[tuple]:
         step = np.zeros(len(y))
         grow(np.arange(len(y)), (), p - y, p * (1 - p), step)
         score += LEARNING_RATE * step
-    return list(rules)[:MAX_RULES]
+    return list(rules)
 
 
 def holds(x: np.ndarray, rules: Sequence[tuple]) -> np.ndarray:

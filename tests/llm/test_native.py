@@ -125,6 +125,12 @@ def test_rule_ensemble_finds_a_conjunction():
     assert len(rules) < rule_ensemble.MAX_RULES / 2
 
 
+def test_every_path_of_the_trees_is_a_rule():
+    rng = np.random.default_rng(2)
+    rules = rule_ensemble.grow_rules(rng.random((3000, len(rule_ensemble.STATISTICS))), rng.integers(0, 2, 3000).astype(float))
+    assert 400 < len(rules) <= rule_ensemble.MAX_RULES and len(set(rules)) == len(rules)
+
+
 def test_compiled_score_equals_the_model(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     x, y = rule_ensemble.training_rows(docs, labels, "doc_id", "quality", 1000)
