@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from adlife.llm import common
-from adlife.llm import ann, bagminhash, langid, licenses, mixing, packing, rule_ensemble, token_planes, unit_dedup
+from adlife.llm import (ann, bagminhash, conversation_repair, langid, licenses, mixing, packing, rule_ensemble, spelling,
+                        token_planes, unit_dedup, url_rules)
 from adlife.llm.quality_rules import RULES, quality_rules_query
 from adlife.llm.textstats import STOP_WORDS
 
@@ -55,6 +58,18 @@ def op10_unit_dedup(spark, sf_dir):
     return unit_dedup.unit_dedup_query(common.documents(spark, sf_dir))
 
 
+def op11_url_rules(spark, sf_dir):
+    return url_rules.url_rules_query(common.table(spark, sf_dir, "pages"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return conversation_repair.conversation_repair_query(common.table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling(spark, sf_dir):
+    return spelling.spelling_query(common.documents(spark, sf_dir))
+
+
 def _sql_list(items) -> str:
     return "[" + ", ".join("'" + str(x).replace("'", "''") + "'" for x in items) + "]"
 
@@ -122,6 +137,31 @@ FROM w LEFT JOIN a USING (r) LEFT JOIN s USING (r)
 """
 
 
+def _glob_regex(glob: str) -> str:
+    kinds = {"any": ".*", "segment": "[^/]*", "one": "[^/]"}
+    return "".join(kinds[kind] if kind in kinds else re.escape(c) for kind, c in url_rules.tokens(glob))
+
+
+def _op11_sql() -> str:
+    """Host rules by suffix and prefix tests, the longest first; globs as regular expressions, in their order."""
+    rules = sorted(url_rules.HOST_RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in rules]
+    rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, rules))
+    verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, rules))
+    globs = [(v, g, f"regexp_full_match('.' || host || path, '{_glob_regex(g)}', 's')") for v, g in url_rules.GLOBS]
+    glob = " ".join(f"WHEN {f} THEN '{g}'" for _, g, f in globs)
+    judged = " ".join(f"WHEN {f} THEN '{v}'" for v, _, f in globs)
+    return f"""
+WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+c AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_rules.UPPER}', '{url_rules.LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r)
+SELECT page_id, host, path, CASE {rule} END AS rule,
+       CASE {verdict} {judged} WHEN host = '' THEN 'block' ELSE 'allow' END AS verdict,
+       CASE WHEN CASE {rule} END IS NULL THEN CASE {glob} END END AS glob
+FROM c
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bagminhash": op2_bagminhash,
@@ -133,9 +173,13 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_planes": op9_token_planes,
     "op10_unit_dedup": op10_unit_dedup,
+    "op11_url_rules": op11_url_rules,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE = {
     "op1_quality_rules": OP1_SQL,
     "op5_license_scan": _op5_sql(),
+    "op11_url_rules": _op11_sql(),
 }
