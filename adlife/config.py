@@ -83,9 +83,6 @@ DETAIL_SELECTORS = {
 # ---------------------------------------------------------------------------
 
 DAY_MS = 86_400_000
-# Width of the time buckets the as-of operators split each key's history
-# into; one hot key is then spread over one task per bucket.
-DEFAULT_ASOF_BUCKET_MS = DAY_MS
 
 
 @dataclass(frozen=True)

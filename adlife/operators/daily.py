@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from adlife import config
 from adlife.functions import jsontext, parse
-from adlife.operators.asof import asof_lookup
+from adlife.operators.asof import asof_lookup, timeline_segments
 from adlife.operators.records import last_record, latest_per_key, order_columns
 
 DETAIL_VALUES = ("properties", "equipment", "information", "deleted")
@@ -29,7 +29,7 @@ def _tiebreak(df: DataFrame) -> str | None:
 def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str = "price",
                           out_col: str = "price_value", marker: str = config.SOLD_MARKER,
                           until_date: str | None = None, older: DataFrame | None = None,
-                          bucket_ms: int | None = config.DEFAULT_ASOF_BUCKET_MS) -> DataFrame:
+                          segments: DataFrame | None | bool = True) -> DataFrame:
     """Add ``out_col`` (int) to ``rows`` (columns url, load_time, ``price_col``).
 
     Unsold rows parse their own price. A sold row takes the newest header of
@@ -43,7 +43,12 @@ def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str
     that ``history`` leaves out. No older row can beat it for a probe that is
     not older itself, so the result is exact while only recent partitions of
     the raw history are read (:func:`newest_unsold` makes such rows).
+
+    ``segments``: of the timelines of hot urls, as :func:`asof_lookup` takes them; True finds them in the
+    history (of which ``rows`` are a part), in one narrow scan.
     """
+    if segments is True:
+        segments = timeline_segments([(history, "load_time")], "url")
     sold = parse.is_sold(F.col(price_col), marker)
     unsold_rows = rows.where(~sold).withColumn(out_col, parse.parse_price(price_col))
     probes = rows.where(sold)
@@ -57,7 +62,7 @@ def with_last_known_price(rows: DataFrame, history: DataFrame, *, price_col: str
         candidates = candidates.unionByName(older.select(*keep))
     candidates = candidates.join(probes.select("url").distinct(), "url", "left_semi")
     found = asof_lookup(probes, candidates, "url", "load_time", "load_time", {"__prev_price": "price"},
-                        build_tiebreak=tiebreak, bucket_ms=bucket_ms)
+                        build_tiebreak=tiebreak, segments=segments)
     return unsold_rows.unionByName(found.withColumn(out_col, parse.parse_price("__prev_price")).drop("__prev_price"))
 
 
@@ -105,23 +110,21 @@ def _with_latest_details(latest_headers: DataFrame, details: DataFrame) -> DataF
 
 def build_daily(headers: DataFrame, details: DataFrame, history: DataFrame | None = None, *,
                 marker: str = config.SOLD_MARKER, until_date: str | None = None,
-                older: DataFrame | None = None,
-                bucket_ms: int | None = config.DEFAULT_ASOF_BUCKET_MS) -> DataFrame:
+                older: DataFrame | None = None) -> DataFrame:
     """Typed daily rows (schema :data:`adlife.schemas.DAILY`) for the given raw slices.
 
     ``history`` is the raw header table used for sold-price look-back (default:
     ``headers``), ``older`` the stored newest unsold rows of what it leaves out.
-    Only the header that is kept of each day is priced.
+    Only the header that is kept of each day is priced: one a url and day, so a url is hot by its history alone.
     """
     latest = latest_per_key(headers, ("load_date", "url"), order_columns(headers))
     priced = with_last_known_price(latest, history if history is not None else headers, marker=marker,
-                                   until_date=until_date, older=older, bucket_ms=bucket_ms)
+                                   until_date=until_date, older=older)
     return _with_latest_details(priced, details).select(*typed_columns(marker=marker))
 
 
 def merge_header_details(headers: DataFrame, details: DataFrame, history: DataFrame | None = None,
-                         *, marker: str = config.SOLD_MARKER, keep: tuple = (),
-                         bucket_ms: int | None = config.DEFAULT_ASOF_BUCKET_MS) -> DataFrame:
+                         *, marker: str = config.SOLD_MARKER, keep: tuple = ()) -> DataFrame:
     """Each header row with the newest non-deleted details at or before it.
 
     Headers without such details get the sentinel map / set / text and
@@ -130,12 +133,14 @@ def merge_header_details(headers: DataFrame, details: DataFrame, history: DataFr
     """
     live = details.where(~F.coalesce(F.col("deleted"), F.lit(False)))
     # prices first, on narrow raw headers: the details look-up is then not an input of another look-up
-    priced = with_last_known_price(headers, history if history is not None else headers,
-                                   marker=marker, bucket_ms=bucket_ms)
+    history = history if history is not None else headers
+    # hot urls are found once, for both look-ups
+    segments = timeline_segments([(history, "load_time"), (live, "load_time")], "url")
+    priced = with_last_known_price(headers, history, marker=marker, segments=segments)
     merged = asof_lookup(priced, live, "url", "load_time", "load_time",
                          {"properties": "properties", "equipment": "equipment",
                           "information": "information"},
-                         build_tiebreak=_tiebreak(live), matched_col="__found", bucket_ms=bucket_ms)
+                         build_tiebreak=_tiebreak(live), matched_col="__found", segments=segments)
     found = F.col("__found")
     return merged.select(
         "url", "load_date", parse.parse_code("url").alias("finnkode"), "title", "location",

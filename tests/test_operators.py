@@ -42,21 +42,49 @@ def _brute_asof(probes, builds, inclusive):
 
 
 @settings(max_examples=12, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000), st.booleans(), st.sampled_from([None, 7, 50, 1000]))
-def test_asof_matches_brute_force(spark, seed, inclusive, bucket):
+@given(st.integers(min_value=0, max_value=10_000), st.booleans(), st.sampled_from([None, 1, 4, 40]))
+def test_asof_matches_brute_force(spark, seed, inclusive, tasks):
     rnd = random.Random(seed)
     keys = ["a", "b", "c"]
     probes = [(i, rnd.choice(keys), rnd.randint(0, 120)) for i in range(40)]
     builds = [(i, rnd.choice(keys), rnd.randint(0, 120), f"v{i}") for i in range(60)]
-    # one hot key with many rows spread over buckets
+    # one hot key with many rows, cut into segments when there are many tasks
     builds += [(100 + i, "a", rnd.randint(0, 120), f"h{i}") for i in range(80)]
     p = spark.createDataFrame(probes, "pid long, key string, t long")
     b = spark.createDataFrame(builds, "bid long, key string, bt long, v string")
     got = {r.pid: r.v for r in asof_lookup(p, b, "key", "t", "bt", ["v"], build_tiebreak="bid",
-                                           inclusive=inclusive, bucket_ms=bucket).collect()}
+                                           inclusive=inclusive, segments=tasks is not None, tasks=tasks).collect()}
     assert got == _brute_asof(probes, builds, inclusive)
 
 
+def test_a_hot_key_and_moment_spreads_over_the_tasks(spark):
+    """One url holds a third of all rows, nearly all within one day: no task gets over twice the median."""
+    from adlife.operators.asof import segment_of, timeline_segments
+    rnd, tasks = random.Random(3), 24
+    rows = [(f"u{rnd.randint(0, 4000)}", rnd.randint(0, 90 * 86_400_000)) for _ in range(40_000)]
+    rows += [("hot", 40 * 86_400_000 + rnd.randint(0, 86_400_000)) for _ in range(20_000)] + [("hot", 5), ("hot", 89 * 86_400_000)]
+    df = spark.createDataFrame(rows, "url string, t long")
+    segments = timeline_segments([(df, "t")], "url", tasks)
+    assert [r.url for r in segments.collect()] == ["hot"] and segments.first().bounds == sorted(set(segments.first().bounds))
+    cut = df.join(F.broadcast(segments), "url", "left").withColumn("s", segment_of(F.col("t"), F.col("bounds")))
+    in_order = cut.where("url = 'hot'").groupBy("s").agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy("s").collect()
+    assert all(x.b < y.a for x, y in zip(in_order, in_order[1:])) and len(in_order) > tasks
+    sizes = sorted(r[0] for r in cut.repartition(tasks, "url", "s").groupBy(F.spark_partition_id()).count().select("count").collect())
+    assert len(sizes) == tasks and sizes[-1] <= 2 * sizes[tasks // 2]
+    assert timeline_segments([(df.where("url <> 'hot'"), "t")], "url", tasks) is None
+    assert timeline_segments([(df.limit(0), "t")], "url", tasks) is None
+
+
+def test_segments_of_a_single_moment(spark):
+    from adlife.operators.asof import asof_lookup, timeline_segments
+    p = spark.createDataFrame([(i, "a", 7) for i in range(50)] + [(99, "b", 7)], "pid long, key string, t long")
+    b = spark.createDataFrame([("a", 7, "x"), ("a", 6, "w"), ("b", 8, "y")], "key string, bt long, v string")
+    assert timeline_segments([(p, "t")], "key", 10).count() == 1
+    for inclusive, want in ((True, "x"), (False, "w")):
+        got = {r.pid: r.v for r in asof_lookup(p, b, "key", "t", "bt", ["v"], inclusive=inclusive, tasks=10).collect()}
+        assert got == {**{i: want for i in range(50)}, 99: None}
+
+
 def test_asof_details_merge_picks_newest_live_details(spark):
     headers = fx.raw_header_frame(spark)
     details = fx.raw_details_frame(spark)
