@@ -13,20 +13,30 @@
   distinct ad url is looked up in a pages table once (its newest fetch),
   extracted, and the result joined back to every header row with that url.
   An ad without a link has no details.
+* :func:`stored_details` — extractions kept by content between calls, so that
+  an unchanged page is parsed once ever.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlife import config, schemas
 from adlife.functions.dates import epoch_ms_to_local_date
 from adlife.functions.jsontext import null_map, null_set, quote_json_string
 from adlife.session import ship_package
+from adlife.sinks.tables import append_keyed, stored_table, with_key_bucket
+
+#: Rows of a store of extractions: details without the times of any header.
+STORED_DETAILS = T.StructType([
+    *[f for f in schemas.RAW_DETAILS.fields if f.name not in ("load_date", "load_time")],
+    T.StructField("digest", T.StringType()), T.StructField("key_bucket", T.IntegerType())])
 
 HEADER_FIELDS = ("location", "title", "year", "km", "price")
 
@@ -121,14 +131,14 @@ def extract_pages(pages: DataFrame, selectors: Mapping[str, str] | None = None,
     return src.mapInPandas(run, schema)
 
 
-def to_raw_details(extracted: DataFrame) -> DataFrame:
-    """Extraction -> stored form: JSON text for map, list and text."""
+def to_raw_details(extracted: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Extraction -> stored form: JSON text for map, list and text (and the ``keep`` columns)."""
     return extracted.select(
         "url",
         F.to_json("properties").alias("properties"),
         F.to_json("equipment").alias("equipment"),
         quote_json_string("information").alias("information"),
-        "deleted",
+        "deleted", *keep,
     )
 
 
@@ -142,17 +152,45 @@ def newest_pages(pages: DataFrame, urls: DataFrame, fetched: str | None = None)
     return wanted.groupBy("url").agg(F.max_by("html", order).alias("html"))
 
 
+def stored_details(pages: DataFrame, selectors: Mapping[str, str] | None, store: str) -> DataFrame:
+    """Details of ``pages`` (url, html), taken from the table at ``store`` where it has them.
+
+    The store is addressed by content: url and a digest of the html and the selectors. Pages that it has not
+    are parsed and appended; if there are none, no Python runs. Missing pages (null html) are not stored.
+    """
+    spark = pages.sparkSession
+    chosen = json.dumps({**config.DETAIL_SELECTORS, **(selectors or {})}, sort_keys=True)
+    key = ["key_bucket", "url", "digest"]
+    live = with_key_bucket(pages.where(F.col("html").isNotNull())
+                           .withColumn("digest", F.sha2(F.concat(F.lit(chosen), F.lit("\n"), F.col("html")), 256))).persist()
+    try:
+        known = stored_table(spark, store, STORED_DETAILS)
+        new = live if known is None else live.join(known.select(*key), key, "left_anti")
+        if not new.isEmpty():
+            parsed = to_raw_details(extract_pages(new, selectors, keep=("digest",)), keep=("digest",))
+            append_keyed(spark, with_key_bucket(parsed).select(*STORED_DETAILS.names), store, key, partition_by="key_bucket")
+        known = stored_table(spark, store, STORED_DETAILS)
+        if known is None:
+            return spark.createDataFrame([], STORED_DETAILS).drop("key_bucket", "digest")
+        return known.join(live.select("url", "digest"), ["url", "digest"], "left_semi").drop("key_bucket", "digest")
+    finally:
+        live.unpersist()
+
+
 def details_from_listing(headers: DataFrame, pages: DataFrame,
-                         selectors: Mapping[str, str] | None = None, fetched: str | None = None) -> DataFrame:
+                         selectors: Mapping[str, str] | None = None, fetched: str | None = None,
+                         store: str | None = None) -> DataFrame:
     """Raw details rows (RAW_DETAILS) for header rows; details share the header's load time.
 
     A url absent from ``pages`` (or with null html) is a deleted ad page; a
     header without a link (the text sentinel) gives no row. Each distinct url
     is extracted once however many ads point at it; ``fetched`` names the
-    column of ``pages`` that orders several fetches of one url.
+    column of ``pages`` that orders several fetches of one url; ``store`` the path of a table that keeps
+    extractions between calls (:func:`stored_details`).
     """
     linked = headers.where(F.col("url") != config.NULL_TEXT).select("url", "load_date", "load_time")
-    details = to_raw_details(extract_pages(newest_pages(pages, linked.select("url").distinct(), fetched), selectors))
+    newest = newest_pages(pages, linked.select("url").distinct(), fetched)
+    details = to_raw_details(extract_pages(newest, selectors)) if store is None else stored_details(newest, selectors, store)
     gone = {"properties": F.to_json(null_map()), "equipment": F.to_json(null_set()),
             "information": quote_json_string(F.lit(config.NULL_TEXT)), "deleted": F.lit(True)}
     return linked.join(details, "url", "left").select(

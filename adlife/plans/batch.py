@@ -11,7 +11,9 @@ One run, for a given ``today`` (a parameter, never the clock inside a plan):
    daily rows for the delta (sold prices looked up in the raw partitions of the
    look-back and that table) and upsert them on (load_date, url);
 4. roll the daily window (``today`` - 365 days) up to lifecycle rows for the
-   urls seen in the delta and store them as this run's version of their urls.
+   urls seen in the delta and store them as this run's version of their urls;
+5. tidy: settled versions are merged in tiers, raw partitions of many run folders are
+   sorted into one, and folders that no reader can be using are deleted.
 
 Every step is a Spark job over whole partitions; reruns are idempotent.
 """
@@ -28,8 +30,10 @@ from adlife import config, schemas
 from adlife.functions.dates import iso_shift
 from adlife.operators.daily import build_daily, newest_unsold
 from adlife.operators.lifecycle import lifecycle_rollup
-from adlife.sinks.tables import read_current, stored_table, upsert, write_version
+from adlife.sinks.tables import (ConcurrentWrite, merge_runs, merge_tiers, read_current, stored_table, upsert, vacuum,
+                                 versions, write_version)
 from adlife.sources import tables as src
+from adlife.streaming.ingest import RAW_ORDER
 
 
 @dataclass(frozen=True)
@@ -62,8 +66,7 @@ def prices_before(spark: SparkSession, path: str, headers: DataFrame, day: str)
     before it. Raw partitions are read only from the last version up to ``day``, once.
     """
     schema = price_schema(headers)
-    stored = stored_table(spark, path, T.StructType([*schema.fields, T.StructField("version", T.StringType())]))
-    last = None if stored is None else stored.where(F.col("version") <= day).agg(F.max("version")).first()[0]
+    last = max(versions(spark, path, day), default=None)
     if last is None or last < day:
         since = F.col("load_date") < day if last is None else (F.col("load_date") >= last) & (F.col("load_date") < day)
         write_version(spark, newest_unsold(headers.where(since)), path, ["url"], day)
@@ -95,4 +98,26 @@ def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
     rolled = lifecycle_rollup(daily, today, start, window_days=window_days)
     # a version per run: rows of urls outside the delta are neither read nor written
     write_version(spark, rolled, tables.lifecycle, ["url"], today)
+    tidy(spark, tables, headers, settled=iso_shift(recent_from, -margin_days))
     return start
+
+
+def tidy(spark: SparkSession, tables: Tables, headers: DataFrame, settled: str) -> None:
+    """Keep what readers have to open small: versions up to ``settled`` in tiers, raw partitions in few files.
+
+    A step that meets another writer is left for the next run.
+    """
+    steps = (
+        lambda: merge_tiers(spark, tables.lifecycle, schemas.LIFECYCLE, ["url"], settled),
+        lambda: merge_tiers(spark, tables.price_table, price_schema(headers), ["url"], settled),
+        lambda: merge_runs(spark, tables.raw_headers, headers.schema, RAW_ORDER),
+        lambda: merge_runs(spark, tables.raw_details, schemas.RAW_DETAILS if "seq" not in headers.columns else
+                           schemas.extended(schemas.RAW_DETAILS, ("seq", T.LongType())), RAW_ORDER),
+    )
+    for step in steps:
+        try:
+            step()
+        except ConcurrentWrite:
+            continue
+    for path in (tables.daily, tables.lifecycle, tables.price_table, tables.raw_headers, tables.raw_details):
+        vacuum(spark, path)

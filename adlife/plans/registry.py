@@ -311,11 +311,16 @@ def table_sample(spark, sf_dir):
 @register("ordered_history", "WITH " + O.EV + """
 SELECT url, load_date, load_time, event_id AS seq, true AS in_order FROM hdr""")
 def ordered_history(spark, sf_dir):
-    """Every row with whether it stands behind its predecessor in the file: url, then newest first."""
+    """Every row with whether it stands behind its predecessor in the file: url, then newest first.
+
+    The table is written by two appends; the days that both wrote are merged into one sorted run.
+    """
     from pyspark.sql import Window
     h, _ = _raw_tables(spark, sf_dir)
     path = table_path(spark, "runs", "ordered_history", tb.uuid_tag())
-    sinks.write_clustered(h, path)
+    for part in (F.col("seq") % 3 == 0, F.col("seq") % 3 != 0):
+        sinks.append_keyed(spark, h.where(part), path, [*stream_ops.RAW_KEY, "seq"], order=stream_ops.RAW_ORDER)
+    sinks.merge_runs(spark, path, h.schema, stream_ops.RAW_ORDER, min_runs=2)
     back = sources.read_raw_headers(spark, path, with_seq=True).select(
         "url", "load_date", "load_time", "seq", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"))
@@ -328,12 +333,12 @@ SELECT load_date, count(*) FILTER (WHERE event_type IN ('view', 'purchase', 'sig
        count(*) FILTER (WHERE event_type IN ('click', 'error')) AS n_details
 FROM ev GROUP BY load_date""")
 def ingest_counts(spark, sf_dir):
-    h, d = _raw_tables(spark, sf_dir)
-    hc = h.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_headers"))
-    dc = d.groupBy("load_date").agg(F.count(F.lit(1)).alias("n_details"))
-    return (hc.join(dc, "load_date", "full")
-              .select("load_date", F.coalesce("n_headers", F.lit(0)).alias("n_headers"),
-                      F.coalesce("n_details", F.lit(0)).alias("n_details")))
+    """Counts published with the appends; the stored tables are not read again."""
+    paths = []
+    for name, rows in zip(("headers", "details"), _raw_tables(spark, sf_dir)):
+        paths.append(table_path(spark, "runs", "ingest_counts", tb.uuid_tag(), name))
+        sinks.append_keyed(spark, rows, paths[-1], [*stream_ops.RAW_KEY, "seq"], order=stream_ops.RAW_ORDER)
+    return stream_ops.ingest_counts(spark, *paths)
 
 
 @register("temp_view_sql", "WITH " + O.EV + """
@@ -395,12 +400,8 @@ def upsert_lifecycle(spark, sf_dir):
     daily = sources.read_daily(spark, tb.daily_table(spark, sf_dir))
     path = table_path(spark, "runs", "upsert_lifecycle", tb.uuid_tag())
     for as_of, delta in (("2024-01-20", "2024-01-18"), (AS_OF, DELTA_START)):
-        rows = sinks.with_key_bucket(lc.lifecycle_rollup(daily, as_of, delta))
-        sinks.upsert(spark, rows, path, ["url"], partition_by="key_bucket", unique_keys=True)
-    from adlife import schemas
-    from pyspark.sql import types as T
-    back = spark.read.schema(schemas.extended(schemas.LIFECYCLE, ("key_bucket", T.IntegerType()))).parquet(path)
-    return back.drop("key_bucket")
+        sinks.write_version(spark, lc.lifecycle_rollup(daily, as_of, delta), path, ["url"], as_of)
+    return batch_plan.read_lifecycle(spark, path)
 
 
 _EXPORT_COLS = [f.name for f in __import__("adlife.schemas", fromlist=["LIFECYCLE"]).LIFECYCLE.fields]

@@ -1,28 +1,30 @@
 """Keyed, idempotent writes to Parquet tables (no table format needed).
 
 * :func:`append_keyed` — raw snapshots: rows whose key is already stored are
-  dropped, so re-delivering a micro-batch is a no-op.
-* :func:`upsert` — replace rows by key inside the touched partitions only. The
-  merged partitions are written once, to a staging folder inside the table
-  (hidden from readers); a marker file then says that they are complete, and
-  each one takes its partition's place by a rename. A run that finds a marker
-  finishes that publication first, so a crash at any point loses nothing.
-  Upserts to one table must not run concurrently.
+  dropped, so re-delivering rows is a no-op. A streaming batch goes with its
+  (query, number); a batch that the table has already is skipped unread.
+* :func:`merge_runs` — the files that appends left in a partition become one
+  sorted set again.
+* :func:`upsert` — replace rows by key inside the touched partitions only.
 * :func:`write_version` / :func:`read_current` — a table of row versions: a run
-  writes only its own rows, readers take the newest version per key.
+  writes only its own rows, readers take the newest version per key;
+  :func:`merge_tiers` keeps the number of versions logarithmic.
 * :func:`export_delimited` — ``;``-joined text lines, ``null`` for nulls.
 * :func:`write_clustered` — partitioned by date, each file sorted by
   ``url`` then newest first (the raw tables' clustering order).
 
-A table remembers its columns, its partition column and its bucket count in
-``_table.json``; a write that disagrees raises instead of dropping columns or
-storing keys twice. Rows with a null in a key column cannot be told from one
-another, so both keyed writers set them aside in ``<path>_rejected``.
+All but the last two write a run folder of their own and publish it in the table's
+manifest (:mod:`adlife.sinks.manifest`) by one rename: readers (:func:`stored_table`,
+``sources.tables.read_table``) always see one whole version, a crash at any point
+leaves the version before it, and of two concurrent writers the second raises
+(appends try again). A table remembers its columns, its partition column and its bucket
+count; a write that disagrees raises instead of dropping columns or storing keys twice.
+Rows with a null in a key column cannot be told from one another, so both keyed
+writers set them aside in ``<path>_rejected``.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
@@ -31,42 +33,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-META = "_table.json"
-STAGING = "_staging"
-MARKER = "_complete"
+from adlife.sinks import manifest as mf
+from adlife.sinks.manifest import ConcurrentWrite, Manifest, vacuum
 
+__all__ = ["ConcurrentWrite", "append_keyed", "check_layout", "compact_versions", "delimited_lines", "export_delimited",
+           "merge_runs", "merge_tiers", "one_per_key", "read_current", "rebalanced", "register_view", "stored_table",
+           "upsert", "vacuum", "with_key_bucket", "write_clustered", "write_version"]
 
-# -- files of a table -------------------------------------------------------
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, at = _fs(spark, path)
-    return fs.exists(at(path))
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    if not _exists(spark, path):
-        return None
-    fs, at = _fs(spark, path)
-    stream = fs.open(at(path))
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, at = _fs(spark, path)
-    stream = fs.create(at(path), True)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
+#: Run folders of a partition from which on merge_runs rewrites it.
+MERGE_RUNS = 8
+#: Versions of one tier that are merged into one of the next.
+FANOUT = 4
+#: Times that an append starts again after another writer was first.
+APPEND_TRIES = 5
 
 
 def _layout(df: DataFrame, partition_by: str) -> dict:
@@ -74,32 +53,32 @@ def _layout(df: DataFrame, partition_by: str) -> dict:
             "buckets": df.schema[partition_by].metadata.get("buckets")}
 
 
-def check_layout(spark: SparkSession, df: DataFrame, path: str, partition_by: str) -> None:
-    """Raise unless ``df`` has the columns, partition column and bucket count of the stored table."""
-    new, text = _layout(df, partition_by), _read_text(spark, f"{path}/{META}")
-    if text is not None:
-        old = json.loads(text)
-        if old != new:
-            raise ValueError(f"{path} is stored as {old}, the rows to write are {new}")
-    elif stored_table(spark, path, df.schema) is None:
-        _write_text(spark, f"{path}/{META}", json.dumps(new))
+def check_layout(spark: SparkSession, df: DataFrame, path: str, partition_by: str, stored: Manifest | None) -> dict:
+    """The layout of ``df``; raises unless it has the columns, partition column and bucket count of what is stored."""
+    new = _layout(df, partition_by)
+    if stored is None:
+        return new
+    if stored.layout is not None:
+        if dict(stored.layout) != new:
+            raise ValueError(f"{path} is stored as {stored.layout}, the rows to write are {new}")
     else:                                            # written by someone else: its files have the names
         names = set(spark.read.parquet(path).columns)
         if names != set(df.columns):
             raise ValueError(f"{path} has the columns {sorted(names)}, the rows to write have {sorted(df.columns)}")
+    return new
 
 
 def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The table at ``path`` read with ``schema``, or None when nothing is stored yet.
+    """The newest version of the table at ``path`` read with ``schema``, or None when nothing is stored yet.
 
     Only a missing path, or one without data folders and files, counts as nothing; any other fault is raised.
     """
-    fs, at = _fs(spark, path)
-    if not fs.exists(at(path)):
-        return None
-    if not any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(at(path))):
-        return None
-    return spark.read.schema(schema).parquet(path)
+    version = mf.current(spark, path)
+    if version is not None and version.version:
+        return mf.read_parts(spark, path, version, schema)
+    if any(not s.getPath().getName().startswith(("_", ".")) for s in mf.list_folder(spark, path)):
+        return spark.read.schema(schema).parquet(path)
+    return None
 
 
 # -- keyed writes -----------------------------------------------------------
@@ -124,14 +103,14 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = (
             .select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns))
 
 
-def _complete_keys(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """The rows with a whole key; the others are appended to ``<path>_rejected``."""
+def _complete_keys(new: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> DataFrame:
+    """The rows with a whole key; the others go to ``<path>_rejected``, those of a batch once."""
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull()
     rejected = new.where(~whole)
     if not rejected.isEmpty():
-        rejected.write.mode("append").parquet(f"{path.rstrip('/')}_rejected")
+        rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}_rejected/batch={batch or uuid.uuid4().hex}")
     return new.where(whole)
 
 
@@ -144,83 +123,117 @@ def _touched(stored: DataFrame, new: DataFrame, partition_by: str) -> tuple[Data
     return stored.where(F.col(partition_by).isin(values)), values
 
 
+def _touched_parts(spark: SparkSession, path: str, version: Manifest | None, new: DataFrame,
+                   partition_by: str) -> tuple[list[str], DataFrame | None]:
+    """The partition folders that ``new`` touches and their stored rows; no other folder is listed."""
+    if version is None or not version.partitions:
+        return [], None
+    names = version.of_values(r[0] for r in new.select(partition_by).distinct().collect())
+    return names, mf.read_parts(spark, path, version, new.schema, names) if names else None
+
+
+def clustered(rows: DataFrame, partition_by: str, order: Sequence[str]) -> DataFrame:
+    """``rows`` dealt by partition value, every file to be written sorted by ``order`` (``-name``: descending)."""
+    by = [F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in order]
+    return rebalanced(rows, partition_by).sortWithinPartitions(partition_by, *by)
+
+
+def _order(keys: Sequence[str], partition_by: str, order: Sequence[str] | None) -> list[str]:
+    return list(order) if order is not None else [k for k in keys if k != partition_by]
+
+
+def _with_runs(version: Manifest | None, run: str, counts: dict[str, int], instead: bool) -> dict:
+    """The manifest entries of a new run beside (or ``instead`` of) the partitions' other runs."""
+    partitions = dict(version.partitions) if version else {}
+    rows = dict(version.rows) if version else {}
+    for name, n in counts.items():
+        partitions[name] = [run] if instead else [*partitions.get(name, ()), run]
+        rows[name] = {run: n} if instead else {**rows.get(name, {}), run: n}
+    return {"partitions": partitions, "rows": rows}
+
+
 def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-                 partition_by: str = "load_date", newest_by: Sequence[str] = ()) -> None:
-    """Append ``new`` rows whose key is not yet in the table at ``path`` (partition column among the keys)."""
+                 partition_by: str = "load_date", newest_by: Sequence[str] = (),
+                 batch: tuple[str, int] | None = None, order: Sequence[str] | None = None) -> None:
+    """Append ``new`` rows whose key is not yet in the table at ``path`` (partition column among the keys).
+
+    ``batch``: (id of a streaming query, number of its batch). A number that the table has stored for the
+    query, or an earlier one, is skipped without reading anything. ``order`` sorts each file (default: the keys).
+    """
     if partition_by not in keys:
         raise ValueError("the partition column must be part of the key")
-    recover(spark, path)
-    keys = list(keys)
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    keys, order = list(keys), _order(keys, partition_by, order)
+    version = mf.current(spark, path)
+    if batch is not None and version is not None and version.batches.get(batch[0], -1) >= batch[1]:
+        return
+    kept = new.is_cached
+    new = new if kept else new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_layout(spark, new, path, partition_by)
-        batch = one_per_key(_complete_keys(new, path, keys), keys, newest_by)
-        stored = stored_table(spark, path, new.schema)
-        if stored is not None:
-            touched, _ = _touched(stored, new.where(F.col(partition_by).isNotNull()), partition_by)
-            batch = batch.join(touched.select(*keys), keys, "left_anti")
-        rebalanced(batch, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+        whole = None
+        for attempt in range(APPEND_TRIES):
+            layout = check_layout(spark, new, path, partition_by, version)
+            if whole is None:
+                whole = one_per_key(_complete_keys(new, path, keys, batch and f"{batch[0]}-{batch[1]}"), keys, newest_by)
+            rows = whole
+            _, stored = _touched_parts(spark, path, version, new.where(F.col(partition_by).isNotNull()), partition_by)
+            if stored is not None:
+                rows = rows.join(stored.select(*keys), keys, "left_anti")
+            run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by)
+            batches = {**(version.batches if version else {}), **({batch[0]: batch[1]} if batch else {})}
+            try:
+                mf.publish(spark, path, version, layout=layout, batches=batches, **_with_runs(version, run, counts, instead=False))
+                return
+            except ConcurrentWrite:
+                if attempt == APPEND_TRIES - 1:
+                    raise
+                version = mf.current(spark, path)
     finally:
-        new.unpersist()
+        if not kept:
+            new.unpersist()
+
+
+def merge_runs(spark: SparkSession, path: str, schema: T.StructType, order: Sequence[str],
+               partition_by: str = "load_date", min_runs: int = MERGE_RUNS) -> list[str]:
+    """Rewrite the partitions that hold ``min_runs`` run folders or more as one sorted run each; their names."""
+    version = mf.current(spark, path)
+    names = [n for n, runs in version.partitions.items() if len(runs) >= min_runs] if version else []
+    if names:
+        rows = mf.read_parts(spark, path, version, schema, names)
+        run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by)
+        mf.publish(spark, path, version, **_with_runs(version, run, counts, instead=True))
+    return names
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-           partition_by: str = "load_date", unique_keys: bool = False, newest_by: Sequence[str] = ()) -> None:
+           partition_by: str = "load_date", unique_keys: bool = False, newest_by: Sequence[str] = (),
+           order: Sequence[str] | None = None) -> None:
     """Insert or replace ``new`` rows by ``keys`` in the table at ``path``.
 
     Only partitions present in ``new`` are rewritten; inside them, stored
     rows whose key is not in ``new`` are kept. The partition column belongs to
     the key or is a function of it. ``unique_keys`` states that ``new`` already
     holds one row per key (e.g. it was grouped by them), which saves the
-    de-duplication shuffle.
+    de-duplication shuffle. Raises :class:`ConcurrentWrite`, with nothing changed, if another
+    writer published a version meanwhile.
     """
-    recover(spark, path)
-    keys = list(keys)
+    keys, order = list(keys), _order(keys, partition_by, order)
+    version = mf.current(spark, path)
     # the new rows feed several branches (touched partitions, replaced keys, the rows
     # themselves); keep them for the one write instead of computing them again
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_layout(spark, new, path, partition_by)
+        layout = check_layout(spark, new, path, partition_by, version)
         rows = _complete_keys(new, path, [*keys, *([] if partition_by in keys else [partition_by])])
         if not unique_keys:
             rows = one_per_key(rows, keys, newest_by)
-        stored = stored_table(spark, path, new.schema)
+        _, stored = _touched_parts(spark, path, version, rows, partition_by)
         if stored is not None:
-            touched, _ = _touched(stored, rows, partition_by)
-            rows = touched.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
-        staging = f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
-        rebalanced(rows, partition_by).write.partitionBy(partition_by).parquet(staging)
+            rows = stored.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
+        run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by)
     finally:
         new.unpersist()
-    _write_text(spark, f"{staging}/{MARKER}", "")
-    _publish(spark, path, staging)
-
-
-def _publish(spark: SparkSession, path: str, staging: str) -> None:
-    """Put each staged partition in its place. Can be repeated: what is moved is no longer staged."""
-    fs, at = _fs(spark, path)
-    for status in fs.listStatus(at(staging)):
-        name = status.getPath().getName()
-        if status.isDirectory() and not name.startswith(("_", ".")):
-            target = at(f"{path.rstrip('/')}/{name}")
-            if fs.exists(target):
-                fs.delete(target, True)
-            if not fs.rename(status.getPath(), target):
-                raise OSError(f"cannot move {status.getPath()} to {target}")
-    fs.delete(at(staging), True)
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish a publication that a crash cut short; drop a staging folder that was never complete."""
-    root = f"{path.rstrip('/')}/{STAGING}"
-    fs, at = _fs(spark, path)
-    if fs.exists(at(root)):
-        for status in fs.listStatus(at(root)):
-            staging = status.getPath().toString()
-            if fs.exists(at(f"{staging}/{MARKER}")):
-                _publish(spark, path, staging)
-            else:
-                fs.delete(status.getPath(), True)
+    levels = {n: k for n, k in (version.levels if version else {}).items() if n not in counts}
+    mf.publish(spark, path, version, layout=layout, levels=levels, **_with_runs(version, run, counts, instead=True))
 
 
 # -- tables of row versions --------------------------------------------------
@@ -235,37 +248,69 @@ def write_version(spark: SparkSession, rows: DataFrame, path: str, keys: Sequenc
     upsert(spark, rows.withColumn(name, F.lit(version)), path, [*keys, name], partition_by=name, unique_keys=True)
 
 
+def versions(spark: SparkSession, path: str, upto: str | None = None) -> list[str]:
+    """The stored versions up to ``upto``, oldest first; from the manifest, without reading rows."""
+    version = mf.current(spark, path)
+    found = sorted(v for v in version.values().values() if v is not None) if version else []
+    return [v for v in found if upto is None or v <= upto]
+
+
+def _newest(rows: DataFrame, schema: T.StructType, keys: Sequence[str], name: str) -> DataFrame:
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), name).alias("__row"))
+    return newest.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*[f.name for f in schema.fields])
+
+
 def read_current(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
                  name: str = "version", upto: str | None = None) -> DataFrame:
     """The newest version of each key, among the versions up to ``upto`` if that is given."""
     full = T.StructType([*schema.fields, T.StructField(name, T.StringType())])
-    stored = stored_table(spark, path, full)
-    if stored is None:
+    version = mf.current(spark, path)
+    if version is None:
         return spark.createDataFrame([], schema)
-    if upto is not None:
-        stored = stored.where(F.col(name) <= upto)
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), name).alias("__row"))
-    return newest.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*[f.name for f in schema.fields])
+    names = version.of_values(versions(spark, path, upto))
+    return _newest(mf.read_parts(spark, path, version, full, names), schema, keys, name)
+
+
+def _merge_versions(spark: SparkSession, path: str, version: Manifest, schema: T.StructType, keys: Sequence[str],
+                    names: list[str], name: str, level: int) -> Manifest:
+    """The versions in the folders ``names`` (oldest first) become one, under the newest one's name."""
+    full = T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+    into = mf.partition_value(names[-1])
+    rows = _newest(mf.read_parts(spark, path, version, full, names), schema, keys, name).withColumn(name, F.lit(into))
+    run, counts = mf.write_run(spark, clustered(rows, name, list(keys)), path, name)
+    left = Manifest(partitions={n: r for n, r in version.partitions.items() if n not in names},
+                    rows={n: r for n, r in version.rows.items() if n not in names})
+    levels = {n: k for n, k in version.levels.items() if n not in names}
+    return mf.publish(spark, path, version, levels={**levels, names[-1]: level}, **_with_runs(left, run, counts, instead=True))
 
 
 def compact_versions(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], upto: str,
                      name: str = "version") -> None:
-    """Merge all versions up to ``upto`` into that one, so that readers stop reading replaced rows."""
-    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField(name, T.StringType())])).parquet(path)
-    old = [r[0] for r in stored.where(F.col(name) <= upto).select(name).distinct().collect()]
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    merged = (stored.where(F.col(name) <= upto).groupBy(*keys).agg(F.max_by(F.struct(*rest), name).alias("__row"))
-              .select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*[f.name for f in schema.fields])
-              .withColumn(name, F.lit(upto)))
-    staging = f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
-    merged.write.partitionBy(name).parquet(staging)
-    _write_text(spark, f"{staging}/{MARKER}", "")
-    _publish(spark, path, staging)
-    fs, at = _fs(spark, path)
-    for version in old:                       # after the merged version is in place these rows are only older copies
-        if version != upto:
-            fs.delete(at(f"{path.rstrip('/')}/{name}={version}"), True)
+    """Merge all versions up to ``upto`` into the newest of them, so that readers stop reading replaced rows."""
+    version = mf.current(spark, path)
+    names = [n for v in versions(spark, path, upto) for n in version.of_values([v])]
+    if len(names) > 1:
+        _merge_versions(spark, path, version, schema, keys, names, name, 1 + max(version.levels.get(n, 0) for n in names))
+
+
+def merge_tiers(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], upto: str,
+                name: str = "version", fanout: int = FANOUT) -> int:
+    """Merge ``fanout`` neighbouring versions of one tier into one of the next, while there are such; how many merges.
+
+    Versions after ``upto`` stay as they are (a rerun may still replace them). A row is rewritten once per
+    tier, so n versions cost n log n rows of writing and readers see at most fanout - 1 of each tier.
+    """
+    merges = 0
+    while True:
+        version = mf.current(spark, path)
+        names = [n for v in versions(spark, path, upto) for n in version.of_values([v])] if version else []
+        tier = [version.levels.get(n, 0) for n in names]
+        at = next((i for i in range(len(names) - fanout + 1) if len(set(tier[i:i + fanout])) == 1), None)
+        if at is None:
+            return merges
+        _merge_versions(spark, path, version, schema, keys, names[at:at + fanout], name, tier[at] + 1)
+        merges += 1
 
 
 def with_key_bucket(df: DataFrame, key: str = "url", buckets: int = 64,
@@ -292,7 +337,7 @@ def export_delimited(df: DataFrame, path: str, sep: str = ";", null_text: str =
 def write_clustered(df: DataFrame, path: str, partition_by: str = "load_date",
                     cluster: Sequence[str] = ("url",), newest_first: str = "load_time") -> None:
     """Partitioned write, each file sorted by ``cluster`` then ``newest_first`` descending."""
-    (rebalanced(df, partition_by).sortWithinPartitions(partition_by, *cluster, F.desc(newest_first))
+    (clustered(df, partition_by, [*cluster, f"-{newest_first}"])
        .write.mode("overwrite").partitionBy(partition_by).parquet(path))
 
 

@@ -7,8 +7,8 @@ and pushes the rest into the Parquet reader (``PushedFilters``).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +16,15 @@ from pyspark.sql import types as T
 
 from adlife import config, schemas
 from adlife.functions.dates import dates_between, iso_shift
+from adlife.sinks.tables import stored_table
 
-DAILY_RANGE_COLUMNS = ("url", "load_date", "finnkode", "title", "location", "year", "km", "price",
-                       "properties", "equipment", "information", "sold", "deleted", "load_time")
+DAILY_RANGE_COLUMNS = tuple(schemas.DAILY.names)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The newest version of a table of the keyed sinks, or a plain Parquet table, at ``path``."""
+    stored = stored_table(spark, path, schema)
+    return stored if stored is not None else spark.read.schema(schema).parquet(path)
 
 
 def read_raw_headers(spark: SparkSession, path: str, with_seq: bool = False) -> DataFrame:
@@ -45,8 +47,18 @@ def scan_dates(df: DataFrame, dates: Sequence[str]) -> DataFrame:
 
 
 def union_slices(df: DataFrame, dates: Sequence[str]) -> DataFrame:
-    """Bag union of one slice per date (duplicates kept), as separate scans."""
-    return reduce(DataFrame.unionByName, [df.where(F.col("load_date") == d) for d in dates])
+    """Bag union of one slice per date: the rows of a date that is named k times come k times.
+
+    One pruned scan, however many dates there are.
+    """
+    times = Counter(dates)
+    rows = scan_dates(df, list(times))
+    often = {d: n for d, n in times.items() if n > 1}
+    if not often:
+        return rows
+    named = F.coalesce(*[F.when(F.col("load_date") == d, n) for d, n in often.items()], F.lit(1))
+    copies = "__copy"
+    return rows.withColumn(copies, F.explode(F.array_repeat(F.lit(0), named))).drop(copies)
 
 
 def scan_date_range(df: DataFrame, start: str, end: str,

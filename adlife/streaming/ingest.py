@@ -3,48 +3,80 @@
 Any streaming DataFrame with a string column ``value`` holding one listing
 page per row will do (Kafka in production, a file source in tests). Every
 micro-batch is flattened once, persisted for its two sinks, and appended with
-key-based de-duplication, so a replayed batch after a failure writes nothing
-twice. Progress and offsets live in the checkpoint location.
+key-based de-duplication. Each append publishes (query id, batch number) with its rows, so
+a batch that is replayed after a failure is skipped by the tables that have it, without
+reading them; rows that come again in another batch are dropped by their keys. Files are
+sorted by url, newest first. Progress and offsets live in the checkpoint location.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adlife.operators.pages import details_from_listing, explode_listing
+from adlife.sinks.manifest import current, row_counts
 from adlife.sinks.tables import append_keyed
 
 RAW_KEY = ("load_date", "url", "load_time")
+RAW_ORDER = ("url", "-load_time")
+
+
+def _stored(spark: SparkSession, path: str, batch_id: tuple[str, int]) -> bool:
+    version = current(spark, path)
+    return version is not None and version.batches.get(batch_id[0], -1) >= batch_id[1]
 
 
 def ingest_batch(spark: SparkSession, batch: DataFrame, header_path: str, details_path: str,
                  pages: DataFrame | None, selectors: Mapping[str, str] | None = None,
-                 zone: str = "UTC") -> None:
-    """Flatten one batch of page messages and append headers and details."""
+                 zone: str = "UTC", batch_id: tuple[str, int] | None = None, extractions: str | None = None) -> None:
+    """Flatten one batch of page messages and append headers and details.
+
+    ``batch_id`` (query id, batch number) makes a replay of the whole batch free of any scan. ``extractions`` is
+    the path of a store of page extractions: a page is then parsed once, not once a batch.
+    """
+    if batch_id is not None and _stored(spark, header_path, batch_id) and (
+            pages is None or _stored(spark, details_path, batch_id)):
+        return
     if batch.isEmpty():
         return
     headers = explode_listing(batch, zone).persist()
     try:
-        append_keyed(spark, headers, header_path, RAW_KEY)
+        append_keyed(spark, headers, header_path, RAW_KEY, batch=batch_id, order=RAW_ORDER)
         if pages is not None:
-            details = details_from_listing(headers, pages, selectors)
-            append_keyed(spark, details, details_path, RAW_KEY)
+            details = details_from_listing(headers, pages, selectors, store=extractions)
+            append_keyed(spark, details, details_path, RAW_KEY, batch=batch_id, order=RAW_ORDER)
     finally:
         headers.unpersist()
 
 
+def ingest_counts(spark: SparkSession, header_path: str, details_path: str) -> DataFrame:
+    """(load_date, n_headers, n_details) stored by the ingest: from the counts published with each batch,
+    no table is read. Raises if a table was not written by the keyed sinks (it has no counts)."""
+    held = [row_counts(spark, p) for p in (header_path, details_path)]
+    if any(h is None for h in held):
+        raise ValueError("a table has rows that were stored without counts")
+    days = sorted({d for h in held for d in h if d is not None})
+    return spark.createDataFrame([(d, *[h.get(d, 0) for h in held]) for d in days],
+                                 "load_date string, n_headers long, n_details long")
+
+
 def start_ingest(messages: DataFrame, header_path: str, details_path: str, checkpoint: str,
                  pages: DataFrame | None = None, selectors: Mapping[str, str] | None = None,
                  zone: str = "UTC", processing_time: str | None = "60 seconds",
-                 available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, query_name: str | None = None,
+                 extractions: str | None = None) -> StreamingQuery:
     """Start the ingest query; ``available_now`` drains what is there and stops."""
     spark = messages.sparkSession
 
-    def each(batch: DataFrame, _epoch: int) -> None:
-        ingest_batch(spark, batch, header_path, details_path, pages, selectors, zone)
+    started, query_id = threading.Event(), []
+
+    def each(batch: DataFrame, number: int) -> None:
+        started.wait()                               # the id is the checkpoint's, the same after a restart
+        ingest_batch(spark, batch, header_path, details_path, pages, selectors, zone, (query_id[0], number), extractions)
 
     writer = messages.select("value").writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if query_name:
@@ -53,4 +85,7 @@ def start_ingest(messages: DataFrame, header_path: str, details_path: str, check
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    query = writer.start()
+    query_id.append(query.id)
+    started.set()
+    return query

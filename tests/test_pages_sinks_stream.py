@@ -91,7 +91,7 @@ def test_upsert_replaces_by_key_in_touched_partitions(spark, workdir):
     second = spark.createDataFrame([("d1", "a", 2), ("d3", "c", 2)], schema)
     K.upsert(spark, second, workdir, ["load_date", "url"])
     K.upsert(spark, second, workdir, ["load_date", "url"])           # replay: no change
-    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(workdir).select("load_date", "url", "v").collect())
+    got = _rows(spark, workdir, schema, "load_date", "url", "v")
     assert got == [("d1", "a", 2), ("d1", "b", 1), ("d2", "a", 1), ("d3", "c", 2)]
 
 
@@ -179,7 +179,7 @@ def test_union_slices_keep_duplicates_and_sample_is_ordered(spark):
 # -- lossless keyed writes ----------------------------------------------------
 
 def _rows(spark, path, schema, *cols):
-    return sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).select(*cols).collect())
+    return sorted(tuple(r) for r in T.read_table(spark, path, T_.StructType.fromDDL(schema)).select(*cols).collect())
 
 
 def test_upsert_refuses_other_columns(spark, workdir):
@@ -217,32 +217,196 @@ def test_bucket_count_belongs_to_the_table(spark, workdir):
     with pytest.raises(ValueError):
         K.upsert(spark, K.with_key_bucket(df, buckets=128), workdir, ["url"], partition_by="key_bucket")
     K.upsert(spark, K.with_key_bucket(df, buckets=64), workdir, ["url"], partition_by="key_bucket")
-    assert spark.read.parquet(workdir).count() == 50
+    assert len(_rows(spark, workdir, "url string, v long, key_bucket int", "url")) == 50
 
 
-def test_a_crash_between_staging_and_publishing_loses_nothing(spark, workdir, monkeypatch):
+def test_a_crash_at_any_step_leaves_one_whole_version(spark, workdir, monkeypatch):
+    from adlife.sinks import manifest as mf
     schema = "load_date string, url string, v long"
-    K.upsert(spark, spark.createDataFrame([("d1", "a", 1), ("d2", "a", 1)], schema), workdir, ["load_date", "url"])
+    old = [("d1", "a", 1), ("d2", "a", 1)]
+    K.upsert(spark, spark.createDataFrame(old, schema), workdir, ["load_date", "url"])
     update = spark.createDataFrame([("d1", "a", 2), ("d2", "b", 2), ("d3", "c", 2)], schema)
-    publish = K._publish
 
-    def half(spark, path, staging):                 # one partition moved, then the driver dies
-        fs, at = K._fs(spark, path)
-        fs.delete(at(f"{path}/load_date=d1"), True)
+    def lost(*_args, **_kwargs):
         raise RuntimeError("lost")
-    monkeypatch.setattr(K, "_publish", half)
-    with pytest.raises(RuntimeError):
-        K.upsert(spark, update, workdir, ["load_date", "url"])
-    monkeypatch.setattr(K, "_publish", publish)
-    K.recover(spark, workdir)
+    for name in ("write_run", "publish", "write_text", "_rename_to_new"):       # before, between and in the steps
+        with monkeypatch.context() as m:
+            m.setattr(mf, name, lost)
+            with pytest.raises(RuntimeError):
+                K.upsert(spark, update, workdir, ["load_date", "url"])
+        assert _rows(spark, workdir, schema, "load_date", "url", "v") == old, name
+    K.upsert(spark, update, workdir, ["load_date", "url"])
     want = [("d1", "a", 2), ("d2", "a", 1), ("d2", "b", 2), ("d3", "c", 2)]
     assert _rows(spark, workdir, schema, "load_date", "url", "v") == want
-    # a staging folder that was never complete is dropped
-    update.write.partitionBy("load_date").parquet(f"{workdir}/_staging/half")
-    K.upsert(spark, update, workdir, ["load_date", "url"])
+    # what the lost writers left is no longer named by anything and goes; what readers may hold stays for its time
+    assert K.vacuum(spark, workdir) == 0
+    assert K.vacuum(spark, workdir, retain_ms=0) > 0
+    assert spark.read.parquet(workdir).count() == len(want)
     assert _rows(spark, workdir, schema, "load_date", "url", "v") == want
 
 
+def test_a_reader_never_misses_a_partition(spark, workdir):
+    import threading
+    schema = "load_date string, url string, v long"
+    first = spark.createDataFrame([(f"d{i}", "a", 0) for i in range(6)], schema)
+    K.upsert(spark, first, workdir, ["load_date", "url"])
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(tuple(r.v for r in T.read_table(spark, workdir, first.schema).orderBy("load_date").collect()))
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for k in range(1, 6):
+            K.upsert(spark, spark.createDataFrame([(f"d{i}", "a", k) for i in range(6)], schema), workdir, ["load_date", "url"])
+    finally:
+        stop.set()
+        reader.join()
+    assert len(seen) > 1 and set(seen) <= {(k,) * 6 for k in range(6)}
+    assert [s[0] for s in seen] == sorted(s[0] for s in seen)
+
+
+def test_the_second_of_two_writers_raises(spark, workdir, monkeypatch):
+    from adlife.sinks import manifest as mf
+    schema = "load_date string, url string, v long"
+    K.upsert(spark, spark.createDataFrame([("d1", "a", 1)], schema), workdir, ["load_date", "url"])
+    write = mf.write_run
+
+    def other_first(spark, *args):
+        monkeypatch.setattr(mf, "write_run", write)
+        K.upsert(spark, spark.createDataFrame([("d1", "b", 2)], schema), workdir, ["load_date", "url"])
+        return write(spark, *args)
+    monkeypatch.setattr(mf, "write_run", other_first)
+    with pytest.raises(K.ConcurrentWrite):
+        K.upsert(spark, spark.createDataFrame([("d1", "a", 3)], schema), workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "url", "v") == [("a", 1), ("b", 2)]
+    # an append starts again and keeps both
+    monkeypatch.setattr(mf, "write_run", other_first)
+    K.append_keyed(spark, spark.createDataFrame([("d1", "b", 9), ("d1", "c", 9)], schema), workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "url", "v") == [("a", 1), ("b", 2), ("c", 9)]
+
+
+def test_plain_tables_are_taken_over(spark, workdir):
+    schema = "load_date string, url string, v long"
+    spark.createDataFrame([("d1", "a", 1), ("d2", "a", 1)], schema).write.partitionBy("load_date").parquet(workdir)
+    K.append_keyed(spark, spark.createDataFrame([("d1", "a", 5), ("d1", "b", 5)], schema), workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "load_date", "url", "v") == [("d1", "a", 1), ("d1", "b", 5), ("d2", "a", 1)]
+    K.upsert(spark, spark.createDataFrame([("d1", "a", 7)], schema), workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "load_date", "url", "v") == [("d1", "a", 7), ("d1", "b", 5), ("d2", "a", 1)]
+    K.vacuum(spark, workdir, retain_ms=0)
+    assert _rows(spark, workdir, schema, "load_date", "url", "v") == [("d1", "a", 7), ("d1", "b", 5), ("d2", "a", 1)]
+
+
+def test_partition_values_of_any_text(spark, workdir):
+    schema = "load_date string, url string, v long"
+    days = ["a/b", "a b", "x=1%2", "é:?*", "d"]
+    for v in (1, 2):
+        K.upsert(spark, spark.createDataFrame([(d, "u", v) for d in days], schema), workdir, ["load_date", "url"])
+    assert _rows(spark, workdir, schema, "load_date", "v") == sorted((d, 2) for d in days)
+    from adlife.sinks.manifest import row_counts
+    assert row_counts(spark, workdir) == {d: 1 for d in days}
+
+
+def test_a_replayed_batch_reads_no_stored_rows(spark, workdir, monkeypatch):
+    from adlife.sinks import manifest as mf
+    doc = json.dumps(_listing_doc(3, 1467632481477))
+    bad = _listing_doc(2, 0)
+    del bad["pageData"]["timestamp"]
+    batch = spark.createDataFrame([(doc,), (json.dumps(bad),)], "value string")
+    pages = spark.createDataFrame([], "url string, html string")
+    h, d = f"{workdir}/h", f"{workdir}/d"
+    I.ingest_batch(spark, batch, h, d, pages, batch_id=("q", 0))
+    publish, parts = mf.publish, mf.read_parts
+
+    def half(spark, path, *args, **kwargs):         # the headers are stored, then the driver dies
+        if path == d:
+            raise RuntimeError("lost")
+        return publish(spark, path, *args, **kwargs)
+    monkeypatch.setattr(mf, "publish", half)
+    more = spark.createDataFrame([(json.dumps(_listing_doc(2, 1467632999999)),), (json.dumps(bad),)], "value string")
+    with pytest.raises(RuntimeError):
+        I.ingest_batch(spark, more, h, d, pages, batch_id=("q", 1))
+    monkeypatch.setattr(mf, "publish", publish)
+    read = []
+    monkeypatch.setattr(mf, "read_parts", lambda spark, path, *a: read.append(path) or parts(spark, path, *a))
+    I.ingest_batch(spark, more, h, d, pages, batch_id=("q", 1))
+    assert h not in read                             # the table that has the batch is not looked at again
+    read.clear()
+    for number in (1, 0):
+        I.ingest_batch(spark, spark.createDataFrame([("never looked at",)], "value string"), h, d, pages, batch_id=("q", number))
+    assert read == []
+    monkeypatch.setattr(mf, "read_parts", parts)
+    assert T.read_raw_headers(spark, h).count() == 5 and T.read_raw_details(spark, d).count() == 5
+    # the rows without a date were set aside once a batch, also by the replays
+    assert spark.read.parquet(f"{h}_rejected").count() == 4
+    assert sorted(map(tuple, I.ingest_counts(spark, h, d).collect())) == [("2016-07-04", 5, 5)]
+
+
+def test_a_restarted_stream_keeps_its_ledger(spark, workdir):
+    from adlife.sinks.manifest import current
+    src = f"{workdir}/src"
+    for k in range(3):
+        spark.createDataFrame([(json.dumps(_listing_doc(2, 1467632481477 + k)),)], "value string").write.mode("append").text(src)
+        stream = spark.readStream.schema("value string").text(src)
+        I.start_ingest(stream, f"{workdir}/h", f"{workdir}/d", f"{workdir}/ck", available_now=True).awaitTermination()
+        batches = current(spark, f"{workdir}/h").batches
+        assert list(batches.values()) == [k]
+    assert T.read_raw_headers(spark, f"{workdir}/h").count() == 6
+
+
+def test_appends_are_sorted_runs_and_merge(spark, workdir):
+    schema = "load_date string, url string, load_time long"
+    for k in range(4):
+        rows = [(f"d{i % 2}", f"u{(i * 7 + k) % 11}", i * 10 + k) for i in range(40)]
+        K.append_keyed(spark, spark.createDataFrame(rows, schema).repartition(3), workdir, ["load_date", "url", "load_time"], order=I.RAW_ORDER)
+
+    def files():
+        held = {}
+        for r in T.read_table(spark, workdir, T_.StructType.fromDDL(schema)).select("*", F.input_file_name().alias("f")).collect():
+            held.setdefault((r.load_date, r.f), []).append((r.url, -r.load_time))
+        return held
+    before = files()
+    assert len(before) >= 8 and all(rows == sorted(rows) for rows in before.values())
+    assert K.merge_runs(spark, workdir, T_.StructType.fromDDL(schema), I.RAW_ORDER, min_runs=5) == []
+    assert sorted(K.merge_runs(spark, workdir, T_.StructType.fromDDL(schema), I.RAW_ORDER, min_runs=4)) == ["load_date=d0", "load_date=d1"]
+    after = files()
+    assert len(after) == 2 and all(rows == sorted(rows) for rows in after.values())
+    assert sorted(x for rows in after.values() for x in rows) == sorted(x for rows in before.values() for x in rows)
+
+
+def test_versions_stay_few(spark, workdir):
+    """60 daily versions: readers open at most three of each tier and the unsettled ones."""
+    schema = T_.StructType.fromDDL("url string, v long")
+    for day in range(60):
+        rows = [(f"u{day}", day), ("every", day), (f"w{day % 7}", day)]
+        K.write_version(spark, spark.createDataFrame(rows, schema), workdir, ["url"], f"{day:03d}")
+        K.merge_tiers(spark, workdir, schema, ["url"], f"{day - 5:03d}" if day > 5 else "")
+        assert len(K.versions(spark, workdir)) <= 5 + 3 * 3 + 1
+    want = {**{f"u{d}": d for d in range(60)}, "every": 59, **{f"w{d % 7}": d for d in range(60)}}
+    current = K.read_current(spark, workdir, schema, ["url"])
+    assert {r.url: r.v for r in current.collect()} == want
+    folders = {f.split("version=")[1].split("/")[0] for f in current.inputFiles()}
+    assert len(folders) == len(K.versions(spark, workdir)) <= 15
+
+
+def test_unchanged_pages_are_parsed_once(spark, workdir, monkeypatch):
+    headers = spark.createDataFrame([("u", "d", 1), ("v", "d", 1), ("gone", "d", 1)], "url string, load_date string, load_time long")
+    pages = spark.createDataFrame([("u", AD_PAGE), ("v", "<h1>x</h1>"), ("gone", None)], "url string, html string")
+    want = sorted(map(str, P.details_from_listing(headers, pages).collect()))
+    parsed, extract = [], P.extract_pages
+    monkeypatch.setattr(P, "extract_pages", lambda df, *a, **k: parsed.append(sorted(r.url for r in df.collect())) or extract(df, *a, **k))
+    for _ in range(2):
+        got = P.details_from_listing(headers, pages, store=f"{workdir}/pages")
+        assert sorted(map(str, got.collect())) == want
+    assert parsed == [["u", "v"]]
+    assert "MapInPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    changed = pages.where("url <> 'v'").union(spark.createDataFrame([("v", "<h1>y</h1>")], pages.schema))
+    P.details_from_listing(headers, changed, store=f"{workdir}/pages").collect()
+    P.details_from_listing(headers, pages, {"title": "h2"}, store=f"{workdir}/pages").collect()      # other selectors, other contents
+    assert parsed[1:] == [["v"], ["u", "v"]]
+
+
 def test_equal_keys_pick_the_newest_row(spark, workdir):
     schema = "load_date string, url string, load_time long, v string"
     df = spark.createDataFrame([("d", "a", 1, "x"), ("d", "a", 3, "y"), ("d", "a", 2, "z")], schema)
@@ -258,6 +422,7 @@ def test_versions_read_newest_and_compact(spark, workdir):
     assert sorted(tuple(r) for r in K.read_current(spark, workdir, schema, ["url"]).collect()) == want
     K.compact_versions(spark, workdir, schema, ["url"], "2")
     assert sorted(tuple(r) for r in K.read_current(spark, workdir, schema, ["url"]).collect()) == want
+    K.vacuum(spark, workdir, retain_ms=0)
     assert spark.read.parquet(workdir).count() == 3
 
 
@@ -331,8 +496,8 @@ def test_null_keys_never_match_in_an_as_of_look_up(spark):
     from adlife.operators.asof import asof_lookup
     p = spark.createDataFrame([(1, None, 5), (2, "a", 5)], "pid long, key string, t long")
     b = spark.createDataFrame([(None, 1, "x"), ("a", 1, "y")], "key string, bt long, v string")
-    for bucket in (None, 2):
-        assert {r.pid: r.v for r in asof_lookup(p, b, "key", "t", "bt", ["v"], bucket_ms=bucket).collect()} == {1: None, 2: "y"}
+    for tasks in (1, 50):
+        assert {r.pid: r.v for r in asof_lookup(p, b, "key", "t", "bt", ["v"], tasks=tasks).collect()} == {1: None, 2: "y"}
 
 
 def test_price_table_moves_forward_without_old_history(spark, workdir):
