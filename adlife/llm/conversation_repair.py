@@ -17,11 +17,11 @@ each; then, from the start, a block is expanded backward from the vector behind
 it and the least letter that stays cheapest is taken at each row, so ties are
 decided as if all sequences had been compared. Expansions are remembered.
 
-*Plan.* Equal rows are counted first (combined map-side), so copies cost one
-row. The rows are dealt by ranges of (conversation, turn, role, text), sorted,
-numbered and written once; a hot conversation spreads over many tasks there.
-Only numbers and symbols (about ten bytes a row) meet per conversation to be
-solved, and the edits are joined back by row number.
+*Plan.* The rows are dealt by ranges of (conversation, turn, role, text), sorted,
+numbered and written once; a hot conversation, or a hot row of it, spreads over
+many tasks there. Only numbers, digests and symbols are looked at to mark duplicates
+and to solve a conversation (about ten bytes a row). Rows and their edits then meet once
+more, in order, to make the repaired rows or what is reported of them.
 
 Order: turn (nulls first), then role, then text. Faults, first one counts:
 *blank* (no character but blank, tab, LF, VT, FF, CR), *duplicate* (an earlier
@@ -40,12 +40,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from adlife.llm.common import materialized, ship_package
 
@@ -181,64 +183,61 @@ class BlockTables:
 # -- rows ---------------------------------------------------------------------
 
 def ordered_rows(rows: DataFrame) -> DataFrame:
-    """The distinct rows, numbered in order (``at``) and written: conv_id, at, turn, role, text, n (copies), role_class,
-    fault (of the first copy; the others are duplicates)."""
+    """The rows, numbered in order (``at``) and written: conv_id, at, turn, role, text, role_class, fault (duplicates
+    not yet told apart), digest (of role and text)."""
     rows = rows.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"),
                        F.coalesce("text", F.lit(" ")).alias("text"))
-    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.withColumn("digest", F.sha2("text", 256)).withColumn("when", F.struct(F.col("turn").isNotNull().alias("dated"), "turn"))
-    seen = (rows.groupBy(F.col("conv_id").alias("c_"), F.col("role").alias("r_"), F.col("digest").alias("d_"))
-            .agg(F.min("when").alias("first"), F.count(F.lit(1)).alias("m")).where(F.col("m") > 1))
-    same = F.col("conv_id").eqNullSafe(F.col("c_")) & (F.col("role") == F.col("r_")) & (F.col("digest") == F.col("d_"))
-    marked = rows.join(seen, same, "left").select(
-        "conv_id", "turn", "role", "text", "n", (F.col("when") > F.col("first")).alias("again"))
     last = F.right(F.rtrim("text", F.lit(SPACES)), F.lit(1))
     initial = F.left("role", F.lit(1))
     role_class = F.coalesce(*[F.when(initial == c, i) for i, c in enumerate(ROLES)], F.lit(len(ROLES)))
-    fault = (F.when(last == "", BLANK).when(F.coalesce("again", F.lit(False)), DUPLICATE)
-             .when(~last.isin(".", "!", "?"), TRUNCATED).otherwise(OK))
-    marked = (marked.withColumn("start", F.left("text", F.lit(64)))
-              .repartitionByRange("conv_id", "turn", "role", "start")
-              .sortWithinPartitions("conv_id", "turn", "role", "text"))
-    return materialized(marked.select("conv_id", F.monotonically_increasing_id().alias("at"), "turn", "role", "text", "n",
-                                      role_class.alias("role_class"), fault.alias("fault")), "conversations")
+    fault = F.when(last == "", BLANK).when(~last.isin(".", "!", "?"), TRUNCATED).otherwise(OK)
+    # equal rows may stand in any order, so a number of their own splits them over the ranges
+    dealt = (rows.select("*", F.left("text", F.lit(64)).alias("start"), F.monotonically_increasing_id().alias("copy"))
+             .repartitionByRange("conv_id", "turn", "role", "start", "copy")
+             .sortWithinPartitions("conv_id", "turn", "role", "text"))
+    digest = F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256))
+    return materialized(dealt.select("conv_id", F.monotonically_increasing_id().alias("at"), "turn", "role", "text",
+                                     role_class.alias("role_class"), fault.alias("fault"), digest.alias("digest")), "conversations")
+
+
+def _kinds(ordered: DataFrame) -> DataFrame:
+    """(conv_id, at, kind): role class and fault of each row, 4 * class + fault, duplicates included."""
+    narrow = ordered.select("conv_id", "at", "role_class", "fault", "digest")
+    seen = (narrow.groupBy(F.col("conv_id").alias("c_"), F.col("digest").alias("d_"))
+            .agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("m")).where(F.col("m") > 1))
+    same = F.col("conv_id").eqNullSafe(F.col("c_")) & (F.col("digest") == F.col("d_"))
+    again = F.coalesce(F.col("at") > F.col("first"), F.lit(False)) & (F.col("fault") != BLANK)
+    return narrow.join(seen, same, "left").select(
+        "conv_id", "at", (F.col("role_class") * 4 + F.when(again, DUPLICATE).otherwise(F.col("fault"))).alias("kind"))
 
 
 def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (conv_id, at, n, role_class, fault) in order -> (at, tokens)."""
+    """Rows (conv_id, at, kind) in order -> (conv_id, at, fault, tokens)."""
     tables = BlockTables()
+    of_kind = np.array([symbol(k >> 2, k & 3) for k in range(16)], np.uint8)
 
-    def solution(ats: np.ndarray, copies: np.ndarray, kinds: np.ndarray) -> pa.RecordBatch:
-        symbols = np.array([symbol(k >> 2, k & 3) for k in range(16)], np.uint8)[kinds]
-        ends = np.cumsum(copies)
-        if ends[-1] == len(ats):
-            tokens = tables.solve(symbols)[1]
-        else:
-            spread = np.full(int(ends[-1]), GONE, np.uint8)
-            spread[ends - copies] = symbols
-            each = tables.solve(spread)[1]
-            tokens = ["".join(each[b - c:b]) for b, c in zip(ends.tolist(), copies.tolist())]
-        return pa.RecordBatch.from_arrays([pa.array(ats, pa.int64()), pa.array(tokens, pa.string())], names=["at", "tokens"])
-
-    def joined(parts: list[tuple]) -> pa.RecordBatch:
-        return solution(*[np.concatenate(p) for p in zip(*parts)])
+    def joined(conv, parts: list[tuple]) -> pa.RecordBatch:
+        ats, kinds = (np.concatenate(p) for p in zip(*parts))
+        tokens = tables.solve(of_kind[kinds])[1]
+        return pa.RecordBatch.from_arrays([pa.repeat(conv, len(ats)), pa.array(ats, pa.int64()), pa.array(kinds & 3, pa.int32()),
+                                           pa.array(tokens, pa.string())], names=["conv_id", "at", "fault", "tokens"])
 
     conv, held = None, []
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        ats, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-        kinds = (batch.column(3).to_numpy(zero_copy_only=False).astype(np.uint8) << 2) | batch.column(4).to_numpy(zero_copy_only=False).astype(np.uint8)
-        starts = [0, *[i for i in range(1, len(ids)) if ids[i] != ids[i - 1]], len(ids)]
+        ids = batch.column(0)
+        values = ids.to_pylist()
+        ats, kinds = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+        starts = [0, *[i for i in range(1, len(values)) if values[i] != values[i - 1]], len(values)]
         for a, b in zip(starts, starts[1:]):
             if a == b:
                 continue
-            if held and ids[a] != conv:
-                yield joined(held)
+            if held and values[a] != conv.as_py():
+                yield joined(conv, held)
                 held = []
             conv = ids[a]
-            held.append((ats[a:b], copies[a:b], kinds[a:b]))
+            held.append((ats[a:b], kinds[a:b].astype(np.uint8)))
     if held:
-        yield joined(held)
+        yield joined(conv, held)
 
 
 def _chunked(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -254,33 +253,85 @@ def _chunked(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def repair(rows: DataFrame) -> DataFrame:
-    """One row per edit of the conversations ``rows`` (conv_id, turn, role, text).
+class Edit(NamedTuple):
+    conv_id: object
+    at: int
+    step: int
+    edit: str                 # K, R, D or I
+    fault: str | None         # of the row edited; null for I, as are turn and old_role
+    turn: int | None
+    old_role: str | None
+    role: str | None          # of the repaired row, as is text; null for D
+    text: str | None
+
+
+def _edits_of(conv_id, at, turn, role, text, fault, tokens) -> Iterator[Edit]:
+    for step, token in enumerate(tokens):
+        new = {"u": "user", "a": "assistant"}.get(token.lower())
+        if token in "UA":
+            yield Edit(conv_id, at, step, "I", None, None, None, new, "")
+        elif token == "D":
+            yield Edit(conv_id, at, step, "D", FAULTS[fault], turn, role, None, None)
+        else:
+            yield Edit(conv_id, at, step, "K" if token == "K" else "R", FAULTS[fault], turn, role, new or role, text)
+
+
+def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[Edit | tuple]:
+    """Rows of :func:`_rows_and_tokens` -> edits in order; (conv_id,) for a mark."""
+    fault = tokens = None
+    for batch in batches:
+        for conv_id, at, kind, turn, role, text, f, t in zip(*[c.to_pylist() for c in batch.columns]):
+            if kind == MARK:
+                yield (conv_id,)
+            elif kind == TOKENS:
+                fault, tokens = f, t
+            else:
+                yield from _edits_of(conv_id, at, turn, role, text, fault, tokens)
+
+
+MARK, TOKENS, ROW = range(3)
+
 
-    conv_id, at and step (together the order within the conversation), edit (K, R, D, I), fault (of the row
-    edited), turn and old_role (null for I), role and text (of the repaired row; null for D).
+def _rows_and_tokens(rows: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """conv_id, at, kind, turn, role, text, fault, tokens: each row behind its tokens, conversations whole and in order.
+
+    One shuffle of the texts. ``marks`` (conv_id) puts a row of kind MARK before each of its conversations.
     """
     ship_package(rows.sparkSession)
     ordered = ordered_rows(rows)
-    narrow = ordered.select("conv_id", "at", "n", "role_class", "fault").repartition("conv_id").sortWithinPartitions("conv_id", "at")
-    tokens = materialized(narrow.mapInArrow(lambda it: _chunked(_solved(it)), "at long, tokens string"), "edits")
-    own = ordered.join(tokens, "at")
-    each = own.select("conv_id", "at", "turn", "role", "text", "fault", "tokens",
-                      F.posexplode(F.split("tokens", "")).alias("step", "token")).where(F.col("token") != "")
-    made = F.col("token").isin("U", "A")
-    # of several copies of a row, all behind the first row edit are duplicates
-    later = F.length(F.translate(F.left("tokens", F.col("step")), "UA", "")) > 0
-    blank = F.col("fault") == BLANK
-    fault = F.when(made, FAULTS[OK]).when(later & ~blank, FAULTS[DUPLICATE])
-    for k, name in enumerate(FAULTS):
-        fault = fault.when(F.col("fault") == k, name)
-    return each.select(
-        "conv_id", "at", "step",
-        F.translate("token", "uaUA", "RRII").alias("edit"), fault.alias("fault"),
-        F.when(~made, F.col("turn")).alias("turn"), F.when(~made, F.col("role")).alias("old_role"),
-        F.when(F.col("token") == "K", F.col("role")).when(F.lower("token") == "u", "user")
-         .when(F.lower("token") == "a", "assistant").alias("role"),
-        F.when(made, "").when(F.col("token") != "D", F.col("text")).alias("text"))
+    narrow = _kinds(ordered).repartition("conv_id").sortWithinPartitions("conv_id", "at")
+    schema = T.StructType([T.StructField("conv_id", rows.schema["conv_id"].dataType), T.StructField("at", T.LongType()),
+                           T.StructField("fault", T.IntegerType()), T.StructField("tokens", T.StringType())])
+    tokens = narrow.mapInArrow(lambda it: _chunked(_solved(it)), schema).withColumn("kind", F.lit(TOKENS))
+    both = tokens.unionByName(ordered.select("conv_id", "at", "turn", "role", "text").withColumn("kind", F.lit(ROW)),
+                              allowMissingColumns=True)
+    if marks is not None:
+        both = both.unionByName(marks.select("conv_id").withColumn("kind", F.lit(MARK)), allowMissingColumns=True)
+    return both.repartition("conv_id").sortWithinPartitions("conv_id", "at", "kind").select(
+        "conv_id", "at", "kind", "turn", "role", "text", "fault", "tokens")
+
+
+def _tables(rows: Iterator[tuple], schema: pa.Schema, size: int = 5_000) -> Iterator[pa.RecordBatch]:
+    held = []
+    for r in rows:
+        held.append(r)
+        if len(held) == size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def repair(rows: DataFrame) -> DataFrame:
+    """One row per edit of the conversations ``rows`` (conv_id, turn, role, text), with the columns of :class:`Edit`.
+
+    ``at`` and ``step`` give the order within a conversation.
+    """
+    own = [rows.schema[c].dataType for c in ("conv_id", "turn")]
+    kinds = {"conv_id": own[0], "turn": own[1], "at": T.LongType(), "step": T.IntegerType()}
+    schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in Edit._fields])
+    arrow = to_arrow_schema(schema)
+    return _rows_and_tokens(rows).mapInArrow(lambda it: _tables(_edits(it), arrow), schema)
 
 
 # -- query ----------------------------------------------------------------------
@@ -331,23 +382,18 @@ class _Digest:
                 self.illegal, self.cost, "".join(self.letters), self.sha.hexdigest())
 
 
-def _digests(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    done, now = [], None
-    for batch in batches:
-        for conv_id, at, *rest in zip(*[c.to_pylist() for c in batch.columns]):
-            if now is None or now.conv_id != conv_id:
-                if now is not None:
-                    done.append(now.row())
-                now = _Digest(conv_id)
-            if at is not None:
-                now.add(*rest)
-        if len(done) >= 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
-            done = []
+def _digests(edits: Iterator[Edit | tuple]) -> Iterator[tuple]:
+    """A row per conversation; each has a mark in front."""
+    now = None
+    for edit in edits:
+        if len(edit) == 1:
+            if now is not None:
+                yield now.row()
+            now = _Digest(edit[0])
+        else:
+            now.add(*edit[3:])
     if now is not None:
-        done.append(now.row())
-    if done:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
+        yield now.row()
 
 
 def conversation_repair_query(conversations: DataFrame) -> DataFrame:
@@ -356,15 +402,9 @@ def conversation_repair_query(conversations: DataFrame) -> DataFrame:
     The audit and the hash are one value over a whole conversation, so its edits pass through one task, in
     order; the task keeps the audit's letters and no texts.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    edits = repair(damaged(conversations)).select("conv_id", "at", "edit", "fault", "turn", "old_role", "role", "text", "step")
-    every = conversations.select("conv_id").distinct()
-    rows = edits.unionByName(every, allowMissingColumns=True)
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "at", "step").drop("step")
-    kind = conversations.schema["conv_id"].dataType
-    schema = T.StructType([T.StructField("conv_id", kind),
+    rows = _rows_and_tokens(damaged(conversations), conversations.select("conv_id").distinct())
+    schema = T.StructType([T.StructField("conv_id", conversations.schema["conv_id"].dataType),
                            *[T.StructField(n, T.LongType()) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
                            T.StructField("audit", T.StringType()), T.StructField("repaired_sha256", T.StringType())])
     arrow = to_arrow_schema(schema)
-    return rows.mapInArrow(lambda it: _digests(it, arrow), schema)
+    return rows.mapInArrow(lambda it: _tables(_digests(_edits(it)), arrow), schema)

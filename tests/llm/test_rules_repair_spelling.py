@@ -191,7 +191,7 @@ def test_repaired_rows(spark):
                                "conv_id long, turn long, role string, text string")
     out = C.repair(df).orderBy("at", "step").collect()
     assert [(r["edit"], r["fault"], r["turn"], r["role"], r["text"]) for r in out] == [
-        ("K", "", 0, "user", "q."), ("I", "", None, "assistant", ""), ("K", "", 1, "user", "r."), ("D", "blank", 2, None, None),
+        ("K", "", 0, "user", "q."), ("I", None, None, "assistant", ""), ("K", "", 1, "user", "r."), ("D", "blank", 2, None, None),
         ("D", "duplicate", 3, None, None), ("K", "truncated", 4, "assistant", "cut")]
 
 
