@@ -41,11 +41,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from adlife.llm.common import ship_package
+from adlife.llm.common import ship_package, worker_cache
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
-CACHED = 250_000
+#: Bytes of remembered parts (twice that with the older ones), and of a dictionary entry besides its texts.
+CACHED_BYTES = 64 << 20
+ENTRY_BYTES = 190
 ZSTD_LEVEL = 3
 
 CHUNK_SCHEMA = ("shard int, chunk int, n_ids long, keys array<bigint>, lengths array<bigint>, plane_bits int, "
@@ -64,9 +66,9 @@ _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 class Encoder:
     """Whole-text encoding with the tokenizers library, remembering the ids of parts.
 
-    A text is cut at its safe blanks. ``spaced`` holds the ids of a part with a
-    blank before it, ``bare`` without; both start anew when ``CACHED`` parts are
-    held, but for what is used again, so memory is bounded.
+    A text is cut at its blanks. ``spaced`` holds the ids of a part with a blank before it, ``bare`` without,
+    ``last`` those of text ends that may be white space. All start anew when ``CACHED_BYTES`` are held, but for
+    what is used again, so memory is bounded by bytes, however long the parts are.
     """
 
     def __init__(self, path: str):
@@ -74,47 +76,82 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [a.content for a in self.tokenizer.get_added_tokens_decoder().values()]
-        self.spaced: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(1 + max(vocabulary.values()), bool)
+        self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True      # byte-level BPE's sign for a blank
         self.older: dict[str, bytes] = {}
+        self._anew()
+
+    def _anew(self) -> None:
+        self.spaced: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
-        self.open: set[str] = {""}      # parts whose outer characters may be white space
+        self.last: dict[str, bytes] = {}
+        self.open: set[str] = {""}      # parts whose outer characters may be white space: never in ``spaced``
+        self.held = 0                   # bytes, about
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.spaced) > CACHED:
-            self.older, self.spaced, self.bare, self.open = self.spaced, {}, {}, {""}
+        if self.held > CACHED_BYTES:
+            self.older = self.spaced
+            self._anew()
         get = self.spaced.get
         # a special token's string is one token wherever it stands: such texts are not cut
         parts = [[t] if any(s in t for s in self.special) else t.split(" ") for t in texts]
-        found = [list(map(get, ps[1:])) for ps in parts]
-        unknown = {p for ps, vs in zip(parts, found) for p, v in zip(ps[1:], vs) if v is None}
-        self.open.update(p for p in unknown.union(ps[0] for ps in parts) if not _ENDS.fullmatch(p))
+        heads = [ps.pop(0) for ps in parts]
+        found = [list(map(get, ps)) for ps in parts]
+        late = [i for i, ids in enumerate(found) if not all(ids)]
+        unknown: set[str] = set().union(*[set(parts[i]).difference(self.spaced) for i in late])
+        self._open(unknown)
+        self._open(set(heads))
         unknown -= self.open
-        for i, ps in enumerate(parts):
-            if len(ps) > 1 and not self.open.isdisjoint(ps):      # not every blank is safe here
-                parts[i] = _PART.split(texts[i])
-                found[i] = list(map(get, parts[i][1:]))
-                unknown.update(p for p, v in zip(parts[i][1:], found[i]) if v is None)
-        self._learn_bare({ps[0] for ps in parts})
+        ends = {}
+        careful = {i for i in late if not self.open.isdisjoint(parts[i])}
+        for i in careful.union(i for i, h in enumerate(heads) if parts[i] and h in self.open):
+            heads[i], *parts[i] = _PART.split(texts[i])           # not every blank is safe here
+            if parts[i] and not _ENDS.fullmatch(parts[i][-1]):
+                ends[i] = parts[i].pop()
+            found[i] = list(map(get, parts[i]))
+            unknown.update(p for p, ids in zip(parts[i], found[i]) if ids is None)
+            late.append(i)
+        self._learn_bare(set(heads))
         self._learn_spaced(unknown)
-        spaced = self.spaced
-        return [self.bare[ps[0]] + b"".join([spaced[p] if v is None else v for p, v in zip(ps[1:], vs)])
-                for ps, vs in zip(parts, found)]
+        self._learn(self.last, " ", {p for p in ends.values() if p not in self.last})
+        for i in late:
+            found[i] = [ids or get(p) for ids, p in zip(found[i], parts[i])]
+        for i, p in ends.items():
+            found[i].append(self.last[p])
+        return [self.bare[h] + b"".join(ids) for h, ids in zip(heads, found)]
+
+    def _open(self, some: set[str]) -> None:
+        new = [p for p in some.difference(self.open) if not _ENDS.fullmatch(p)]
+        self.open.update(new)
+        self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
+
+    def _learn(self, into: dict[str, bytes], before: str, some) -> None:
+        """The ids of each text of ``some`` behind ``before``."""
+        some = list(some)
+        for at in range(0, len(some), 20_000):
+            group = some[at:at + 20_000]
+            for p, e in zip(group, self.tokenizer.encode_batch_fast([before + p for p in group], add_special_tokens=False)):
+                self._keep(into, p, np.array(e.ids, dtype="<u4").tobytes())
+
+    def _keep(self, into: dict[str, bytes], part: str, ids: bytes) -> None:
+        into[part] = ids
+        self.held += len(part) + len(ids) + ENTRY_BYTES
 
     def _learn_bare(self, some: set[str]) -> None:
-        some = [p for p in some if p not in self.bare]
-        for p, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-            self.bare[p] = np.array(e.ids, dtype="<u4").tobytes()
+        self._learn(self.bare, "", some.difference(self.bare))
 
     def _learn_spaced(self, some: set[str]) -> None:
         """Words (letters only) are encoded many at a time as one text; a word with punctuation behind it
         is put together; other parts are encoded one by one."""
         spaced, older = self.spaced, self.older
         words, tailed, others = [], {}, []
-        for p in some:
-            if p in older:
-                spaced[p] = older[p]
-            elif p.isalpha():
+        again = older.keys() & some
+        spaced.update((p, older[p]) for p in again)
+        self.held += 2 * ENTRY_BYTES * len(again)
+        for p in some - again:
+            if p.isalpha():
                 words.append(p)
             else:
                 word = p.rstrip(_PUNCTUATION)
@@ -125,32 +162,23 @@ class Encoder:
         words += {w for w in tailed.values() if w not in spaced}.difference(words)
         for at in range(0, len(words), 2000):
             group = words[at:at + 2000]
-            e = self.tokenizer.encode(" " + " ".join(group), add_special_tokens=False)
-            starts = np.flatnonzero(np.diff(np.array(e.word_ids, dtype=np.int64), prepend=-1))
-            if len(starts) != len(group):                         # a letter that the tokenizer does not take for one
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self.blank[ids]) * 4          # the blank of a word is in its first token
+            if len(starts) != len(group):
                 others += group
                 continue
-            raw = np.array(e.ids, dtype="<u4").tobytes()
-            ends = [*(starts[1:] * 4).tolist(), len(raw)]
-            for p, a, z in zip(group, (starts * 4).tolist(), ends):
-                spaced[p] = raw[a:z]
-        for at in range(0, len(others), 20_000):
-            group = others[at:at + 20_000]
-            for p, e in zip(group, self.tokenizer.encode_batch([" " + p for p in group], add_special_tokens=False)):
-                spaced[p] = np.array(e.ids, dtype="<u4").tobytes()
+            raw = ids.tobytes()
+            spaced.update(zip(group, map(raw.__getitem__, map(slice, starts.tolist(), [*starts[1:].tolist(), len(raw)]))))
+            self.held += sum(map(len, group)) + len(raw) + ENTRY_BYTES * len(group)
+        self._learn(spaced, " ", others)
         self._learn_bare({p[len(w):] for p, w in tailed.items()})
         for p, w in tailed.items():
-            spaced[p] = spaced[w] + self.bare[p[len(w):]]
-
-
-_ENCODERS: dict[str, Encoder] = {}
+            self._keep(spaced, p, spaced[w] + self.bare[p[len(w):]])
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """One encoder per worker process, until a task of another operator runs there."""
+    return worker_cache(f"encoder {path}", lambda: Encoder(path))
 
 
 def to_planes(ids: np.ndarray, plane_bits: int) -> list[bytes]:
