@@ -141,7 +141,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", v
     ok = vectors.where(F.col(key).isNotNull() & usable(F.col(vector_col))).select(
         F.col(key).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("asks"))
-    rows = materialized(ok, "vectors")
+    # one row per id, whatever its rows hold: else a repeated row would take several places of a result
+    rows = materialized(ok.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")), "vectors")
     schema = "query_id long, rank int, " + key + " long, score double"
     length = rows.groupBy(F.size("v").alias("d")).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m"),

@@ -16,9 +16,13 @@ but for a small rest, whose limit is doubled; no later point can win.
 Candidates. ``BANDS`` bands of ``ROWS`` components; at similarity 0.8 a pair
 shares no band with probability 3e-6. Equal texts are merged first. In each
 bucket all members are compared with one leader only; texts that these links
-have already joined need no further comparison. Members of a bucket that are in
-different components afterwards are paired, once per pair (in the least bucket
-they share), but for pairs that a finer sketch rules out: ``FINE`` components of
+have already joined need no further comparison. Rounds follow: a bucket that still holds
+several components picks another member by a hash of the round, its members of other
+components are compared with that one, and what is alike is joined, so a large group
+shrinks to one component by comparisons in proportion to its size. When rounds
+join nothing more, members of a bucket that are in
+different components are paired, once per pair (in the least bucket
+they share). Rounds and pairs leave out what a finer sketch rules out: ``FINE`` components of
 two bits, whose mismatches exceed what similarity 0.8 gives by ``SIGMAS``
 standard deviations (a chance of 3e-6 at exactly 0.8, less above). So each shared
 bucket ends with its members compared, joined or ruled out. Every comparison is
@@ -41,13 +45,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from adlife.llm.common import materialized, ship_package
+from adlife.llm.common import fresh, materialized, ship_package, worker_cache
 from adlife.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 FINE, SIGMAS = 1024, 4.5
+#: Rounds without a new link after which the pairs that are left are made one by one.
+IDLE_ROUNDS = 2
 PIECE_BYTES = 1 << 20
 
 _U = np.uint64
@@ -64,16 +70,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_POWERS: dict = {"n": 0}
+def _new_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    up = np.full(n, _BASE, dtype=np.uint64)
+    down = np.full(n, _BASE_INVERSE, dtype=np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS["n"] < n:
-        up = np.full(n, _BASE, dtype=np.uint64)
-        down = np.full(n, _BASE_INVERSE, dtype=np.uint64)
-        up[0] = down[0] = 1
-        _POWERS.update(n=n, up=np.cumprod(up), down=np.cumprod(down))
-    return _POWERS["up"], _POWERS["down"]
+    """Powers of the base; those for a common piece are kept, more (for one very long text) are not."""
+    if n > 2 * PIECE_BYTES:
+        return _new_powers(n)
+    return worker_cache("bagminhash", lambda: _new_powers(2 * PIECE_BYTES))
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -230,25 +238,25 @@ def pieces(texts: list, most: int = PIECE_BYTES) -> Iterator[slice]:
 
 
 def signed(docs: DataFrame, key: str, text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, digest, n, bands): words' digest, number of runs and band keys of every whole text."""
+    """(id, raw, digest, n, bands): digests of the text and of its words, number of runs and band keys of every whole text."""
     ship_package(docs.sparkSession)
-    schema = StructType.fromDDL("id bigint, digest binary, n bigint, bands array<bigint>")
+    schema = StructType.fromDDL("id bigint, raw binary, digest binary, n bigint, bands array<bigint>")
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts, raw = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
             for part in pieces(texts):
                 doc, runs, count, digests = bags(texts[part])
                 n = np.bincount(doc, count, len(digests)).astype(np.int64)
                 keys = band_keys(signatures(doc, runs, count, len(digests), bands * rows), bands, rows)
                 keys = [k if d else [] for k, d in zip(keys, digests)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(part.start, len(digests)).cast(pa.int64()), pa.array(digests, pa.binary()),
+                    [ids.slice(part.start, len(digests)).cast(pa.int64()), raw.slice(part.start, len(digests)), pa.array(digests, pa.binary()),
                      pa.array(n), pa.array(keys, pa.list_(pa.int64()))], schema=out)
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("id"),
-                       F.col(f"`{text_col}`").alias("t")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"),
+                       raw_digest(F.col(f"`{text_col}`")).alias("raw")).mapInArrow(run, schema)
 
 
 def verified(pairs: DataFrame, least: float) -> DataFrame:
@@ -285,8 +293,11 @@ def verified(pairs: DataFrame, least: float) -> DataFrame:
 
 def node_texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Written (digest, t) of the nodes in ``wanted`` (digest): one pass over the documents."""
-    ids = nodes.join(wanted, "digest").select("digest", F.col("least_id").alias("wanted_id"))
-    return materialized(docs.join(ids, docs["id"].eqNullSafe(ids["wanted_id"])).select("digest", "t"), "texts")
+    ids = nodes.join(wanted, "digest").select("digest", F.col("at.id").alias("wanted_id"), F.col("at.raw").alias("wanted"))
+    # by id and text, so that many texts under one id (or none) meet only their own
+    rows = docs.withColumn("raw", raw_digest(F.col("t")))
+    found = rows.join(ids, (F.col("raw") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("wanted_id")))
+    return materialized(found.dropDuplicates(["digest"]).select("digest", "t"), "texts")
 
 
 def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -299,11 +310,40 @@ def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
                     similarity: float = SIMILARITY) -> DataFrame:
     """(``key``, class_id, n_shingles): class_id is the least id of the row's class."""
+    rows, by_text = _classes(docs, key, text_col, similarity)
+    return rows.select("id", "digest", "n").join(by_text, "digest", "left").select(
+        F.col("id").alias(key), F.coalesce("class_id", "id").alias("class_id"), F.col("n").alias("n_shingles"))
+
+
+def one_per_class(docs: DataFrame, key: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay when one row of every class does: the one of the least id (null ids last),
+    then of the least digest of its text. Rows are told apart by id and text, so rows that share an id, or have none,
+    are judged each by its own class; rows equal in both are one. Rows without runs stay."""
+    rows, by_text = _classes(docs, key, text_col, similarity)
+    who = F.struct(F.col("id").isNull().alias("none"), "id", "raw")
+    kept = rows.join(by_text, "digest").groupBy("root").agg(F.min(who).alias("who")).select("who.id", "who.raw")
+    alone = rows.where(F.col("digest").isNull()).select("id", "raw")
+    names = [fresh(c, docs.columns) for c in ("id_", "raw_")]
+    kept = kept.unionByName(alone).distinct().toDF(*names)
+    raw = fresh("raw", [*docs.columns, *names])
+    whole = docs.withColumn(raw, raw_digest(F.col(f"`{text_col}`")))
+    same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col(names[0])) & F.col(raw).eqNullSafe(F.col(names[1]))
+    return whole.join(kept, same, "left_semi").dropDuplicates([key, raw]).drop(raw)
+
+
+def raw_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Written rows (id, raw, digest, n, bands), and (digest, root, class_id) of the texts that have runs."""
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
     rows = materialized(signed(docs, key, text_col), "signatures")
     some = rows.where(F.col("digest").isNotNull())
+    # of every text one row to read it from: its least id, with the digest of that very text
     nodes = materialized(some.groupBy("digest").agg(
-        F.min("id").alias("least_id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "nodes")
+        F.min("id").alias("least_id"), F.min(F.struct("id", "raw")).alias("at"),
+        F.any_value("n").alias("n"), F.any_value("bands").alias("bands")), "nodes")
 
     # buckets of two or more different texts, each member with its bucket's leader
     member = nodes.select(F.explode("bands").alias("bucket"), "digest", "n")
@@ -329,21 +369,45 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text_col: str = "text"
     left = node_texts(rest.select("digest").distinct(), nodes, texts)
     detail = materialized(rest.select("digest").distinct().join(sketched(left), "digest").join(
         nodes.select("digest", "bands"), "digest"), "sketches")
-    rest = rest.join(detail, "digest")
+    rest = materialized(rest.drop("root").join(detail, "digest"), "rest")
+    fine_enough = mismatches(F.col("fine_a"), F.col("fine_b")) <= most_mismatches(similarity)
+    compared, idle, turn = first, 0, 0
+    while idle < IDLE_ROUNDS:
+        now = rest.select("bucket", "digest", "n", "fine").join(joined, F.col("digest") == F.col("node"), "left").select(
+            "bucket", "digest", "n", "fine", F.coalesce("root", "digest").alias("root"))
+        # the member with the least hash speaks for its bucket; (root, digest) tells if there are others
+        spoken = now.groupBy("bucket").agg(
+            F.min_by(F.struct("digest", "n", "fine", "root"), F.xxhash64("digest", F.lit(turn))).alias("s"),
+            F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select(
+            "bucket", *[F.col(f"s.{c}").alias(f"{c}_b") for c in ("digest", "n", "fine", "root")])
+        found = now.withColumnRenamed("fine", "fine_a").join(spoken, "bucket").where(
+            (F.col("root") != F.col("root_b")) & alike("n", "n_b") & fine_enough)
+        found = found.select(F.least("digest", "digest_b").alias("a"), F.greatest("digest", "digest_b").alias("b")).distinct()
+        found = materialized(found.join(compared, ["a", "b"], "left_anti"), "pairs")
+        turn += 1
+        if found.isEmpty():
+            idle += 1
+            continue
+        compared = materialized(compared.unionByName(found), "compared")
+        new = materialized(verified(with_texts(found, left), similarity), "links").select("a", "b")
+        idle = idle + 1 if new.isEmpty() else 0
+        if not idle:
+            links = materialized(links.select("a", "b").unionByName(new), "links")
+            joined = materialized(components(links), "components")
+    rest = rest.join(joined, F.col("digest") == F.col("node"), "left").select(
+        "bucket", "digest", "n", "fine", "bands", F.coalesce("root", "digest").alias("root"))
     x = rest.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("digest", "n", "root", "fine", "bands")])
     y = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("digest", "n", "root", "fine", "bands")])
     second = x.join(y, "bucket").where(
-        (F.col("digest_a") < F.col("digest_b")) & (F.col("root_a") != F.col("root_b")) & alike("n_a", "n_b")
-        & (mismatches(F.col("fine_a"), F.col("fine_b")) <= most_mismatches(similarity))
+        (F.col("digest_a") < F.col("digest_b")) & (F.col("root_a") != F.col("root_b")) & alike("n_a", "n_b") & fine_enough
         & (F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("bucket")))
     second = second.select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b"))
-    second = materialized(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = materialized(verified(with_texts(second, left), similarity), "links")
-    joined = materialized(components(links.unionByName(more).select("a", "b")), "components")
+    second = materialized(second.join(compared, ["a", "b"], "left_anti"), "pairs")
+    if not second.isEmpty():
+        more = materialized(verified(with_texts(second, left), similarity), "links")
+        joined = materialized(components(links.select("a", "b").unionByName(more.select("a", "b"))), "components")
 
     named = nodes.select("digest", "least_id").join(joined, F.col("digest") == F.col("node"), "left").select(
         "digest", "least_id", F.coalesce("root", "digest").alias("root"))
     classes = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    by_text = named.join(classes, "root").select("digest", "class_id")
-    return rows.select("id", "digest", "n").join(by_text, "digest", "left").select(
-        F.col("id").alias(key), F.coalesce("class_id", "id").alias("class_id"), F.col("n").alias("n_shingles"))
+    return rows, named.join(classes, "root").select("digest", "root", "class_id")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from adlife.session import ship_package, table_path
 
-__all__ = ["documents", "drop_scratch", "fresh", "materialized", "scratch_path", "ship_package", "table"]
+__all__ = ["documents", "drop_scratch", "fresh", "materialized", "scratch_path", "scratch_scope", "ship_package", "table", "worker_cache"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +22,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+_SCOPES: list[str] = []
+
+
 def _scratch(spark: SparkSession) -> str:
-    return table_path(spark, "llm", spark.sparkContext.applicationId)
+    return table_path(spark, "llm", spark.sparkContext.applicationId, *_SCOPES)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """What is written with :func:`materialized` inside goes when the scope ends: nothing lazy may outlive it."""
+    _SCOPES.append(uuid.uuid4().hex)
+    try:
+        yield
+    finally:
+        drop_scratch(spark)
+        _SCOPES.pop()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -29,20 +45,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialized(df: DataFrame, name: str, **options) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialized(df: DataFrame, name: str, path: str | None = None, **options) -> DataFrame:
+    """Write ``df`` once to the shared folder (or ``path``) and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of files, not a
     recomputation, and several consumers share one computation.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, object] = {}
+
+
+def worker_cache(owner: str, make: Callable[[], object] | None = None):
+    """What this Python worker keeps for ``owner`` between tasks; made if it is not there.
+
+    Workers serve the tasks of many operators, one after another: only the last owner's things are kept,
+    and an operator that keeps nothing (no ``make``) asks for that at the start of its tasks.
+    """
+    if owner not in _HELD:
+        _HELD.clear()
+        pa.default_memory_pool().release_unused()
+        if make is None:
+            return None
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
 def drop_scratch(spark: SparkSession) -> None:
-    """Remove every table this application wrote with :func:`materialized`."""
+    """Remove every table this application wrote with :func:`materialized` (in the scope, if one is open)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(_scratch(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -32,18 +32,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from adlife.llm.common import fresh, ship_package
+from adlife.llm.common import fresh, ship_package, worker_cache
 
 DIMS = 1 << 12
 SLICE = 1 << 20
-PER_LANGUAGE = 1000
+PER_LANGUAGE = 1500
 CENTROIDS = 3
 ROUNDS = 12
 #: Texts are put into classes by the logarithm of their distinct n-grams; a class's bound
 #: is its largest training distance plus this share of the way to distance 1.
 MARGIN = 0.5
 SIZES = 8
-#: A class with fewer training texts has no bound: nothing is rejected without evidence.
+#: A class with fewer training texts takes the bound of all training texts; from fewer in all no bound can be learned,
+#: and then only texts without letters are rejected.
 BOUND_ROWS = 30
 UNKNOWN = "und"
 
@@ -118,6 +119,7 @@ def sample_counts(docs: DataFrame, label: str, text_col: str, per_label: int, pi
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("langid")
         for batch in batches:
             rows = [np.asarray(count(t)) for t in batch.column(1).to_pylist()]
             at = [np.flatnonzero(r) for r in rows]
@@ -155,12 +157,9 @@ def fit(labels: list, counts: np.ndarray) -> Model | None:
         centroids.append(c)
     centroids = np.concatenate(centroids).astype(np.float32)
     far, sizes = 1 - (v @ centroids.T).max(axis=1), size_class(counts)
-    bounds = np.ones(SIZES)
-    for s in range(SIZES):
-        if (sizes == s).sum() >= BOUND_ROWS:
-            most = float(far[sizes == s].max())
-            bounds[s] = most + MARGIN * (1 - most)
-    return Model(languages, centroids, idf, bounds)
+    every = far.max() if len(far) >= BOUND_ROWS else 1.0
+    most = np.array([far[sizes == s].max() if (sizes == s).sum() >= BOUND_ROWS else every for s in range(SIZES)])
+    return Model(languages, centroids, idf, most + MARGIN * (1 - most))
 
 
 def predict(model: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -190,6 +189,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep_
     out, text_at = to_arrow_schema(schema), names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("langid")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -38,12 +38,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
 
-from adlife.llm.common import fresh, materialized, ship_package
+from adlife.llm.common import fresh, materialized, ship_package, worker_cache
 from adlife.llm.langid import crc, sample_counts
 
 PAIRS = 1 << 10
 PIECE = 1 << 10
-PER_DOMAIN = 1000
+PER_DOMAIN = 1500
 #: Largest miss of a domain's target, as a share of the target.
 CLOSE = 1e-5
 #: Step lengths tried in one pass; weight of the multipliers' squares, which keeps them finite.
@@ -127,6 +127,7 @@ def membership_table(docs: DataFrame, model: Classifier, key: str = "doc_id", te
     out = pa.schema([("id", pa.int64()), ("tokens", pa.int64()), ("p", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("mixing")
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -160,6 +161,7 @@ def domain_sums(table: DataFrame, tries: np.ndarray, low: float, high: float) ->
     out = pa.schema([("at", pa.int32()), ("x", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("mixing")
         x = np.zeros(size)
         for batch in batches:
             t = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
@@ -241,6 +243,7 @@ def rated(table: DataFrame, domains: list[str], rates: Rates) -> DataFrame:
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("mixing")
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates.of(_posteriors(
                 batch.column(2), len(domains))))], schema=out)
@@ -259,6 +262,7 @@ def apply_rates(docs: DataFrame, model: Classifier, rates: Rates, key: str = "do
     out, text_at = to_arrow_schema(schema), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("mixing")
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from adlife.llm.common import fresh, materialized, ship_package
+from adlife.llm.common import fresh, materialized, ship_package, worker_cache
 
 MIN_WORDS = 20
 LINE_WORDS = 3
@@ -239,6 +239,7 @@ def document_digests(docs: DataFrame) -> DataFrame:
     out = pa.schema([("id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("unit_dedup")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -261,6 +262,7 @@ def kept_words(docs: DataFrame, keepers: DataFrame) -> DataFrame:
     out = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("left", pa.string()), ("right", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("unit_dedup")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -309,6 +311,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
     text_at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("unit_dedup")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -84,6 +84,31 @@ def test_large_group_of_copies(spark):
     assert got == dict(classes(rows[:1] + rows[600:])) | {i: 0 for i in range(600)}
 
 
+def test_one_row_of_every_class_stays(spark):
+    """Rows that share an id, or have none, are judged by their own texts."""
+    a, b, c = prose(1, 150), prose(2, 150), prose(3, 150)
+    rows = [(5, a, "x"), (5, b, "x"), (None, c, "x"), (None, prose(4, 150), "x"), (None, c + " and one more", "x"), (3, edited(b, 0.01, 2), "x"),
+            (7, a, "y"), (7, a, "y"), (8, None, "z"), (8, None, "z"), (9, "", "z"), (None, None, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, raw string")
+    out = sorted(map(tuple, B.one_per_class(df).collect()), key=str)
+    assert df.columns == B.one_per_class(df).columns
+    # class of a: id 5; of b: id 3; of c: one of the two rows without an id, the other stays out
+    assert [r for r in out if r[0] is not None] == [(3, rows[5][1], "x"), (5, a, "x"), (8, None, "z"), (9, "", "z")]
+    none = [r[1] for r in out if r[0] is None]
+    assert len(none) == 3 and None in none and prose(4, 150) in none and len({c, rows[4][1]} & set(none)) == 1
+
+
+def test_rounds_join_a_group_without_its_pairs(spark, monkeypatch):
+    """Copies with so many edits that about half of their pairs are linked: joining them makes no quadratic number of pairs."""
+    base = prose(11, 300).replace("\n", " ")
+    rows = [(i, edited(base, 0.0125, 500 + i)) for i in range(120)]
+    made, verified = [], B.verified
+    monkeypatch.setattr(B, "verified", lambda pairs, least: made.append(pairs.count()) or verified(pairs, least))
+    got = B.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r[0], r[1]) for r in got) == sorted(classes(rows))
+    assert len(made) > 1 and sum(made) < 120 * 119 / 2 / 3
+
+
 def test_near_duplicates_of_awkward_tables(awkward, empty):
     rows = B.near_duplicates(awkward).collect()
     assert len(rows) == len(awkward_rows())

@@ -33,6 +33,44 @@ def test_language_rejection_and_unknown(spark):
     assert langid.predict(None, ["text"])[0] == ["und"]
 
 
+def test_language_of_small_classes(docs):
+    """A size class without enough training texts is bounded like the nearest that has them: foreign texts go."""
+    model = langid.learned(docs)
+    assert (model.bounds < 1).all()
+    foreign = ["Съешь же ещё этих мягких французских булок, да выпей чаю", "Широкая электрификация южных губерний даст мощный толчок " * 20,
+               "いろはにほへと ちりぬるを わかよたれそ つねならむ"]
+    assert langid.predict(model, foreign)[2].all()
+    labelled = docs.where("lang is not null and text is not null").collect()
+    rejected = langid.predict(model, [r["text"] for r in labelled])[2]
+    assert not rejected.any()
+
+
+def test_nearest_centroid_by_brute_force(docs):
+    model = langid.learned(docs)
+    texts = [r["text"] for r in docs.limit(40).collect()] + ["ein kurzer satz", "", None, "12"]
+
+    def one(text):
+        low = [c if c.isalpha() else " " for c in (text or "").lower()]
+        line = " " + " ".join("".join(low).split()) + " "
+        if not line.strip():
+            return "und", 0.0
+        n = np.zeros(langid.DIMS)
+        for size in (2, 3):
+            for i in range(len(line) - size + 1):
+                h = 0
+                for k, c in enumerate(line[i:i + size]):
+                    h = (h * 0x1F35B9 + ord(c)) % 2 ** 64 if k else ord(c)
+                h = (h + 1) % 2 ** 64 if size == 3 else h
+                n[(h * 0x9E3779B97F4A7C15 % 2 ** 64) >> 52] += 1
+        v = np.array([(1 + np.log(x)) * w if x else 0.0 for x, w in zip(n, model.idf.astype(float))])
+        cos = [float(v @ c) / np.sqrt(v @ v) for c in model.centroids.astype(float)]
+        return model.languages[int(np.argmax(cos))], max(cos)
+    names, score, _ = langid.predict(model, texts)
+    for t, name, s in zip(texts, names, score):
+        want = one(t)
+        assert name == want[0] and s == pytest.approx(max(want[1], 0), abs=1e-5)
+
+
 def test_language_of_awkward_tables(awkward, empty, docs):
     model = langid.learned(docs)
     out = langid.identify(awkward, model)
@@ -192,6 +230,17 @@ def test_neighbours_with_ties_and_bad_vectors(spark):
     assert len(few) == 6 and ann.nearest(df.where("false"), F.lit(True), 20).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """An id is one row: the least vector of those stored under it; repeats take no place and ask no second time."""
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)]
+    more = rows + [(20, rows[20][1]), (21, rows[21][1]), (40, [9.0, 9.0, 9.0]), (3, rows[3][1])]
+    one = sorted(map(tuple, ann.ann_query(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    got = sorted(map(tuple, ann.ann_query(spark.createDataFrame(more, "vec_id long, embedding array<double>")).collect()))
+    assert got == one and len(got) == 60
+    for q in (0, 20, 40):
+        assert len({r[2] for r in got if r[0] == q}) == 20
+
+
 @pytest.mark.parametrize("bits", [8, 1])
 def test_planes_round_trip(bits):
     rng = np.random.default_rng(6)
@@ -276,7 +325,12 @@ def test_stages_of_awkward_tables(spark, awkward, empty, k):
     assert none.count() == 0 and none.columns == out.columns
 
 
-def test_run_equals_the_stages(spark):
+def test_run_equals_the_stages(spark, docs, workdir):
+    frame = docs
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, frame, SF).write.parquet(f"{workdir}/{k}")
+        frame = spark.read.parquet(f"{workdir}/{k}")
     out = corpus_pipeline.run(spark, SF)
-    assert {"doc_id", "segment", "bucket_length", "batch", "slot"} <= set(out.columns) and out.count() > 100
-    assert COLUMNS
+    assert {"doc_id", "segment", "bucket_length", "batch", "slot"} <= set(out.columns) and COLUMNS
+    got, want = sorted(map(tuple, out.collect()), key=str), sorted(map(tuple, frame.collect()), key=str)
+    assert got == want and len(got) > 100
