@@ -8,8 +8,8 @@ return the columns of ``documents`` (extra columns pass through). ``n_chars`` is
 kept equal to the length of the text it belongs to.
 
 Defined cases: a null or empty text has no language and is rejected by the first
-stage; rows that share an id are one document to the later stages; an empty
-table passes through every stage.
+stage; rows that share an id, or have none, are told apart by their texts in the second; an
+empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlife.llm import bagminhash, langid, mixing, packing, queries, unit_dedup
-from adlife.llm.common import documents, fresh, materialized
+from adlife.llm.common import documents, materialized, scratch_path, scratch_scope
 
 #: Target shares of tokens by language in the mixture.
 WEIGHTS = {"de": 0.18, "en": 0.52, "es": 0.12, "fr": 0.18}
@@ -32,12 +32,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least id of every class of near duplicates; a repeated row once."""
-    classes = bagminhash.near_duplicates(docs.select("doc_id", "text"))
-    key = fresh("key", docs.columns)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(key)).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[key]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """Keeps one row of every class of near duplicates, that of the least id; a repeated row once."""
+    return bagminhash.one_per_class(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,5 +74,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = materialized(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        out = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
+        with scratch_scope(spark):                   # a stage's own tables go when its result is written
+            docs = materialized(stage(spark, docs, sf_dir), name, out)
     return STAGES[-1][1](spark, docs, sf_dir)
