@@ -172,11 +172,18 @@ def read_parts(spark: SparkSession, path: str, manifest: Manifest, schema: T.Str
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def write_run(spark: SparkSession, rows: DataFrame, path: str, partition_by: str) -> tuple[str, dict[str, int]]:
-    """Write ``rows`` as a new run folder; its id and the row count of each of its partition folders."""
+def write_run(spark: SparkSession, rows: DataFrame, path: str, partition_by: str,
+              point_reads: Iterable[str] = ()) -> tuple[str, dict[str, int]]:
+    """Write ``rows`` as a new run folder; its id and the row count of each of its partition folders.
+
+    Columns named in ``point_reads`` get a Bloom filter in every row group, so that readers of single values skip
+    the row groups without them also where the values lie between the group's least and greatest.
+    """
     run = uuid.uuid4().hex
     folder = f"{path.rstrip('/')}/{RUN}={run}"
-    rows.write.partitionBy(partition_by).parquet(folder)
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in point_reads if c in rows.columns}
+    sizes = {"parquet.bloom.filter.adaptive.enabled": "true"} if blooms else {}     # as large as the values need
+    rows.write.options(**blooms, **sizes).partitionBy(partition_by).parquet(folder)
     names = [s.getPath().getName() for s in list_folder(spark, folder) if s.isDirectory()]
     names = [n for n in names if n.startswith(f"{partition_by}=")]
     if not names:

@@ -44,6 +44,8 @@ __all__ = ["ConcurrentWrite", "append_keyed", "check_layout", "compact_versions"
 MERGE_RUNS = 8
 #: Versions of one tier that are merged into one of the next.
 FANOUT = 4
+#: Columns of raw tables by which single histories are read.
+POINT_READS = ("url",)
 #: Times that an append starts again after another writer was first.
 APPEND_TRIES = 5
 
@@ -178,7 +180,7 @@ def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[
             _, stored = _touched_parts(spark, path, version, new.where(F.col(partition_by).isNotNull()), partition_by)
             if stored is not None:
                 rows = rows.join(stored.select(*keys), keys, "left_anti")
-            run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by)
+            run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by, POINT_READS)
             batches = {**(version.batches if version else {}), **({batch[0]: batch[1]} if batch else {})}
             try:
                 mf.publish(spark, path, version, layout=layout, batches=batches, **_with_runs(version, run, counts, instead=False))
@@ -199,7 +201,7 @@ def merge_runs(spark: SparkSession, path: str, schema: T.StructType, order: Sequ
     names = [n for n, runs in version.partitions.items() if len(runs) >= min_runs] if version else []
     if names:
         rows = mf.read_parts(spark, path, version, schema, names)
-        run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by)
+        run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by, POINT_READS)
         mf.publish(spark, path, version, **_with_runs(version, run, counts, instead=True))
     return names
 

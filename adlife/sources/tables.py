@@ -67,6 +67,21 @@ def scan_date_range(df: DataFrame, start: str, end: str,
     return df.where(F.col("load_date").between(start, end)).select(*columns)
 
 
+def history_of(df: DataFrame, urls: Sequence[str], until_time: int | None = None, until_date: str | None = None) -> DataFrame:
+    """The snapshots of a few ``urls`` up to a time (and date), newest first: a point read.
+
+    The urls reach the Parquet reader as single equalities, as long as there are at most as many as it takes
+    (``spark.sql.parquet.pushdown.inFilterThreshold``); it skips row groups by their statistics and Bloom filters,
+    and pages by the page index. For many urls semi-join the history with them instead.
+    """
+    rows = df.where(F.col("url").isin(list(urls)))
+    if until_time is not None:
+        rows = rows.where(F.col("load_time") <= until_time)
+    if until_date is not None:
+        rows = rows.where(F.col("load_date") <= until_date)
+    return rows.orderBy("url", F.desc("load_time"))
+
+
 def latest_load_date(df: DataFrame, as_of: str | Column,
                      margin_days: int = config.SAFETY_MARGIN_DAYS,
                      first_load: str = config.FIRST_LOAD_DATE) -> DataFrame:

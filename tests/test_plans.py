@@ -91,3 +91,50 @@ def test_listing_details_semi_join_pages_first(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     p = plan(newest_pages(pages, pages.select("url").where("url like '%1'").distinct()))
     assert "LeftSemi" in p and p.index("max_by") < p.index("LeftSemi")
+
+
+def scanned_rows(df) -> int:
+    """Rows that the file scans of an executed frame gave out."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")           # the plan as it runs, also where nothing is found
+    try:
+        df.collect()
+        todo = [df._jdf.queryExecution().executedPlan()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    found = 0
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found += node.metrics().get("numOutputRows").get().value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_point_read_skips_row_groups(spark, workdir):
+    """One url of a raw table: other row groups are skipped by statistics, and those around an absent url by Bloom filters."""
+    from adlife.sinks import tables as K
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", str(1 << 14))
+    try:
+        rows = spark.range(40_000).selectExpr("'2024-01-01' AS load_date", "concat('http://ads.example/', lpad(id * 2, 8, '0')) AS url",
+                                              "1000 + id AS load_time", "sha2(cast(id AS string), 256) AS title")
+        K.append_keyed(spark, rows, workdir, ["load_date", "url", "load_time"], order=["url", "-load_time"])
+    finally:
+        conf.unset("parquet.block.size")
+    table = T.read_table(spark, workdir, rows.schema)
+    assert scanned_rows(table.select("url")) == 40_000
+    held = [f"http://ads.example/{k:08d}" for k in (20_000, 61_000)]
+    some = T.history_of(table, held, until_time=10**9)
+    assert "In(url" in plan(some) or "EqualTo(url" in plan(some) or "PushedFilters: [In" in plan(some)
+    assert some.count() == 2 and scanned_rows(T.history_of(table, held)) < 8_000
+    absent = [f"http://ads.example/{k:08d}" for k in (20_001, 61_001)]
+    assert scanned_rows(T.history_of(table, absent)) == 0
+    assert T.history_of(table, held, until_time=0).count() == 0 and T.history_of(table, held, until_date="2023-12-31").count() == 0
+    # without the dictionaries, which tell the same of such small row groups, the Bloom filters alone; then neither
+    def read(**filters):
+        options = {f"parquet.filter.{k}.enabled": str(v).lower() for k, v in {"dictionary": False, **filters}.items()}
+        return T.history_of(spark.read.schema(rows.schema).options(**options).parquet(workdir), absent)
+    assert scanned_rows(read(bloom=True)) == 0
+    assert 0 < scanned_rows(read(bloom=False, columnindex=False)) < 8_000
