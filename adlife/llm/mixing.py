@@ -6,15 +6,17 @@
    ``PIECE`` bytes, so a text in two languages belongs to both in part.
 2. Nonnegative rates r of the documents (expected copies) are fitted by least
    squares: minimise sum over domains of (S_k - T_k)^2 / T_k, where
-   S_k = sum of rate * tokens * posterior_k and T_k is the target token total.
-   Among the rates that meet the targets, those nearest to 1 (by tokens) are
-   r = clip(1 + sum_k p_k m_k, low, high): one multiplier m_k a domain. They are
-   found by damped Newton steps on the convex dual; a step needs the S_k and the
-   Gram matrix of the unclipped rows, one aggregation of the written posterior
-   table that tries ``len(TRIES)`` step lengths at once. Steps go on until every
-   S_k is within ``CLOSE`` of its target, or until the least-squares optimum shows
-   that the bounds and posteriors do not allow it: then ``Rates.met`` is False and
-   a warning names the domains. Rates are never stored but computed from the m_k.
+   S_k = sum of rate * tokens * posterior_k and T_k is the target token total,
+   by projected gradient steps from r = 1. In the metric of the tokens the gradient at
+   a document is the product of its posterior with a vector of the domains, so a
+   step is r = clip(r + p . d, low, high) with one d for all documents, and a rate
+   is computed where its document is by going through the steps: rates are never stored.
+   A step needs the S_k only, one aggregation of the written posterior table; it tries
+   ``len(TRIES)`` lengths along the gradient and along the gradient scaled by the inverse
+   Gram matrix of the rows that are not held at a bound, and takes the best. Steps go on until every
+   S_k is within ``CLOSE`` of its target, or until steps no longer lower the sum:
+   then the bounds and posteriors do not allow the targets, ``Rates.met`` is False and
+   a warning names the domains.
 
 Tokens are runs of non-blank characters. ``copies`` realises the rate: its
 integer part, plus one with the probability of its fraction by a hash of the id.
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +48,12 @@ PIECE = 1 << 10
 PER_DOMAIN = 1500
 #: Largest miss of a domain's target, as a share of the target.
 CLOSE = 1e-5
-#: Step lengths tried in one pass; weight of the multipliers' squares, which keeps them finite.
-TRIES, RIDGE = tuple(4.0 ** -k for k in range(12)), 1e-10
+#: Step lengths tried in one pass, as multiples of the safe one; damping of the Gram matrix.
+TRIES, RIDGE = (64.0, 16.0, 4.0, 2.0, 1.0, 0.5, 0.25, 1 / 16, 1 / 64, 1 / 1024), 1e-10
+#: Share of tokens beyond the least total.
+SLACK = 0.02
+#: Steps in a row that lower the sum by less than this share end the fit.
+IDLE_STEPS, GAIN = 4, 0.02
 
 
 @dataclass
@@ -58,15 +64,17 @@ class Classifier:
 
 @dataclass
 class Rates:
-    step: float = 1.0
     low: float = 0.0
     high: float = 1e9
-    multipliers: np.ndarray | None = None
+    steps: np.ndarray | None = None   # (steps, domains)
     met: bool = True
 
     def of(self, p: np.ndarray) -> np.ndarray:
-        """The rates of documents with posteriors ``p``."""
-        return np.clip(1 + (0 if self.multipliers is None else p @ self.multipliers) * np.ones(len(p)), self.low, self.high)
+        """The rates of documents with posteriors ``p``: the projected steps from 1."""
+        r = np.clip(np.ones(len(p)), self.low, self.high)
+        for d in self.steps if self.steps is not None else ():
+            r = np.clip(r + p @ d, self.low, self.high)
+        return r
 
 
 def _pairs(data: np.ndarray) -> np.ndarray:
@@ -143,21 +151,22 @@ def _posteriors(column: pa.Array, domains: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
 
 
-def sums_of(p: np.ndarray, t: np.ndarray, tries: np.ndarray, low: float, high: float) -> np.ndarray:
-    """Per row of multipliers: sums of rate * tokens * p_k, of tokens * p_k * p_l over unclipped rows, and the dual value."""
-    out = []
-    for m in tries:
-        u = p @ m
-        r = np.clip(1 + u, low, high)
-        free = t * ((1 + u >= low) & (1 + u <= high))
-        out.append(np.concatenate(((r * t) @ p, ((p * free[:, None]).T @ p).reshape(-1), [(t * (u * r - (r - 1) ** 2 / 2)).sum()])))
+def sums_of(p: np.ndarray, t: np.ndarray, rates: Rates, tries: np.ndarray) -> np.ndarray:
+    """Per try of a next step: sums of rate * tokens * p_k, and of tokens * p_k * p_l over rows that it does not
+    press against a bound."""
+    out, now = [], rates.of(p)
+    for d in tries:
+        u = p @ d
+        r = np.clip(now + u, rates.low, rates.high)
+        free = t * ~(((r <= rates.low) & (u < 0)) | ((r >= rates.high) & (u > 0)))
+        out.append(np.concatenate(((r * t) @ p, ((p * free[:, None]).T @ p).reshape(-1))))
     return np.stack(out)
 
 
-def domain_sums(table: DataFrame, tries: np.ndarray, low: float, high: float) -> np.ndarray:
+def domain_sums(table: DataFrame, rates: Rates, tries: np.ndarray) -> np.ndarray:
     """:func:`sums_of` the whole table. Each task sends one array."""
     k, domains = tries.shape
-    size = k * (domains + domains * domains + 1)
+    size = k * (domains + domains * domains)
     out = pa.schema([("at", pa.int32()), ("x", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,66 +174,64 @@ def domain_sums(table: DataFrame, tries: np.ndarray, low: float, high: float) ->
         x = np.zeros(size)
         for batch in batches:
             t = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
-            x += sums_of(_posteriors(batch.column(1), domains), t, tries, low, high).reshape(-1)
+            x += sums_of(_posteriors(batch.column(1), domains), t, rates, tries).reshape(-1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(x)], schema=out)
 
     sums = np.zeros(size)
     rows = table.select("tokens", "p").mapInArrow(run, from_arrow_schema(out)).groupBy("at").agg(F.sum("x").alias("x"))
-    for r in rows.collect():                               # tries x (domains + domains^2 + 1) numbers
+    for r in rows.collect():                               # tries x (domains + domains^2) numbers
         sums[r["at"]] = r["x"]
     return sums.reshape(k, -1)
 
 
-def solve(sums, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
-    """(multipliers, S, whether S meets ``target``), given ``sums(rows of multipliers)`` as of :func:`sums_of`."""
+def solve(sums, target: np.ndarray, rates: Rates) -> tuple[Rates, np.ndarray]:
+    """The fitted rates and their S, given ``sums(rates, rows of next steps)`` as of :func:`sums_of`."""
     k = len(target)
-    m, stuck = np.zeros(k), 0
-    best = sums(m[None, :])[0]
+    steps, idle = [], 0
+    now = sums(rates, np.zeros((1, k)))[0]
     scale = 1 / np.sqrt(target)
-
-    def slope(m, x):
-        return (x[:k] - target + RIDGE * target * m) * scale
-
     while True:
-        if (np.abs(best[:k] - target) <= CLOSE * target).all():
-            return m, best[:k], True
-        g = slope(m, best)
-        if stuck >= 3 or np.abs(g).max() <= 1e-9 * np.sqrt(target.sum()):
-            return m, best[:k], False
-        gram = best[k:k + k * k].reshape(k, k) * scale[:, None] * scale[None, :]
-        steps = [-scale * np.linalg.solve(gram + damp * np.eye(k), g) for damp in (RIDGE, 1e-4 * np.trace(gram) + RIDGE)]
-        tries = np.stack([m + length * d for d in steps for length in TRIES])
-        got = sums(tries)
-        value = lambda m, x: x[-1] - target @ m + RIDGE / 2 * (target * m * m).sum()
-        now, values = value(m, best), np.array([value(a, x) for a, x in zip(tries, got)])
-        slopes = np.array([np.abs(slope(a, x)).max() for a, x in zip(tries, got)])
-        # near the optimum the values agree to rounding: then the least slope decides
-        near = values <= values.min() + 1e-13 * np.abs(target).sum() * max(1.0, np.abs(m).max())
-        pick = int(np.argmin(np.where(near, slopes, np.inf)))
-        gain = now - values[pick] > 1e-12 * abs(now) or slopes[pick] < 0.9 * np.abs(g).max()
-        stuck = 0 if gain else stuck + 1
-        if gain:
-            m, best = tries[pick], got[pick]
+        miss = now[:k] - target
+        if (np.abs(miss) <= CLOSE * target).all():
+            return replace(rates, met=True), now[:k]
+        if idle >= IDLE_STEPS:
+            return replace(rates, met=False), now[:k]
+        gram = now[k:].reshape(k, k) * scale[:, None] * scale[None, :]
+        g = miss * scale
+        safe = 1 / max(float(np.linalg.eigvalsh(gram).max()), 1e-300)      # no longer step is needed without bounds
+        damp = [RIDGE, 1e-3]
+        directions = [safe * g, *[np.linalg.solve(gram + x * np.trace(gram) * np.eye(k) / k + 1e-300 * np.eye(k), g) for x in damp]]
+        tries = [-scale * d * length for d in directions for length in TRIES]
+        if steps:                                          # momentum: the last step again, alone and behind a safe step
+            tries += [steps[-1] * length - scale * d for length in (0.5, 0.9, 2.0, 8.0) for d in (0.0, *directions)]
+        tries = np.stack(tries)
+        tries = tries[np.isfinite(tries).all(axis=1)]
+        got = sums(rates, tries)
+        values = (((got[:, :k] - target) * scale) ** 2).sum(axis=1)
+        best, before = int(np.argmin(values)), float((g ** 2).sum())
+        idle = idle + 1 if not values[best] < (1 - GAIN) * before else 0
+        if values[best] >= before:
+            return replace(rates, met=False), now[:k]
+        steps.append(tries[best])
+        rates, now = replace(rates, steps=np.stack(steps)), got[best]
 
 
 def fit_rates(table: DataFrame, domains: list[str], weights: Mapping[str, float], total: float | None = None,
               low: float = 0.0, high: float = 1e9) -> tuple[Rates, dict]:
     """Rates whose expected token totals match ``weights``; ``total`` tokens in all.
 
-    ``total`` None: the least total at which no domain has to shrink. Returns
+    ``total`` None: the least total at which no domain has to shrink, and ``SLACK`` more, as a document that
+    belongs to a scarce domain in part adds to the others too. Returns
     the rates and a report (domain -> tokens before, target, expected).
     """
     share = np.array([max(float(weights.get(d, 0.0)), 1e-9) for d in domains])
     share = share / share.sum()
     rates, k = Rates(low=low, high=high), len(domains)
-    first = domain_sums(table, np.zeros((1, k)), 0.0, 1e9)[0]
-    have, gram = first[:k], first[k:k + k * k].reshape(k, k)
+    have = domain_sums(table, Rates(), np.zeros((1, k)))[0][:k]
     if have.sum() <= 0:
         return rates, {}
-    target = share * (float((have / share)[share > 1e-6].max()) if total is None else float(total))
-    scale = 1 / np.sqrt(target)
-    rates.step = 1 / float(np.linalg.eigvalsh(gram * scale[:, None] * scale[None, :]).max())
-    rates.multipliers, got, rates.met = solve(lambda tries: domain_sums(table, tries, low, high), target)
+    target = share * ((1 + SLACK) * float((have / share)[share > 1e-6].max()) if total is None else float(total))
+    rates, got = solve(lambda now, tries: domain_sums(table, now, tries), target, rates)
     report = {d: (float(a), float(b), float(c)) for d, a, b, c in zip(domains, have, target, got)}
     if not rates.met:
         short = {d: f"{c:.0f} of {b:.0f}" for d, (_, b, c) in report.items() if abs(c - b) > CLOSE * b}
