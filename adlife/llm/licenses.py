@@ -1,9 +1,11 @@
 """License scan: exact set-similarity join of text blocks with notice templates.
 
-A block (a line) holds a template when at least ``threshold`` of the
-template's distinct words are in it. The join is exact:
+A block is a window of ``WINDOW`` neighbouring lines (fewer at the end of a text), so a
+notice is found however it is wrapped, as long as it does not run over more lines; windows
+start at every line that holds a template word. A block holds a template when at
+least ``threshold`` of the template's distinct words are in it. The join is exact:
 
-1. words of the templates are ordered by how many blocks of the whole corpus
+1. words of the templates are ordered by how many lines of the whole corpus
    hold them, rarest first (one pass, summed per task; the result has one row
    per template word);
 2. a block that reaches the threshold must hold one of the template's first
@@ -13,8 +15,8 @@ template's distinct words are in it. The join is exact:
 3. the remaining (block, template) pairs are verified.
 
 Everything is built-in Spark expressions. The word index is a table of the
-templates, so its broadcast size is that of the template table. Blocks are
-tested line by line inside the row that holds the text; only blocks that pass
+templates; it is broadcast up to ``BROADCAST_ROWS`` rows and joined by its words beyond. Blocks are
+tested inside the row that holds the text; only blocks that pass
 the prefix and length filters are kept, in a narrow written table.
 
 Defined cases: a null text counts as empty; an empty text has no block; equal
@@ -55,6 +57,9 @@ TEMPLATES = (
 )
 
 THRESHOLD = 0.9
+#: Lines of a block: the longest template takes two lines of 78 columns, or four of 40.
+WINDOW = 4
+BROADCAST_ROWS = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words once A-Z are lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -77,17 +82,22 @@ def need(size: int, threshold: float) -> int:
     return max(1, math.ceil(size * threshold - 1e-9))
 
 
-def blocks(low: Column) -> Column:
+def lines(low: Column) -> Column:
     return F.split(low, "\n")
 
 
+def held_by_line(low: Column, order: Sequence[str]) -> Column:
+    """array<array<string>>: the template words of each line, in the global order."""
+    return F.transform(lines(low), lambda x: F.array_intersect(_literals(order), F.split(spaced(x), " ")))
+
+
 def _literals(items: Sequence[str]) -> Column:
     return F.array(*[F.lit(x) for x in items]) if items else F.array().cast("array<string>")
 
 
 def word_order(texts: DataFrame, vocabulary: Sequence[str]) -> list[str]:
-    """``vocabulary`` by the number of blocks of the corpus that hold each word, rarest first."""
-    held = texts.select(F.explode(blocks(F.col("low"))).alias("b")).select(
+    """``vocabulary`` by the number of lines of the corpus that hold each word, rarest first."""
+    held = texts.select(F.explode(lines(F.col("low"))).alias("b")).select(
         F.explode(F.array_intersect(_literals(vocabulary), F.split(spaced(F.col("b")), " "))).alias("word"))
     count = {r["word"]: r["n"] for r in held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
@@ -104,14 +114,18 @@ def plan_templates(order: Sequence[str], templates: Sequence[tuple[str, str]], t
     return out
 
 
-def candidate_blocks(low: Column, order: Sequence[str], plans: Sequence[dict]) -> Column:
-    """array<struct(block_no, held)> of the blocks that pass the prefix and the length filter;
-    ``held``: the template words of the block, in the global order."""
+def candidate_blocks(held: Column, order: Sequence[str], plans: Sequence[dict]) -> Column:
+    """array<struct(block_no, held)> of the blocks that pass the prefix and the length filter, from the column of
+    :func:`held_by_line`; ``block_no``: the first line, ``held``: the template words, in the global order."""
     prefixes = sorted({w for p in plans for w in p["tokens"][:p["prefix"]]})
     least = min(p["need"] for p in plans)
-    every = F.transform(blocks(low), lambda b, i: F.struct(i.cast("long").alias("block_no"), F.array_intersect(
-        _literals(order), F.split(spaced(b), " ")).alias("held")))
-    return F.filter(every, lambda x: (F.size(x["held"]) >= least) & F.arrays_overlap(x["held"], _literals(prefixes)))
+    none = F.array().cast("array<string>")
+    every = F.transform(held, lambda h, i: F.struct(i.cast("long").alias("block_no"), F.when(
+        F.size(h) > 0, F.array_distinct(F.concat(h, *[F.coalesce(F.get(held, i + k), none) for k in range(1, WINDOW)])))
+        .otherwise(none).alias("held")))
+    some = F.filter(every, lambda x: (F.size(x["held"]) >= least) & F.arrays_overlap(x["held"], _literals(prefixes)))
+    return F.transform(some, lambda x: F.struct(x["block_no"].alias("block_no"),
+                                                F.array_intersect(_literals(order), x["held"]).alias("held")))
 
 
 def join_templates(found: DataFrame, plans: Sequence[dict], key: str) -> DataFrame:
@@ -123,7 +137,7 @@ def join_templates(found: DataFrame, plans: Sequence[dict], key: str) -> DataFra
     probe = found.select(key, F.explode("blocks").alias("b")).select(
         key, "b.block_no", "b.held", F.posexplode("b.held").alias("q", "word"))
     # one probe word per (block, template): the first common one
-    pairs = probe.join(F.broadcast(index), "word").where(
+    pairs = probe.join(F.broadcast(index) if len(rows) <= BROADCAST_ROWS else index, "word").where(
         F.size(F.array_intersect(F.slice("tokens", 1, F.col("at")), F.col("held"))) == 0)
     size, behind = F.size("tokens"), F.size("held") - F.col("q") - 1
     pairs = pairs.where((F.size("held") >= F.col("need"))
@@ -160,12 +174,12 @@ def scan_table(docs: DataFrame, key: str, templates: Sequence[tuple[str, str]] =
     vocabulary = sorted({w for _, t in templates for w in word_set(t)})
     order = word_order(texts, vocabulary)
     plans = plan_templates(order, templates, threshold)
-    joined = texts.select("key", "low", spaced(F.col("low")).alias("joined"))
+    joined = texts.select("key", spaced(F.col("low")).alias("joined"), held_by_line(F.col("low"), order).alias("held"))
     n_words = F.when(F.col("joined") == "", 0).otherwise(
         F.length("joined") - F.length(F.replace("joined", F.lit(" "), F.lit(""))) + 1)
     narrow = joined.select(F.monotonically_increasing_id().alias("row_id"), "key", n_words.cast("long").alias("n_words"),
                            phrase_places(F.col("joined"), BASE_PHRASES).alias("places"),
-                           candidate_blocks(F.col("low"), order, plans).alias("blocks"))
+                           candidate_blocks(F.col("held"), order, plans).alias("blocks"))
     return materialized(narrow, "license-blocks"), plans
 
 

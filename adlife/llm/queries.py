@@ -108,7 +108,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 def _op5_sql() -> str:
-    """Brute force: every line against every template, and every word position against every phrase."""
+    """Brute force: every window of lines against every template, and every word position against every phrase."""
     templates = ", ".join(
         f"('{label}', {_sql_list(words)}, {licenses.need(len(words), licenses.THRESHOLD)})"
         for label, words in ((label, licenses.word_set(t)) for label, t in licenses.TEMPLATES))
@@ -122,8 +122,9 @@ ph(label, p) AS (VALUES {phrases}),
 pl AS (SELECT r, label, i - 1 AS pos FROM w, unnest(generate_series(1, len(w))) AS g(i), ph
        WHERE w[i:i + len(p) - 1] = p),
 tm(label, tokens, need) AS (VALUES {templates}),
-b AS (SELECT r, list_distinct(regexp_extract_all(line, '{word}')) AS held
-      FROM d, unnest(string_split(t, chr(10))) AS l(line)),
+l AS (SELECT r, string_split(t, chr(10)) AS l FROM d),
+b AS (SELECT r, list_distinct(regexp_extract_all(array_to_string(l[i:i + {licenses.WINDOW - 1}], chr(10)), '{word}')) AS held
+      FROM l, unnest(generate_series(1, len(l))) AS g(i)),
 m AS (SELECT r, label, len(list_intersect(tokens, held)) AS overlap, len(tokens) AS size FROM b, tm
       WHERE len(list_intersect(tokens, held)) >= need),
 a AS (SELECT r, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(label) AS labels FROM pl GROUP BY r),

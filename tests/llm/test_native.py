@@ -93,8 +93,12 @@ def test_licenses_against_brute_force(spark):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
         places = [(label, k) for p, label in licenses.BASE_PHRASES for k in range(len(w)) if w[k:k + len(p.split())] == p.split()]
         best, labels = 0.0, {x for x, _ in places}
-        for n, line in enumerate(low.split("\n")):
-            held = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line))
+        every = {x for _, notice in licenses.TEMPLATES for x in licenses.word_set(notice)}
+        by_line = [set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line)) for line in low.split("\n")]
+        for n, line in enumerate(by_line):
+            held = set().union(*by_line[n:n + licenses.WINDOW])
+            if not line & every:                     # the window from the next line on holds as much
+                continue
             for k, (label, notice) in enumerate(licenses.TEMPLATES):
                 t = set(licenses.word_set(notice))
                 if len(t & held) >= licenses.need(len(t), licenses.THRESHOLD):
@@ -109,6 +113,19 @@ def test_licenses_against_brute_force(spark):
     assert blocks == found and found
 
 
+@pytest.mark.parametrize("columns", [78, 60, 40])
+def test_wrapped_notices_are_found(spark, columns):
+    import textwrap
+    texts = [textwrap.fill(prose(k, 6).replace("\n", " ") + " " + t, columns, initial_indent="# ", subsequent_indent="# ")
+             for k, (_, t) in enumerate(licenses.TEMPLATES)]
+    texts = [prose(50 + k, 40) + "\n" + t + "\n" + prose(90 + k, 40) for k, t in enumerate(texts)] + [prose(200, 500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in licenses.license_scan_query(df).collect()}
+    for k, (label, _) in enumerate(licenses.TEMPLATES):
+        assert label in rows[k]["labels"].split(",") and rows[k]["score"] == 1.0, (k, label)
+    assert rows[len(licenses.TEMPLATES)]["labels"] == ""
+
+
 def test_licenses_of_awkward_tables(awkward, empty):
     assert licenses.license_scan_query(awkward).count() == len(awkward_rows())
     assert licenses.license_scan_query(empty).count() == 0
