@@ -17,10 +17,10 @@ Candidates. ``BANDS`` bands of ``ROWS`` components; at similarity 0.8 a pair
 shares no band with probability 3e-6. Equal texts are merged first. In each
 bucket all members are compared with one leader only; texts that these links
 have already joined need no further comparison. Rounds follow: a bucket that still holds
-several components picks another member by a hash of the round, its members of other
-components are compared with that one, and what is alike is joined, so a large group
-shrinks to one component by comparisons in proportion to its size. When rounds
-join nothing more, members of a bucket that are in
+several components picks a few other members by a hash of the round, its members of other
+components are compared with those, and what is alike is joined, so a large group
+shrinks to one component by comparisons in proportion to its size. When few pairs are
+left, or a round joins nothing, members of a bucket that are in
 different components are paired, once per pair (in the least bucket
 they share). Rounds and pairs leave out what a finer sketch rules out: ``FINE`` components of
 two bits, whose mismatches exceed what similarity 0.8 gives by ``SIGMAS``
@@ -52,8 +52,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 FINE, SIGMAS = 1024, 4.5
-#: Rounds without a new link after which the pairs that are left are made one by one.
-IDLE_ROUNDS = 2
+#: Members that speak for a bucket in a round; pairs a member up to which pairs are made without (more) rounds.
+SPEAKERS, PAIRS_A_MEMBER = 4, 8
 PIECE_BYTES = 1 << 20
 
 _U = np.uint64
@@ -371,29 +371,34 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
         nodes.select("digest", "bands"), "digest"), "sketches")
     rest = materialized(rest.drop("root").join(detail, "digest"), "rest")
     fine_enough = mismatches(F.col("fine_a"), F.col("fine_b")) <= most_mismatches(similarity)
-    compared, idle, turn = first, 0, 0
-    while idle < IDLE_ROUNDS:
-        now = rest.select("bucket", "digest", "n", "fine").join(joined, F.col("digest") == F.col("node"), "left").select(
-            "bucket", "digest", "n", "fine", F.coalesce("root", "digest").alias("root"))
-        # the member with the least hash speaks for its bucket; (root, digest) tells if there are others
+    compared, turn = first, 0
+    while True:
+        now = materialized(rest.select("bucket", "digest", "n", "fine").join(joined, F.col("digest") == F.col("node"), "left").select(
+            "bucket", "digest", "n", "fine", F.coalesce("root", "digest").alias("root")), "rest")
+        # pairs of members in different components: rounds are for when they would be many
+        apart = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(
+            F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
+        members, pairs = apart.agg(F.sum("c"), F.sum((F.col("c") * F.col("c") - F.col("same")) / 2)).first()
+        if not pairs or pairs <= PAIRS_A_MEMBER * members:
+            break
+        # the members with the least hashes speak for their bucket; two roots tell that there is something to join
+        who = F.struct("digest", "n", "fine", "root")
         spoken = now.groupBy("bucket").agg(
-            F.min_by(F.struct("digest", "n", "fine", "root"), F.xxhash64("digest", F.lit(turn))).alias("s"),
+            F.array(*[F.min_by(who, F.xxhash64("digest", F.lit(turn * SPEAKERS + k))) for k in range(SPEAKERS)]).alias("s"),
             F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select(
+            "bucket", F.explode(F.array_distinct("s")).alias("s")).select(
             "bucket", *[F.col(f"s.{c}").alias(f"{c}_b") for c in ("digest", "n", "fine", "root")])
         found = now.withColumnRenamed("fine", "fine_a").join(spoken, "bucket").where(
             (F.col("root") != F.col("root_b")) & alike("n", "n_b") & fine_enough)
         found = found.select(F.least("digest", "digest_b").alias("a"), F.greatest("digest", "digest_b").alias("b")).distinct()
         found = materialized(found.join(compared, ["a", "b"], "left_anti"), "pairs")
         turn += 1
-        if found.isEmpty():
-            idle += 1
-            continue
-        compared = materialized(compared.unionByName(found), "compared")
         new = materialized(verified(with_texts(found, left), similarity), "links").select("a", "b")
-        idle = idle + 1 if new.isEmpty() else 0
-        if not idle:
-            links = materialized(links.select("a", "b").unionByName(new), "links")
-            joined = materialized(components(links), "components")
+        if new.isEmpty():
+            break
+        compared = compared.unionByName(found)
+        links = links.select("a", "b").unionByName(new)
+        joined = materialized(components(links), "components")
     rest = rest.join(joined, F.col("digest") == F.col("node"), "left").select(
         "bucket", "digest", "n", "fine", "bands", F.coalesce("root", "digest").alias("root"))
     x = rest.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("digest", "n", "root", "fine", "bands")])
