@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import calendar
+
 import datetime as _dt
 
 from pyspark.sql import Column
@@ -31,6 +33,18 @@ def dates_between(start, end) -> Column:
             .otherwise(F.array().cast("array<string>")))
 
 
+def month_end(month: str) -> str:
+    """Last ISO date of an ISO month."""
+    year, m = int(month[:4]), int(month[5:7])
+    return f"{month}-{calendar.monthrange(year, m)[1]:02d}"
+
+
+def months_between(start: str, end: str) -> list[str]:
+    """ISO months from that of ``start`` to that of ``end`` (ISO dates or months), inclusive."""
+    a, b = (int(x[:4]) * 12 + int(x[5:7]) - 1 for x in (start, end))
+    return [f"{k // 12:04d}-{k % 12 + 1:02d}" for k in range(a, b + 1)]
+
+
 def epoch_ms_to_local_date(ms, zone: str = "UTC") -> Column:
     """Epoch milliseconds -> ISO date on the wall clock of ``zone``."""
     utc_wall = F.timestamp_add("MILLISECOND", _col(ms), _epoch_ntz())

@@ -7,19 +7,22 @@ collecting the delta's urls and broadcasting two driver-side maps. Here:
   partitions only, the one place that reads the map, array and text columns;
 * first record, first sold and first deleted date over the window: ``min_by``
   on six narrow columns, after a semi-join with the delta's urls, so listings
-  that are not rolled up never move;
+  that are not rolled up never move. Where closed months are kept as one row a url
+  (:func:`month_partials`), only the days at the window's ends are read as days;
 * a join of the two on url, and a projection that derives the attributes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlife import config
 from adlife.config import DEFAULT_VOCABULARY, Vocabulary
 from adlife.functions import attributes as A
-from adlife.functions.dates import days_between, iso_shift
+from adlife.functions.dates import days_between, iso_shift, month_end
 
 LAST_FIELDS = ("url", "finnkode", "title", "location", "year", "km", "price", "sold",
                "deleted", "load_date", "properties", "equipment", "information")
@@ -39,17 +42,60 @@ def event_dates(window: DataFrame, key: str = "url") -> DataFrame:
 WINDOW_FIELDS = ("url", "load_date", "load_time", "price", "sold", "deleted")
 
 
-def rollup_inputs(daily: DataFrame, as_of: str, delta_start: str, lo: str) -> DataFrame:
-    """One row per url of the delta: ``__last``, ``__first``, ``__sold_date``, ``__deleted_date``."""
+def day_partials(daily: DataFrame) -> DataFrame:
+    """Each daily row as the partial of its url and day (the columns of :func:`month_partials` without the month)."""
     t = F.col("load_time")
-    delta = daily.where(F.col("load_date").between(max(lo, delta_start), as_of))
+    return daily.select(
+        "url", t.alias("first_time"), F.struct("price", "load_date").alias("first"),
+        *[c for flag in ("sold", "deleted") for c in (
+            F.when(F.col(flag), t).alias(f"{flag}_time"), F.when(F.col(flag), F.col("load_date")).alias(f"{flag}_date"))])
+
+
+def _merged(partials: DataFrame, *keys: str) -> DataFrame:
+    """The partials of the same ``keys`` as one."""
+    return partials.groupBy(*keys).agg(
+        F.min("first_time").alias("first_time"), F.min_by("first", "first_time").alias("first"),
+        *[c for flag in ("sold", "deleted") for c in (
+            F.min(f"{flag}_time").alias(f"{flag}_time"), F.min_by(f"{flag}_date", f"{flag}_time").alias(f"{flag}_date"))])
+
+
+def month_partials(daily: DataFrame) -> DataFrame:
+    """(month, url, first_time, first, sold_time, sold_date, deleted_time, deleted_date): what the roll-up needs of
+    the rows of a url and month."""
+    by_day = day_partials(daily).withColumn("month", F.substring("first.load_date", 1, 7))
+    return _merged(by_day, "month", "url")
+
+
+def day_ranges(lo: str, hi: str, months: Sequence[str]) -> list[tuple[str, str]]:
+    """The date ranges of ``lo`` .. ``hi`` outside ``months``."""
+    out, at = [], lo
+    for m in sorted(months):
+        if at < f"{m}-01":
+            out.append((at, iso_shift(f"{m}-01", -1)))
+        at = iso_shift(month_end(m), 1)
+    return [*out, (at, hi)] if at <= hi else out
+
+
+def rollup_inputs(daily: DataFrame, as_of: str, delta_start: str, lo: str, months: DataFrame | None = None,
+                  closed: Sequence[str] = ()) -> DataFrame:
+    """One row per url of the delta: ``__last``, ``__first``, ``__sold_date``, ``__deleted_date``.
+
+    ``months`` holds the partials (:func:`month_partials`) of the months ``closed``; those that lie in the window
+    whole are read from there, all other days from ``daily``.
+    """
+    t, day = F.col("load_time"), F.col("load_date")
+    delta = daily.where(day.between(max(lo, delta_start), as_of))
     last = delta.groupBy("url").agg(F.max_by(F.struct(*LAST_FIELDS), t).alias("__last"))
-    window = (daily.where(F.col("load_date").between(lo, as_of)).select(*WINDOW_FIELDS)
-              .join(delta.select("url").distinct(), "url", "left_semi"))
-    first = window.groupBy("url").agg(
-        F.min_by(F.struct("price", "load_date"), t).alias("__first"),
-        F.min_by("load_date", F.when(F.col("sold"), t)).alias("__sold_date"),
-        F.min_by("load_date", F.when(F.col("deleted"), t)).alias("__deleted_date"))
+    whole = [m for m in closed if lo <= f"{m}-01" and month_end(m) <= as_of] if months is not None else []
+    days = F.lit(False)
+    for a, b in day_ranges(lo, as_of, whole):
+        days = days | day.between(a, b)
+    window = day_partials(daily.where(days).select(*WINDOW_FIELDS))
+    if whole:
+        window = window.unionByName(months.where(F.col("month").isin(whole)).drop("month"))
+    first = _merged(window.join(delta.select("url").distinct(), "url", "left_semi"), "url").select(
+        "url", F.col("first").alias("__first"), F.col("sold_date").alias("__sold_date"),
+        F.col("deleted_date").alias("__deleted_date"))
     return last.join(first, "url")
 
 
@@ -84,16 +130,17 @@ def attribute_columns(last: str = "__last", vocab: Vocabulary = DEFAULT_VOCABULA
 def lifecycle_rollup(daily: DataFrame, as_of: str, delta_start: str, *,
                      window_days: int = config.LIFECYCLE_WINDOW_DAYS,
                      vocab: Vocabulary = DEFAULT_VOCABULARY,
-                     legacy_weight: bool = True) -> DataFrame:
+                     legacy_weight: bool = True, months: DataFrame | None = None,
+                     closed: Sequence[str] = ()) -> DataFrame:
     """Lifecycle rows (schema :data:`adlife.schemas.LIFECYCLE`) for urls seen in the delta.
 
     ``daily`` holds typed daily rows; the window is ``as_of - window_days`` ..
     ``as_of`` and the delta ``delta_start`` .. ``as_of`` (ISO dates, inclusive).
     First price / date and event dates come from the window, everything else
-    from the newest delta row.
+    from the newest delta row. ``months`` and ``closed``: see :func:`rollup_inputs`.
     """
     lo = iso_shift(as_of, -window_days)
-    g = rollup_inputs(daily, as_of, delta_start, lo)
+    g = rollup_inputs(daily, as_of, delta_start, lo, months, closed)
     first_date = F.col("__first.load_date")
     sold_date = F.coalesce(F.col("__sold_date"), F.lit(config.NULL_DATE))
     deleted_date = F.coalesce(F.col("__deleted_date"), F.lit(config.NULL_DATE))

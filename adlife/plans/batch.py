@@ -10,8 +10,10 @@ One run, for a given ``today`` (a parameter, never the clock inside a plan):
    (it reads only the raw partitions since its last version), build the typed
    daily rows for the delta (sold prices looked up in the raw partitions of the
    look-back and that table) and upsert them on (load_date, url);
-4. roll the daily window (``today`` - 365 days) up to lifecycle rows for the
-   urls seen in the delta and store them as this run's version of their urls;
+4. bring the table of closed months forward (one row per url and month, made once
+   from the daily rows when no run can change the month any more), and roll the window
+   (``today`` - 365 days: closed months and the days at its ends) up to lifecycle rows for
+   the urls seen in the delta; store them as this run's version of their urls;
 5. tidy: settled versions are merged in tiers, raw partitions of many run folders are
    sorted into one, and folders that no reader can be using are deleted.
 
@@ -27,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlife import config, schemas
-from adlife.functions.dates import iso_shift
+from adlife.functions.dates import iso_shift, month_end, months_between
 from adlife.operators.daily import build_daily, newest_unsold
-from adlife.operators.lifecycle import lifecycle_rollup
+from adlife.operators.lifecycle import WINDOW_FIELDS, lifecycle_rollup, month_partials
 from adlife.sinks.tables import (ConcurrentWrite, merge_runs, merge_tiers, read_current, stored_table, upsert, vacuum,
                                  versions, write_version)
 from adlife.sources import tables as src
@@ -43,12 +45,18 @@ class Tables:
     daily: str
     lifecycle: str
     prices: str | None = None
+    months: str | None = None
 
     @property
     def price_table(self) -> str:
         """Newest unsold price per url, in versions; beside the daily table unless named."""
         return self.prices or f"{self.daily.rstrip('/')}_prices"
 
+    @property
+    def month_table(self) -> str:
+        """Partials of closed months per url; beside the daily table unless named."""
+        return self.months or f"{self.daily.rstrip('/')}_months"
+
 
 def read_lifecycle(spark: SparkSession, path: str):
     """The newest lifecycle row of every url."""
@@ -73,6 +81,24 @@ def prices_before(spark: SparkSession, path: str, headers: DataFrame, day: str)
     return read_current(spark, path, schema, ["url"], upto=day)
 
 
+def closed_months(spark: SparkSession, path: str, daily: DataFrame, start: str, settled: str,
+                  lo: str) -> tuple[DataFrame | None, list[str]]:
+    """The partials of the closed months from ``lo`` on, and which months those are.
+
+    A month is closed when it ended before ``settled``. Missing ones are made from the daily rows, and those
+    that the run's delta (from ``start``) reached are made again: usually one month, once a month.
+    """
+    closed = [m for m in months_between(lo, settled) if lo <= f"{m}-01" and month_end(m) < settled]
+    have = set(versions(spark, path))
+    make = [m for m in closed if m not in have or m >= start[:7]]
+    if make:
+        rows = daily.where(F.col("load_date").between(f"{make[0]}-01", month_end(make[-1]))
+                           & F.substring("load_date", 1, 7).isin(make)).select(*WINDOW_FIELDS)
+        upsert(spark, month_partials(rows), path, ["month", "url"], partition_by="month", unique_keys=True)
+    schema = month_partials(daily.select(*WINDOW_FIELDS)).schema
+    return stored_table(spark, path, schema), [m for m in closed if m in set(versions(spark, path))]
+
+
 def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
                     window_days: int = config.LIFECYCLE_WINDOW_DAYS,
                     margin_days: int = config.SAFETY_MARGIN_DAYS,
@@ -95,10 +121,12 @@ def run_daily_batch(spark: SparkSession, tables: Tables, today: str, *,
     # one row per (load_date, url) and per url by construction: no de-dup shuffle
     upsert(spark, daily_delta, tables.daily, ["load_date", "url"], unique_keys=True)
     daily = src.read_daily(spark, tables.daily)
-    rolled = lifecycle_rollup(daily, today, start, window_days=window_days)
+    settled = iso_shift(recent_from, -margin_days)
+    months, closed = closed_months(spark, tables.month_table, daily, start, settled, iso_shift(today, -window_days))
+    rolled = lifecycle_rollup(daily, today, start, window_days=window_days, months=months, closed=closed)
     # a version per run: rows of urls outside the delta are neither read nor written
     write_version(spark, rolled, tables.lifecycle, ["url"], today)
-    tidy(spark, tables, headers, settled=iso_shift(recent_from, -margin_days))
+    tidy(spark, tables, headers, settled)
     return start
 
 
@@ -119,5 +147,5 @@ def tidy(spark: SparkSession, tables: Tables, headers: DataFrame, settled: str)
             step()
         except ConcurrentWrite:
             continue
-    for path in (tables.daily, tables.lifecycle, tables.price_table, tables.raw_headers, tables.raw_details):
+    for path in (tables.daily, tables.month_table, tables.lifecycle, tables.price_table, tables.raw_headers, tables.raw_details):
         vacuum(spark, path)

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from adlife import schemas
 from adlife.operators import daily as D
 from adlife.operators import lifecycle as lc
 from adlife.operators import records as R
@@ -183,3 +184,32 @@ def test_two_phase_price_lookup_equals_whole_history(spark):
         split = {(r.seq, r.price_value) for r in D.with_last_known_price(
             df.where(late), df.where(late), older=D.newest_unsold(df.where(~late))).collect()}
         assert split == {(seq, v) for seq, v in whole if rows[seq][1] >= cut}, cut
+
+
+def _daily_rows(seed: int, urls: int, days: list[str]):
+    rnd, rows = random.Random(seed), []
+    for u in range(urls):
+        first = rnd.randrange(len(days))
+        for k, d in enumerate(days[first:first + rnd.randint(1, len(days))]):
+            if rnd.random() < 0.25:
+                rows.append((f"u{u}", d, rnd.randint(1, 90) * 1000, rnd.random() < 0.04, rnd.random() < 0.03, (first + k) * 86_400_000 + rnd.randint(0, 9999)))
+    return rows
+
+
+def test_rollup_over_closed_months_equals_the_rollup_over_days(spark):
+    from adlife.functions.dates import iso_shift
+    from adlife.operators import lifecycle as lc
+    days = [iso_shift("2023-03-10", k) for k in range(330)]
+    rows = _daily_rows(4, 60, days)
+    daily = spark.createDataFrame(rows, "url string, load_date string, price int, sold boolean, deleted boolean, load_time long").select(
+        *[F.col(f.name) if f.name in ("url", "load_date", "price", "sold", "deleted", "load_time") else F.lit(None).cast(f.dataType).alias(f.name)
+          for f in schemas.DAILY.fields]).cache()
+    months = lc.month_partials(daily).cache()
+    closed = sorted(r[0] for r in months.select("month").distinct().collect())
+    for as_of, start in (("2024-01-20", "2024-01-01"), ("2023-12-31", "2023-12-20"), ("2023-05-02", "2023-05-02")):
+        for window in (365, 200, 40, 3):
+            want = sorted(map(str, lc.lifecycle_rollup(daily, as_of, start, window_days=window).collect()))
+            got = sorted(map(str, lc.lifecycle_rollup(daily, as_of, start, window_days=window, months=months, closed=closed).collect()))
+            assert got == want and (want or window == 3), (as_of, window)
+    assert lc.day_ranges("2023-01-10", "2023-04-05", ["2023-02", "2023-03"]) == [("2023-01-10", "2023-01-31"), ("2023-04-01", "2023-04-05")]
+    assert lc.day_ranges("2023-02-01", "2023-02-28", ["2023-02"]) == []

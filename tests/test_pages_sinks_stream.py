@@ -512,3 +512,35 @@ def test_price_table_moves_forward_without_old_history(spark, workdir):
         assert got == sorted(map(tuple, newest_unsold(headers.where(F.col("load_date") < day)).collect())), day
     # once a version is there, raw history before it is not read again
     assert B.prices_before(spark, path, headers.where("load_date >= '2024-01-09'"), "2024-01-10").count() == 3
+
+
+def test_daily_job_over_an_expiry_reads_closed_months_once(spark, workdir):
+    """Five months of snapshots, a window of 80 days: first prices expire, months close, and the roll-up stays that of all days."""
+    import random
+    from adlife.functions.dates import iso_shift
+    from adlife.operators.lifecycle import lifecycle_rollup
+    from adlife.plans import batch as B
+    rnd, heads, details = random.Random(1), [], []
+    for k in range(150):
+        day = iso_shift("2024-01-01", k)
+        at = 1704067200000 + k * 86_400_000
+        for u in range(6):
+            if rnd.random() < 0.5:
+                url = f"http://ads.example/{10000000 + u}"
+                price = "Solgt" if rnd.random() < 0.1 else f"{rnd.randint(1, 99)} 000,-"
+                heads.append((url, day, at + u, "t", "l", "2001", "1 km", price))
+                details.append((url, day, at + u, "{}", "[]", '"x"', rnd.random() < 0.1))
+    head = spark.createDataFrame(heads, "url string, load_date string, load_time long, title string, location string, year string, km string, price string")
+    head = head.select(*[f.name for f in schemas.RAW_HEADER.fields])
+    detail = spark.createDataFrame(details, schemas.RAW_DETAILS)
+    tables = B.Tables(f"{workdir}/h", f"{workdir}/d", f"{workdir}/daily", f"{workdir}/lifecycle")
+    for today in ("2024-03-05", "2024-04-04", "2024-04-09", "2024-05-20"):
+        for rows, path in ((head, tables.raw_headers), (detail, tables.raw_details)):
+            K.append_keyed(spark, rows.where(F.col("load_date") <= today), path, I.RAW_KEY, order=I.RAW_ORDER)
+        start = B.run_daily_batch(spark, tables, today, window_days=80)
+        daily = T.read_daily(spark, tables.daily)
+        want = sorted(map(str, lifecycle_rollup(daily, today, start, window_days=80).collect()))
+        held = B.read_lifecycle(spark, tables.lifecycle)
+        urls = [r.url for r in daily.where(F.col("load_date").between(start, today)).select("url").distinct().collect()]
+        assert sorted(map(str, held.where(F.col("url").isin(urls)).collect())) == want and want
+    assert K.versions(spark, tables.month_table)
