@@ -52,8 +52,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 FINE, SIGMAS = 1024, 4.5
-#: Members that speak for a bucket in a round; pairs a member up to which pairs are made without (more) rounds.
-SPEAKERS, PAIRS_A_MEMBER = 4, 8
+#: Members that speak for a bucket in a round; pairs a member (that pass the sketch) up to which pairs are made
+#: without (more) rounds; what share of pairs a round may leave for another to follow.
+SPEAKERS, PAIRS_A_MEMBER, SHRINK = 4, 4, 0.8
 PIECE_BYTES = 1 << 20
 
 _U = np.uint64
@@ -371,7 +372,7 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
         nodes.select("digest", "bands"), "digest"), "sketches")
     rest = materialized(rest.drop("root").join(detail, "digest"), "rest")
     fine_enough = mismatches(F.col("fine_a"), F.col("fine_b")) <= most_mismatches(similarity)
-    compared, turn = first, 0
+    compared, turn, before = first, 0, float("inf")
     while True:
         now = materialized(rest.select("bucket", "digest", "n", "fine").join(joined, F.col("digest") == F.col("node"), "left").select(
             "bucket", "digest", "n", "fine", F.coalesce("root", "digest").alias("root")), "rest")
@@ -379,8 +380,9 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
         apart = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(
             F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
         members, pairs = apart.agg(F.sum("c"), F.sum((F.col("c") * F.col("c") - F.col("same")) / 2)).first()
-        if not pairs or pairs <= PAIRS_A_MEMBER * members:
+        if not pairs or pairs <= PAIRS_A_MEMBER * members or pairs > SHRINK * before:
             break
+        before = pairs
         # the members with the least hashes speak for their bucket; two roots tell that there is something to join
         who = F.struct("digest", "n", "fine", "root")
         spoken = now.groupBy("bucket").agg(
@@ -390,9 +392,12 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
             "bucket", *[F.col(f"s.{c}").alias(f"{c}_b") for c in ("digest", "n", "fine", "root")])
         found = now.withColumnRenamed("fine", "fine_a").join(spoken, "bucket").where(
             (F.col("root") != F.col("root_b")) & alike("n", "n_b") & fine_enough)
-        found = found.select(F.least("digest", "digest_b").alias("a"), F.greatest("digest", "digest_b").alias("b")).distinct()
-        found = materialized(found.join(compared, ["a", "b"], "left_anti"), "pairs")
+        found = materialized(found.select(F.least("digest", "digest_b").alias("a"), F.greatest("digest", "digest_b").alias("b")), "pairs")
         turn += 1
+        # the share of speakers' pairs that the sketch lets pass tells how many of all pairs it would
+        if pairs * found.count() <= PAIRS_A_MEMBER * members * SPEAKERS * members:
+            break
+        found = materialized(found.distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
         new = materialized(verified(with_texts(found, left), similarity), "links").select("a", "b")
         if new.isEmpty():
             break
