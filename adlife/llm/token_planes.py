@@ -45,8 +45,8 @@ from adlife.llm.common import ship_package, worker_cache
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
-#: Bytes of remembered parts (twice that with the older ones), and of a dictionary entry besides its texts.
-CACHED_BYTES = 64 << 20
+#: Bytes of remembered parts, and of a dictionary entry besides its texts.
+CACHED_BYTES = 128 << 20
 ENTRY_BYTES = 190
 ZSTD_LEVEL = 3
 
@@ -67,8 +67,8 @@ class Encoder:
     """Whole-text encoding with the tokenizers library, remembering the ids of parts.
 
     A text is cut at its blanks. ``spaced`` holds the ids of a part with a blank before it, ``bare`` without,
-    ``last`` those of text ends that may be white space. All start anew when ``CACHED_BYTES`` are held, but for
-    what is used again, so memory is bounded by bytes, however long the parts are.
+    ``last`` those of text ends that may be white space. When ``CACHED_BYTES`` are held, the shorter half of the
+    parts stays (frequent words are short ones), so memory is bounded by bytes, however long the parts are.
     """
 
     def __init__(self, path: str):
@@ -79,21 +79,23 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(1 + max(vocabulary.values()), bool)
         self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True      # byte-level BPE's sign for a blank
-        self.older: dict[str, bytes] = {}
-        self._anew()
+        self._anew({})
 
-    def _anew(self) -> None:
-        self.spaced: dict[str, bytes] = {}
+    def _anew(self, spaced: dict[str, bytes]) -> None:
+        self.spaced = spaced
         self.bare: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
         self.open: set[str] = {""}      # parts whose outer characters may be white space: never in ``spaced``
-        self.held = 0                   # bytes, about
+        self.held = sum(map(len, spaced)) + sum(map(len, spaced.values())) + ENTRY_BYTES * len(spaced)    # about
+
+    def _forget(self) -> None:
+        median = sorted(map(len, self.spaced))[len(self.spaced) // 2] if self.spaced else 0
+        self._anew({p: ids for p, ids in self.spaced.items() if len(p) < median})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if self.held > CACHED_BYTES:
-            self.older = self.spaced
-            self._anew()
+            self._forget()
         get = self.spaced.get
         # a special token's string is one token wherever it stands: such texts are not cut
         parts = [[t] if any(s in t for s in self.special) else t.split(" ") for t in texts]
@@ -145,12 +147,8 @@ class Encoder:
     def _learn_spaced(self, some: set[str]) -> None:
         """Words (letters only) are encoded many at a time as one text; a word with punctuation behind it
         is put together; other parts are encoded one by one."""
-        spaced, older = self.spaced, self.older
-        words, tailed, others = [], {}, []
-        again = older.keys() & some
-        spaced.update((p, older[p]) for p in again)
-        self.held += 2 * ENTRY_BYTES * len(again)
-        for p in some - again:
+        spaced, words, tailed, others = self.spaced, [], {}, []
+        for p in some:
             if p.isalpha():
                 words.append(p)
             else:
