@@ -188,42 +188,76 @@ CRAWL_START_MS = 1_704_067_200_000   # 2024-01-01 00:00 UTC
 CRAWL_STEP_MS = 10_000                # one search-result page fetched every 10 s
 
 
+LINE_COLUMNS = ("l_linenumber", "l_suppkey", "l_partkey", "url", "l_shipdate", "l_returnflag", "l_quantity", "l_extendedprice")
+
+
+def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, is_line, line columns): order lines with the url of their page, and orders (``is_line`` false).
+
+    Both in one table, as numbers: dealt once by order, lines meet their order without a join, and
+    the text of the ads is formatted behind that shuffle.
+    """
+    orders = read_table(spark, sf_dir, "orders").where(F.col("o_orderkey").isNotNull())
+    lines = read_table(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isNotNull())
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    found = lines.join(pages, lines.l_partkey == pages.page_id, "left").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.lit(True).alias("is_line"), *LINE_COLUMNS)
+    return found.unionByName(orders.select("o_orderkey", F.lit(False).alias("is_line")), allowMissingColumns=True)
+
+
+def _ad(key: Column, line: Column) -> Column:
+    return F.struct(
+        F.array(F.struct(F.concat(F.lit("Area "), line["l_suppkey"].cast("string")).alias("text"))).alias("location"),
+        F.array(F.struct(
+            F.concat(F.lit("Ad "), ad_code(key, line["l_linenumber"])).alias("text"),
+            F.coalesce(line["url"], F.concat(F.lit("https://ads.example/gone/"),
+                                             line["l_partkey"].cast("string"))).alias("href"),
+        )).alias("title"),
+        F.array(F.struct(F.year(line["l_shipdate"]).cast("string").alias("text"))).alias("year"),
+        F.when(line["l_returnflag"] != "R", F.array(F.struct(
+            F.concat(group_digits(line["l_quantity"].cast("int") * 1000), F.lit(" km")).alias("text")))).alias("km"),
+        F.array(F.struct(F.concat(group_digits(F.floor(line["l_extendedprice"]).cast("long")), F.lit(",-")).alias("text"))).alias("price"),
+    )
+
+
+def listing_pages(lines: DataFrame, *by: str) -> DataFrame:
+    """(``by``, o_orderkey, lines): one row per order that has lines (a bounded group), from :func:`listing_lines`."""
+    line = F.when(F.col("is_line"), F.struct(*LINE_COLUMNS))
+    grouped = lines.groupBy(*by, "o_orderkey").agg(
+        F.collect_list(line).alias("lines"), F.count_if(~F.col("is_line")).alias("orders"))
+    # an order key that orders holds several times gives as many pages
+    return (grouped.where((F.size("lines") > 0) & (F.col("orders") > 0))
+                   .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("orders"))))
+                   .select(*by, "o_orderkey", "lines"))
+
+
+def page_ads(key: Column, lines: Column) -> Column:
+    """The ads of a page's lines, by line number."""
+    ads = F.transform(lines, lambda a: F.struct(a["l_linenumber"].alias("l_linenumber"), _ad(key, a).alias("ad")))
+    return F.transform(F.sort_array(ads), lambda a: a["ad"])
+
+
+def crawl_ms() -> Column:
+    return F.lit(CRAWL_START_MS) + F.col("o_orderkey") * F.lit(CRAWL_STEP_MS)
+
+
 @memo("listing")
 def listing_messages(spark: SparkSession, sf_dir: str, zone: str = "UTC") -> DataFrame:
-    """One JSON search-result page per order (column ``value``), one ad per line.
+    """One JSON search-result page per order (column ``value``), one ad per line, dealt by ranges of the order key.
 
     Pages hold the lines of one order (a bounded group), and are fetched in
     order-key order, one every ``CRAWL_STEP_MS``. The ``km`` element is left
     out for returned lines (``l_returnflag = 'R'``) to exercise the
     missing-element default.
     """
-    orders = read_table(spark, sf_dir, "orders")
-    lines = read_table(spark, sf_dir, "lineitem")
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    ads = (lines.join(pages, lines.l_partkey == pages.page_id, "left")
-                .select("l_orderkey", "l_linenumber",
-                        F.struct(
-                            F.array(F.struct(F.concat(F.lit("Area "), F.col("l_suppkey").cast("string")).alias("text"))).alias("location"),
-                            F.array(F.struct(
-                                F.concat(F.lit("Ad "), ad_code(F.col("l_orderkey"), F.col("l_linenumber"))).alias("text"),
-                                F.coalesce(F.col("url"), F.concat(F.lit("https://ads.example/gone/"),
-                                                                  F.col("l_partkey").cast("string"))).alias("href"),
-                            )).alias("title"),
-                            F.array(F.struct(F.year("l_shipdate").cast("string").alias("text"))).alias("year"),
-                            F.when(F.col("l_returnflag") != "R", F.array(F.struct(
-                                F.concat(group_digits(F.col("l_quantity").cast("int") * 1000), F.lit(" km")).alias("text")))).alias("km"),
-                            F.array(F.struct(F.concat(group_digits(F.floor("l_extendedprice").cast("long")), F.lit(",-")).alias("text"))).alias("price"),
-                        ).alias("ad")))
-    grouped = ads.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "ad"))).alias("ads"))
-    msg = grouped.join(orders.select("o_orderkey"), grouped.l_orderkey == orders.o_orderkey)
-    crawl_ms = F.lit(CRAWL_START_MS) + F.col("o_orderkey") * F.lit(CRAWL_STEP_MS)
+    pages = listing_pages(listing_lines(spark, sf_dir).repartitionByRange("o_orderkey"))
     doc = F.struct(
         F.struct(F.concat(F.lit("https://ads.example/search?page="), F.col("o_orderkey").cast("string")).alias("url"),
                  F.col("o_orderkey").cast("string").alias("resourceId"),
-                 F.array(F.struct(F.transform("ads", lambda a: a["ad"]).alias("group"))).alias("data")).alias("extractorData"),
-        F.struct(F.lit(200).alias("statusCode"), crawl_ms.cast("long").alias("timestamp")).alias("pageData"),
+                 F.array(F.struct(page_ads(F.col("o_orderkey"), F.col("lines")).alias("group"))).alias("data")).alias("extractorData"),
+        F.struct(F.lit(200).alias("statusCode"), crawl_ms().cast("long").alias("timestamp")).alias("pageData"),
     )
-    return msg.select(F.col("o_orderkey").alias("message_id"), F.to_json(doc).alias("value"))
+    return pages.select(F.col("o_orderkey").alias("message_id"), F.to_json(doc).alias("value"))
 
 
 # ---------------------------------------------------------------------------
@@ -347,30 +381,32 @@ def order_equipment(lines: DataFrame) -> DataFrame:
 
 
 def listing_message_files(spark: SparkSession, sf_dir: str) -> str:
-    """Listing-page messages written as JSON-lines text files, in fetch order.
+    """Listing-page messages written as gzipped JSON-lines text files, in fetch order.
 
     Plays the role of the message log: range-partitioned by message id so earlier files hold
     earlier pages; their number is that of the shuffle's partitions.
     """
     return written_table(spark, sf_dir, "listing_messages",
-                         lambda p: listing_messages(spark, sf_dir).repartitionByRange("message_id")
-                                   .select("value").write.mode("overwrite").text(p))
+                         lambda p: listing_messages(spark, sf_dir).select("value")
+                                   .write.mode("overwrite").text(p, compression="gzip"))
 
 
 def listing_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Pretty-printed whole-file documents: one file per hour of crawling, its ads in one group."""
-    from adlife import schemas
+    """Pretty-printed whole-file documents (gzipped): one file per hour of crawling, its ads in one group.
 
+    Lines are dealt once, by hour, and sorted for the folders before their text is formatted.
+    """
     def build(path):
-        page = F.from_json("value", schemas.LISTING_PAGE)
-        hour = F.floor(F.col("p.pageData.timestamp") / 3_600_000)
-        ads = (listing_messages(spark, sf_dir).select(page.alias("p"))
-               .select(hour.alias("hour"), F.explode(F.get("p.extractorData.data", F.lit(0))["group"]).alias("ad")))
+        hour = F.floor(crawl_ms() / 3_600_000)
+        lines = listing_lines(spark, sf_dir).withColumn("hour", hour).repartition("hour")
+        docs = listing_pages(lines, "hour").groupBy("hour").agg(
+            F.collect_list(F.struct("o_orderkey", "lines")).alias("pages"))              # one crawled hour is one document
+        ads = F.flatten(F.transform("pages", lambda p: page_ads(p["o_orderkey"], p["lines"])))
         doc = F.struct(
-            F.struct(F.array(F.struct(F.col("ads").alias("group"))).alias("data")).alias("extractorData"),
+            F.struct(F.array(F.struct(ads.alias("group"))).alias("data")).alias("extractorData"),
             F.struct((F.col("hour") * 3_600_000).alias("timestamp")).alias("pageData"))
-        docs = ads.groupBy("hour").agg(F.collect_list("ad").alias("ads"))     # one crawled hour is one document
-        docs.select("hour", F.to_json(doc, {"pretty": "true"}).alias("value")).write.mode("overwrite").partitionBy("hour").text(path)
+        docs.sortWithinPartitions("hour").select("hour", F.to_json(doc, {"pretty": "true"}).alias("value")).write.mode(
+            "overwrite").partitionBy("hour").text(path, compression="gzip")
     return written_table(spark, sf_dir, "listing_documents", build)
 
 
