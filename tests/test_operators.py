@@ -186,7 +186,7 @@ def test_two_phase_price_lookup_equals_whole_history(spark):
         assert split == {(seq, v) for seq, v in whole if rows[seq][1] >= cut}, cut
 
 
-def _daily_rows(seed: int, urls: int, days: list[str]):
+def _random_days(seed: int, urls: int, days: list[str]):
     rnd, rows = random.Random(seed), []
     for u in range(urls):
         first = rnd.randrange(len(days))
@@ -200,7 +200,7 @@ def test_rollup_over_closed_months_equals_the_rollup_over_days(spark):
     from adlife.functions.dates import iso_shift
     from adlife.operators import lifecycle as lc
     days = [iso_shift("2023-03-10", k) for k in range(330)]
-    rows = _daily_rows(4, 60, days)
+    rows = _random_days(4, 60, days)
     daily = spark.createDataFrame(rows, "url string, load_date string, price int, sold boolean, deleted boolean, load_time long").select(
         *[F.col(f.name) if f.name in ("url", "load_date", "price", "sold", "deleted", "load_time") else F.lit(None).cast(f.dataType).alias(f.name)
           for f in schemas.DAILY.fields]).cache()
