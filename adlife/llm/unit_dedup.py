@@ -17,9 +17,10 @@ words holds a whole unit. Offsets are those of the original text, in characters.
 Plan: one pass emits each document's distinct digests (24 bytes each, written
 once); a ``groupBy`` with map-side combining finds each digest's keeper, so a
 line that a third of all documents share sends one row per task; the keepers are
-read again for the words beside their shared units; the join back is a plain
+read again for the words beside their shared units; a bitmap of the shared digests
+spares the join back most digests that one document alone has; that join is a plain
 equi-join that Spark can split at a hot digest; only digests kept elsewhere reach
-the document, which is read once more and cut.
+the document, which is cut. Both passes over the texts read one shuffle of them by id.
 
 Defined cases: a null text stays null without units; an empty text has none; a
 unit without letters or digits never counts as a repeat; rows that share an id
@@ -50,6 +51,8 @@ LONG, WINDOW = 24, 12
 #: Words compared on each side of a unit, at most so many characters away; shorter units are too common to tell.
 AROUND, REACH, TELLING = 24, 400, 3
 NO_ID = (1 << 63) - 1
+#: Bits of the bitmap of shared digests: so many a digest, of all at most (32 MB).
+BITS_A_DIGEST, MOST_BITS = 16, 1 << 28
 
 _CUT = re.compile(r"\s*\n\s*|(?<=[.!?…])[^\S\n]+|[^\S\n]+(?=[A-ZÀ-ÖØ-Þ])|(?<=[。！？])")
 _OUTER = " \t\r\f\v.,;:!?…\"'()[]{}<>|#*$%&-–—_"
@@ -255,10 +258,13 @@ def document_digests(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, from_arrow_schema(out))
 
 
-def kept_words(docs: DataFrame, keepers: DataFrame) -> DataFrame:
+def kept_words(docs: DataFrame, keepers: DataFrame, ident: str = "id", text_col: str = "t") -> DataFrame:
     """(d1, d2, left, right): the words beside the first occurrence of each unit of ``keepers`` (d1, d2, keeper)
-    in the rows of its keeper."""
-    asked = keepers.groupBy(F.col("keeper").alias("id")).agg(F.collect_list(F.struct("d1", "d2")).alias("asked"))
+    in the rows of its keeper. All columns of ``docs`` pass, so that another join with the same ``docs`` by
+    ``ident`` can read the same shuffle."""
+    asked_col = fresh("asked", docs.columns)
+    asked = keepers.groupBy(F.col("keeper").alias(ident)).agg(F.collect_list(F.struct("d1", "d2")).alias(asked_col))
+    text_at = docs.columns.index(text_col)
     out = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("left", pa.string()), ("right", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +273,7 @@ def kept_words(docs: DataFrame, keepers: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 digests, sides = [], []
-                for text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for text, wanted in zip(part.column(text_at).to_pylist(), part.column(part.num_columns - 1).to_pylist()):
                     left = {np.array([d["d1"], d["d2"]], "<i8").tobytes() for d in wanted}
                     for a, b in units(text or ""):
                         digest, words = unit_digest(text[a:b])
@@ -280,16 +286,29 @@ def kept_words(docs: DataFrame, keepers: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), *[
                     pa.array([s[k].encode("utf-8", "replace").decode() for s in sides], pa.string()) for k in (0, 1)]], schema=out)
 
-    return docs.join(asked, "id").select("t", "asked").mapInArrow(run, from_arrow_schema(out))
+    both = docs.join(asked, ident).select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"`{asked_col}`"))
+    return both.mapInArrow(run, from_arrow_schema(out))
 
 
-def kept_elsewhere(docs: DataFrame) -> DataFrame:
+def perhaps_shared(held: DataFrame, keepers: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """``held`` without most of the rows whose digest is not in ``keepers``: those that miss the bitmap of its digests.
+    No row with a digest of ``keepers`` goes; the fuller the bitmap, the more others stay."""
+    bits = max(1 << 15, min(most_bits, BITS_A_DIGEST * keepers.count()))
+    number = F.pmod(F.xxhash64("d1"), F.lit(bits)) + 1              # bitmap functions count from 1
+    bucket, bit = F.bitmap_bucket_number(number), F.bitmap_bit_position(number)
+    maps = keepers.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("map"))
+    byte = F.conv(F.hex(F.substring("map", F.floor(F.col("bit") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    return (held.withColumn("bucket", bucket).withColumn("bit", bit).join(F.broadcast(maps), "bucket")
+            .where(F.getbit(byte, F.pmod(F.col("bit"), F.lit(8)).cast("int")) == 1).select(*held.columns))
+
+
+def kept_elsewhere(docs: DataFrame, ident: str = "id", text_col: str = "t") -> DataFrame:
     """(id, elsewhere): per document the digests whose first occurrence is in another document, and the words beside that."""
-    held = materialized(document_digests(docs), "unit-digests")
+    held = materialized(document_digests(docs.select(F.col(f"`{ident}`").alias("id"), F.col(f"`{text_col}`").alias("t"))), "unit-digests")
     keepers = materialized(held.groupBy("d1", "d2").agg(F.min("id").alias("keeper"), F.max("id").alias("last")).where(
         "keeper < last").select("d1", "d2", "keeper"), "unit-keepers")
-    known = keepers.join(kept_words(docs, keepers), ["d1", "d2"], "left")
-    moved = held.join(known, ["d1", "d2"]).where("id != keeper")
+    known = keepers.join(kept_words(docs, keepers, ident, text_col), ["d1", "d2"], "left")
+    moved = perhaps_shared(held, keepers).join(known, ["d1", "d2"]).where("id != keeper")
     return moved.groupBy("id").agg(F.collect_set(F.struct("d1", "d2", "left", "right")).alias("elsewhere"))
 
 
@@ -299,10 +318,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
     ship_package(docs.sparkSession)
     names = docs.columns
     ident = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID))
-    elsewhere = kept_elsewhere(docs.select(ident.alias("id"), F.col(f"`{text_col}`").alias("t")))
     e, i = fresh("elsewhere", names), fresh("id", names)
-    both = docs.withColumn(i, ident).join(elsewhere.select(
-        F.col("id").alias(i), F.col("elsewhere").alias(e)), i, "left").select(*[F.col(f"`{c}`") for c in names], e)
+    whole = docs.withColumn(i, ident)
+    elsewhere = kept_elsewhere(whole, i, text_col)
+    # no column is left out before the join: what is dealt by id is then the same as in kept_words, and is dealt once
+    both = whole.join(elsewhere.select(F.col("id").alias(i), F.col("elsewhere").alias(e)), i, "left").select(
+        *[F.col(f"`{c}`") for c in names], F.col(f"`{i}`"), e)
     removed = fresh("removed", names)
     count = fresh("n_units", [*names, removed])
     added = StructType.fromDDL("removed array<struct<start:bigint,end:bigint>>, n_units bigint")
@@ -316,7 +337,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts, spans, counts = [], [], []
-                for text, far in zip(part.column(text_at).to_pylist(), part.column(len(names)).to_pylist()):
+                for text, far in zip(part.column(text_at).to_pylist(), part.column(len(names) + 1).to_pylist()):
                     around = {}
                     for d in far or ():
                         known = around.setdefault(np.array([d["d1"], d["d2"]], "<i8").tobytes(), [])

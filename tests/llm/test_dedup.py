@@ -214,3 +214,28 @@ def test_repeats_in_awkward_tables(awkward, empty):
     assert text[1] and text[2] == "" and text[3] is None and text[4] == ""
     assert U.remove_repeats(empty).count() == 0
     assert np.isfinite(U.NO_ID)
+
+
+def test_unit_dedup_deals_texts_once_and_leaves_no_shuffle_files(spark):
+    """Both passes over the texts read one shuffle; what a written table shuffled goes with its query."""
+    from adlife.llm import common, unit_dedup
+    line = "one line of words that several documents have, long enough to be cut from all but the first of them at once"
+    docs = spark.createDataFrame([(i, f"Alone {i} here.\n{line}\nAnd {i} again.") for i in range(40)], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = unit_dedup.unit_dedup_query(docs)
+        assert sum(r.removed_chars > 0 for r in done.collect()) == 39
+        done = unit_dedup.remove_repeats(docs)
+        done.collect()
+        assert "ReusedExchange" in done._jdf.queryExecution().executedPlan().toString()
+        held = spark.createDataFrame([(i, i * 7919, -i) for i in range(2000)], "id long, d1 long, d2 long")
+        keepers = held.where("id % 9 = 0").selectExpr("d1", "d2", "id AS keeper")
+        for most in (unit_dedup.MOST_BITS, 64):                    # a full map lets all pass, but loses none
+            left = {r.id for r in unit_dedup.perhaps_shared(held, keepers, most).collect()}
+            assert left >= set(range(0, 2000, 9)) and (most == 64 or len(left) < 600)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    before = spark.conf.get(common.CLEANUP)
+    with common._shuffles_dropped(spark):
+        assert spark.conf.get(common.CLEANUP) == "true"
+    assert spark.conf.get(common.CLEANUP) == before
