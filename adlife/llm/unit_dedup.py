@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Collection, Iterator, Mapping
+from struct import pack
 from zlib import crc32
 
 import numpy as np
@@ -55,6 +56,8 @@ NO_ID = (1 << 63) - 1
 BITS_A_DIGEST, MOST_BITS = 16, 1 << 28
 
 _CUT = re.compile(r"\s*\n\s*|(?<=[.!?…])[^\S\n]+|[^\S\n]+(?=[A-ZÀ-ÖØ-Þ])|(?<=[。！？])")
+#: The same cuts where none of the last kind is: it starts with a blank, so the search skips what is none.
+_BLANK_CUT = re.compile(r"\s(?:(?<=\n)\s*|(?<=[.!?…]\s)(?:[^\S\n]*\n\s*|[^\S\n]*)|(?![a-z])(?:[^\S\n]*\n\s*|[^\S\n]*(?=[A-ZÀ-ÖØ-Þ])))")
 _OUTER = " \t\r\f\v.,;:!?…\"'()[]{}<>|#*$%&-–—_"
 
 
@@ -65,7 +68,8 @@ _LINE = re.compile(r"[^\s](?:[^\n]*[^\s])?")
 def units(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the units of ``text``, ascending."""
     at = 0
-    for m in _CUT.finditer(text):
+    wide = "。" in text or "！" in text or "？" in text
+    for m in (_CUT if wide else _BLANK_CUT).finditer(text):
         start, end = m.span()
         if start - at > 2 * LONG:
             yield from _pieces(text, at, start)
@@ -78,16 +82,18 @@ def units(text: str) -> Iterator[tuple[int, int]]:
 
 def _pieces(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
     """The stretch, cut at words that its content chooses if it has more than ``LONG`` words."""
-    words = text[start:end].lower().split()
-    if len(words) > LONG:
-        h = [crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+    stretch = text[start:end]
+    if len(stretch.split(None, LONG)) > LONG:
+        h = [crc32(w.encode("utf-8", "surrogatepass")) for w in stretch.lower().split()]
         places = [m.span() for m in _WORD.finditer(text, start, end)]
         least, at = -1, start
-        for k in range(len(h) - WINDOW + 1):
+        for k, new_hash in enumerate(h[WINDOW - 1:]):
             if least < k:
                 new = h.index(min(h[k:k + WINDOW]), k)
+            elif new_hash < h[least]:
+                new = k + WINDOW - 1
             else:
-                new = k + WINDOW - 1 if h[k + WINDOW - 1] < h[least] else least
+                continue
             if new != least:
                 least = new
                 if places[new][0] > at:
@@ -101,56 +107,63 @@ def _plain(word: str) -> str:
     return word.lower().strip(_OUTER) or word
 
 
-def words_before(text: str, at: int) -> list[tuple[int, str]]:
-    """(start, word) of the words that end before ``at``, nearest first."""
+def words_before(text: str, at: int) -> list[str]:
+    """The words that end before ``at``, nearest first."""
     low = max(0, at - REACH)
-    found = [(m.start(), _plain(m.group())) for m in _WORD.finditer(text, low, at)]
-    if found and 0 < low == found[0][0] and not text[low - 1].isspace():
+    found = text[low:at].rsplit(None, AROUND)
+    if found and 0 < low and not text[low].isspace() and not text[low - 1].isspace():
         del found[0]
     return found[:-AROUND - 1:-1]
 
 
-def words_after(text: str, at: int) -> list[tuple[int, str]]:
-    """(end, word) of the words that start from ``at`` on, nearest first."""
+def words_after(text: str, at: int) -> list[str]:
+    """The words that start from ``at`` on, nearest first."""
     high = min(len(text), at + REACH)
-    found = [(m.end(), _plain(m.group())) for m in _WORD.finditer(text, at, high)]
-    if found and found[-1][0] == high < len(text) and not text[high].isspace():
+    found = text[at:high].split(None, AROUND)
+    if found and high < len(text) and not text[high - 1].isspace() and not text[high].isspace():
         del found[-1]
     return found[:AROUND]
 
 
 def beside(text: str, start: int, end: int) -> tuple[str, str]:
     """The words before and after a unit, nearest first, one a line."""
-    return "\n".join(w for _, w in words_before(text, start)), "\n".join(w for _, w in words_after(text, end))
+    return "\n".join(map(_plain, words_before(text, start))), "\n".join(map(_plain, words_after(text, end)))
 
 
-def line_digests(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of the lines of ``LINE_WORDS`` words or more, without outer blanks."""
+def line_digests(text: str, known: Mapping[tuple[int, int], tuple[bytes | None, int]] | None = None) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, digest) of the lines of ``LINE_WORDS`` words or more, without outer blanks; ``known``: of units."""
+    known = known or {}
     for m in _LINE.finditer(text):
-        digest, words = unit_digest(m.group())
+        span = m.span()
+        digest, words = known.get(span) or unit_digest(m.group())
         if words >= LINE_WORDS and digest is not None:
-            yield m.start(), m.end(), digest
+            yield *span, digest
 
 
 def text_digests(text: str) -> set[bytes]:
     """The digests of the units and of the lines of ``text``."""
-    return ({unit_digest(text[a:b])[0] for a, b in units(text)} | {d for _, _, d in line_digests(text)}) - {None}
+    known = {(a, b): unit_digest(text[a:b]) for a, b in units(text)}
+    return ({d for d, _ in known.values()} | {d for _, _, d in line_digests(text, known)}) - {None}
 
 
-def _reach(here: list[tuple[int, str]], there: str, at: int) -> int:
-    """The far end of the words of ``here`` that equal those of ``there``; ``at`` if none does."""
-    for (place, word), other in zip(here, there.split("\n")):
-        if word != other:
+def _reach(text: str, at: int, here: list[str], there: str, far: bool, none: int) -> int:
+    """The far end of the words of ``here``, beside ``at``, that equal those of ``there``; ``none`` if none does."""
+    end = at
+    if not here or not there.startswith(_plain(here[0])):
+        return none
+    for word, other in zip(here, there.split("\n")):
+        if _plain(word) != other:
             break
-        at = place
-    return at
+        end = text.index(word, end) + len(word) if far else text.rindex(word, 0, end)      # only blanks are between
+        none = end
+    return none
 
 
 def unit_digest(unit: str) -> tuple[bytes | None, int]:
     """(digest or None, number of words)."""
     parts = unit.lower().split()
     norm = " ".join(parts).strip(_OUTER)
-    if not any(c.isalnum() for c in norm):
+    if not norm[:1].isalnum() and not any(c.isalnum() for c in norm):
         return None, len(parts)
     return xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass")), len(parts)
 
@@ -161,7 +174,7 @@ def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
 
     ``around``: the words beside kept occurrences of units, as of :func:`beside`.
     """
-    around, spans, seen, run, n = around or {}, [], {}, [], 0
+    around, spans, seen, run, n, known_units = around or {}, [], {}, [], 0, {}
 
     def extended() -> tuple[int, int]:
         start, end = first, last = run[0][0], run[-1][1]
@@ -177,9 +190,9 @@ def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
                 here = (words_after(text, b) if far else words_before(text, a)) if known else ()
                 for left, right in known:
                     if far:
-                        end = max(end, _reach(here, right, last))
+                        end = max(end, _reach(text, b, here, right, True, last))
                     else:
-                        start = min(start, _reach(here, left, first))
+                        start = min(start, _reach(text, a, here, left, False, first))
         return start, end
 
     def close() -> None:
@@ -194,7 +207,7 @@ def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
 
     for start, end in units(text):
         n += 1
-        digest, words = unit_digest(text[start:end])
+        digest, words = known_units[start, end] = unit_digest(text[start:end])
         if digest is None:
             if run:
                 run.append((start, end, 0, None))
@@ -206,7 +219,7 @@ def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
             seen[digest] = start, end
     close()
     lines, earlier = [], set()
-    for start, end, digest in line_digests(text):
+    for start, end, digest in line_digests(text, known_units):
         if digest in elsewhere or digest in earlier:
             lines.append((start, end))
         earlier.add(digest)
@@ -274,7 +287,7 @@ def kept_words(docs: DataFrame, keepers: DataFrame, ident: str = "id", text_col:
                 part = batch.slice(at, 512)
                 digests, sides = [], []
                 for text, wanted in zip(part.column(text_at).to_pylist(), part.column(part.num_columns - 1).to_pylist()):
-                    left = {np.array([d["d1"], d["d2"]], "<i8").tobytes() for d in wanted}
+                    left = {pack("<qq", d["d1"], d["d2"]) for d in wanted}
                     for a, b in units(text or ""):
                         digest, words = unit_digest(text[a:b])
                         if digest in left:
@@ -340,7 +353,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
                 for text, far in zip(part.column(text_at).to_pylist(), part.column(len(names) + 1).to_pylist()):
                     around = {}
                     for d in far or ():
-                        known = around.setdefault(np.array([d["d1"], d["d2"]], "<i8").tobytes(), [])
+                        known = around.setdefault(pack("<qq", d["d1"], d["d2"]), [])
                         if d["left"] is not None:
                             known.append((d["left"], d["right"]))
                     found, n = repeated_spans(text or "", around.keys(), min_words, around)

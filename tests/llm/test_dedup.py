@@ -239,3 +239,27 @@ def test_unit_dedup_deals_texts_once_and_leaves_no_shuffle_files(spark):
     with common._shuffles_dropped(spark):
         assert spark.conf.get(common.CLEANUP) == "true"
     assert spark.conf.get(common.CLEANUP) == before
+
+
+def test_units_are_cut_at_blanks_as_by_the_whole_rule():
+    """The search that starts at blanks cuts as the rule for all marks does, and a unit's digest serves its line."""
+    rnd = random.Random(9)
+    bits = ["a", "Z", "É", ".", "!", "…", " ", "  ", "\n", " \n", "\t", " ", "\x1c", "\x85", "\r\n", "word ", "Und ", "x y z ", "-", "7"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 120)))
+        assert [m.span() for m in U._BLANK_CUT.finditer(text)] == [m.span() for m in U._CUT.finditer(text)], text
+        spans = list(U.units(text))
+        known = {(a, b): U.unit_digest(text[a:b]) for a, b in spans}
+        assert list(U.line_digests(text, known)) == list(U.line_digests(text)), text
+
+
+def test_words_beside_a_unit_are_whole_and_nearest_first():
+    text = "x" * 30 + " " + " ".join(f"W{k}," for k in range(200))
+    at = text.index("W100,")
+    left, right = U.beside(text, at, at + 5)
+    assert left.split("\n") == [f"w{k}" for k in range(99, 99 - U.AROUND, -1)]
+    assert right.split("\n") == [f"w{k}" for k in range(101, 101 + U.AROUND)]
+    long = "y" * (U.REACH + 5)
+    assert U.beside(f"{long} unit {long}", len(long) + 1, len(long) + 5) == ("", "")     # a word that is cut off is none
+    assert U._reach(text, at, U.words_before(text, at), "w99\nw98\nother", False, at) == text.index("W98,")
+    assert U._reach(text, at + 5, U.words_after(text, at + 5), "w101\nw102\nother", True, at) == text.index("W102,") + 5
