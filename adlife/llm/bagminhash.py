@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from adlife.llm.common import fresh, materialized, ship_package, worker_cache
+from adlife.llm.common import fresh, materialized, portions, ship_package, worker_cache
 from adlife.llm.components import components
 
 SHINGLE = 5
@@ -55,7 +55,7 @@ FINE, SIGMAS = 1024, 4.5
 #: Members that speak for a bucket in a round; pairs a member (that pass the sketch) up to which pairs are made
 #: without (more) rounds; what share of pairs a round may leave for another to follow.
 SPEAKERS, PAIRS_A_MEMBER, SHRINK = 4, 4, 0.8
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)            # odd: invertible modulo 2**64
@@ -213,7 +213,7 @@ def sketched(texts: DataFrame) -> DataFrame:
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             wanted, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for part in pieces(texts, PIECE_BYTES * BANDS * ROWS // FINE):       # as many points at a time as in signed()
                 doc, runs, count, digests = bags(texts[part])
@@ -245,7 +245,7 @@ def signed(docs: DataFrame, key: str, text_col: str = "text", bands: int = BANDS
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             ids, texts, raw = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
             for part in pieces(texts):
                 doc, runs, count, digests = bags(texts[part])
@@ -267,7 +267,7 @@ def verified(pairs: DataFrame, least: float) -> DataFrame:
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts = [t for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()) for t in pair]
             found = []
