@@ -31,6 +31,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -63,12 +65,17 @@ _ENDS = re.compile(rf"[{_SOLID}](?:.*[{_SOLID}])?", re.DOTALL)
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+#: A blank that does not stand between two solid characters.
+_LOOSE = re.compile(rf" (?:(?![{_SOLID}])|(?<![{_SOLID}] ))")
+
+
 class Encoder:
     """Whole-text encoding with the tokenizers library, remembering the ids of parts.
 
-    A text is cut at its blanks. ``spaced`` holds the ids of a part with a blank before it, ``bare`` without,
-    ``last`` those of text ends that may be white space. When ``CACHED_BYTES`` are held, the shorter half of the
-    parts stays (frequent words are short ones), so memory is bounded by bytes, however long the parts are.
+    A text is cut at its blanks and before its line ends (one between two solid characters is a pre-token
+    of its own). ``spaced`` holds the ids of a part with a blank (or a line end, which it then starts with) before it,
+    ``bare`` without, ``last`` those of text ends that may be white space. When ``CACHED_BYTES`` are held, the shorter
+    half of the parts stays (frequent words are short ones), so memory is bounded by bytes, however long the parts are.
     """
 
     def __init__(self, path: str):
@@ -79,6 +86,8 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(1 + max(vocabulary.values()), bool)
         self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True      # byte-level BPE's sign for a blank
+        self.end_of_line = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.line_id = int.from_bytes(self.end_of_line[:4], "little")
         self._anew({})
 
     def _anew(self, spaced: dict[str, bytes]) -> None:
@@ -98,11 +107,13 @@ class Encoder:
             self._forget()
         get = self.spaced.get
         # a special token's string is one token wherever it stands: such texts are not cut
-        parts = [[t] if any(s in t for s in self.special) else t.split(" ") for t in texts]
+        parts = [[t] if any(s in t for s in self.special) else t.replace("\n", " \n").split(" ") for t in texts]
         heads = [ps.pop(0) for ps in parts]
         found = [list(map(get, ps)) for ps in parts]
         late = [i for i, ids in enumerate(found) if not all(ids)]
-        unknown: set[str] = set().union(*[set(parts[i]).difference(self.spaced) for i in late])
+        unknown: set[str] = set()
+        for i in late:
+            unknown.update(compress(parts[i], map(not_, found[i])))
         self._open(unknown)
         self._open(set(heads))
         unknown -= self.open
@@ -125,7 +136,11 @@ class Encoder:
         return [self.bare[h] + b"".join(ids) for h, ids in zip(heads, found)]
 
     def _open(self, some: set[str]) -> None:
-        new = [p for p in some.difference(self.open) if not _ENDS.fullmatch(p)]
+        new = [*some.difference(self.open)]
+        inner = [p[1:] if p[:1] == "\n" else p for p in new]
+        if not _LOOSE.search(f"! {' '.join(inner)} !"):           # no part is open, as is the rule
+            return
+        new = [p for p, x in zip(new, inner) if not _ENDS.fullmatch(x)]
         self.open.update(new)
         self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
 
@@ -142,36 +157,49 @@ class Encoder:
         self.held += len(part) + len(ids) + ENTRY_BYTES
 
     def _learn_bare(self, some: set[str]) -> None:
-        self._learn(self.bare, "", some.difference(self.bare))
+        self._learn_words(self.bare, "\n", {}, some.difference(self.bare))
 
     def _learn_spaced(self, some: set[str]) -> None:
+        """The ids of each part of ``some`` behind a blank; of one that starts with a line end, as it stands."""
+        lines = {p: p[1:] for p in some if p[0] == "\n"}
+        self._learn_bare(set(lines.values()))
+        for p, line in lines.items():
+            self._keep(self.spaced, p, self.end_of_line + self.bare[line])
+        self._learn_words(self.spaced, " ", lines, some)
+
+    def _learn_words(self, into: dict[str, bytes], before: str, without, some) -> None:
         """Words (letters only) are encoded many at a time as one text; a word with punctuation behind it
-        is put together; other parts are encoded one by one."""
-        spaced, words, tailed, others = self.spaced, [], {}, []
+        is put together; other parts are encoded one by one. ``before``: what stands before each word of that text."""
+        words, tailed, others = [], {}, []
         for p in some:
             if p.isalpha():
                 words.append(p)
-            else:
+            elif p not in without:
                 word = p.rstrip(_PUNCTUATION)
                 if word.isalpha():
                     tailed[p] = word
                 else:
                     others.append(p)
-        words += {w for w in tailed.values() if w not in spaced}.difference(words)
+        words += {w for w in tailed.values() if w not in into}.difference(words)
+        spaced = into is self.spaced
         for at in range(0, len(words), 2000):
             group = words[at:at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
-            starts = np.flatnonzero(self.blank[ids]) * 4          # the blank of a word is in its first token
+            ids = np.array(self.tokenizer.encode_batch_fast([before + before.join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
+            # the blank of a word is in its first token, a line end is a token of its own
+            starts = np.flatnonzero(self.blank[ids] if spaced else ids == self.line_id) * 4
             if len(starts) != len(group):
                 others += group
                 continue
             raw = ids.tobytes()
-            spaced.update(zip(group, map(raw.__getitem__, map(slice, starts.tolist(), [*starts[1:].tolist(), len(raw)]))))
+            ends = [*starts[1:].tolist(), len(raw)]
+            starts = (starts if spaced else starts + 4).tolist()
+            into.update(zip(group, map(raw.__getitem__, map(slice, starts, ends))))
             self.held += sum(map(len, group)) + len(raw) + ENTRY_BYTES * len(group)
-        self._learn(spaced, " ", others)
-        self._learn_bare({p[len(w):] for p, w in tailed.items()})
+        self._learn(into, " " if spaced else "", others)
+        tails = {p[len(w):] for p, w in tailed.items()}
+        self._learn(self.bare, "", tails.difference(self.bare))
         for p, w in tailed.items():
-            self._keep(spaced, p, spaced[w] + self.bare[p[len(w):]])
+            self._keep(into, p, into[w] + self.bare[p[len(w):]])
 
 
 def encoder(path: str) -> Encoder:

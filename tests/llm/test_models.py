@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from adlife.llm import ann, langid, mixing, packing, queries, token_planes
 
-from .conftest import COLUMNS, SF, awkward_rows
+from .conftest import COLUMNS, SF, awkward_rows, prose
 
 TOKENIZER = queries.tokenizer_file()
 
@@ -264,6 +264,19 @@ def test_encoder_equals_the_library():
     assert enc.encode(texts) == want and enc.encode(texts[::-1]) == want[::-1]
 
 
+def test_words_at_line_ends_are_learned_once():
+    """What stands before and after a line end are parts of their own: words that meet there anew are known."""
+    enc = token_planes.Encoder(TOKENIZER)
+    words = sorted(set(prose(4, 60).split()))
+    enc.encode([" ".join(["x", *words]), "x" + "".join(f"\n{w}" for w in words)])
+    known = len(enc.spaced), len(enc.bare)
+    texts = ["x " + "\n".join(random.Random(k).sample(words, 30)) for k in range(20)]
+    texts += ["a.\nB", "a\n\nB", "a \nB", "a\n B", "a\n", "\na", "a\r\nb", "漢\nb", "b\n漢 c", "a\n's b\n1", "a.\n\u0301b", "\n \n"]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode(texts[:20]) == want[:20] and (len(enc.spaced), len(enc.bare)) == known
+    assert enc.encode(texts) == want
+
+
 def stored_ids(rows):
     enc = token_planes.Encoder(TOKENIZER)
     at = 0
