@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Collection, Iterator, Mapping
-from struct import pack
 from zlib import crc32
 
 import numpy as np
@@ -65,13 +64,20 @@ _WORD = re.compile(r"\S+")
 _LINE = re.compile(r"[^\s](?:[^\n]*[^\s])?")
 
 
+def tidy(text: str) -> bool:
+    """Whether blanks stand alone, within lines, and but for line ends are the only white space: no unit has other or outer blanks."""
+    return (text.replace("\n", "").isprintable() and "  " not in text and " \n" not in text and "\n " not in text
+            and text[:1] != " " and text[-1:] != " " and not ("。" in text or "！" in text or "？" in text))
+
+
 def units(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the units of ``text``, ascending."""
     at = 0
+    plain = tidy(text)                           # a unit has one word more than blanks
     wide = "。" in text or "！" in text or "？" in text
     for m in (_CUT if wide else _BLANK_CUT).finditer(text):
         start, end = m.span()
-        if start - at > 2 * LONG:
+        if start - at > 2 * LONG and not (plain and text.count(" ", at, start) < LONG):
             yield from _pieces(text, at, start)
         elif start > at:
             yield at, start
@@ -142,7 +148,8 @@ def line_digests(text: str, known: Mapping[tuple[int, int], tuple[bytes | None,
 
 def text_digests(text: str) -> set[bytes]:
     """The digests of the units and of the lines of ``text``."""
-    known = {(a, b): unit_digest(text[a:b]) for a, b in units(text)}
+    plain = tidy(text)
+    known = {(a, b): unit_digest(text[a:b], plain) for a, b in units(text)}
     return ({d for d, _ in known.values()} | {d for _, _, d in line_digests(text, known)}) - {None}
 
 
@@ -159,13 +166,17 @@ def _reach(text: str, at: int, here: list[str], there: str, far: bool, none: int
     return none
 
 
-def unit_digest(unit: str) -> tuple[bytes | None, int]:
-    """(digest or None, number of words)."""
-    parts = unit.lower().split()
-    norm = " ".join(parts).strip(_OUTER)
+def unit_digest(unit: str, plain: bool = False) -> tuple[bytes | None, int]:
+    """(digest or None, number of words); ``plain``: the unit is of a tidy text."""
+    if plain and unit:
+        low = unit.lower()
+        norm, words = low.strip(_OUTER), low.count(" ") + 1
+    else:
+        parts = unit.lower().split()
+        norm, words = " ".join(parts).strip(_OUTER), len(parts)
     if not norm[:1].isalnum() and not any(c.isalnum() for c in norm):
-        return None, len(parts)
-    return xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass")), len(parts)
+        return None, words
+    return xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass")), words
 
 
 def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
@@ -175,6 +186,7 @@ def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
     ``around``: the words beside kept occurrences of units, as of :func:`beside`.
     """
     around, spans, seen, run, n, known_units = around or {}, [], {}, [], 0, {}
+    plain = tidy(text)
 
     def extended() -> tuple[int, int]:
         start, end = first, last = run[0][0], run[-1][1]
@@ -207,7 +219,7 @@ def repeated_spans(text: str, elsewhere: Collection[bytes], min_words: int,
 
     for start, end in units(text):
         n += 1
-        digest, words = known_units[start, end] = unit_digest(text[start:end])
+        digest, words = known_units[start, end] = unit_digest(text[start:end], plain)
         if digest is None:
             if run:
                 run.append((start, end, 0, None))
@@ -271,6 +283,17 @@ def document_digests(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, from_arrow_schema(out))
 
 
+def listed_digests(column: pa.ListArray) -> Iterator[list[tuple]]:
+    """Per row (digest, further fields ...) of its structs (d1, d2, further fields ...); none for null."""
+    d1, d2, *others = column.flatten().flatten()
+    raw = np.stack([d1.to_numpy(zero_copy_only=False), d2.to_numpy(zero_copy_only=False)], axis=1).astype("<i8").tobytes()
+    entries = list(zip((raw[at:at + 16] for at in range(0, len(raw), 16)), *[c.to_pylist() for c in others]))
+    at = 0
+    for n in column.value_lengths().to_pylist():
+        yield entries[at:at + (n or 0)]
+        at += n or 0
+
+
 def kept_words(docs: DataFrame, keepers: DataFrame, ident: str = "id", text_col: str = "t") -> DataFrame:
     """(d1, d2, left, right): the words beside the first occurrence of each unit of ``keepers`` (d1, d2, keeper)
     in the rows of its keeper. All columns of ``docs`` pass, so that another join with the same ``docs`` by
@@ -286,10 +309,11 @@ def kept_words(docs: DataFrame, keepers: DataFrame, ident: str = "id", text_col:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 digests, sides = [], []
-                for text, wanted in zip(part.column(text_at).to_pylist(), part.column(part.num_columns - 1).to_pylist()):
-                    left = {pack("<qq", d["d1"], d["d2"]) for d in wanted}
+                for text, wanted in zip(part.column(text_at).to_pylist(), listed_digests(part.column(part.num_columns - 1))):
+                    left = {d for d, in wanted}
+                    plain = tidy(text or "")
                     for a, b in units(text or ""):
-                        digest, words = unit_digest(text[a:b])
+                        digest, words = unit_digest(text[a:b], plain)
                         if digest in left:
                             left.remove(digest)
                             if words >= TELLING:
@@ -350,12 +374,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts, spans, counts = [], [], []
-                for text, far in zip(part.column(text_at).to_pylist(), part.column(len(names) + 1).to_pylist()):
+                for text, far in zip(part.column(text_at).to_pylist(), listed_digests(part.column(len(names) + 1))):
                     around = {}
-                    for d in far or ():
-                        known = around.setdefault(pack("<qq", d["d1"], d["d2"]), [])
-                        if d["left"] is not None:
-                            known.append((d["left"], d["right"]))
+                    for digest, left, right in far:
+                        known = around.setdefault(digest, [])
+                        if left is not None:
+                            known.append((left, right))
                     found, n = repeated_spans(text or "", around.keys(), min_words, around)
                     texts.append(text if text is None else cut(text, found) if found else text)
                     spans.append([{"start": a, "end": b} for a, b in found])

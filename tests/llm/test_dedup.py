@@ -263,3 +263,52 @@ def test_words_beside_a_unit_are_whole_and_nearest_first():
     assert U.beside(f"{long} unit {long}", len(long) + 1, len(long) + 5) == ("", "")     # a word that is cut off is none
     assert U._reach(text, at, U.words_before(text, at), "w99\nw98\nother", False, at) == text.index("W98,")
     assert U._reach(text, at + 5, U.words_after(text, at + 5), "w101\nw102\nother", True, at) == text.index("W102,") + 5
+
+
+def test_python_gets_few_rows_at_a_time(spark, workdir):
+    """A batch of texts is held by the executor and by its worker: what is written gets it in small parts."""
+    import pyarrow as pa
+    from adlife.llm import common
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    before = spark.conf.get(common.BATCH_ROWS)
+    rows = spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n bigint")
+    got = [r["n"] for r in common.materialized(rows, "sizes", f"{workdir}/sizes").collect()]
+    assert sum(got) == 5000 and max(got) <= common.MOST_ROWS and spark.conf.get(common.BATCH_ROWS) == before
+
+
+def test_signing_takes_little_memory():
+    import tracemalloc
+    texts = [prose(k, 500) for k in range(400)]                # over 1 MB, one piece before
+    tracemalloc.start()
+    try:
+        for part in B.pieces(texts):
+            doc, run, count, digests = B.bags(texts[part])
+            B.signatures(doc, run, count, len(digests), B.BANDS * B.ROWS)
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_units_of_tidy_texts_need_no_splitting():
+    texts = [prose(k, 90) for k in range(6)] + ["a b", "Éa ΣΣ. B!", "", " a b", "a  b", "a \nb", "a\x1cb c", "a\xa0b", "。 foo É", "a\tb"]
+    assert [U.tidy(t) for t in texts] == [True] * 9 + [False] * 7
+    for t in texts:
+        for a, b in U.units(t):
+            assert U.unit_digest(t[a:b], U.tidy(t)) == U.unit_digest(t[a:b])
+            assert U.unit_digest(t[a:b])[1] == len(t[a:b].split())
+
+
+def test_listed_digests_equal_the_structs():
+    import struct
+
+    import pyarrow as pa
+    kind = pa.list_(pa.struct([("d1", pa.int64()), ("d2", pa.int64()), ("left", pa.string()), ("right", pa.string())]))
+    rows = [[(1, -2, "a\nb", "c"), (3, 4, None, None)], None, [], [(-5, 6, "", "x")], [(7, 8, "y", None)]]
+    column = pa.array([r and [dict(zip(("d1", "d2", "left", "right"), x)) for x in r] if r is not None else None for r in rows], kind)
+    want = [[(struct.pack("<qq", *x[:2]), *x[2:]) for x in r or []] for r in rows]
+    assert list(U.listed_digests(column)) == want and list(U.listed_digests(column.slice(1, 3))) == want[1:4]
+    assert list(U.listed_digests(column.slice(0, 0))) == []
