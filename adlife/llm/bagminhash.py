@@ -46,7 +46,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from adlife.llm.common import fresh, materialized, portions, ship_package, worker_cache
-from adlife.llm.components import components
+from adlife.llm.components import stars
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -336,6 +336,11 @@ def raw_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def _edges(joined: DataFrame) -> DataFrame:
+    """What joins the texts so far, as edges (a, b): each with the least of its component."""
+    return joined.select(F.col("root").alias("a"), F.col("node").alias("b"))
+
+
 def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Written rows (id, raw, digest, n, bands), and (digest, root, class_id) of the texts that have runs."""
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("t"))
@@ -360,7 +365,7 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
         F.col("leader").alias("a"), F.col("digest").alias("b")).distinct(), "pairs")
     ends = first.select(F.col("a").alias("digest")).unionByName(first.select(F.col("b").alias("digest"))).distinct()
     links = materialized(verified(with_texts(first, node_texts(ends, nodes, texts)), similarity), "links")
-    joined = materialized(components(links.select("a", "b")), "components")
+    joined = stars(links.select("a", "b"))
 
     # what is left: members of one bucket that no link has joined yet, but for pairs already compared
     rest = (shared.where(F.col("digest") != F.col("leader")).join(joined, F.col("digest") == F.col("node"), "left")
@@ -368,16 +373,13 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
     split = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
     rest = materialized(rest.join(split.select("bucket"), "bucket"), "rest")
     left = node_texts(rest.select("digest").distinct(), nodes, texts)
-    detail = materialized(rest.select("digest").distinct().join(sketched(left), "digest").join(
-        nodes.select("digest", "bands"), "digest"), "sketches")
-    rest = materialized(rest.drop("root").join(detail, "digest"), "rest")
+    detail = sketched(left).join(nodes.select("digest", "bands"), "digest")
+    rest = materialized(rest.join(detail, "digest"), "rest")
     fine_enough = mismatches(F.col("fine_a"), F.col("fine_b")) <= most_mismatches(similarity)
     compared, turn, before = first, 0, float("inf")
     while True:
-        now = materialized(rest.select("bucket", "digest", "n", "fine").join(joined, F.col("digest") == F.col("node"), "left").select(
-            "bucket", "digest", "n", "fine", F.coalesce("root", "digest").alias("root")), "rest")
         # pairs of members in different components: rounds are for when they would be many
-        apart = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(
+        apart = rest.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(
             F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
         members, pairs = apart.agg(F.sum("c"), F.sum((F.col("c") * F.col("c") - F.col("same")) / 2)).first()
         if not pairs or pairs <= PAIRS_A_MEMBER * members or pairs > SHRINK * before:
@@ -385,12 +387,12 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
         before = pairs
         # the members with the least hashes speak for their bucket; two roots tell that there is something to join
         who = F.struct("digest", "n", "fine", "root")
-        spoken = now.groupBy("bucket").agg(
+        spoken = rest.groupBy("bucket").agg(
             F.array(*[F.min_by(who, F.xxhash64("digest", F.lit(turn * SPEAKERS + k))) for k in range(SPEAKERS)]).alias("s"),
             F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select(
             "bucket", F.explode(F.array_distinct("s")).alias("s")).select(
             "bucket", *[F.col(f"s.{c}").alias(f"{c}_b") for c in ("digest", "n", "fine", "root")])
-        found = now.withColumnRenamed("fine", "fine_a").join(spoken, "bucket").where(
+        found = rest.withColumnRenamed("fine", "fine_a").join(spoken, "bucket").where(
             (F.col("root") != F.col("root_b")) & alike("n", "n_b") & fine_enough)
         found = materialized(found.select(F.least("digest", "digest_b").alias("a"), F.greatest("digest", "digest_b").alias("b")), "pairs")
         turn += 1
@@ -402,10 +404,9 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
         if new.isEmpty():
             break
         compared = compared.unionByName(found)
-        links = links.select("a", "b").unionByName(new)
-        joined = materialized(components(links), "components")
-    rest = rest.join(joined, F.col("digest") == F.col("node"), "left").select(
-        "bucket", "digest", "n", "fine", "bands", F.coalesce("root", "digest").alias("root"))
+        joined = stars(_edges(joined).unionByName(new))
+        rest = materialized(rest.drop("root").join(joined, F.col("digest") == F.col("node"), "left").select(
+            "bucket", "digest", "n", "fine", "bands", F.coalesce("root", "digest").alias("root")), "rest")
     x = rest.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("digest", "n", "root", "fine", "bands")])
     y = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("digest", "n", "root", "fine", "bands")])
     second = x.join(y, "bucket").where(
@@ -415,7 +416,7 @@ def _classes(docs: DataFrame, key: str, text_col: str, similarity: float) -> tup
     second = materialized(second.join(compared, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
         more = materialized(verified(with_texts(second, left), similarity), "links")
-        joined = materialized(components(links.select("a", "b").unionByName(more.select("a", "b"))), "components")
+        joined = stars(_edges(joined).unionByName(more.select("a", "b")))
 
     named = nodes.select("digest", "least_id").join(joined, F.col("digest") == F.col("node"), "left").select(
         "digest", "least_id", F.coalesce("root", "digest").alias("root"))

@@ -312,3 +312,18 @@ def test_listed_digests_equal_the_structs():
     want = [[(struct.pack("<qq", *x[:2]), *x[2:]) for x in r or []] for r in rows]
     assert list(U.listed_digests(column)) == want and list(U.listed_digests(column.slice(1, 3))) == want[1:4]
     assert list(U.listed_digests(column.slice(0, 0))) == []
+
+
+def test_stars_need_no_round_to_see_that_nothing_changes(spark, monkeypatch):
+    import adlife.llm.components as module
+    written = []
+    whole = module.materialized
+    monkeypatch.setattr(module, "materialized", lambda df, name: written.append(name) or whole(df, name))
+    star = spark.createDataFrame([(1, 2), (3, 1), (3, 1), (1, 4), (7, 8), (9, 9)], "a long, b long")
+    found = {r["node"]: r["root"] for r in module.stars(star).collect()}
+    assert found == {2: 1, 3: 1, 4: 1, 8: 7} and len(written) == 1
+    assert {r["node"]: r["root"] for r in components(star).collect()} == {**found, 1: 1, 7: 7}
+    written.clear()
+    path = spark.createDataFrame([(3, 2), (2, 4), (4, 1), (5, 6)], "a long, b long")
+    assert {r["node"]: r["root"] for r in module.stars(path).collect()} == {2: 1, 3: 1, 4: 1, 6: 5}
+    assert len(written) <= 3
