@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from adlife.llm.common import materialized, ship_package
-from adlife.llm.token_planes import encoder
+from adlife.llm.token_planes import token_counter
 
 MAX_LENGTH = 2048
 BUCKETS = 16
@@ -42,13 +42,12 @@ def token_counts(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
     out = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_file)
+        counter = token_counter(tokenizer_file)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = enc.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(
-                    [len(x) // 4 for x in ids], pa.int64())], schema=out)
+                counts = counter.encode([t or "" for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(counts, pa.int64())], schema=out)
 
     rows = docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text_col}`"))
     return materialized(rows.mapInArrow(run, from_arrow_schema(out)), "token-counts")

@@ -86,16 +86,33 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(1 + max(vocabulary.values()), bool)
         self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True      # byte-level BPE's sign for a blank
-        self.end_of_line = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self.line_id = int.from_bytes(self.end_of_line[:4], "little")
+        line = self.tokenizer.encode("\n", add_special_tokens=False)
+        self.end_of_line, self.line_id = self._value(line), line.ids[0]
         self._anew({})
 
+    #: What is remembered of a part is its ids; :class:`TokenCounter` needs less.
+    entry_bytes = ENTRY_BYTES
+    _size = staticmethod(len)
+
+    @staticmethod
+    def _value(encoding) -> bytes:
+        return np.array(encoding.ids, dtype="<u4").tobytes()
+
+    @staticmethod
+    def _values(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[bytes]:
+        """The value of each stretch of ``ids``."""
+        return map(ids.tobytes().__getitem__, map(slice, (starts * 4).tolist(), (ends * 4).tolist()))
+
+    @staticmethod
+    def _joined(values: list[bytes]) -> bytes:
+        return b"".join(values)
+
     def _anew(self, spaced: dict[str, bytes]) -> None:
         self.spaced = spaced
         self.bare: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
         self.open: set[str] = {""}      # parts whose outer characters may be white space: never in ``spaced``
-        self.held = sum(map(len, spaced)) + sum(map(len, spaced.values())) + ENTRY_BYTES * len(spaced)    # about
+        self.held = sum(map(len, spaced)) + sum(map(self._size, spaced.values())) + self.entry_bytes * len(spaced)    # about
 
     def _forget(self) -> None:
         median = sorted(map(len, self.spaced))[len(self.spaced) // 2] if self.spaced else 0
@@ -133,7 +150,7 @@ class Encoder:
             found[i] = [ids or get(p) for ids, p in zip(found[i], parts[i])]
         for i, p in ends.items():
             found[i].append(self.last[p])
-        return [self.bare[h] + b"".join(ids) for h, ids in zip(heads, found)]
+        return [self.bare[h] + self._joined(ids) for h, ids in zip(heads, found)]
 
     def _open(self, some: set[str]) -> None:
         new = [*some.difference(self.open)]
@@ -142,7 +159,7 @@ class Encoder:
             return
         new = [p for p, x in zip(new, inner) if not _ENDS.fullmatch(x)]
         self.open.update(new)
-        self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
+        self.held += sum(map(len, new)) + self.entry_bytes * len(new)
 
     def _learn(self, into: dict[str, bytes], before: str, some) -> None:
         """The ids of each text of ``some`` behind ``before``."""
@@ -150,11 +167,11 @@ class Encoder:
         for at in range(0, len(some), 20_000):
             group = some[at:at + 20_000]
             for p, e in zip(group, self.tokenizer.encode_batch_fast([before + p for p in group], add_special_tokens=False)):
-                self._keep(into, p, np.array(e.ids, dtype="<u4").tobytes())
+                self._keep(into, p, self._value(e))
 
     def _keep(self, into: dict[str, bytes], part: str, ids: bytes) -> None:
         into[part] = ids
-        self.held += len(part) + len(ids) + ENTRY_BYTES
+        self.held += len(part) + self._size(ids) + self.entry_bytes
 
     def _learn_bare(self, some: set[str]) -> None:
         self._learn_words(self.bare, "\n", {}, some.difference(self.bare))
@@ -186,15 +203,14 @@ class Encoder:
             group = words[at:at + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast([before + before.join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
             # the blank of a word is in its first token, a line end is a token of its own
-            starts = np.flatnonzero(self.blank[ids] if spaced else ids == self.line_id) * 4
+            starts = np.flatnonzero(self.blank[ids] if spaced else ids == self.line_id)
             if len(starts) != len(group):
                 others += group
                 continue
-            raw = ids.tobytes()
-            ends = [*starts[1:].tolist(), len(raw)]
-            starts = (starts if spaced else starts + 4).tolist()
-            into.update(zip(group, map(raw.__getitem__, map(slice, starts, ends))))
-            self.held += sum(map(len, group)) + len(raw) + ENTRY_BYTES * len(group)
+            ends = np.append(starts[1:], len(ids))
+            values = list(self._values(ids, starts if spaced else starts + 1, ends))
+            into.update(zip(group, values))
+            self.held += sum(map(len, group)) + sum(map(self._size, values)) + self.entry_bytes * len(group)
         self._learn(into, " " if spaced else "", others)
         tails = {p[len(w):] for p, w in tailed.items()}
         self._learn(self.bare, "", tails.difference(self.bare))
@@ -202,6 +218,28 @@ class Encoder:
             self._keep(into, p, into[w] + self.bare[p[len(w):]])
 
 
+class TokenCounter(Encoder):
+    """The same for the number of ids alone: a part's number takes the place of its ids, so more parts are held."""
+
+    #: Small numbers are shared objects; the header of the ids' bytes is saved.
+    entry_bytes = ENTRY_BYTES - 40
+    _joined = staticmethod(sum)
+    _value = staticmethod(len)
+
+    @staticmethod
+    def _size(value: int) -> int:
+        return 0
+
+    @staticmethod
+    def _values(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[int]:
+        return (ends - starts).tolist()
+
+
+def token_counter(path: str) -> TokenCounter:
+    """One counter per worker process, until a task of another operator runs there."""
+    return worker_cache(f"token counter {path}", lambda: TokenCounter(path))
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per worker process, until a task of another operator runs there."""
     return worker_cache(f"encoder {path}", lambda: Encoder(path))

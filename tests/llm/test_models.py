@@ -348,3 +348,19 @@ def test_run_equals_the_stages(spark, docs, workdir):
     assert {"doc_id", "segment", "bucket_length", "batch", "slot"} <= set(out.columns) and COLUMNS
     got, want = sorted(map(tuple, out.collect()), key=str), sorted(map(tuple, frame.collect()), key=str)
     assert got == want and len(got) > 100
+
+
+def test_token_counter_counts_what_the_encoder_encodes():
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["", " ", "\n", "word", " lead", "tail ", "two  blanks", "a\nb\n\nc", "x.y, z!\n (q)", "tab\there", "Grüße — “quoted” 12 34", "line \n end\n",
+             "<|endoftext|> in text", "many words " * 50, " no break  blank", "漢字 and 🙂"]
+    for rest in (token_planes.Encoder, token_planes.TokenCounter):
+        assert rest(path).encode([]) == []
+    enc, counter = token_planes.Encoder(path), token_planes.TokenCounter(path)
+    for some in (texts, texts[::-1], texts[:5] + [f"{t} {t}" for t in texts]):
+        want = [len(enc.tokenizer.encode(t, add_special_tokens=False).ids) for t in some]
+        assert counter.encode(some) == want == [len(ids) // 4 for ids in enc.encode(some)]
+    counter._forget()
+    assert counter.encode(texts) == [len(ids) // 4 for ids in enc.encode(texts)]
+    assert counter.held < enc.held                                   # what it remembers of a part is smaller
