@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from adlife.llm.common import fresh, ship_package, worker_cache
+from adlife.llm.common import fresh, give_back, ship_package, worker_cache
 
 DIMS = 1 << 12
 SLICE = 1 << 20
 PER_LANGUAGE = 1500
 CENTROIDS = 3
+#: Rows that are weighted at a time.
+UNIT_ROWS = 256
 ROUNDS = 12
 #: Texts are put into classes by the logarithm of their distinct n-grams; a class's bound
 #: is its largest training distance plus this share of the way to distance 1.
@@ -82,8 +84,12 @@ def count_rows(texts: list[str | None]) -> np.ndarray:
 
 
 def unit_rows(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    v = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
-    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    out = np.zeros(counts.shape, np.result_type(counts, idf))
+    for at in range(0, len(counts), UNIT_ROWS):             # bounded work space besides the result
+        part = counts[at:at + UNIT_ROWS]
+        v = np.where(part > 0, 1 + np.log(np.maximum(part, 1)), 0) * idf
+        out[at:at + UNIT_ROWS] = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    return out
 
 
 def size_class(counts: np.ndarray) -> np.ndarray:
@@ -148,15 +154,15 @@ def fit(labels: list, counts: np.ndarray) -> Model | None:
     if not labels:
         return None
     idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    v = unit_rows(counts, idf)
     names = np.array(labels)
     languages, centroids = [], []
     for name in sorted(set(labels)):
-        c = cluster(v[names == name], CENTROIDS)
+        c = cluster(unit_rows(counts[names == name], idf), CENTROIDS)       # the rows of one language at a time
         languages += [name] * len(c)
         centroids.append(c)
     centroids = np.concatenate(centroids).astype(np.float32)
-    far, sizes = 1 - (v @ centroids.T).max(axis=1), size_class(counts)
+    far, sizes = np.concatenate([1 - (unit_rows(counts[at:at + UNIT_ROWS], idf) @ centroids.T).max(axis=1)
+                                 for at in range(0, len(counts), UNIT_ROWS)]), size_class(counts)
     every = far.max() if len(far) >= BOUND_ROWS else 1.0
     most = np.array([far[sizes == s].max() if (sizes == s).sum() >= BOUND_ROWS else every for s in range(SIZES)])
     return Model(languages, centroids, idf, most + MARGIN * (1 - most))
@@ -209,7 +215,9 @@ def learned(docs: DataFrame) -> Model | None:
     """The model of the ``lang`` labels, without the held-out fifth of the ids."""
     train = docs.select("doc_id", "text", "lang").where(crc("doc_id") % 5 != 0)
     pick = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    return fit(*sample_counts(train, "lang", "text", PER_LANGUAGE, pick))
+    model = fit(*sample_counts(train, "lang", "text", PER_LANGUAGE, pick))
+    give_back()                                             # the driver goes on for long
+    return model
 
 
 def langid_query(docs: DataFrame) -> DataFrame:

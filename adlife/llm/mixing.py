@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
 
-from adlife.llm.common import fresh, materialized, ship_package, worker_cache
+from adlife.llm.common import fresh, give_back, materialized, ship_package, worker_cache
 from adlife.llm.langid import crc, sample_counts
 
 PAIRS = 1 << 10
@@ -287,7 +287,9 @@ def trained(labelled: DataFrame, domains: list[str], key: str = "doc_id", label:
     """The classifier of a labelled table, for the given domains."""
     known = labelled.where(F.col(label).isin(domains))
     pick = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30))
-    return fit_classifier(*sample_counts(known, label, text_col, PER_DOMAIN, pick, pair_counts, PAIRS), domains)
+    model = fit_classifier(*sample_counts(known, label, text_col, PER_DOMAIN, pick, pair_counts, PAIRS), domains)
+    give_back()
+    return model
 
 
 #: Target shares of tokens by domain (here the language).

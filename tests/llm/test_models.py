@@ -364,3 +364,20 @@ def test_token_counter_counts_what_the_encoder_encodes():
     counter._forget()
     assert counter.encode(texts) == [len(ids) // 4 for ids in enc.encode(texts)]
     assert counter.held < enc.held                                   # what it remembers of a part is smaller
+
+
+def test_models_are_fitted_in_little_space():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    counts = rng.poisson(0.4, (2000, langid.DIMS)).astype(np.float32)
+    labels = [("de", "en", "es", "fr")[i % 4] for i in range(len(counts))]
+    idf = np.ones(langid.DIMS, np.float32)
+    whole = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
+    assert (langid.unit_rows(counts, idf) == whole / np.maximum(np.linalg.norm(whole, axis=1, keepdims=True), 1e-12)).all()
+    del whole
+    tracemalloc.start()
+    model = langid.fit(labels, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.centroids) == 4 * langid.CENTROIDS
+    assert peak < counts.nbytes                                      # not several more tables of that size
