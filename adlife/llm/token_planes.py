@@ -30,9 +30,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import compress
-from operator import not_
+from itertools import chain, count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ from adlife.llm.common import ship_package, worker_cache
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
-#: Bytes of remembered parts, and of a dictionary entry besides its texts.
+#: Bytes of remembered parts, and of a part besides its text and its ids.
 CACHED_BYTES = 128 << 20
 ENTRY_BYTES = 190
 ZSTD_LEVEL = 3
@@ -61,178 +61,252 @@ _SOLID = "!-~¡-ɏ"
 #: stands between such blanks can be encoded one by one (and remembered).
 _PART = re.compile(rf"(?<=[{_SOLID}]) (?=[{_SOLID}])")
 _ENDS = re.compile(rf"[{_SOLID}](?:.*[{_SOLID}])?", re.DOTALL)
-#: So does ASCII punctuation after a letter.
+#: So does ASCII punctuation after a letter or a digit.
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-
-
-#: A blank that does not stand between two solid characters.
-_LOOSE = re.compile(rf" (?:(?![{_SOLID}])|(?<![{_SOLID}] ))")
+#: One pre-token of a byte-level BPE, as is ASCII punctuation behind it.
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[0-9]+")
+#: Byte-level BPE's signs for a blank and a line end, and for each byte.
+_BLANK, _LINE_END = "\u0120", "\u010a"
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_SIGNS = {b: b for b in _PRINTED} | {b: 256 + k for k, b in enumerate(sorted({*range(256)} - _PRINTED))}
+_BYTE_SIGNS |= {ord(c): c for c in " \n"}         # these stand between pieces
 
 
 class Encoder:
     """Whole-text encoding with the tokenizers library, remembering the ids of parts.
 
     A text is cut at its blanks and before its line ends (one between two solid characters is a pre-token
-    of its own). ``spaced`` holds the ids of a part with a blank (or a line end, which it then starts with) before it,
-    ``bare`` without, ``last`` those of text ends that may be white space. When ``CACHED_BYTES`` are held, the shorter
-    half of the parts stays (frequent words are short ones), so memory is bounded by bytes, however long the parts are.
+    of its own). Each part has a number; ``starts`` and ``lengths`` say where its ids stand in ``store``. ``spaced`` numbers
+    the parts with a blank (or a line end, which they then start with) before them, ``bare`` those without, ``last`` text
+    ends that may be white space. When ``CACHED_BYTES`` are held, the half of the parts that was met in the most calls
+    stays, so memory is bounded by bytes, however long the parts are.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [a.content for a in self.tokenizer.get_added_tokens_decoder().values()]
+        #: The same model for pre-tokens that are known as such: byte signs between blanks.
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = CharDelimiterSplit(" ")
+        cut = self.tokenizer.pre_tokenizer
+        self.plain = self.tokenizer.normalizer is None and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
         vocabulary = self.tokenizer.get_vocab()
-        self.blank = np.zeros(1 + max(vocabulary.values()), bool)
-        self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True      # byte-level BPE's sign for a blank
-        line = self.tokenizer.encode("\n", add_special_tokens=False)
-        self.end_of_line, self.line_id = self._value(line), line.ids[0]
-        self._anew({})
-
-    #: What is remembered of a part is its ids; :class:`TokenCounter` needs less.
-    entry_bytes = ENTRY_BYTES
-    _size = staticmethod(len)
-
-    @staticmethod
-    def _value(encoding) -> bytes:
-        return np.array(encoding.ids, dtype="<u4").tobytes()
-
-    @staticmethod
-    def _values(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[bytes]:
-        """The value of each stretch of ``ids``."""
-        return map(ids.tobytes().__getitem__, map(slice, (starts * 4).tolist(), (ends * 4).tolist()))
-
-    @staticmethod
-    def _joined(values: list[bytes]) -> bytes:
-        return b"".join(values)
-
-    def _anew(self, spaced: dict[str, bytes]) -> None:
-        self.spaced = spaced
-        self.bare: dict[str, bytes] = {}
-        self.last: dict[str, bytes] = {}
-        self.open: set[str] = {""}      # parts whose outer characters may be white space: never in ``spaced``
-        self.held = sum(map(len, spaced)) + sum(map(self._size, spaced.values())) + self.entry_bytes * len(spaced)    # about
+        self.line_id, = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.first = np.zeros(1 + max(vocabulary.values()), bool)         # ids that start a part
+        self.first[[i for token, i in vocabulary.items() if token.startswith(_BLANK)]] = True
+        self.kind = np.dtype("<u2" if len(self.first) <= 1 << 16 else "<u4")
+        self._anew([], np.zeros(0, np.int64))
+
+    def _anew(self, parts: list[str], numbers: np.ndarray) -> None:
+        """Holds just ``parts``, which had these numbers so far."""
+        if parts:
+            lengths, self.uses = self.lengths[numbers], self.uses[numbers] // 2
+            self.store, self.used = self._gathered(numbers), int(lengths.sum())
+        else:
+            lengths, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.store, self.used = np.zeros(0, self.kind), 0
+        self.starts, self.lengths = np.cumsum(lengths) - lengths, lengths
+        number = count().__next__
+        self.spaced, self.bare, self.last = (defaultdict(number) for _ in range(3))
+        self.spaced.update((p, number()) for p in parts)
+        self.held = sum(map(len, parts)) + self._bytes(self.used) + ENTRY_BYTES * len(parts)    # about
 
     def _forget(self) -> None:
-        median = sorted(map(len, self.spaced))[len(self.spaced) // 2] if self.spaced else 0
-        self._anew({p: ids for p, ids in self.spaced.items() if len(p) < median})
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        parts, numbers = list(self.spaced), np.fromiter(self.spaced.values(), np.int64, len(self.spaced))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        best = np.lexsort((sizes, -self.uses[numbers]))[:len(parts) // 2]
+        best = best[self.lengths[numbers[best]] >= 0]
+        self._anew([parts[i] for i in best.tolist()], numbers[best])
+
+    def _room(self) -> None:
+        """Every part that has a number gets its place."""
+        more = sum(map(len, (self.spaced, self.bare, self.last))) - len(self.lengths)
+        if more > 0:
+            none = np.full(more, -1)
+            self.starts, self.lengths = np.append(self.starts, none), np.append(self.lengths, none)
+            self.uses = np.append(self.uses, none + 1)
+
+    def _bytes(self, ids: int) -> int:
+        return self.kind.itemsize * ids
+
+    def _gathered(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of the parts, one behind the other."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        return self.store[np.repeat(self.starts[numbers] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _hold(self, ids: np.ndarray) -> int:
+        """Appends to the store; the place of the first."""
+        at, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.store):
+            self.store = np.concatenate((self.store[:at], np.zeros(max(at, len(ids)), self.kind)))
+        self.store[at:self.used] = ids
+        return at
+
+    def _results(self, numbers: np.ndarray, counts: np.ndarray) -> list:
+        """What :meth:`encode` gives for texts of so many parts."""
+        raw = self._gathered(numbers).astype("<u4").tobytes()
+        ends = 4 * np.cumsum(self.lengths[numbers])[np.cumsum(counts) - 1]
+        return [raw[a:b] for a, b in pairwise([0, *ends.tolist()])]
+
+    def encode(self, texts: list[str]) -> list:
         """Little-endian 32-bit ids of each text."""
+        if not texts:
+            return []
         if self.held > CACHED_BYTES:
             self._forget()
-        get = self.spaced.get
         # a special token's string is one token wherever it stands: such texts are not cut
         parts = [[t] if any(s in t for s in self.special) else t.replace("\n", " \n").split(" ") for t in texts]
         heads = [ps.pop(0) for ps in parts]
-        found = [list(map(get, ps)) for ps in parts]
-        late = [i for i, ids in enumerate(found) if not all(ids)]
-        unknown: set[str] = set()
-        for i in late:
-            unknown.update(compress(parts[i], map(not_, found[i])))
-        self._open(unknown)
-        self._open(set(heads))
-        unknown -= self.open
+        numbers, counts = self._numbers(heads, parts)
+        risky = np.logical_or.reduceat(self.lengths[numbers] < 0, np.cumsum(counts) - counts)
+        risky |= [len(ps) > 0 and not _ENDS.fullmatch(h) for h, ps in zip(heads, parts)]
+        if not risky.any():
+            return self._results(numbers, counts)
+        careful = np.flatnonzero(risky).tolist()                  # not every blank is safe here
         ends = {}
-        careful = {i for i in late if not self.open.isdisjoint(parts[i])}
-        for i in careful.union(i for i, h in enumerate(heads) if parts[i] and h in self.open):
-            heads[i], *parts[i] = _PART.split(texts[i])           # not every blank is safe here
+        for i in careful:
+            heads[i], *parts[i] = _PART.split(texts[i])
             if parts[i] and not _ENDS.fullmatch(parts[i][-1]):
                 ends[i] = parts[i].pop()
-            found[i] = list(map(get, parts[i]))
-            unknown.update(p for p, ids in zip(parts[i], found[i]) if ids is None)
-            late.append(i)
-        self._learn_bare(set(heads))
-        self._learn_spaced(unknown)
-        self._learn(self.last, " ", {p for p in ends.values() if p not in self.last})
-        for i in late:
-            found[i] = [ids or get(p) for ids, p in zip(found[i], parts[i])]
-        for i, p in ends.items():
-            found[i].append(self.last[p])
-        return [self.bare[h] + self._joined(ids) for h, ids in zip(heads, found)]
-
-    def _open(self, some: set[str]) -> None:
-        new = [*some.difference(self.open)]
-        inner = [p[1:] if p[:1] == "\n" else p for p in new]
-        if not _LOOSE.search(f"! {' '.join(inner)} !"):           # no part is open, as is the rule
-            return
-        new = [p for p, x in zip(new, inner) if not _ENDS.fullmatch(x)]
-        self.open.update(new)
-        self.held += sum(map(len, new)) + self.entry_bytes * len(new)
-
-    def _learn(self, into: dict[str, bytes], before: str, some) -> None:
-        """The ids of each text of ``some`` behind ``before``."""
-        some = list(some)
-        for at in range(0, len(some), 20_000):
-            group = some[at:at + 20_000]
-            for p, e in zip(group, self.tokenizer.encode_batch_fast([before + p for p in group], add_special_tokens=False)):
-                self._keep(into, p, self._value(e))
-
-    def _keep(self, into: dict[str, bytes], part: str, ids: bytes) -> None:
-        into[part] = ids
-        self.held += len(part) + self._size(ids) + self.entry_bytes
-
-    def _learn_bare(self, some: set[str]) -> None:
-        self._learn_words(self.bare, "\n", {}, some.difference(self.bare))
-
-    def _learn_spaced(self, some: set[str]) -> None:
-        """The ids of each part of ``some`` behind a blank; of one that starts with a line end, as it stands."""
-        lines = {p: p[1:] for p in some if p[0] == "\n"}
-        self._learn_bare(set(lines.values()))
-        for p, line in lines.items():
-            self._keep(self.spaced, p, self.end_of_line + self.bare[line])
-        self._learn_words(self.spaced, " ", lines, some)
-
-    def _learn_words(self, into: dict[str, bytes], before: str, without, some) -> None:
-        """Words (letters only) are encoded many at a time as one text; a word with punctuation behind it
-        is put together; other parts are encoded one by one. ``before``: what stands before each word of that text."""
-        words, tailed, others = [], {}, []
-        for p in some:
-            if p.isalpha():
-                words.append(p)
-            elif p not in without:
-                word = p.rstrip(_PUNCTUATION)
-                if word.isalpha():
-                    tailed[p] = word
-                else:
-                    others.append(p)
-        words += {w for w in tailed.values() if w not in into}.difference(words)
-        spaced = into is self.spaced
-        for at in range(0, len(words), 2000):
-            group = words[at:at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([before + before.join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
-            # the blank of a word is in its first token, a line end is a token of its own
-            starts = np.flatnonzero(self.blank[ids] if spaced else ids == self.line_id)
-            if len(starts) != len(group):
-                others += group
+        again, n = self._numbers([heads[i] for i in careful], [parts[i] for i in careful], [ends.get(i) for i in careful])
+        plain = ~risky
+        out = iter(self._results(numbers[np.repeat(plain, counts)], counts[plain]) if plain.any() else ())
+        late = iter(self._results(again, n))
+        return [next(late if r else out) for r in risky.tolist()]
+
+    def _numbers(self, heads: list[str], parts: list[list[str]], ends: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all parts, text by text, and how many each text has; the new ones are learned."""
+        inner = np.fromiter(map(len, parts), np.int64, len(parts))
+        known = [len(d) for d in (self.bare, self.spaced, self.last)]
+        head = np.fromiter(map(self.bare.__getitem__, heads), np.int64, len(heads))
+        flat = np.fromiter(map(self.spaced.__getitem__, chain.from_iterable(parts)), np.int64, int(inner.sum()))
+        closed = np.array([e is not None for e in ends or heads] if ends else [False] * len(heads))
+        tail = np.array([self.last[e] for e in ends or () if e is not None], np.int64)
+        counts = 1 + inner + closed
+        stop = np.cumsum(counts)
+        numbers, body = np.empty(int(stop[-1]), np.int64), np.ones(int(stop[-1]), bool)
+        body[stop - counts] = False
+        body[stop[closed] - 1] = False
+        numbers[body], numbers[stop - counts], numbers[stop[closed] - 1] = flat, head, tail
+        self._room()
+        self.uses[flat] += 1
+        # the bare ones first: they may be the punctuation behind spaced ones
+        for d, n, learn in zip((self.bare, self.spaced, self.last), known, (self._learn_bare, self._learn_spaced, self._learn_last)):
+            if len(d) > n:
+                learn(self._new(d, n))
+        return numbers, counts
+
+    def _new(self, numbered: dict[str, int], known: int) -> dict[str, int]:
+        """The parts behind the first ``known`` ones."""
+        new = dict(islice(reversed(numbered.items()), len(numbered) - known))
+        self.held += sum(map(len, new)) + ENTRY_BYTES * len(new)
+        return new
+
+    def _keep(self, numbers: list[int], ids: list[int] | np.ndarray, starts, ends) -> None:
+        """The ids of the parts are stretches of ``ids``."""
+        at, starts = self._hold(np.asarray(ids, self.kind)), np.asarray(starts, np.int64)
+        self.starts[numbers], self.lengths[numbers] = at + starts, ends - starts
+        self.held += self._bytes(len(ids))
+
+    def _learn(self, new: dict[str, int], before: str = "", first: tuple = ()) -> None:
+        """The ids of each text behind ``before``, the ids ``first`` in front."""
+        parts = list(new)
+        for at in range(0, len(parts), 20_000):
+            group = parts[at:at + 20_000]
+            found = [[*first, *e.ids] for e in self.tokenizer.encode_batch_fast([before + p for p in group], add_special_tokens=False)]
+            ends = np.cumsum(list(map(len, found)))
+            self._keep([new[p] for p in group], list(chain.from_iterable(found)), np.append(0, ends[:-1]), ends)
+
+    def _learn_last(self, new: dict[str, int]) -> None:
+        self._learn(new, " ")
+
+    def _learn_bare(self, new: dict[str, int]) -> None:
+        self._learn(new)
+
+    def _learn_spaced(self, new: dict[str, int]) -> None:
+        """The ids of each part behind a blank; of one that starts with a line end, as it stands. Open ones
+        (their outer characters may be white space) keep the length -1."""
+        words, accented, lines, tailed, others, other_lines = {}, {}, {}, [], {}, {}
+        get = self.spaced.get if self.plain else None
+        for p, n in new.items():
+            if get and p.isalpha() and p.isascii():
+                words[p] = n
                 continue
-            ends = np.append(starts[1:], len(ids))
-            values = list(self._values(ids, starts if spaced else starts + 1, ends))
-            into.update(zip(group, values))
-            self.held += sum(map(len, group)) + sum(map(self._size, values)) + self.entry_bytes * len(group)
-        self._learn(into, " " if spaced else "", others)
-        tails = {p[len(w):] for p, w in tailed.items()}
-        self._learn(self.bare, "", tails.difference(self.bare))
-        for p, w in tailed.items():
-            self._keep(into, p, into[w] + self.bare[p[len(w):]])
+            line = p[:1] == "\n"
+            inner = p[1:] if line else p
+            word = inner.rstrip(_PUNCTUATION)
+            if get and _WORD.fullmatch(word):
+                if len(word) == len(inner):
+                    (lines if line else words if p.isascii() else accented)[word] = n
+                    continue
+                tail = inner[len(word):]
+                stem = None if line else get(word)
+                if stem is None:
+                    (lines if line else words if p.isascii() else accented)[f"{word} {tail}"] = n
+                else:
+                    tailed.append((n, stem, tail))
+            elif _ENDS.fullmatch(inner):
+                (other_lines if line else others)[inner] = n
+        self._learn_joined(words, self.pieces, _BLANK, " ", others)
+        self._learn_joined(accented, self.pieces, _BLANK, " ", others)
+        self._learn_joined(lines, self.pieces, _LINE_END + " ", "\n", other_lines)
+        single = {p: others.pop(p) for p in [p for p in others if " " in p]}
+        self._learn_joined(others, self.tokenizer, " ", " ", single)
+        self._learn(single, " ")
+        self._learn(other_lines, first=(self.line_id,))
+        if tailed:
+            self._learn_tailed(*zip(*tailed))
+
+    def _learn_tailed(self, numbers: tuple[int], stems: tuple[int], tails: tuple[str]) -> None:
+        """Known words with punctuation behind them are put together."""
+        known = len(self.bare)
+        tail = [self.bare[t] for t in tails]
+        if len(self.bare) > known:
+            self._room()
+            self._learn_bare(self._new(self.bare, known))
+        both = np.array([stems, tail]).T.ravel()
+        ends = np.cumsum(self.lengths[both])[1::2]
+        self._keep(list(numbers), self._gathered(both), np.append(0, ends[:-1]), ends)
+
+    def _learn_joined(self, new: dict[str, int], tokenizer, before: str, sign: str, others: dict[str, int]) -> None:
+        """Many parts are encoded as one text, ``before`` in front of each: its first token starts with a blank, or
+        is a line end. Those that are not told apart so go to ``others``."""
+        parts, pieces = list(new), tokenizer is self.pieces
+        for at in range(0, len(parts), 10_000):
+            group = parts[at:at + 10_000]
+            numbers = [new[p] for p in group]
+            text = ("\n" if pieces else before).join(group)
+            if pieces and not text.isascii():
+                text = text.encode().decode("latin-1").translate(_BYTE_SIGNS)
+            text = before + text.replace("\n", f" {before}") if pieces else before + text
+            found = [] if not pieces and any(s in text for s in self.special) else (
+                tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+            ids = np.array(found, self.kind)
+            starts = np.flatnonzero(self.first[ids] if sign == " " else ids == self.line_id)
+            if len(starts) == len(group):
+                self._keep(numbers, ids, starts, np.append(starts[1:], len(ids)))
+            else:
+                others.update((p.replace(" ", "") if pieces else p, n) for p, n in zip(group, numbers))
 
 
 class TokenCounter(Encoder):
-    """The same for the number of ids alone: a part's number takes the place of its ids, so more parts are held."""
+    """The same for the number of ids alone: the ids are not stored."""
+
+    def _bytes(self, ids: int) -> int:
+        return 0
 
-    #: Small numbers are shared objects; the header of the ids' bytes is saved.
-    entry_bytes = ENTRY_BYTES - 40
-    _joined = staticmethod(sum)
-    _value = staticmethod(len)
+    def _gathered(self, numbers: np.ndarray) -> np.ndarray:
+        return self.store
 
-    @staticmethod
-    def _size(value: int) -> int:
+    def _hold(self, ids: np.ndarray) -> int:
         return 0
 
-    @staticmethod
-    def _values(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[int]:
-        return (ends - starts).tolist()
+    def _results(self, numbers: np.ndarray, counts: np.ndarray) -> list[int]:
+        return np.add.reduceat(self.lengths[numbers], np.cumsum(counts) - counts).tolist()
 
 
 def token_counter(path: str) -> TokenCounter:

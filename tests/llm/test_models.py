@@ -277,6 +277,46 @@ def test_words_at_line_ends_are_learned_once():
     assert enc.encode(texts) == want
 
 
+class Counting:
+    """A tokenizer that adds up the characters it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.characters = inner, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.characters += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("kind", [token_planes.Encoder, token_planes.TokenCounter])
+def test_new_words_are_not_cut_into_pre_tokens_again(kind):
+    """Words of Latin letters, numbers and punctuation behind them are pre-tokens: the model alone gets them, once."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdeéñüſ", k=7)) for _ in range(500)] + [str(k) for k in range(100, 150)]
+    texts = [" ".join(w + rng.choice(["", "", ",", ".", "'\""]) for w in rng.sample(words, 200)) + "\nEnd." for _ in range(30)]
+    want = [e.ids for e in kind(TOKENIZER).tokenizer.encode_batch(texts, add_special_tokens=False)]
+    want = list(map(len, want)) if kind is token_planes.TokenCounter else [np.array(i, dtype="<u4").tobytes() for i in want]
+    enc = kind(TOKENIZER)
+    enc.tokenizer, enc.pieces = Counting(enc.tokenizer), Counting(enc.pieces)
+    assert enc.encode(texts) == want
+    assert enc.tokenizer.characters < sum(map(len, texts)) / 50            # the first words and the punctuation
+    once = enc.pieces.characters
+    assert once < sum(len(p) + 4 for p in enc.spaced)
+    assert enc.encode(texts[::-1]) == want[::-1] and enc.pieces.characters == once
+
+
+def test_frequent_parts_stay_however_long():
+    enc = token_planes.Encoder(TOKENIZER)
+    often = ["incomprehensibilities", "responsibilities,", "internationalisation"]
+    for k in range(20):
+        enc.encode([f"x {' '.join(often)} a{k} b{k} c{k}"])
+    before = len(enc.spaced)
+    enc._forget()
+    assert len(enc.spaced) <= before // 2 and set(often) <= set(enc.spaced)
+    text = f"x {' '.join(often)} a1 new"
+    assert enc.encode([text]) == [np.array(enc.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()]
+
+
 def stored_ids(rows):
     enc = token_planes.Encoder(TOKENIZER)
     at = 0
