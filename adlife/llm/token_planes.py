@@ -31,7 +31,7 @@ import os
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain, count, islice, pairwise
 
 import numpy as np
@@ -94,7 +94,7 @@ class Encoder:
         cut = self.tokenizer.pre_tokenizer
         self.plain = self.tokenizer.normalizer is None and isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
         vocabulary = self.tokenizer.get_vocab()
-        self.line_id, = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.end_of_line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.first = np.zeros(1 + max(vocabulary.values()), bool)         # ids that start a part
         self.first[[i for token, i in vocabulary.items() if token.startswith(_BLANK)]] = True
         self.kind = np.dtype("<u2" if len(self.first) <= 1 << 16 else "<u4")
@@ -134,9 +134,13 @@ class Encoder:
 
     def _gathered(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of the parts, one behind the other."""
-        lengths = self.lengths[numbers]
-        ends = np.cumsum(lengths)
-        return self.store[np.repeat(self.starts[numbers] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        found = [self.store[:0]]
+        for at in range(0, len(numbers), 1 << 16):               # places take more space than ids
+            some = numbers[at:at + (1 << 16)]
+            lengths = self.lengths[some]
+            ends = np.cumsum(lengths)
+            found.append(self.store[np.repeat(self.starts[some] - ends + lengths, lengths) + np.arange(ends[-1])])
+        return np.concatenate(found)
 
     def _hold(self, ids: np.ndarray) -> int:
         """Appends to the store; the place of the first."""
@@ -148,9 +152,9 @@ class Encoder:
 
     def _results(self, numbers: np.ndarray, counts: np.ndarray) -> list:
         """What :meth:`encode` gives for texts of so many parts."""
-        raw = self._gathered(numbers).astype("<u4").tobytes()
-        ends = 4 * np.cumsum(self.lengths[numbers])[np.cumsum(counts) - 1]
-        return [raw[a:b] for a, b in pairwise([0, *ends.tolist()])]
+        ids = self._gathered(numbers).astype("<u4")
+        ends = np.cumsum(self.lengths[numbers])[np.cumsum(counts) - 1]
+        return [ids[a:b].tobytes() for a, b in pairwise([0, *ends.tolist()])]
 
     def encode(self, texts: list[str]) -> list:
         """Little-endian 32-bit ids of each text."""
@@ -212,7 +216,7 @@ class Encoder:
         self.starts[numbers], self.lengths[numbers] = at + starts, ends - starts
         self.held += self._bytes(len(ids))
 
-    def _learn(self, new: dict[str, int], before: str = "", first: tuple = ()) -> None:
+    def _learn(self, new: dict[str, int], before: str = "", first: Sequence[int] = ()) -> None:
         """The ids of each text behind ``before``, the ids ``first`` in front."""
         parts = list(new)
         for at in range(0, len(parts), 20_000):
@@ -257,7 +261,7 @@ class Encoder:
         single = {p: others.pop(p) for p in [p for p in others if " " in p]}
         self._learn_joined(others, self.tokenizer, " ", " ", single)
         self._learn(single, " ")
-        self._learn(other_lines, first=(self.line_id,))
+        self._learn(other_lines, first=self.end_of_line)
         if tailed:
             self._learn_tailed(*zip(*tailed))
 
@@ -286,7 +290,7 @@ class Encoder:
             found = [] if not pieces and any(s in text for s in self.special) else (
                 tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
             ids = np.array(found, self.kind)
-            starts = np.flatnonzero(self.first[ids] if sign == " " else ids == self.line_id)
+            starts = np.flatnonzero(self.first[ids] if sign == " " else ids == self.end_of_line[0])
             if len(starts) == len(group):
                 self._keep(numbers, ids, starts, np.append(starts[1:], len(ids)))
             else:
