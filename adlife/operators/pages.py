@@ -38,6 +38,9 @@ STORED_DETAILS = T.StructType([
     *[f for f in schemas.RAW_DETAILS.fields if f.name not in ("load_date", "load_time")],
     T.StructField("digest", T.StringType()), T.StructField("key_bucket", T.IntegerType())])
 
+#: Bytes of text up to which the rows that a batch looks up are sent to the rows that look.
+SENT_BYTES = 16_000_000
+
 HEADER_FIELDS = ("location", "title", "year", "km", "price")
 
 
@@ -49,15 +52,19 @@ def explode_listing(messages: DataFrame, zone: str = "UTC", value_col: str = "va
 def explode_documents(docs: DataFrame, zone: str = "UTC", doc_col: str = "doc") -> DataFrame:
     """Raw header rows (RAW_HEADER) from parsed listing pages (schema LISTING_PAGE) in ``doc_col``."""
     page = F.col(doc_col)
-    ads = docs.select(page["pageData"]["timestamp"].alias("load_time"),
-                      F.explode(F.get(page["extractorData"]["data"], F.lit(0))["group"]).alias("ad"))
+    time = page["pageData"]["timestamp"]
+    read = docs.select(time.alias("load_time"), epoch_ms_to_local_date(time, zone).alias("load_date"),
+                       F.get(page["extractorData"]["data"], F.lit(0))["group"].alias("group"))
+    # The outer form: for the plain one Spark puts a filter on the array below the parsing, which then runs three
+    # times a page. ``place`` is null where there are no ads (an ad itself may be null).
+    ads = read.select("load_time", "load_date", F.posexplode_outer("group").alias("place", "ad")).where(F.col("place").isNotNull())
 
     def first_text(field: str, attr: str = "text"):
         return F.coalesce(F.get(F.col("ad")[field], F.lit(0))[attr], F.lit(config.NULL_TEXT))
 
     return ads.select(
         first_text("title", "href").alias("url"),
-        epoch_ms_to_local_date("load_time", zone).alias("load_date"),
+        "load_date",
         "load_time",
         first_text("title").alias("title"),
         first_text("location").alias("location"),
@@ -142,12 +149,28 @@ def to_raw_details(extracted: DataFrame, keep: tuple = ()) -> DataFrame:
     )
 
 
-def newest_pages(pages: DataFrame, urls: DataFrame, fetched: str | None = None) -> DataFrame:
+def sent_if_small(rows: DataFrame) -> DataFrame:
+    """``rows`` (persisted, of text) to join with: marked to be sent whole if their text is up to SENT_BYTES."""
+    size = rows.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, t in rows.dtypes if t == "string"), F.lit(0)))).first()[0]
+    return F.broadcast(rows) if (size or 0) <= SENT_BYTES else rows
+
+
+def urls_with_page(pages: DataFrame, urls: DataFrame) -> DataFrame:
+    """Those of ``urls`` that ``pages`` holds; of the pages only the url column is read and shuffled.
+
+    They are few, so that the pages themselves need not be shuffled to be found (:func:`sent_if_small`): html that
+    nothing asks for is then neither moved nor sorted.
+    """
+    return pages.select("url").join(urls, "url", "left_semi").distinct()
+
+
+def newest_pages(pages: DataFrame, urls: DataFrame | None, fetched: str | None = None) -> DataFrame:
     """(url, html) of the newest fetch of each of ``urls``; without ``fetched`` the greatest html, so reruns agree.
 
     The semi-join comes first: only pages that are asked for move, and a small url set can be sent to them.
+    Without ``urls``: of all pages.
     """
-    wanted = pages.join(urls, "url", "left_semi")
+    wanted = pages if urls is None else pages.join(urls, "url", "left_semi")
     order = F.struct(*([F.col(fetched)] if fetched else []), F.col("html").isNotNull(), F.col("html"))
     return wanted.groupBy("url").agg(F.max_by("html", order).alias("html"))
 
@@ -177,6 +200,32 @@ def stored_details(pages: DataFrame, selectors: Mapping[str, str] | None, store:
         live.unpersist()
 
 
+def linked_ads(headers: DataFrame) -> DataFrame:
+    """(url, load_date, load_time) of the header rows that link to an ad page."""
+    return headers.where(F.col("url") != config.NULL_TEXT).select("url", "load_date", "load_time")
+
+
+def extracted_details(pages: DataFrame, selectors: Mapping[str, str] | None = None, store: str | None = None,
+                      fetched: str | None = None, urls: DataFrame | None = None) -> DataFrame:
+    """Details without the times of any header: one row per url of ``pages`` (among ``urls``), from its newest fetch."""
+    newest = newest_pages(pages, urls, fetched)
+    return to_raw_details(extract_pages(newest, selectors)) if store is None else stored_details(newest, selectors, store)
+
+
+def extract_all(pages: DataFrame, path: str, selectors: Mapping[str, str] | None = None) -> DataFrame:
+    """:func:`extracted_details` of all ``pages``, written to ``path``: for pages that stay as they are while many batches ask for them."""
+    extracted_details(pages, selectors).write.mode("overwrite").parquet(path)
+    return pages.sparkSession.read.schema(T.StructType([f for f in STORED_DETAILS.fields if f.name not in ("digest", "key_bucket")])).parquet(path)
+
+
+def with_details(linked: DataFrame, details: DataFrame) -> DataFrame:
+    """Raw details rows (RAW_DETAILS), one per row of ``linked`` (:func:`linked_ads`); a url without ``details`` is a deleted ad."""
+    gone = {"properties": F.to_json(null_map()), "equipment": F.to_json(null_set()),
+            "information": quote_json_string(F.lit(config.NULL_TEXT)), "deleted": F.lit(True)}
+    return linked.join(details, "url", "left").select(
+        "url", "load_date", "load_time", *[F.coalesce(F.col(c), v).alias(c) for c, v in gone.items()])
+
+
 def details_from_listing(headers: DataFrame, pages: DataFrame,
                          selectors: Mapping[str, str] | None = None, fetched: str | None = None,
                          store: str | None = None) -> DataFrame:
@@ -188,10 +237,5 @@ def details_from_listing(headers: DataFrame, pages: DataFrame,
     column of ``pages`` that orders several fetches of one url; ``store`` the path of a table that keeps
     extractions between calls (:func:`stored_details`).
     """
-    linked = headers.where(F.col("url") != config.NULL_TEXT).select("url", "load_date", "load_time")
-    newest = newest_pages(pages, linked.select("url").distinct(), fetched)
-    details = to_raw_details(extract_pages(newest, selectors)) if store is None else stored_details(newest, selectors, store)
-    gone = {"properties": F.to_json(null_map()), "equipment": F.to_json(null_set()),
-            "information": quote_json_string(F.lit(config.NULL_TEXT)), "deleted": F.lit(True)}
-    return linked.join(details, "url", "left").select(
-        "url", "load_date", "load_time", *[F.coalesce(F.col(c), v).alias(c) for c, v in gone.items()])
+    linked = linked_ads(headers)
+    return with_details(linked, extracted_details(pages, selectors, store, fetched, linked.select("url").distinct()))

@@ -7,6 +7,7 @@ columns are rendered as sorted ``|``-joined text so DuckDB can compare them.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -736,15 +737,21 @@ def stream_ingest(spark, sf_dir):
     messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 8).text(source)
     pages = tb.read_table(spark, sf_dir, "pages")
     q = stream_ops.start_ingest(messages, f"{run}/acq_header", f"{run}/acq_details", f"{run}/_checkpoint",
-                                pages=pages, selectors=PAGE_SELECTORS, available_now=True)
+                                pages=pages, selectors=PAGE_SELECTORS, available_now=True,
+                                extract_once=f"{run}/page_details")
     q.awaitTermination()
     key = ["load_date", "url", "load_time"]
     h = sources.read_raw_headers(spark, f"{run}/acq_header").select(
         *key, "title", "location", parse.parse_year("year").alias("year"), parse.parse_km("km").alias("km"),
         parse.parse_price("price").alias("price"))
+    # most ads have no page: the sentinels they hold are not parsed
+    no_text, no_labels = (json.dumps(x, separators=(",", ":")) for x in (config.NULL_TEXT, config.NULL_SET))
     d = sources.read_raw_details(spark, f"{run}/acq_details").select(
-        *key, "deleted", jsontext.json_string("information").alias("information"),
-        F.array_join(F.from_json("equipment", "array<string>"), "|").alias("equipment"))
+        *key, "deleted",
+        F.when(F.col("information") == no_text, config.NULL_TEXT)
+         .otherwise(jsontext.json_string("information")).alias("information"),
+        F.when(F.col("equipment") == no_labels, "|".join(config.NULL_SET))
+         .otherwise(F.array_join(F.from_json("equipment", "array<string>"), "|")).alias("equipment"))
     return h.join(d, key, "full")
 
 

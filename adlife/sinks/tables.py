@@ -26,10 +26,10 @@ writers set them aside in ``<path>_rejected``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,8 @@ FANOUT = 4
 POINT_READS = ("url",)
 #: Times that an append starts again after another writer was first.
 APPEND_TRIES = 5
+#: Rows of one partition value that an append sorts in one task; a partition with more is dealt out by key as well.
+ROWS_A_TASK = 250_000
 
 
 def _layout(df: DataFrame, partition_by: str) -> dict:
@@ -105,15 +107,30 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = (
             .select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns))
 
 
-def _complete_keys(new: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> DataFrame:
-    """The rows with a whole key; the others go to ``<path>_rejected``, those of a batch once."""
+def _whole(keys: Sequence[str]) -> Column:
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull()
-    rejected = new.where(~whole)
+    return whole
+
+
+def _set_aside(rejected: DataFrame, path: str, batch: str | None = None) -> None:
+    """Rows without a whole key go to ``<path>_rejected``, those of a batch once."""
+    rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}_rejected/batch={batch or uuid.uuid4().hex}")
+
+
+def _complete_keys(new: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """The rows with a whole key; the others go to ``<path>_rejected``."""
+    rejected = new.where(~_whole(keys))
     if not rejected.isEmpty():
-        rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}_rejected/batch={batch or uuid.uuid4().hex}")
-    return new.where(whole)
+        _set_aside(rejected, path)
+    return new.where(_whole(keys))
+
+
+def _sizes(new: DataFrame, keys: Sequence[str], partition_by: str) -> tuple[dict, bool]:
+    """Rows with a whole key by partition value, and whether there are others, in one pass."""
+    found = new.groupBy(partition_by).agg(F.count_if(_whole(keys)), F.count_if(~_whole(keys))).collect()
+    return {r[0]: r[1] for r in found if r[1]}, any(r[2] for r in found)
 
 
 def _touched(stored: DataFrame, new: DataFrame, partition_by: str) -> tuple[DataFrame, list]:
@@ -140,6 +157,44 @@ def clustered(rows: DataFrame, partition_by: str, order: Sequence[str]) -> DataF
     return rebalanced(rows, partition_by).sortWithinPartitions(partition_by, *by)
 
 
+def _clustered_once(rows: DataFrame, keys: Sequence[str], partition_by: str, order: Sequence[str],
+                    sizes: dict, newest_by: Sequence[str] = (), by_key: bool = False) -> DataFrame:
+    """The rows of :func:`one_per_key`, dealt and sorted as by :func:`clustered`, in one shuffle and one sort.
+
+    ``by_key`` states that rows of one key are equal (they were made from it).
+
+    Rows are dealt by partition value, those of a value with many rows (``sizes``) also by key, so equal keys
+    meet where the files are sorted and written.
+    """
+    rest = [] if by_key else [c for c in rows.columns if c not in keys]
+    shares, share, pick = F.lit(1), "__share", "__pick"
+    for value, n in sizes.items():
+        if n > ROWS_A_TASK:
+            shares = F.when(F.col(partition_by) == F.lit(value), -(-n // ROWS_A_TASK)).otherwise(shares)
+    by = [k for k in keys if k != partition_by]
+    dealt = rows.withColumn(share, F.pmod(F.xxhash64(*by), shares) if by else F.lit(0)).repartition(partition_by, share)
+    # a window sorts upwards by its partition: the bits of a whole number turned round sort it downwards
+    types = dict(rows.dtypes)
+    as_stored = sorted(c.lstrip("-") for c in order) == sorted(by) and all(
+        types[c[1:]] in ("tinyint", "smallint", "int", "bigint") for c in order if c.startswith("-"))
+    terms = [F.bitwise_not(c[1:]) if c.startswith("-") else F.col(c) for c in order] if as_stored else [F.col(k) for k in by]
+    best = ([] if by_key else [F.desc(c) for c in newest_by]) + ([F.desc(pick)] if rest else [F.desc(partition_by)])
+    dealt = dealt.withColumn(pick, F.to_json(F.struct(*rest))) if rest else dealt
+    window = Window.partitionBy(partition_by, *terms, share).orderBy(*best)
+    once = dealt.withColumn("__place", F.row_number().over(window)).where(F.col("__place") == 1).select(*rows.columns)
+    if as_stored:
+        return once
+    return once.sortWithinPartitions(partition_by, *[F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in order])
+
+
+def _not_stored(rows: DataFrame, stored: DataFrame | None, keys: Sequence[str], partition_by: str, held: Sequence) -> DataFrame:
+    """The rows whose key is not among the ``stored`` ones; rows of partitions other than ``held`` are not compared."""
+    if stored is None:
+        return rows
+    there = F.col(partition_by).isin(list(held))
+    return rows.where(there).join(stored.select(*keys), list(keys), "left_anti").select(*rows.columns).unionByName(rows.where(~there))
+
+
 def _order(keys: Sequence[str], partition_by: str, order: Sequence[str] | None) -> list[str]:
     return list(order) if order is not None else [k for k in keys if k != partition_by]
 
@@ -156,11 +211,16 @@ def _with_runs(version: Manifest | None, run: str, counts: dict[str, int], inste
 
 def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
                  partition_by: str = "load_date", newest_by: Sequence[str] = (),
-                 batch: tuple[str, int] | None = None, order: Sequence[str] | None = None) -> None:
+                 batch: tuple[str, int] | None = None, order: Sequence[str] | None = None,
+                 derive: Callable[[DataFrame], DataFrame] | None = None,
+                 before_publish: Callable[[], None] | None = None) -> None:
     """Append ``new`` rows whose key is not yet in the table at ``path`` (partition column among the keys).
 
     ``batch``: (id of a streaming query, number of its batch). A number that the table has stored for the
     query, or an earlier one, is skipped without reading anything. ``order`` sorts each file (default: the keys).
+    ``derive`` makes the rows to store from rows of ``new``, one of each and with its key; then only those are made
+    that are not stored yet, and ``new``, which is read several times, should be cached or cheap. ``before_publish``
+    is called when the rows are written, before readers can see them; what it raises leaves the table as it was.
     """
     if partition_by not in keys:
         raise ValueError("the partition column must be part of the key")
@@ -168,20 +228,27 @@ def append_keyed(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[
     version = mf.current(spark, path)
     if batch is not None and version is not None and version.batches.get(batch[0], -1) >= batch[1]:
         return
-    kept = new.is_cached
+    kept = new.is_cached or derive is not None
     new = new if kept else new.persist(StorageLevel.MEMORY_AND_DISK)
+    made = derive or (lambda rows: rows)
     try:
-        whole = None
+        sizes = None
         for attempt in range(APPEND_TRIES):
-            layout = check_layout(spark, new, path, partition_by, version)
-            if whole is None:
-                whole = one_per_key(_complete_keys(new, path, keys, batch and f"{batch[0]}-{batch[1]}"), keys, newest_by)
-            rows = whole
-            _, stored = _touched_parts(spark, path, version, new.where(F.col(partition_by).isNotNull()), partition_by)
-            if stored is not None:
-                rows = rows.join(stored.select(*keys), keys, "left_anti")
-            run, counts = mf.write_run(spark, clustered(rows, partition_by, order), path, partition_by, POINT_READS)
+            layout = check_layout(spark, made(new), path, partition_by, version)
+            if sizes is None:
+                sizes, rejected = _sizes(new, keys, partition_by)
+                if rejected:
+                    _set_aside(made(new.where(~_whole(keys))), path, batch and f"{batch[0]}-{batch[1]}")
+            names = version.of_values(sizes) if version else []
+            stored = mf.read_parts(spark, path, version, made(new).schema, names) if names else None
+            there = {mf.partition_value(n) for n in names}
+            rows = _not_stored(new.where(_whole(keys)), stored, keys, partition_by, [v for v in sizes if str(v) in there])
+            rows = _clustered_once(made(rows), keys, partition_by, order, sizes, newest_by,
+                                   by_key=derive is not None and set(new.columns) == set(keys))
+            run, counts = mf.write_run(spark, rows, path, partition_by, POINT_READS)
             batches = {**(version.batches if version else {}), **({batch[0]: batch[1]} if batch else {})}
+            if before_publish is not None:
+                before_publish()
             try:
                 mf.publish(spark, path, version, layout=layout, batches=batches, **_with_runs(version, run, counts, instead=False))
                 return

@@ -544,3 +544,106 @@ def test_daily_job_over_an_expiry_reads_closed_months_once(spark, workdir):
         urls = [r.url for r in daily.where(F.col("load_date").between(start, today)).select("url").distinct().collect()]
         assert sorted(map(str, held.where(F.col("url").isin(urls)).collect())) == want and want
     assert K.versions(spark, tables.month_table)
+
+
+def test_a_listing_page_is_parsed_once(spark):
+    """Spark used to put a filter on the ads below the parsing, which ran it three times a page."""
+    docs = [_listing_doc(3, 1467632481477), _listing_doc(0, 1467632481477), {"pageData": {"timestamp": 1}},
+            {"extractorData": {"data": []}}, {"extractorData": {"data": [{}]}}, _listing_doc(2, 1467632482477)]
+    docs[0]["extractorData"]["data"][0]["group"][1] = None          # an ad that is null keeps its row
+    df = P.explode_listing(spark.createDataFrame([(json.dumps(d),) for d in docs] + [(None,), ("no json",)], "value string"))
+    rows = df.collect()
+    assert len(rows) == 5 and sorted(r.title == "NULL" for r in rows) == [False] * 4 + [True]
+    assert {(r.load_date, r.load_time) for r in rows} == {("2016-07-04", 1467632481477), ("2016-07-04", 1467632482477)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+@pytest.mark.parametrize("rows_a_task", [3, 250_000])
+@pytest.mark.parametrize("order", [I.RAW_ORDER, ("-title", "url")])
+def test_append_picks_one_row_a_key_in_sorted_files(spark, workdir, monkeypatch, rows_a_task, order):
+    monkeypatch.setattr(K, "ROWS_A_TASK", rows_a_task)
+    schema = "load_date string, url string, load_time long, title string, year string"
+    rows = [(f"d{i % 3 if i < 60 else 0}", f"u{i % 13}", i % 5, f"t{i * 7 % 4}", None if i % 3 else str(i % 2)) for i in range(400)]
+    rows += [(None, "u1", 1, "t", "1"), ("d0", "u1", None, "t", "1")]
+    new, key = spark.createDataFrame(rows, schema).repartition(5), list(I.RAW_KEY)
+    K.append_keyed(spark, new, workdir, key, order=order)
+    want = K.one_per_key(new.dropna(subset=key), key).select(*new.columns)
+    stored = T.read_table(spark, workdir, new.schema)
+    assert sorted(map(str, stored.select(*new.columns).collect())) == sorted(map(str, want.collect()))
+    assert spark.read.parquet(workdir + "_rejected").count() == 2
+    held = {}
+    for r in stored.select("*", F.input_file_name().alias("f")).collect():
+        held.setdefault(r.f, []).append((r.url, -r.load_time) if order == I.RAW_ORDER else (-int(r.title[1:]), r.url))
+    assert all(x == sorted(x) for x in held.values())
+    # rows of a stored day are compared with it, those of other days are new
+    K.append_keyed(spark, new.unionByName(spark.createDataFrame([("d9", "u1", 1, "t", "1"), ("d0", "new", 1, "t", "1")], schema)),
+                   workdir, key, order=order)
+    assert T.read_table(spark, workdir, new.schema).count() == want.count() + 2
+
+
+def test_an_append_picks_the_newest_row(spark, workdir):
+    schema = "load_date string, url string, v long, seq long"
+    K.append_keyed(spark, spark.createDataFrame([("d", "a", 9, 1), ("d", "a", 1, 2), ("d", "a", 3, None), ("d", "b", 1, None)], schema),
+                   workdir, ["load_date", "url"], newest_by=["seq"])
+    assert _rows(spark, workdir, schema, "url", "v") == [("a", 1), ("b", 1)]
+
+
+def test_pages_are_read_once_in_a_stream_of_many_batches(spark, workdir):
+    docs = [json.dumps(_listing_doc(4, 1467632481477 + k * 1000)) for k in range(4)]
+    src = f"{workdir}/src"
+    spark.createDataFrame([(d,) for d in docs], "value string").repartition(4).write.text(src)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(html):
+        read.add(1)
+        return html
+    page = "http://m.example/ad.html?finnkode=7800000{}"
+    pages = spark.createDataFrame([(page.format(k), AD_PAGE) for k in (0, 0, 1)] + [("gone", None)], "url string, html string")
+    got = []
+    for name, once in (("each", None), ("once", f"{workdir}/extracted")):
+        read.value = 0
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+        I.start_ingest(stream, f"{workdir}/{name}/h", f"{workdir}/{name}/d", f"{workdir}/{name}/ck", available_now=True,
+                       pages=pages.withColumn("html", seen("html")), extract_once=once).awaitTermination()
+        got.append([sorted(map(str, T.read_raw_details(spark, f"{workdir}/{name}/d").collect())), read.value])
+    assert got[0][0] == got[1][0] and len(got[0][0]) == 16
+    assert got[1][1] == 4 < got[0][1]
+
+
+def test_html_that_no_ad_links_to_is_not_read(spark, workdir):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(html):
+        read.add(1)
+        return html
+    pages = spark.createDataFrame([("http://m.example/ad.html?finnkode=78000000", AD_PAGE)] + [(f"x{i}", AD_PAGE) for i in range(50)],
+                                  "url string, html string")
+    batch = spark.createDataFrame([(json.dumps(_listing_doc(3, 1467632481477)),)], "value string")
+    asked = P.urls_with_page(pages, P.linked_ads(P.explode_listing(batch)).select("url").distinct()).persist()
+    assert [r.url for r in asked.collect()] == ["http://m.example/ad.html?finnkode=78000000"]
+    found = pages.join(P.sent_if_small(asked), "url", "left_semi").withColumn("html", seen("html"))
+    assert P.extracted_details(found).count() == 1 and read.value <= 2
+    asked.unpersist()
+
+
+def test_details_are_published_after_the_headers(spark, workdir, monkeypatch):
+    """Both are written at the same time; when the headers are lost, so are the details, and the batch comes again."""
+    from adlife.sinks import manifest as mf
+    publish, h, d = mf.publish, f"{workdir}/h", f"{workdir}/d"
+
+    def lost(spark, path, *args, **kwargs):
+        if path == h:
+            raise RuntimeError("lost")
+        return publish(spark, path, *args, **kwargs)
+    batch = spark.createDataFrame([(json.dumps(_listing_doc(3, 1467632481477)),)], "value string")
+    pages = spark.createDataFrame([], "url string, html string")
+    with monkeypatch.context() as m:
+        m.setattr(mf, "publish", lost)
+        with pytest.raises(RuntimeError):
+            I.ingest_batch(spark, batch, h, d, pages, batch_id=("q", 0))
+    assert mf.current(spark, h) is None and mf.current(spark, d) is None
+    I.ingest_batch(spark, batch, h, d, pages, batch_id=("q", 0))
+    assert T.read_raw_headers(spark, h).count() == 3 and T.read_raw_details(spark, d).count() == 3
