@@ -49,7 +49,7 @@ POINT_READS = ("url",)
 #: Times that an append starts again after another writer was first.
 APPEND_TRIES = 5
 #: Rows of one partition value that an append sorts in one task; a partition with more is dealt out by key as well.
-ROWS_A_TASK = 250_000
+ROWS_A_TASK = 100_000
 
 
 def _layout(df: DataFrame, partition_by: str) -> dict:

@@ -559,7 +559,7 @@ def test_a_listing_page_is_parsed_once(spark):
     assert plan.count("from_json(") == 1
 
 
-@pytest.mark.parametrize("rows_a_task", [3, 250_000])
+@pytest.mark.parametrize("rows_a_task", [3, 100_000])
 @pytest.mark.parametrize("order", [I.RAW_ORDER, ("-title", "url")])
 def test_append_picks_one_row_a_key_in_sorted_files(spark, workdir, monkeypatch, rows_a_task, order):
     monkeypatch.setattr(K, "ROWS_A_TASK", rows_a_task)
