@@ -161,22 +161,22 @@ def _clustered_once(rows: DataFrame, keys: Sequence[str], partition_by: str, ord
                     sizes: dict, newest_by: Sequence[str] = (), by_key: bool = False) -> DataFrame:
     """The rows of :func:`one_per_key`, dealt and sorted as by :func:`clustered`, in one shuffle and one sort.
 
-    ``by_key`` states that rows of one key are equal (they were made from it).
-
     Rows are dealt by partition value, those of a value with many rows (``sizes``) also by key, so equal keys
-    meet where the files are sorted and written.
+    meet where the files are sorted and written. ``by_key`` states that rows of one key are equal (made from it).
     """
     rest = [] if by_key else [c for c in rows.columns if c not in keys]
-    shares, share, pick = F.lit(1), "__share", "__pick"
+    share, pick = "__share", "__pick"
+    large: dict[int, list] = {}                      # by powers of two: a few cases, however many values are large
     for value, n in sizes.items():
         if n > ROWS_A_TASK:
-            shares = F.when(F.col(partition_by) == F.lit(value), -(-n // ROWS_A_TASK)).otherwise(shares)
+            large.setdefault(1 << ((n - 1) // ROWS_A_TASK).bit_length(), []).append(value)
+    shares = F.coalesce(*[F.when(F.col(partition_by).isin(values), n) for n, values in large.items()], F.lit(1))
     by = [k for k in keys if k != partition_by]
     dealt = rows.withColumn(share, F.pmod(F.xxhash64(*by), shares) if by else F.lit(0)).repartition(partition_by, share)
     # a window sorts upwards by its partition: the bits of a whole number turned round sort it downwards
     types = dict(rows.dtypes)
     as_stored = sorted(c.lstrip("-") for c in order) == sorted(by) and all(
-        types[c[1:]] in ("tinyint", "smallint", "int", "bigint") for c in order if c.startswith("-"))
+        types.get(c[1:]) in ("tinyint", "smallint", "int", "bigint") for c in order if c.startswith("-"))
     terms = [F.bitwise_not(c[1:]) if c.startswith("-") else F.col(c) for c in order] if as_stored else [F.col(k) for k in by]
     best = ([] if by_key else [F.desc(c) for c in newest_by]) + ([F.desc(pick)] if rest else [F.desc(partition_by)])
     dealt = dealt.withColumn(pick, F.to_json(F.struct(*rest))) if rest else dealt

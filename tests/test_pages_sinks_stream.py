@@ -647,3 +647,12 @@ def test_details_are_published_after_the_headers(spark, workdir, monkeypatch):
     assert mf.current(spark, h) is None and mf.current(spark, d) is None
     I.ingest_batch(spark, batch, h, d, pages, batch_id=("q", 0))
     assert T.read_raw_headers(spark, h).count() == 3 and T.read_raw_details(spark, d).count() == 3
+
+
+def test_an_append_of_many_large_partitions(spark, workdir, monkeypatch):
+    """The plan does not grow with the number of partition values that are dealt out by key."""
+    monkeypatch.setattr(K, "ROWS_A_TASK", 1)
+    rows = spark.range(6000).selectExpr("cast(id % 2000 as string) AS load_date", "cast(id % 5 as string) AS url")
+    sizes = {str(i): 3 for i in range(2000)}
+    once = K._clustered_once(rows, ["load_date", "url"], "load_date", ["url"], sizes)
+    assert once.count() == rows.distinct().count()
